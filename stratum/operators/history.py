@@ -131,8 +131,8 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
         F.sum(F.when((F.col("__action") == "absent") & F.lit(snapshot), 1).otherwise(0)).alias("n_closed"),
         F.sum(F.when(F.col("__action") == "unchanged", 1).otherwise(0)).alias("n_unchanged"),
         F.sum(F.when(F.col("__action") == "rejected", 1).otherwise(0)).alias("n_rejected"))
-    bad = bad_keys.agg(F.count(F.lit(1)).alias("n_bad"))
-    m = counts.crossJoin(bad)  # two one-row aggregates
+    n_bad = bad_keys.agg(F.count(F.lit(1))).scalar()  # scalar subquery
+    m = counts.withColumn("n_bad", n_bad)
     z = F.lit(0)
     metrics = m.select(
         F.lit("SCD2").alias("operation"),

@@ -43,11 +43,14 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._cache:  # one DataFrame per table, so column refs resolve
+            self._cache[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._cache[name]
 
 
 def load_all() -> dict[str, Entry]:
