@@ -1 +1,190 @@
-"""Registered queries."""
+"""Registered queries: masking, tokens, personal-data detection, profiling."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import masking as MK
+from ..operators import profile as PR
+from .catalog import Tables, register
+
+SALT = "s4lt"
+
+
+def _esc(p: str) -> str:
+    return p.replace("'", "''")
+
+
+@register("mask_hash", ops=("M1",), sql=f"""SELECT c_custkey, sha256('{SALT}' || c_name) AS c_name,
+  c_nationkey, c_mktsegment FROM customer""")
+def mask_hash(spark, sf):
+    c = Tables(spark, sf).customer
+    return MK.apply_masks(c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+                          [{"column": "c_name", "technique": "HASH", "salt": SALT}])
+
+
+@register("mask_partial", ops=("M5",), sql="""SELECT c_custkey,
+  repeat('*', greatest(length(c_name) - 4, 0)) || CASE WHEN length(c_name) > 4 THEN right(c_name, 4) ELSE c_name END
+  AS c_name FROM customer""")
+def mask_partial(spark, sf):
+    c = Tables(spark, sf).customer.select("c_custkey", "c_name")
+    return MK.apply_masks(c, [{"column": "c_name", "technique": "PARTIAL", "keep": 4}])
+
+
+@register("mask_redact", ops=("M4",), sql="""SELECT c_custkey, '***' AS c_name, CAST(NULL AS DOUBLE) AS c_acctbal,
+  c_mktsegment FROM customer""")
+def mask_redact(spark, sf):
+    c = Tables(spark, sf).customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    return MK.apply_masks(c, [{"column": "c_name", "technique": "REDACT"},
+                              {"column": "c_acctbal", "technique": "REDACT"}])
+
+
+TOKEN_SQL = f"'tok_' || substr(sha256('{SALT}' || c_name), 1, 24)"
+
+
+@register("tokenize_roundtrip", ops=("M2", "M3", "J10"), sql=f"""SELECT c_custkey, {TOKEN_SQL} AS c_name_token,
+  c_name AS c_name_clear FROM customer""")
+def tokenize_roundtrip(spark, sf):
+    c = Tables(spark, sf).customer.select("c_custkey", "c_name")
+    vault = MK.build_vault(c, "c_name", SALT)
+    tok = MK.tokenize(c, "c_name", SALT).withColumnRenamed("c_name", "c_name_token")
+    return MK.detokenize(tok, vault, "c_name_token", out="c_name_clear")
+
+
+COLUMN_RULES = [{"column": "c_name", "technique": "PARTIAL", "keep": 4, "exempt_groups": ["pii_reader"]},
+                {"column": "c_acctbal", "technique": "REDACT", "exempt_groups": ["pii_reader", "finance"]}]
+
+
+@register("column_mask_view", ops=("M6", "P10"), sql="""SELECT c_custkey,
+  repeat('*', greatest(length(c_name) - 4, 0)) || CASE WHEN length(c_name) > 4 THEN right(c_name, 4) ELSE c_name END
+  AS c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment FROM customer""")
+def column_mask_view(spark, sf):
+    c = Tables(spark, sf).customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    v = MK.column_mask_view(c, COLUMN_RULES, principal_groups=["finance"])
+    return v.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)"))
+
+
+@register("row_filter", ops=("M7", "P9"), sql="""SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""")
+def row_filter(spark, sf):
+    o = Tables(spark, sf).orders
+    f = MK.row_filter(o, "o_orderpriority IN ('1-URGENT', '2-HIGH')", principal_groups=["ops_analyst"],
+                      exempt_groups=["admin"])
+    return f.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+
+
+def _redact_sql(col: str) -> str:
+    out = col
+    for d in MK.REDACT_ORDER:
+        out = f"regexp_replace({out}, '{_esc(MK.DETECTORS[d])}', '[{d}]', 'g')"
+    return out
+
+
+@register("pii_redact", ops=("M10",), sql=f"SELECT doc_id, {_redact_sql('text')} AS text FROM documents")
+def pii_redact(spark, sf):
+    d = Tables(spark, sf).documents
+    return d.select("doc_id", MK.redact_text("text").alias("text"))
+
+
+def _classify_sql() -> str:
+    parts = []
+    for d, p in MK.DETECTORS.items():
+        n = f"len(regexp_extract_all(text, '{_esc(p)}'))"
+        parts.append(f"""SELECT 'text' AS column_name, '{d}' AS detector,
+  CAST(SUM(CASE WHEN {n} > 0 THEN 1 ELSE 0 END) AS BIGINT) AS rows_with_hit,
+  CAST(SUM({n}) AS BIGINT) AS match_count,
+  CAST(ROUND(SUM(CASE WHEN {n} > 0 THEN 1 ELSE 0 END) / COUNT(*), 6) AS DECIMAL(10,6)) AS hit_rate,
+  '{MK.DETECTOR_CLASS[d]}' AS classification FROM documents""")
+    return "SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") WHERE rows_with_hit > 0"
+
+
+@register("pii_classify", ops=("M8",), sql=_classify_sql())
+def pii_classify(spark, sf):
+    return MK.classify_pii(Tables(spark, sf).documents, ["text"])
+
+
+@register("masking_suggest", ops=("M9",), sql=f"""SELECT column_name,
+  CASE WHEN max(classification = 'RESTRICTED') THEN 'RESTRICTED' ELSE 'CONFIDENTIAL' END AS classification,
+  CASE WHEN max(classification = 'RESTRICTED') THEN 'HASH' ELSE 'PARTIAL' END AS technique
+FROM ({_classify_sql()}) GROUP BY column_name""")
+def masking_suggest(spark, sf):
+    return MK.suggest_masking(MK.classify_pii(Tables(spark, sf).documents, ["text"]))
+
+
+@register("masking_gaps", ops=("M11",), sql=f"""SELECT DISTINCT column_name, classification FROM ({_classify_sql()})
+WHERE column_name NOT IN ('c_name')""")
+def masking_gaps(spark, sf):
+    spark_rules = spark.createDataFrame([("c_name", "PARTIAL")], "column_name string, technique string")
+    return MK.masking_gaps(MK.classify_pii(Tables(spark, sf).documents, ["text"]), spark_rules)
+
+
+# ---------------------------------------------------------------- profiling
+
+ORDER_PROFILE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+          "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}
+
+
+def _profile_sql() -> str:
+    parts = []
+    for c in ORDER_PROFILE_COLS:
+        num = _TYPES[c] in ("bigint", "double")
+        mn = f"CAST(TRY_CAST(MIN({c}) AS DECIMAL(38,6)) AS VARCHAR)" if num else f"CAST(MIN({c}) AS VARCHAR)"
+        mx = f"CAST(TRY_CAST(MAX({c}) AS DECIMAL(38,6)) AS VARCHAR)" if num else f"CAST(MAX({c}) AS VARCHAR)"
+        mean = f"CAST(ROUND(AVG(CAST({c} AS DOUBLE)), 4) AS DECIMAL(38,4))" if num else "CAST(NULL AS DECIMAL(38,4))"
+        sd = f"CAST(ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 4) AS DECIMAL(38,4))" if num else "CAST(NULL AS DECIMAL(38,4))"
+        parts.append(f"""SELECT '{c}' AS column_name, '{_TYPES[c]}' AS type, CAST(COUNT(*) AS BIGINT) AS row_count,
+  CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS null_count, {mn} AS min, {mx} AS max, {mean} AS mean, {sd} AS stddev
+FROM orders""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("profile_orders", ops=("A14",), sql=_profile_sql())
+def profile_orders(spark, sf):
+    # distinct_approx and p50 are estimates; the exact columns are compared.
+    return PR.profile(Tables(spark, sf).orders, ORDER_PROFILE_COLS).drop("distinct_approx", "p50")
+
+
+@register("profile_top_values", ops=("A14", "O3"), sql="""SELECT column_name, value, count FROM (
+  SELECT column_name, value, count, ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY count DESC, value ASC NULLS FIRST) rn
+  FROM (SELECT 'o_orderstatus' AS column_name, CAST(o_orderstatus AS VARCHAR) AS value, CAST(COUNT(*) AS BIGINT) AS count
+        FROM orders GROUP BY 2
+        UNION ALL SELECT 'o_orderpriority', CAST(o_orderpriority AS VARCHAR), CAST(COUNT(*) AS BIGINT) FROM orders GROUP BY 2
+        UNION ALL SELECT 'l_returnflag', CAST(l_returnflag AS VARCHAR), CAST(COUNT(*) AS BIGINT) FROM lineitem GROUP BY 2))
+WHERE rn <= 3""")
+def profile_top_values(spark, sf):
+    t = Tables(spark, sf)
+    a = PR.top_values(t.orders, ["o_orderstatus", "o_orderpriority"], k=3)
+    return a.unionByName(PR.top_values(t.lineitem, ["l_returnflag"], k=3))
+
+
+@register("candidate_keys", ops=("A15",), sql="""SELECT column_set, row_count, distinct_count, is_key FROM (
+  SELECT 'o_orderkey' AS column_set, COUNT(*) AS row_count, COUNT(DISTINCT o_orderkey) AS distinct_count,
+    COUNT(DISTINCT o_orderkey) = COUNT(*) AND COUNT(o_orderkey) = COUNT(*) AS is_key FROM orders
+  UNION ALL SELECT 'o_custkey', COUNT(*), COUNT(DISTINCT o_custkey),
+    COUNT(DISTINCT o_custkey) = COUNT(*) AND COUNT(o_custkey) = COUNT(*) FROM orders
+  UNION ALL SELECT 'o_orderkey,o_custkey', COUNT(*), COUNT(DISTINCT (o_orderkey, o_custkey)),
+    COUNT(DISTINCT (o_orderkey, o_custkey)) = COUNT(*) FROM orders) WHERE is_key""")
+def candidate_keys(spark, sf):
+    o = Tables(spark, sf).orders
+    return PR.candidate_keys(o, [["o_orderkey"], ["o_custkey"], ["o_orderkey", "o_custkey"]])
+
+
+@register("candidate_watermarks", ops=("A16",), sql="""SELECT 'ts' AS column_name, 'timestamp_ntz' AS type,
+  CAST(MIN(ts) AS VARCHAR) AS min, CAST(MAX(ts) AS VARCHAR) AS max, CAST(COUNT(*) - COUNT(ts) AS BIGINT) AS null_count,
+  COUNT(*) = COUNT(ts) AS is_candidate FROM events""")
+def candidate_watermarks(spark, sf):
+    return PR.candidate_watermarks(Tables(spark, sf).events)
+
+
+@register("dq_suggest", ops=("A17",), sql="""SELECT column_name, 'NOT_NULL' AS rule_type, CAST(NULL AS VARCHAR) AS rule_expression
+FROM (SELECT 'l_orderkey' AS column_name, COUNT(*) - COUNT(l_orderkey) AS n FROM lineitem
+      UNION ALL SELECT 'l_quantity', COUNT(*) - COUNT(l_quantity) FROM lineitem
+      UNION ALL SELECT 'l_returnflag', COUNT(*) - COUNT(l_returnflag) FROM lineitem) WHERE n = 0
+UNION ALL SELECT 'l_orderkey', 'RANGE', CAST(CAST(MIN(l_orderkey) AS DECIMAL(38,6)) AS VARCHAR) || ','
+  || CAST(CAST(MAX(l_orderkey) AS DECIMAL(38,6)) AS VARCHAR) FROM lineitem
+UNION ALL SELECT 'l_quantity', 'RANGE', CAST(CAST(MIN(l_quantity) AS DECIMAL(38,6)) AS VARCHAR) || ','
+  || CAST(CAST(MAX(l_quantity) AS DECIMAL(38,6)) AS VARCHAR) FROM lineitem""")
+def dq_suggest(spark, sf):
+    li = Tables(spark, sf).lineitem
+    return PR.suggest_rules(PR.profile(li, ["l_orderkey", "l_quantity", "l_returnflag"]))
