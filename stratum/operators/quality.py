@@ -138,7 +138,7 @@ def annotate(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFra
             ts = F.lit(str(as_of)).cast("timestamp_ntz")
             # Scalar subquery: the newest timestamp is computed once, no join.
             mx = df.agg(F.max(F.col(r.column_name).cast("timestamp_ntz"))).scalar()
-            age = F.unix_timestamp(ts) - F.unix_timestamp(mx)
+            age = F.timestamp_diff("SECOND", mx, ts)
             flags.append(F.coalesce(age > F.lit(r.max_age_seconds), F.lit(True)).alias(name))
     keep = [F.col(c) for c in df.columns]
     return out.select(*keep, *flags)
@@ -223,7 +223,7 @@ def freshness(df: DataFrame, ts_col: str, as_of, max_age_seconds: int) -> DataFr
     """One row: newest timestamp, its age at ``as_of`` and whether it is fresh."""
     ts = F.lit(str(as_of)).cast("timestamp_ntz")
     m = df.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("max_ts"))
-    age = (F.unix_timestamp(ts) - F.unix_timestamp(F.col("max_ts"))).cast("bigint")
+    age = F.timestamp_diff("SECOND", F.col("max_ts"), ts).cast("bigint")
     return m.select("max_ts", age.alias("age_seconds"), F.coalesce(age <= max_age_seconds, F.lit(False)).alias("fresh"))
 
 

@@ -56,7 +56,7 @@ def fail_sql(r: Q.Rule, src: str = "src") -> str:
     if r.rule_type == "REFERENTIAL":
         return f"{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM good_c p WHERE p.{r.parent_column} = {src}.{c})"
     if r.rule_type == "FRESHNESS":
-        return (f"COALESCE((SELECT epoch(TIMESTAMP '{AS_OF}') - epoch(MAX({c})) FROM {src}) > {r.max_age_seconds}, "
+        return (f"COALESCE((SELECT FLOOR(epoch(TIMESTAMP '{AS_OF}') - epoch(MAX({c}))) FROM {src}) > {r.max_age_seconds}, "
                 f"TRUE)")
     raise ValueError(r.rule_type)
 
@@ -166,8 +166,8 @@ def dq_orphans(spark, sf):
 
 
 @register("dq_freshness_events", ops=("A8", "Q7"), sql="""SELECT MAX(ts) AS max_ts,
-  CAST(epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(MAX(ts)) AS BIGINT) AS age_seconds,
-  epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(MAX(ts)) <= 86400 AS fresh FROM events""")
+  CAST(FLOOR(epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(MAX(ts))) AS BIGINT) AS age_seconds,
+  FLOOR(epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(MAX(ts))) <= 86400 AS fresh FROM events""")
 def dq_freshness_events(spark, sf):
     return Q.freshness(Tables(spark, sf).events, "ts", "2024-02-01 00:00:00", 86400)
 
