@@ -245,8 +245,10 @@ def drift_clean(spark, sf):
 
 # ---------------------------------------------------------------- reconciliation
 
-LINE_TOTAL = (F.col("l_extendedprice").cast("decimal(18,2)") * (1 + F.col("l_tax").cast("decimal(18,2)"))
-              * (1 - F.col("l_discount").cast("decimal(18,2)")))
+def line_total():
+    """Line amount with tax and discount: exact decimal product, rounded to money (DECIMAL(18,2))."""
+    return (F.col("l_extendedprice").cast("decimal(18,2)") * (1 + F.col("l_tax").cast("decimal(18,2)"))
+            * (1 - F.col("l_discount").cast("decimal(18,2)"))).cast("decimal(18,2)")
 LINE_TOTAL_SQL = ("CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l_tax AS DECIMAL(18,2))) "
                   "* (1 - CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2))")
 
@@ -266,7 +268,7 @@ def _count_rule(t):
 def _total_rule(t):
     o = t.orders.withColumn("o_year", F.year("o_orderdate"))
     li = t.lineitem.join(o.select("o_orderkey", "o_year"), t.lineitem.l_orderkey == o.o_orderkey) \
-                   .withColumn("line_total", LINE_TOTAL)
+                   .withColumn("line_total", line_total())
     return R.ReconRule("rc_order_total", "CONTROL_TOTAL", o, li, "o_totalprice", "line_total",
                        group_by=["o_year"], tolerance=0.01, on_break="FAIL")
 
