@@ -12,6 +12,7 @@ from __future__ import annotations
 import enum
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,10 +74,16 @@ def split_missing_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, D
 
 
 def split_corrupt(df: DataFrame, column: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
-    """(clean, bad) of a PERMISSIVE read (P5); clean drops the corrupt column."""
+    """(clean, bad) of a PERMISSIVE read (P5); clean drops the corrupt column.
+
+    The parsed read is persisted once (memory, spilling to disk): both sides
+    read it, and Spark refuses a raw-file query that touches only the corrupt
+    column.
+    """
     if column not in df.columns:
         return df, df.limit(0)
-    return df.where(F.col(column).isNull()).drop(column), df.where(F.col(column).isNotNull())
+    parsed = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return parsed.where(F.col(column).isNull()).drop(column), parsed.where(F.col(column).isNotNull())
 
 
 def safe_cast(df: DataFrame, types: Mapping[str, str | T.DataType]) -> tuple[DataFrame, DataFrame]:
@@ -115,12 +122,19 @@ def capture_drift(df: DataFrame, expected_columns: Sequence[str], max_rescued_co
     rescued = F.to_json(F.struct(*[F.col(c) for c in capped]), {"ignoreNullFields": "false"})
     q = df.select(*expected, rescued.alias("_rescued_data"),
                   F.lit(len(extra) > len(capped)).alias("_rescued_truncated"),
-                  *([F.greatest(*[F.col(c).isNotNull() for c in extra]).alias("__any")] if only_populated else []))
+                  *([_any_not_null(extra).alias("__any")] if only_populated else []))
     if only_populated:
         q = q.where(F.col("__any")).drop("__any")
     return clean, q
 
 
+def _any_not_null(cols):
+    cond = F.lit(False)
+    for c in cols:
+        cond = cond | F.col(c).isNotNull()
+    return cond
+
+
 def replay(quarantine: DataFrame, reason: QuarantineReason | str | None = None, run_id: str | None = None,
            rescued_schema: T.StructType | str | None = None) -> DataFrame:
     """Rows to send back through the pipeline.
