@@ -5,8 +5,8 @@ The closure is an iterative join to a fixpoint: each round joins the newest
 paths with the edge table on the path's end node, so its cost follows the
 number of new paths, not the whole result. Each round is cut with a reliable
 checkpoint (the loop would otherwise grow one long lineage), and the stop test
-is a single ``isEmpty`` probe. There is no depth cap: a path stops growing
-when it would revisit one of its own nodes, which also ends cycles.
+is a single ``isEmpty`` probe. There is no depth cap: every (node, ancestor)
+pair is produced once, so the loop ends on any graph, cycles included.
 """
 
 from __future__ import annotations
@@ -28,33 +28,43 @@ def transitive_closure(edges: DataFrame, child: str = "node", parent: str = "par
                        keep_cycles: bool = False) -> DataFrame:
     """All (node, ancestor) pairs reachable through ``child -> parent`` edges.
 
-    Output: node, ancestor, depth (shortest), path (``a>b>c`` of the shortest
-    path, ties by text). With ``keep_cycles`` a path may end on its own
+    Output: node, ancestor, depth (shortest), path (``a>b>c``, one shortest
+    path: the smallest extension of the previous round's chosen path). With ``keep_cycles`` a path may end on its own
     start node, so cycles show up as rows with ``node = ancestor``.
+
+    Semi-naive evaluation: each round extends only the pairs found in the
+    previous round, keeps one (shortest, then smallest) path per pair, and
+    drops pairs found in earlier rounds. Every pair is produced exactly once,
+    so graphs with many alternative paths (diamonds) cannot blow the frontier
+    up, and the loop ends when a round finds nothing new.
     """
     e = cut_lineage(_edges(edges, child, parent))
     step = e.select(F.col("node").alias("__via"), F.col("ancestor").alias("__next"))
-    frontier = cut_lineage(e.select("node", "ancestor", F.lit(1).alias("depth"),
-                                    F.array("node", "ancestor").alias("__p")))
+    first = e if keep_cycles else e.where(F.col("node") != F.col("ancestor"))
+    frontier = cut_lineage(first.select("node", "ancestor", F.lit(1).alias("depth"),
+                                        F.concat_ws(">", "node", "ancestor").alias("path")))
     parts = [frontier]
+    found = frontier.select("node", "ancestor")
     while True:
         nxt = frontier.where(F.col("node") != F.col("ancestor")) \
             .join(step, F.col("ancestor") == F.col("__via"))
-        seen = F.array_contains(F.col("__p"), F.col("__next"))
-        ok = ~seen | (F.lit(keep_cycles) & (F.col("__next") == F.col("node")))
-        nxt = nxt.where(ok).select("node", F.col("__next").alias("ancestor"), (F.col("depth") + 1).alias("depth"),
-                                   F.concat(F.col("__p"), F.array(F.col("__next"))).alias("__p"))
+        if not keep_cycles:
+            nxt = nxt.where(F.col("__next") != F.col("node"))
+        nxt = (nxt.groupBy("node", F.col("__next").alias("ancestor"))
+               .agg(F.min(F.struct((F.col("depth") + 1).alias("d"),
+                                   F.concat_ws(">", "path", "__next").alias("p"))).alias("b"))
+               .join(found, ["node", "ancestor"], "left_anti")
+               .select("node", "ancestor", F.col("b.d").alias("depth"), F.col("b.p").alias("path")))
         nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
         parts.append(nxt)
+        found = found.unionByName(nxt.select("node", "ancestor"))
         frontier = nxt
-    allp = parts[0]
+    out = parts[0]
     for p in parts[1:]:
-        allp = allp.unionByName(p)
-    best = allp.groupBy("node", "ancestor").agg(
-        F.min(F.struct(F.col("depth").alias("d"), F.concat_ws(">", "__p").alias("p"))).alias("b"))
-    return best.select("node", "ancestor", F.col("b.d").cast("int").alias("depth"), F.col("b.p").alias("path"))
+        out = out.unionByName(p)
+    return out.select("node", "ancestor", F.col("depth").cast("int").alias("depth"), "path")
 
 
 def upstream(closure: DataFrame, node: str) -> DataFrame:

@@ -338,3 +338,74 @@ SELECT COALESCE(r_name, 'ALL') AS r_name, COALESCE(c_mktsegment, 'ALL') AS c_mkt
 @register("gold_loss_ratio", ops=("A18", "J12"), sql=GOLD_SQL)
 def gold_loss_ratio(spark, sf):
     return TR.gold_summary(policies(Tables(spark, sf)), GOLD_DIMS, "o_totalprice", "loss", "has_claim")
+
+
+# ---------------------------------------------------------------- joins for lineage and cost
+
+@register("customers_with_orders", ops=("J6",), sql="""SELECT c_custkey, c_name FROM customer c
+WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""")
+def customers_with_orders(spark, sf):
+    t = Tables(spark, sf)
+    open_orders = t.orders.where(F.col("o_orderstatus") == "O").select(F.col("o_custkey").alias("c_custkey"))
+    return t.customer.join(open_orders, "c_custkey", "left_semi").select("c_custkey", "c_name")
+
+
+@register("order_lineage", ops=("J7", "G13"), sql="""SELECT DISTINCT l.l_orderkey, o.o_custkey, c.c_nationkey
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey""")
+def order_lineage(spark, sf):
+    t = Tables(spark, sf)
+    j = (t.lineitem.select("l_orderkey")
+         .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")))
+    return j.select("l_orderkey", "o_custkey", "c_nationkey").distinct()
+
+
+@register("cost_attribution", ops=("J11", "A12"), sql="""SELECT s.s_nationkey AS nationkey,
+  CAST(SUM(CAST(l.l_quantity AS DECIMAL(18,2)) * CAST(p.p_retailprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS list_cost,
+  CAST(COUNT(*) AS BIGINT) AS n_lines
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+GROUP BY s.s_nationkey""")
+def cost_attribution(spark, sf):
+    # Usage x list price x attribution key. The price and supplier tables grow
+    # with the data, so no broadcast hint: AQE broadcasts them only after
+    # measuring their size at run time.
+    t = Tables(spark, sf)
+    j = (t.lineitem.select("l_partkey", "l_suppkey", "l_quantity")
+         .join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+         .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")))
+    cost = F.col("l_quantity").cast("decimal(18,2)") * F.col("p_retailprice").cast("decimal(18,2)")
+    return j.groupBy(F.col("s_nationkey").alias("nationkey")).agg(
+        F.sum(cost).cast("decimal(38,2)").alias("list_cost"), F.count(F.lit(1)).cast("bigint").alias("n_lines"))
+
+
+@register("drift_audit", ops=("A22",), sql="""SELECT CAST(COUNT(*) AS BIGINT) AS drift_row_count,
+  'n_name,n_regionkey' AS columns_added FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+def drift_audit(spark, sf):
+    from ..operators.quarantine import capture_drift
+    from .queries_quality import _drifted
+    t = Tables(spark, sf)
+    _, q = capture_drift(_drifted(t), t.customer.columns)
+    s = E.drift_summary(q, ["n_name", "n_regionkey"])
+    return s.select("drift_row_count", F.concat_ws(",", "columns_added").alias("columns_added"))
+
+
+@register("dq_policy_rules", ops=("Q12",), sql="""SELECT 'policy_dates' AS rule_id, CAST(COUNT(*) AS BIGINT) AS total_count,
+  CAST(SUM(CASE WHEN COALESCE(CAST(o_orderdate AS DATE) <= CAST(o_orderdate AS DATE) + 365, FALSE) THEN 0 ELSE 1 END) AS BIGINT)
+  AS failed_count FROM orders""")
+def dq_policy_rules(spark, sf):
+    from ..operators import quality as Q
+    pol = TR.map_to_canonical(Tables(spark, sf).orders, POLICY_MAP, "policy", POLICY_DEFAULTS)
+    rules = [Q.Rule("policy_dates", "CUSTOM_SQL", rule_expression=e) for e in Q.DEFAULT_ENTITY_RULES["policy"]]
+    return Q.evaluate(pol, rules).select("rule_id", "total_count", "failed_count")
+
+
+@register("data_dictionary", ops=("G21",))
+def data_dictionary(spark, sf):
+    # Profile (approximate distinct) + suggested rules per column: rows-only check.
+    from ..operators import profile as PR
+    o = Tables(spark, sf).orders
+    prof = PR.profile(o)
+    rules = PR.suggest_rules(prof).groupBy("column_name").agg(
+        F.concat_ws(",", F.array_sort(F.collect_list("rule_type"))).alias("suggested_rules"))
+    return prof.join(rules, "column_name", "left").select("column_name", "type", "null_count", "distinct_approx",
+                                                          "min", "max", "suggested_rules")
