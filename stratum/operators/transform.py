@@ -110,19 +110,25 @@ def python_transform(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> Dat
     return df.transform(fn)
 
 
-def gold_summary(policies: DataFrame, dims: Sequence[str], premium: str, loss: str, claim_flag: str) -> DataFrame:
+def gold_summary(facts: DataFrame, dims: Sequence[str], premium: str, loss: str, claim_flag: str | None = None,
+                 n_policies: str | None = None, n_claims: str | None = None) -> DataFrame:
     """Business aggregate with subtotals (A18): premium, losses, loss ratio and
     claim frequency per dimension level (``rollup``).
 
-    ``policies`` is at policy grain (one row per policy, losses already summed
-    by a partial aggregate), so every level is plain sums and counts: no
+    ``facts`` is either at policy grain (one row per policy; give
+    ``claim_flag``) or already aggregated above it (give the ``n_policies``
+    and ``n_claims`` count columns). Every level is then plain sums: no
     distinct counts, which would multiply the data by the number of levels.
     """
-    g = policies.rollup(*dims).agg(
-        F.sum(F.col(premium).cast("decimal(18,2)")).cast("decimal(38,2)").alias("premium"),
+    if n_policies is None:
+        pol = F.count(F.lit(1))
+        clm = F.sum(F.when(F.col(claim_flag), 1).otherwise(0))
+    else:
+        pol, clm = F.sum(n_policies), F.sum(n_claims)
+    g = facts.rollup(*dims).agg(
+        F.sum(F.col(premium).cast("decimal(38,2)")).cast("decimal(38,2)").alias("premium"),
         F.sum(F.col(loss).cast("decimal(38,2)")).cast("decimal(38,2)").alias("losses"),
-        F.count(F.lit(1)).cast("bigint").alias("n_policies"),
-        F.sum(F.when(F.col(claim_flag), 1).otherwise(0)).cast("bigint").alias("n_policies_with_claims"))
+        pol.cast("bigint").alias("n_policies"), clm.cast("bigint").alias("n_policies_with_claims"))
     return g.select(
         *[F.coalesce(F.col(d).cast("string"), F.lit("ALL")).alias(d) for d in dims], "premium", "losses",
         F.when(F.col("premium") > 0, F.round(F.col("losses").cast("double") / F.col("premium").cast("double"), 6))

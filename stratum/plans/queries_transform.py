@@ -305,18 +305,27 @@ GOLD_DIMS = ["r_name", "c_mktsegment"]
 
 
 def policies(t):
-    """Orders at policy grain with their losses (returned lines) and dimensions."""
+    """Premium, losses and policy counts per customer, with its region and segment.
+
+    Losses are summed per order (partial aggregate over lines), orders are
+    summed per customer before the customer dimension is joined, so the join
+    moves one row per customer rather than one per order.
+    """
     li = t.lineitem
     loss = li.groupBy("l_orderkey").agg(
         F.sum(F.when(F.col("l_returnflag") == "R", line_total()).otherwise(F.lit(0))).alias("loss"),
         F.max(F.col("l_returnflag") == "R").alias("has_claim"))
+    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    per_cust = (o.join(loss, o.o_orderkey == loss.l_orderkey, "left")
+                .groupBy("o_custkey").agg(
+                    F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("premium"),
+                    F.sum(F.coalesce("loss", F.lit(0))).alias("loss"),
+                    F.count(F.lit(1)).alias("n_policies"),
+                    F.sum(F.when(F.coalesce("has_claim", F.lit(False)), 1).otherwise(0)).alias("n_claims")))
     geo = t.nation.join(t.region, t.nation.n_regionkey == t.region.r_regionkey).select("n_nationkey", "r_name")
     cust = t.customer.join(geo, t.customer.c_nationkey == geo.n_nationkey).select("c_custkey", "c_mktsegment", "r_name")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    return (o.join(loss, o.o_orderkey == loss.l_orderkey, "left")
-            .join(cust, o.o_custkey == cust.c_custkey)
-            .select("o_orderkey", "r_name", "c_mktsegment", "o_totalprice",
-                    F.coalesce("loss", F.lit(0)).alias("loss"), F.coalesce("has_claim", F.lit(False)).alias("has_claim")))
+    return per_cust.join(cust, per_cust.o_custkey == cust.c_custkey).select(
+        "r_name", "c_mktsegment", "premium", "loss", "n_policies", "n_claims")
 
 
 GOLD_SQL = f"""WITH loss AS (SELECT l_orderkey, SUM(CASE WHEN l_returnflag = 'R' THEN {LINE_TOTAL_SQL} ELSE 0 END) AS loss,
@@ -337,7 +346,8 @@ SELECT COALESCE(r_name, 'ALL') AS r_name, COALESCE(c_mktsegment, 'ALL') AS c_mkt
 
 @register("gold_loss_ratio", ops=("A18", "J12"), sql=GOLD_SQL)
 def gold_loss_ratio(spark, sf):
-    return TR.gold_summary(policies(Tables(spark, sf)), GOLD_DIMS, "o_totalprice", "loss", "has_claim")
+    return TR.gold_summary(policies(Tables(spark, sf)), GOLD_DIMS, "premium", "loss", n_policies="n_policies",
+                           n_claims="n_claims")
 
 
 # ---------------------------------------------------------------- joins for lineage and cost
