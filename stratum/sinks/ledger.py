@@ -78,7 +78,9 @@ class RunLedger:
         files = [os.path.join(self.fallback_dir, f) for f in os.listdir(self.fallback_dir) if f.endswith(".json")]
         if not files:
             return 0
-        df = self.spark.read.schema(EVENT_SCHEMA.simpleString().replace("timestamp_ntz", "string")).json(files)
+        text_ts = T.StructType([T.StructField(f.name, T.StringType() if f.name == "event_ts" else f.dataType)
+                                for f in EVENT_SCHEMA.fields])
+        df = self.spark.read.schema(text_ts).json(files)
         df = df.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
         res = self.store.append(self.table, df)
         for f in files:
