@@ -309,3 +309,42 @@ SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY __start_at, __
 FROM th""")
 def version_no(spark, sf):
     return H.version_no(tier_history(Tables(spark, sf)), ["c_custkey"])
+
+
+# ---------------------------------------------------------------- SCD2 with event time
+
+def _with_last_order(t, snap, year: int):
+    o = t.orders.where((F.col("o_orderdate") >= F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")) &
+                       (F.col("o_orderdate") < F.lit(f"{year + 1}-01-01 00:00:00").cast("timestamp_ntz")))
+    last = o.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order_ts"))
+    return snap.join(last, snap.c_custkey == last.o_custkey).drop("o_custkey")
+
+
+def _last_sql(name: str, year: int) -> str:
+    return f"""{name} AS (SELECT d.*, l.last_order_ts FROM d{name[-1]} d JOIN (SELECT o_custkey, MAX(o_orderdate) AS last_order_ts
+  FROM orders WHERE o_orderdate >= TIMESTAMP '{year}-01-01 00:00:00' AND o_orderdate < TIMESTAMP '{year + 1}-01-01 00:00:00'
+  GROUP BY o_custkey) l ON d.c_custkey = l.o_custkey)"""
+
+
+@register("scd2_event_time", ops=("L12", "L8"), sql=f"""WITH {D.DAYS_SQL},
+{_last_sql("e1", D.DAY1_YEAR)}, {_last_sql("e2", D.DAY2_YEAR)},
+h1 AS (SELECT *, {D.SNAP_HASH_SQL} AS __row_hash FROM e1),
+b AS (SELECT *, {D.SNAP_HASH_SQL} AS __row_hash FROM e2),
+dec AS (SELECT COALESCE(b.c_custkey, h1.c_custkey) AS c_custkey, b.last_order_ts AS b_eff,
+  CASE WHEN h1.c_custkey IS NULL THEN 'new' WHEN b.c_custkey IS NULL THEN 'absent'
+       WHEN b.last_order_ts < h1.last_order_ts THEN 'rejected'
+       WHEN b.__row_hash <> h1.__row_hash THEN 'changed' ELSE 'unchanged' END AS act
+  FROM b FULL OUTER JOIN h1 ON b.c_custkey = h1.c_custkey)
+SELECT {SNAP}, last_order_ts, last_order_ts AS __start_at,
+  CASE WHEN act = 'changed' THEN b_eff ELSE CAST(NULL AS TIMESTAMP) END AS __end_at,
+  act <> 'changed' AS __is_current, __row_hash FROM h1 JOIN dec USING (c_custkey)
+UNION ALL
+SELECT {SNAP}, last_order_ts, last_order_ts, CAST(NULL AS TIMESTAMP), TRUE, __row_hash
+FROM b JOIN dec USING (c_custkey) WHERE act IN ('new', 'changed')""")
+def scd2_event_time(spark, sf):
+    t = Tables(spark, sf)
+    e1 = _with_last_order(t, D.day1(t), D.DAY1_YEAR)
+    e2 = _with_last_order(t, D.day2(t), D.DAY2_YEAR)
+    h1, _ = H.scd2_merge(None, e1, K, D.T1, tracked=D.SNAP_TRACKED, event_ts_col="last_order_ts")
+    h2, _ = H.scd2_merge(h1, e2, K, D.T2, tracked=D.SNAP_TRACKED, event_ts_col="last_order_ts")
+    return h2
