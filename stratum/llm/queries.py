@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_crf, vector_pack, zstd_langid
+from . import boosted_toxicity, line_crf, vector_pack, zstd_langid
 from .common import crc_mod, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,12 @@ def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = vector_pack.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset", "loss_tokens")
+
+
+@query
+def op10_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(crc_mod(F.col("doc_id"), 5) != 0)
+    scored = boosted_toxicity.classify(docs, boosted_toxicity.train(docs, labels), ["doc_id"])
+    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
