@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_toxicity, line_crf, vector_pack, zstd_langid
+from . import boosted_toxicity, forest_secrets, line_crf, vector_pack, zstd_langid
 from .common import crc_mod, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,15 @@ def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "loss_tokens")
 
 
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = forest_secrets.train(docs, path=F.col("source"))
+    found = forest_secrets.scan(docs, model, ["doc_id"], path=F.col("source"))
+    return found.select("doc_id", "start", "end", "kind", F.crc32("value").alias("value_crc32"),
+                        "probability", "is_secret")
+
+
 @query
 def op10_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
