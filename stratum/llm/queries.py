@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_toxicity, forest_secrets, line_crf, vector_pack, zstd_langid
+from . import boosted_toxicity, forest_secrets, line_crf, qgram_decontam, vector_pack, zstd_langid
 from .common import crc_mod, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,12 @@ def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "loss_tokens")
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return qgram_decontam.find(documents(spark, sf_dir), benchmark, ["doc_id"])
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
