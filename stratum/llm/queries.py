@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_toxicity, forest_secrets, line_crf, qgram_decontam, vector_pack, zstd_langid
+from . import (ads_ann, boosted_toxicity, forest_secrets, line_crf, offset_tokens, qgram_decontam, vector_pack,
+               zstd_langid)
 from .common import crc_mod, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +56,20 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qgram_decontam.find(documents(spark, sf_dir), benchmark, ["doc_id"])
 
 
+@query
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ads_ann.search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return offset_tokens.attribute(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"),
+                                   public_tokenizers.PATTERN, ["doc_id"])
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
