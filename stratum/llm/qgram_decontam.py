@@ -192,12 +192,18 @@ def matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, in
     norm, at = normal_form(cp)
     bounds = np.searchsorted(at, starts)
     doc, passage, diagonal = candidate_bands(index, norm, bounds)
+    size = np.array([len(p) for p in index.passages], dtype=np.int64)
+    # a band that runs off its document leaves too few places for the passage
+    left = np.maximum(diagonal - index.budget[passage] - 1, bounds[doc])
+    right = np.minimum(diagonal + 3 * (index.budget[passage] + 1) + size[passage], bounds[doc + 1])
+    room = right - left >= size[passage] - index.budget[passage]
+    doc, passage, diagonal = doc[room], passage[room], diagonal[room]
     out: dict[tuple[int, int], tuple[int, int, int]] = {}
     for i in range(0, len(doc), 256):
         d, p, g = doc[i:i + 256], passage[i:i + 256], diagonal[i:i + 256]
         k = index.budget[p]
         low = np.maximum(g - k - 1, bounds[d])
-        high = np.minimum(g + 3 * (k + 1) + [len(index.passages[x]) for x in p], bounds[d + 1])
+        high = np.minimum(g + 3 * (k + 1) + size[p], bounds[d + 1])
         wide = int((g + 3 * (k + 1) - low).max()) + 2
         windows = [norm[a:max(a, b)] for a, b in zip(low, high)]
         edits, end = align([index.passages[x] for x in p], windows, wide)
