@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 
 import numpy as np
 
@@ -17,8 +18,14 @@ _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
+# Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for code points from 256 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+
+
 class WordTokenizer:
-    """Ids of a lower-casing word BPE (``tokenizers`` file): white-space tokens are encoded once and remembered.
+    """Ids of a lower-casing word BPE (``tokenizers`` file): white-space tokens are encoded once and remembered,
+    and so are their pieces.
 
     The file's splitter never joins across white space, so a text's ids are its tokens' ids in order.
     """
@@ -27,6 +34,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._t = Tokenizer.from_file(path)
+        self._model = self._t.model
         self._tokens: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
 
@@ -44,27 +52,25 @@ class WordTokenizer:
     def _plain(self, text: str) -> bytes:
         return np.array(self._t.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
-        if not words:
-            return {}
-        e = self._t.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(e.ids, dtype="<u4").tobytes()
-        ends = (4 * np.searchsorted(np.array(e.word_ids, dtype=np.int64), np.arange(len(words) + 1))).tolist()
-        return {w: ids[ends[k]:ends[k + 1]] for k, w in enumerate(words)}
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one lower-case Latin-1 piece: the byte-level form of it goes straight to the merges."""
+        form = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        got = self._pieces[piece] = array("I", [x.id for x in self._model.tokenize(form)]).tobytes()
+        return got
 
     def _learn(self, tokens: set[str]) -> None:
-        pieces, other = {}, []
+        known, new = self._pieces.get, self._piece
         for t in tokens:
-            if "<|" not in t and _LATIN.fullmatch(t):
-                pieces[t] = _PIECES.findall(t.lower())
+            if max(t) <= "ÿ" and t.isalpha():
+                parts = (t.lower(),)
+            elif t[-1] in ".," and max(t) <= "ÿ" and t[:-1].isalpha():
+                parts = (t[:-1].lower(), t[-1])
+            elif "<|" not in t and _LATIN.fullmatch(t):
+                parts = _PIECES.findall(t.lower())
             else:
-                other.append(t)
-        new = set().union(*pieces.values()) - self._pieces.keys() if pieces else set()
-        self._pieces.update(self._encode(list(new)))
-        get = self._pieces.__getitem__
-        self._tokens.update((t, b"".join(map(get, p))) for t, p in pieces.items())
-        for t in other:
-            self._tokens[t] = self._plain(t)
+                self._tokens[t] = self._plain(t)
+                continue
+            self._tokens[t] = b"".join([known(p) or new(p) for p in parts])
 
 
 class ByteTokenizer:
