@@ -15,7 +15,7 @@ MEMO_LIMIT = 400_000
 _LATIN = re.compile(r"[\x21-\x7e\xa1-\xff]+")
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-z0-9ªµºß-öø-ÿ²³¹¼½¾]+")
 # str.split() also splits at these, which the tokenizer takes for symbols.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+_ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
 # Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for code points from 256 on.
@@ -23,6 +23,41 @@ _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 
 
+class _Tokens(dict):
+    """Ids of each white-space token; a token not seen yet is encoded."""
+
+    def __init__(self, whole, model):
+        super().__init__()
+        self._whole, self._model, self._pieces = whole, model, {}
+
+    def forget(self) -> None:
+        if len(self) > MEMO_LIMIT:
+            self.clear()
+        if len(self._pieces) > MEMO_LIMIT:
+            self._pieces.clear()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one lower-case Latin-1 piece: the byte-level form of it goes straight to the merges."""
+        form = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        got = self._pieces[piece] = array("I", [x.id for x in self._model.tokenize(form)]).tobytes()
+        return got
+
+    def __missing__(self, t: str) -> bytes:
+        known, new = self._pieces.get, self._piece
+        if max(t) <= "ÿ" and t.isalpha():
+            t_low = t.lower()
+            got = known(t_low) or new(t_low)
+        elif t[-1] in ".," and max(t) <= "ÿ" and t[:-1].isalpha():
+            t_low = t[:-1].lower()
+            got = (known(t_low) or new(t_low)) + (known(t[-1]) or new(t[-1]))
+        elif "<|" not in t and _LATIN.fullmatch(t):
+            got = b"".join([known(p) or new(p) for p in _PIECES.findall(t.lower())])
+        else:
+            got = self._whole(t)
+        self[t] = got
+        return got
+
+
 class WordTokenizer:
     """Ids of a lower-casing word BPE (``tokenizers`` file): white-space tokens are encoded once and remembered,
     and so are their pieces.
@@ -34,43 +69,17 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._t = Tokenizer.from_file(path)
-        self._model = self._t.model
-        self._tokens: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each whole text, as bytes."""
-        if len(self._tokens) > MEMO_LIMIT:
-            self._tokens.clear()
-        if len(self._pieces) > MEMO_LIMIT:
-            self._pieces.clear()
-        split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        self._learn(set().union(*(s for s in split if s)) - self._tokens.keys())
-        get = self._tokens.__getitem__
-        return [self._plain(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
+        self._tokens = _Tokens(self._whole, self._t.model)
 
-    def _plain(self, text: str) -> bytes:
+    def _whole(self, text: str) -> bytes:
         return np.array(self._t.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of one lower-case Latin-1 piece: the byte-level form of it goes straight to the merges."""
-        form = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
-        got = self._pieces[piece] = array("I", [x.id for x in self._model.tokenize(form)]).tobytes()
-        return got
-
-    def _learn(self, tokens: set[str]) -> None:
-        known, new = self._pieces.get, self._piece
-        for t in tokens:
-            if max(t) <= "ÿ" and t.isalpha():
-                parts = (t.lower(),)
-            elif t[-1] in ".," and max(t) <= "ÿ" and t[:-1].isalpha():
-                parts = (t[:-1].lower(), t[-1])
-            elif "<|" not in t and _LATIN.fullmatch(t):
-                parts = _PIECES.findall(t.lower())
-            else:
-                self._tokens[t] = self._plain(t)
-                continue
-            self._tokens[t] = b"".join([known(p) or new(p) for p in parts])
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of the whole text, as bytes."""
+        if any(map(text.__contains__, _ODD_SPACE)):
+            return self._whole(text)
+        self._tokens.forget()
+        return b"".join(map(self._tokens.__getitem__, text.split()))
 
 
 class ByteTokenizer:

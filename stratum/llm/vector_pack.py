@@ -192,11 +192,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         for b in batches:
             schema = b.schema
             keys, texts, loss = (b.column(i).to_pylist() for i in range(3))
-            for i in range(0, len(keys), 200):
-                coded = tok.encode_batch([t or "" for t in texts[i:i + 200]])
-                for key, data, first in zip(keys[i:i + 200], coded, loss[i:i + 200]):
-                    data += end
-                    packer.add(Piece(key, data, 0, len(data) // 4, max(0, first or 0)))
+            for key, text, first in zip(keys, texts, loss):
+                data = tok.encode(text or "") + end
+                packer.add(Piece(key, data, 0, len(data) // 4, max(0, first or 0)))
                 if len(out) >= 500:
                     yield from flush(schema)
         if schema is not None:
