@@ -41,21 +41,16 @@ BLOCK_CHARS = 4_000_000
 
 
 @cache
-def _lower() -> np.ndarray:
-    """Lower-case form of each code point where that is one code point; 32 for what is no letter or digit."""
-    out = np.arange(0x110000, dtype=np.uint32)
-    flags = tk.classes()
-    for i in np.flatnonzero(flags & tk.UPPER):
-        low = chr(i).lower()
-        if len(low) == 1:
-            out[i] = ord(low)
-    out[(flags & (tk.LETTER | tk.DIGIT)) == 0] = 32
+def _plain() -> np.ndarray:
+    """Lower-case form of each letter or digit; 32 for what is neither."""
+    out = tk.lower_table().copy()
+    out[(tk.classes() & (tk.LETTER | tk.DIGIT)) == 0] = 32
     return out
 
 
 def normal_form(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Normalised code points, and the place of each in ``cp``."""
-    low = _lower()[cp]
+    low = _plain()[cp]
     blank = low == 32
     keep = ~blank
     keep[1:] |= blank[1:] & ~blank[:-1]

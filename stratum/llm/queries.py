@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ads_ann, boosted_toxicity, forest_secrets, line_crf, offset_tokens, qgram_decontam, vector_pack,
+from . import (ads_ann, boosted_toxicity, forest_secrets, icws_dedup, line_crf, offset_tokens, qgram_decontam, vector_pack,
                zstd_langid)
 from .common import crc_mod, documents
 
@@ -70,6 +70,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.PATTERN, ["doc_id"])
 
 
+@query
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = icws_dedup.near_duplicates(documents(spark, sf_dir))
+    return rows.select("doc_id", "class_id", "class_size")
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)

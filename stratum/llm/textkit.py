@@ -26,6 +26,17 @@ def classes() -> np.ndarray:
     return out
 
 
+@cache
+def lower_table() -> np.ndarray:
+    """Lower-case form of each code point, where that is one code point."""
+    out = np.arange(0x110000, dtype=np.uint32)
+    for i in np.flatnonzero(classes() & UPPER):
+        low = chr(i).lower()
+        if len(low) == 1:
+            out[i] = ord(low)
+    return out
+
+
 @cache
 def _powers(n: int = 256) -> np.ndarray:
     p = np.ones(n, dtype=np.uint64)
