@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ads_ann, boosted_toxicity, forest_secrets, icws_dedup, line_crf, offset_tokens, qgram_decontam, vector_pack,
+from . import (ads_ann, boosted_toxicity, forest_secrets, icws_dedup, label_prop_shard, line_crf, offset_tokens, qgram_decontam, vector_pack,
                zstd_langid)
 from .common import crc_mod, documents
 
@@ -62,6 +62,11 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads_ann.search(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+@query
+def op6_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_prop_shard.shard(documents(spark, sf_dir)).drop("group")
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers

@@ -132,3 +132,18 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_cols: list[str]
     src = docs.select(*keys, F.col(text_col).cast("string").alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
     return map_batches(src, run, f"{fields}, lang_pred string, score double, margin double, rejected boolean")
+
+
+def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text",
+                    margin: float = MARGIN) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is told; those rejected go."""
+    shared = broadcast_value(docs.sparkSession, dictionaries)
+    at, names = docs.columns.index(text_col), [f"c{i}" for i in range(len(docs.columns))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classify = _Classifier(shared.value)
+        for b in batches:
+            yield b.filter(pa.array([not classify(t, margin)[3] for t in b.column(at).to_pylist()], pa.bool_()))
+
+    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields))
+    return map_batches(docs.toDF(*names), run, schema).toDF(*docs.columns)
