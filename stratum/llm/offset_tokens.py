@@ -101,7 +101,7 @@ def attribute(docs: DataFrame, tokenizer: str, pattern: str, id_cols: list[str],
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    kind = "double" if rule == "split" else "long"
+    kind, by_line = "double" if rule == "split" else "long", sections is None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = byte_tokenizer(tokenizer, pattern)
@@ -110,7 +110,7 @@ def attribute(docs: DataFrame, tokenizer: str, pattern: str, id_cols: list[str],
             cols: list[list] = [[], [], [], [], [], []]
             for i, (text, own) in enumerate(zip(texts, given)):
                 text = text or ""
-                if sections is None:
+                if by_line:
                     spans = _lines(text)
                 else:
                     n = len(text)
