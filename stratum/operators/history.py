@@ -8,11 +8,13 @@ see :mod:`stratum.functions.hashing`). Exactly one current row per key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_hash
+from .merge import dedupe_split
 from .sequence import ordered_scan
 
 META = ["__start_at", "__end_at", "__is_current", "__row_hash"]
@@ -31,25 +33,31 @@ def tracked_columns(df: DataFrame, keys: Sequence[str], tracked: Sequence[str] |
     return [c for c in df.columns if c not in keys and c not in META]
 
 
-def stage(df: DataFrame, keys: Sequence[str], tracked: Sequence[str] | None = None) -> DataFrame:
-    """Add ``__row_hash`` over the tracked columns."""
-    return df.withColumn("__row_hash", row_hash(tracked_columns(df, keys, tracked)))
+class Scd2Result(NamedTuple):
+    """What one batch does to a history. Every batch row is in ``history`` (as a version, or equal to the current one) or
+    in ``rejects`` (payload plus ``reject_reason``: MISSING_KEY, DUP_KEY or LATE_DATA)."""
+
+    history: DataFrame
+    metrics: DataFrame
+    rejects: DataFrame
 
 
 def scd2_merge(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], batch_ts,
                tracked: Sequence[str] | None = None, delete_detection: str | None = None,
-               event_ts_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+               event_ts_col: str | None = None) -> Scd2Result:
     """Merge one batch into a type 2 history.
 
     new key -> insert a current version; changed tracked columns -> close the
     current version and insert a new one; unchanged -> nothing; in
     ``delete_detection="snapshot"`` mode current keys missing from the batch
-    are closed (never deleted). The batch must have one row per key (see
-    :func:`stratum.operators.merge.dedupe_latest`); rows with a NULL key are
-    rejected. With ``event_ts_col`` the version starts at the event time; a row
-    older than the current version's start is rejected.
-
-    Returns ``(new_history, metrics)``; metrics columns: operation,
+    are closed (never deleted). Of several batch rows with one key, the latest (by
+    event time, then by content) counts and the others are rejected as DUP_KEY;
+    rows with a NULL key are rejected as MISSING_KEY. With ``event_ts_col`` the
+    version starts at the event time; a row older than the current version's
+    start is rejected as LATE_DATA.
+
+    Current versions and batch meet in one full outer join; each key expands to
+    at most two rows, closed versions pass through. Metrics columns: operation,
     rows_inserted, rows_updated, rows_closed, rows_unchanged, rows_rejected,
     num_output_rows (= inserted + updated).
     """
@@ -58,91 +66,75 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
         raise ValueError("SCD2 needs merge keys")
     if delete_detection not in (None, "none", "incremental", "snapshot"):
         raise ValueError(f"unknown delete_detection {delete_detection!r}")
-    snapshot = delete_detection == "snapshot"
     t = _lit_ts(batch_ts)
     payload = [c for c in batch.columns if c not in META]
-    trk = tracked_columns(batch, keys, tracked)
-    key_ok = F.lit(True)
+    no_key = F.lit(False)
     for k in keys:
-        key_ok = key_ok & F.col(k).isNotNull()
-    staged_all = batch.select(*payload).withColumn("__row_hash", row_hash(trk))
+        no_key = no_key | F.col(k).isNull()
     eff = F.coalesce(F.col(event_ts_col).cast("timestamp_ntz"), t) if event_ts_col else t
-    staged_all = staged_all.withColumn("__eff", eff)
-    staged = staged_all.where(key_ok)
-    bad_keys = staged_all.where(~key_ok)
-
+    staged = batch.select(*payload, row_hash(tracked_columns(batch, keys, tracked)).alias("__row_hash"), eff.alias("__eff"))
+    missing = staged.where(no_key).select(*payload, F.lit("MISSING_KEY").alias("reject_reason"))
+    winners, losers = dedupe_split(staged.where(~no_key), keys, ["__eff"])
+    rejects = missing.unionByName(losers.select(*payload, F.lit("DUP_KEY").alias("reject_reason")))
+    left_out = staged.where(no_key).agg(F.count(F.lit(1))).scalar() + losers.agg(F.count(F.lit(1))).scalar()
+
+    new_version = [F.col("__eff").alias("__start_at"), F.lit(None).cast("timestamp_ntz").alias("__end_at"),
+                   F.lit(True).alias("__is_current"), F.col("__row_hash")]
     if target is None:
-        hist = staged.select(*payload, F.col("__eff").alias("__start_at"),
-                             F.lit(None).cast("timestamp_ntz").alias("__end_at"),
-                             F.lit(True).alias("__is_current"), "__row_hash")
-        metrics = staged_all.agg(
-            F.sum(F.when(key_ok, 1).otherwise(0)).alias("ins"),
-            F.sum(F.when(~key_ok, 1).otherwise(0)).alias("rej"))
-        metrics = metrics.select(
-            F.lit("SCD2").alias("operation"),
-            F.coalesce("ins", F.lit(0)).cast("bigint").alias("rows_inserted"),
-            F.lit(0).cast("bigint").alias("rows_updated"), F.lit(0).cast("bigint").alias("rows_closed"),
-            F.lit(0).cast("bigint").alias("rows_unchanged"),
-            F.coalesce("rej", F.lit(0)).cast("bigint").alias("rows_rejected"),
-            F.coalesce("ins", F.lit(0)).cast("bigint").alias("num_output_rows"))
-        return hist, metrics
-
-    cols = target.columns
+        history = winners.select(*payload, *new_version)
+        dec = winners.select(F.lit("new").alias("__action"))
+        return Scd2Result(history, _scd2_metrics(dec, False, left_out), rejects)
+
+    out_cols = target.columns + [c for c in payload if c not in target.columns]
+    types = {**{f.name: f.dataType for f in batch.schema.fields}, **{f.name: f.dataType for f in target.schema.fields}}
     cur = target.where(F.col("__is_current"))
-    hist = target.where(~F.col("__is_current"))
-
-    # Per-key decision from the two key sets (batch keys are unique).
-    b_keys = staged.select(*keys, F.col("__row_hash").alias("__b_hash"), F.col("__eff").alias("__b_eff"),
-                           F.lit(True).alias("__in_b"))
-    c_keys = cur.select(*keys, F.col("__row_hash").alias("__c_hash"), F.col("__start_at").alias("__c_start"),
-                        F.lit(True).alias("__in_c"))
-    dec = b_keys.join(c_keys, keys, "full_outer")
-    in_b = F.coalesce(F.col("__in_b"), F.lit(False))
-    in_c = F.coalesce(F.col("__in_c"), F.lit(False))
-    too_old = in_b & in_c & (F.col("__b_eff") < F.col("__c_start")) if event_ts_col else F.lit(False)
-    changed = in_b & in_c & (F.col("__b_hash") != F.col("__c_hash")) & ~too_old
-    dec = dec.select(*keys, "__b_eff",
-                     F.when(~in_c, "new").when(~in_b, "absent").when(too_old, "rejected")
-                      .when(changed, "changed").otherwise("unchanged").alias("__action"))
-
-    # Current rows: close changed keys (and absent keys in snapshot mode).
-    c_dec = cur.join(dec.where(F.col("__action").isin("changed", "absent")), keys, "left")
-    close_now = (F.col("__action") == "changed") | ((F.col("__action") == "absent") & F.lit(snapshot))
-    close_at = F.when(F.col("__action") == "changed", F.col("__b_eff")).otherwise(t)
-    cur_out = c_dec.select(*[
-        (F.when(close_now, close_at).otherwise(F.col("__end_at")).alias(c) if c == "__end_at" else
-         F.when(close_now, F.lit(False)).otherwise(F.col("__is_current")).alias(c) if c == "__is_current" else
-         F.col(c)) for c in cols])
-
-    # Batch rows: insert new and changed keys as new current versions.
-    ins = staged.join(dec.where(F.col("__action").isin("new", "changed")).drop("__b_eff"), keys, "inner")
-    ins_out = ins.select(*payload, F.col("__eff").alias("__start_at"),
-                         F.lit(None).cast("timestamp_ntz").alias("__end_at"),
-                         F.lit(True).alias("__is_current"), "__row_hash")
-
-    new_hist = hist.unionByName(cur_out, allowMissingColumns=True) \
-                   .unionByName(ins_out, allowMissingColumns=True)
-    out_cols = cols + [c for c in payload if c not in cols]
-    new_hist = new_hist.select(*out_cols)
-
-    counts = dec.groupBy().agg(
-        F.sum(F.when(F.col("__action") == "new", 1).otherwise(0)).alias("n_new"),
-        F.sum(F.when(F.col("__action") == "changed", 1).otherwise(0)).alias("n_changed"),
-        F.sum(F.when((F.col("__action") == "absent") & F.lit(snapshot), 1).otherwise(0)).alias("n_closed"),
-        F.sum(F.when(F.col("__action") == "unchanged", 1).otherwise(0)).alias("n_unchanged"),
-        F.sum(F.when(F.col("__action") == "rejected", 1).otherwise(0)).alias("n_rejected"))
-    n_bad = bad_keys.agg(F.count(F.lit(1))).scalar()  # scalar subquery
-    m = counts.withColumn("n_bad", n_bad)
-    z = F.lit(0)
-    metrics = m.select(
-        F.lit("SCD2").alias("operation"),
-        (F.coalesce("n_new", z) + F.coalesce("n_changed", z)).cast("bigint").alias("rows_inserted"),
-        F.coalesce("n_changed", z).cast("bigint").alias("rows_updated"),
-        F.coalesce("n_closed", z).cast("bigint").alias("rows_closed"),
-        F.coalesce("n_unchanged", z).cast("bigint").alias("rows_unchanged"),
-        (F.coalesce("n_rejected", z) + F.coalesce("n_bad", z)).cast("bigint").alias("rows_rejected"),
-        (F.coalesce("n_new", z) + 2 * F.coalesce("n_changed", z)).cast("bigint").alias("num_output_rows"))
-    return new_hist, metrics
+    c_side = cur.select(*keys, F.struct(*[F.col(c) for c in target.columns]).alias("__c"))
+    b_side = winners.select(*keys, F.struct(*[F.col(c) for c in payload], "__row_hash", "__eff").alias("__b"))
+    met = c_side.join(b_side, keys, "full_outer")
+    in_b, in_c = F.col("__b").isNotNull(), F.col("__c").isNotNull()
+    late = F.col("__b.__eff") < F.col("__c.__start_at") if event_ts_col else F.lit(False)
+    dec = met.withColumn("__action", F.when(~in_c, "new").when(~in_b, "absent").when(late, "rejected")
+                         .when(F.col("__b.__row_hash") != F.col("__c.__row_hash"), "changed").otherwise("unchanged"))
+    snapshot = delete_detection == "snapshot"
+    act = F.col("__action")
+    closing = (act == "changed") | ((act == "absent") & F.lit(snapshot))
+
+    def stored(c: str) -> Column:
+        if c not in target.columns:
+            return F.lit(None).cast(types[c])
+        if c == "__end_at":
+            return F.when(closing, F.when(act == "changed", F.col("__b.__eff")).otherwise(t)).otherwise(F.col("__c.__end_at"))
+        if c == "__is_current":
+            return F.col("__c.__is_current") & ~closing
+        return F.col(f"__c.{c}")
+
+    def added(c: str) -> Column:
+        if c in META:
+            return {"__start_at": F.col("__b.__eff"), "__end_at": F.lit(None).cast("timestamp_ntz"),
+                    "__is_current": F.lit(True), "__row_hash": F.col("__b.__row_hash")}[c]
+        return (F.col(f"__b.{c}") if c in payload else F.lit(None)).cast(types[c])
+
+    old_row = F.struct(*[stored(c).cast(types[c]).alias(c) for c in out_cols])
+    new_row = F.struct(*[added(c).cast(types[c]).alias(c) for c in out_cols])
+    versions = F.when(act == "new", F.array(new_row)).when(act == "changed", F.array(old_row, new_row)).otherwise(F.array(old_row))
+    fresh = dec.select(F.explode(versions).alias("__v")).select("__v.*")
+    history = target.where(~F.coalesce(F.col("__is_current"), F.lit(False))).unionByName(fresh, allowMissingColumns=True).select(*out_cols)
+    if event_ts_col:
+        rejects = rejects.unionByName(dec.where(act == "rejected").select(
+            *[F.col(f"__b.{c}").alias(c) for c in payload], F.lit("LATE_DATA").alias("reject_reason")))
+    return Scd2Result(history, _scd2_metrics(dec, snapshot, left_out), rejects)
+
+
+def _scd2_metrics(dec: DataFrame, snapshot: bool, left_out: Column) -> DataFrame:
+    def n(*actions: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("__action").isin(*actions), 1).otherwise(0)), F.lit(0)).cast("bigint")
+
+    closed = n("absent") if snapshot else F.lit(0).cast("bigint")
+    return dec.agg(n("new", "changed").alias("rows_inserted"), n("changed").alias("rows_updated"), closed.alias("rows_closed"),
+                   n("unchanged").alias("rows_unchanged"), n("rejected").alias("late"), n("new").alias("fresh")).select(
+        F.lit("SCD2").alias("operation"), "rows_inserted", "rows_updated", "rows_closed", "rows_unchanged",
+        (F.col("late") + left_out).cast("bigint").alias("rows_rejected"),
+        (F.col("fresh") + 2 * F.col("rows_updated")).cast("bigint").alias("num_output_rows"))
 
 
 # ---------------------------------------------------------------- reads
@@ -232,7 +224,7 @@ def validate_history(history: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum(F.when(F.col("__end_at").isNull() != F.col("__is_current"), 1).otherwise(0))
          .cast("bigint").alias("n_bad_open"))
     return agg.withColumn("ok", (F.col("n_current") == 1) & (F.col("n_overlaps") == 0) &
-                          (F.col("n_bad_open") == 0))
+                          (F.col("n_gaps") == 0) & (F.col("n_bad_open") == 0))
 
 
 # ---------------------------------------------------------------- SCD6

@@ -18,8 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from .sequence import ordered_scan
+from pyspark.sql import types as T
 
 
 def _cols(cs) -> list[Column]:
@@ -44,43 +43,104 @@ def null_safe_equal(left: DataFrame | None, right: DataFrame | None, cols: Seque
 
 # ---------------------------------------------------------------- dedupe
 
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return True
+    if isinstance(t, T.ArrayType):
+        return _has_map(t.elementType)
+    return isinstance(t, T.StructType) and any(_has_map(f.dataType) for f in t.fields)
+
+
+def orderable(df: DataFrame, c: str) -> Column:
+    """The column, or its JSON text where Spark can't order its type (maps)."""
+    return F.to_json(F.struct(F.col(c))) if _has_map(df.schema[c].dataType) else F.col(c)
+
+
+def _rank_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Column:
+    """``order``, then all other columns: a total order of a key's rows, up to equal rows."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    return F.struct(*[orderable(df, c).alias(f"o{i}") for i, c in enumerate([*order, *rest])])
+
+
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the row with the greatest ``order`` value.
 
     Ties are broken on all remaining columns, so the result does not depend
-    on partitioning. A single ``max(struct)`` aggregate is combined map-side,
-    so a hot key is reduced before the shuffle.
+    on partitioning. A single ``max_by`` aggregate is combined map-side, so a hot
+    key is reduced before the shuffle. Any column type may occur, maps too.
     """
     keys = _require_keys(keys)
-    order = list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                      *[F.col(c).alias(f"r{i}") for i, c in enumerate(rest)])
-    agg = df.groupBy(*keys).agg(F.max(packed).alias("__w"))
-    out = [F.col(k) for k in keys]
-    out += [F.col(f"__w.o{i}").alias(c) for i, c in enumerate(order)]
-    out += [F.col(f"__w.r{i}").alias(c) for i, c in enumerate(rest)]
-    return agg.select(*out).select(*df.columns)
+    vals = [c for c in df.columns if c not in keys]
+    if not vals:
+        return df.distinct()
+    packed = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(vals)])
+    won = df.groupBy(*keys).agg(F.max_by(packed, _rank_struct(df, keys, list(order))).alias("__w"))
+    out = [F.col(k) for k in keys] + [F.col(f"__w.v{i}").alias(c) for i, c in enumerate(vals)]
+    return won.select(*out).select(*df.columns)
 
 
 def dedupe_split(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(winners, losers): losers are every other row of a duplicated key.
 
-    Losers are what the quarantine receives with reason ``DUP_KEY``. The
-    ordering is the same as :func:`dedupe_latest` (latest first, ties on all
-    columns); the skew-safe ordered scan numbers rows within each key.
+    Losers are what the quarantine receives with reason ``DUP_KEY``: all rows
+    below their key's winner, and all but one of the rows equal to it. Only one
+    row per duplicated key meets its rows in the join, so a hot key is split by
+    AQE like any skewed join.
     """
     keys = _require_keys(keys)
-    order = list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    ranked = ordered_scan(df, keys, [F.col(c).desc() for c in order + rest], index_col="__pos")
-    win = ranked.where(F.col("__pos") == 1).drop("__pos")
-    lose = ranked.where(F.col("__pos") > 1).drop("__pos")
-    return win, lose
+    rank = _rank_struct(df, keys, list(order))
+    top = (df.groupBy(*keys).agg(F.max(rank).alias("__top"), F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+           .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__top"))
+    same_key = F.lit(True)
+    for i, k in enumerate(keys):
+        same_key = same_key & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    met = df.withColumn("__rank", rank).join(top, same_key)
+    below = met.where(F.col("__rank") < F.col("__top")).select(*df.columns)
+    twin = met.where(F.col("__rank") == F.col("__top")).groupBy("__top", *keys).agg(
+        F.count(F.lit(1)).alias("__n"), F.first(F.struct(*df.columns)).alias("__row")).where(F.col("__n") > 1)
+    twins = twin.select(F.explode(F.expr("sequence(2, __n)")).alias("__i"), "__row").select("__row.*")
+    return dedupe_latest(df, keys, order), below.unionByName(twins)
 
 
 # ---------------------------------------------------------------- SCD1
 
+def _sides(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target and batch side by side per key: ``__t`` and ``__b`` are NULL where a side lacks the key."""
+    t = target.select(*keys, F.struct(F.lit(1).alias("__x"), *[F.col(c) for c in target.columns if c not in keys]).alias("__t"))
+    b = batch.select(*keys, F.struct(F.lit(1).alias("__x"), *[F.col(c) for c in batch.columns if c not in keys]).alias("__b"))
+    return t.join(b, list(keys), "full_outer")
+
+
+def scd1_actions(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The upserted table plus ``__action`` (keep, insert, update, unchanged): one full outer join."""
+    keys = _require_keys(keys)
+    common = [c for c in batch.columns if c in target.columns and c not in keys]
+    in_t, in_b = F.col("__t").isNotNull(), F.col("__b").isNotNull()
+    same = null_safe_equal(None, None, common, lp="__t.", rp="__b.")
+    out = []
+    for c in target.columns + [c for c in batch.columns if c not in target.columns]:
+        if c in keys:
+            out.append(F.col(c))
+        elif c not in batch.columns:
+            out.append(F.col(f"__t.{c}").alias(c))
+        elif c not in target.columns:
+            out.append(F.col(f"__b.{c}").alias(c))
+        else:
+            out.append(F.when(in_b, F.col(f"__b.{c}")).otherwise(F.col(f"__t.{c}")).alias(c))
+    action = F.when(~in_b, "keep").when(~in_t, "insert").when(same, "unchanged").otherwise("update")
+    return _sides(target, batch, keys).select(*out, action.alias("__action"))
+
+
+def scd1_metrics(skip_unchanged: bool = False) -> list[Column]:
+    """Aggregates over ``__action``: for ``agg`` or for an ``Observation`` on the write itself."""
+    a = F.col("__action")
+    def n(cond):
+        return F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("bigint")
+    updated = a == "update" if skip_unchanged else a.isin("update", "unchanged")
+    return [n(a == "insert").alias("rows_inserted"), n(updated).alias("rows_updated"),
+            n(a == "unchanged").alias("rows_unchanged"), n((a == "insert") | updated).alias("rows_written")]
+
+
 def scd1_merge(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
                skip_unchanged: bool = False) -> tuple[DataFrame, DataFrame]:
     """Upsert: matched keys take the batch row, unmatched batch rows are added.
@@ -93,44 +153,11 @@ def scd1_merge(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     """
     keys = _require_keys(keys)
     if target is None:  # L7 initial load: plain append of the batch
-        m = batch.agg(F.count(F.lit(1)).alias("rows_inserted")).select(
-            F.lit("SCD1").alias("operation"), F.col("rows_inserted").cast("bigint"),
-            F.lit(0).cast("bigint").alias("rows_updated"), F.lit(0).cast("bigint").alias("rows_unchanged"),
-            F.col("rows_inserted").cast("bigint").alias("rows_written"))
-        return batch, m
-
-    t_only = [c for c in target.columns if c not in batch.columns]
-    common = [c for c in batch.columns if c in target.columns and c not in keys]
-    t_side = target.select(*keys, *[F.col(c).alias(f"__t_{c}") for c in t_only + common],
-                           F.lit(True).alias("__matched"))
-    joined = batch.join(t_side, keys, "left")
-    unchanged = F.col("__matched") & null_safe_equal(None, None, common, lp="", rp="__t_")
-
-    new_rows = joined.select(*[F.col(c) for c in batch.columns],
-                             *[F.col(f"__t_{c}").alias(c) for c in t_only])
-    if skip_unchanged:
-        changed_or_new = joined.where(~F.coalesce(unchanged, F.lit(False)))
-        keep_keys = changed_or_new.select(*keys)
-        rest = target.join(keep_keys, keys, "left_anti")
-        new_rows = changed_or_new.select(*[F.col(c) for c in batch.columns],
-                                         *[F.col(f"__t_{c}").alias(c) for c in t_only])
+        acts = batch.withColumn("__action", F.lit("insert"))
     else:
-        rest = target.join(batch.select(*keys), keys, "left_anti")
-    out_cols = target.columns + [c for c in batch.columns if c not in target.columns]
-    new_target = rest.unionByName(new_rows, allowMissingColumns=True).select(*out_cols)
-
-    matched = F.coalesce(F.col("__matched"), F.lit(False))
-    is_unch = F.coalesce(unchanged, F.lit(False))
-    upd = (matched & ~is_unch) if skip_unchanged else matched
-    metrics = joined.agg(
-        F.sum(F.when(~matched, 1).otherwise(0)).cast("bigint").alias("rows_inserted"),
-        F.sum(F.when(upd, 1).otherwise(0)).cast("bigint").alias("rows_updated"),
-        F.sum(F.when(is_unch, 1).otherwise(0)).cast("bigint").alias("rows_unchanged"),
-    ).select(F.lit("SCD1").alias("operation"), F.coalesce("rows_inserted", F.lit(0)).alias("rows_inserted"),
-             F.coalesce("rows_updated", F.lit(0)).alias("rows_updated"),
-             F.coalesce("rows_unchanged", F.lit(0)).alias("rows_unchanged"))
-    metrics = metrics.withColumn("rows_written", (F.col("rows_inserted") + F.col("rows_updated")).cast("bigint"))
-    return new_target, metrics
+        acts = scd1_actions(target, batch, keys)
+    metrics = acts.agg(*scd1_metrics(skip_unchanged)).select(F.lit("SCD1").alias("operation"), "*")
+    return acts.drop("__action"), metrics
 
 
 # ---------------------------------------------------------------- SCD3
@@ -140,21 +167,19 @@ def scd3_merge(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     """Type 3: keep one previous value per tracked column in ``prev_<c>``.
 
     A changed value moves the old value into ``prev_<c>``; an unchanged value
-    keeps the stored ``prev_<c>``. Keys not in the batch stay as they are.
+    keeps the stored ``prev_<c>``. Keys not in the batch stay as they are;
+    columns only the batch has are added.
     """
     keys = _require_keys(keys)
     cols = list(cols)
-    prev = [f"prev_{c}" for c in cols]
     if target is None:
         return batch.select("*", *[F.lit(None).cast(batch.schema[c].dataType).alias(f"prev_{c}") for c in cols])
-    t_side = target.select(*keys, *[F.col(c).alias(f"__t_{c}") for c in cols],
-                           *[F.col(p).alias(f"__t_{p}") for p in prev], F.lit(True).alias("__m"))
-    j = batch.join(t_side, keys, "left")
-    upd = j.select(*[F.col(c) for c in batch.columns],
-                   *[F.when(F.col("__m") & ~F.col(c).eqNullSafe(F.col(f"__t_{c}")), F.col(f"__t_{c}"))
-                      .otherwise(F.col(f"__t_prev_{c}")).alias(f"prev_{c}") for c in cols])
-    rest = target.join(batch.select(*keys), keys, "left_anti")
-    return rest.unionByName(upd, allowMissingColumns=True).select(*target.columns)
+    # the old values ride along in the same join
+    joined = scd1_actions(target.withColumns({f"__old_{c}": F.col(c) for c in cols}), batch, keys)
+    prev = {f"prev_{c}": F.when((F.col("__action") == "update") & ~F.col(c).eqNullSafe(F.col(f"__old_{c}")), F.col(f"__old_{c}"))
+            .otherwise(F.col(f"prev_{c}")) for c in cols}
+    out = target.columns + [c for c in batch.columns if c not in target.columns]
+    return joined.withColumns(prev).select(*out)
 
 
 # ---------------------------------------------------------------- delete-insert
@@ -163,16 +188,20 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
     """Replace all target rows of every key present in the batch.
 
     The batch may hold many rows per key. The batch key set is reduced with a
-    distinct (partial aggregate) before the anti join.
+    distinct (partial aggregate) before the anti join. Columns that only one
+    side has are kept and NULL on the other's rows.
     """
     keys = _require_keys(keys)
     batch_keys = batch.select(*keys).distinct()
     kept = target.join(batch_keys, keys, "left_anti")
-    return kept.unionByName(batch.select(*target.columns))
+    return kept.unionByName(batch, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- CDC apply
 
+TOMBSTONE = "__deleted"
+
+
 def latest_changes(changes: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """Last change per key by sequence (ties broken on the full row)."""
     return dedupe_latest(changes, keys, seq)
@@ -180,28 +209,30 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], seq: Sequence[str])
 
 def apply_changes(target: DataFrame | None, changes: DataFrame, keys: Sequence[str],
                   seq: Sequence[str], op_col: str, delete_ops: Sequence[str] = ("D",),
-                  target_seq: str | None = None) -> DataFrame:
+                  tombstones: bool = False) -> DataFrame:
     """Apply a change feed (insert / update / delete by sequence), SCD1 style.
 
-    Only the latest change per key counts, so out-of-order arrival inside a
-    batch is harmless. With ``target_seq`` (the sequence value stored with each
-    target row) a change whose sequence is not newer than the stored one is
-    ignored, which makes replays of old batches no-ops.
-    The result has the change columns minus ``op_col``.
+    Stored rows and changes compete for their key on the full sequence, so it
+    does not matter in which order or how often batches arrive, provided that
+    the stored table keeps deleted keys: with ``tombstones`` the result has the
+    column ``__deleted`` and a row for each deleted key, which later calls
+    take into account. :func:`live_rows` hides them. One aggregate, no join. A target
+    without the sequence columns loses to any change.
+    The result has the change columns minus ``op_col``; columns that only one
+    side has are kept.
     """
     keys = _require_keys(keys)
-    last = latest_changes(changes, keys, seq)
-    if target is not None and target_seq is not None:
-        stored = target.select(*keys, F.col(target_seq).alias("__stored_seq"))
-        first_seq = seq[0]
-        last = (last.join(stored, keys, "left")
-                .where(F.col("__stored_seq").isNull() | (F.col(first_seq) > F.col("__stored_seq")))
-                .drop("__stored_seq"))
-    upserts = last.where(~F.col(op_col).isin(list(delete_ops))).drop(op_col)
-    if target is None:
-        return upserts
-    kept = target.join(last.select(*keys), keys, "left_anti")
-    return kept.unionByName(upserts.select(*target.columns))
+    every = changes.withColumn(TOMBSTONE, F.coalesce(F.col(op_col).isin(list(delete_ops)), F.lit(False))).drop(op_col)
+    if target is not None:
+        stored = target if TOMBSTONE in target.columns else target.withColumn(TOMBSTONE, F.lit(False))
+        every = stored.unionByName(every, allowMissingColumns=True)
+    last = dedupe_latest(every, keys, list(seq))
+    return last if tombstones else live_rows(last)
+
+
+def live_rows(state: DataFrame) -> DataFrame:
+    """A CDC state without its tombstones."""
+    return state.where(~F.col(TOMBSTONE)).drop(TOMBSTONE) if TOMBSTONE in state.columns else state
 
 
 # ---------------------------------------------------------------- change data feed
@@ -231,15 +262,37 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
 
 # ---------------------------------------------------------------- dynamic partition overwrite (L4)
 
+#: Touched partition values up to this number are filtered by value, more by a join.
+LISTED_PARTITIONS = 10_000
+
+
 def partition_overwrite(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Result of a dynamic partition overwrite, as a plan.
 
     Exactly the partition *values* present in the batch are replaced; other
-    partitions are kept. An empty batch replaces nothing.
+    partitions are kept. An empty batch replaces nothing. The layout bounds the
+    number of values: they are listed and filtered by value, which neither
+    shuffles the target nor lands it on a few keys and lets a partitioned scan prune.
     """
     pcols = list(partition_cols)
     if not pcols:
         return batch
     touched = batch.select(*pcols).distinct()
-    kept = target.join(touched, [target[c].eqNullSafe(touched[c]) for c in pcols], "left_anti")
-    return kept.unionByName(batch.select(*target.columns))
+    some = touched.limit(LISTED_PARTITIONS + 1).collect()
+    if len(some) <= LISTED_PARTITIONS:
+        hit = F.lit(False)
+        if len(pcols) == 1:
+            known = [r[0] for r in some if r[0] is not None]
+            hit = F.coalesce(F.col(pcols[0]).isin(known), F.lit(False)) if known else hit
+            if any(r[0] is None for r in some):
+                hit = hit | F.col(pcols[0]).isNull()
+        else:
+            for r in some:
+                same = F.lit(True)
+                for c, v in zip(pcols, r):
+                    same = same & F.col(c).eqNullSafe(F.lit(v))
+                hit = hit | same
+        kept = target.where(~hit)
+    else:
+        kept = target.join(touched, [target[c].eqNullSafe(touched[c]) for c in pcols], "left_anti")
+    return kept.unionByName(batch, allowMissingColumns=True)

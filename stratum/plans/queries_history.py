@@ -17,7 +17,7 @@ EQ_ALL = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in D.SNAP_COLS i
 
 
 def _history(t, snapshot: bool):
-    h1, _ = H.scd2_merge(None, D.day1(t), K, D.T1, tracked=D.SNAP_TRACKED)
+    h1, _, _ = H.scd2_merge(None, D.day1(t), K, D.T1, tracked=D.SNAP_TRACKED)
     return H.scd2_merge(h1, D.day2(t), K, D.T2, tracked=D.SNAP_TRACKED,
                         delete_detection="snapshot" if snapshot else None)
 
@@ -125,8 +125,8 @@ def scd2_current(spark, sf):
 @register("scd2_idempotent", ops=("L8",), sql=_scd2_sql(False) + f"SELECT {SNAP}, {META} FROM hist")
 def scd2_idempotent(spark, sf):
     t = Tables(spark, sf)
-    h2, _ = _history(t, snapshot=False)
-    h3, _ = H.scd2_merge(h2, D.day2(t), K, "2002-01-01 00:00:00", tracked=D.SNAP_TRACKED)
+    h2, _, _ = _history(t, snapshot=False)
+    h3, _, _ = H.scd2_merge(h2, D.day2(t), K, "2002-01-01 00:00:00", tracked=D.SNAP_TRACKED)
     return h3
 
 
@@ -250,8 +250,8 @@ def apply_changes_events(spark, sf):
     ch = _changes(Tables(spark, sf))
     split = F.lit(CDC_SPLIT).cast("timestamp_ntz")
     seq = ["ts", "event_id"]
-    t0 = M.apply_changes(None, ch.where(F.col("ts") < split), ["user_id"], seq, "op")
-    t1 = M.apply_changes(t0, ch.where(F.col("ts") >= split), ["user_id"], seq, "op", target_seq="ts")
+    t0 = M.apply_changes(None, ch.where(F.col("ts") < split), ["user_id"], seq, "op", tombstones=True)
+    t1 = M.apply_changes(t0, ch.where(F.col("ts") >= split), ["user_id"], seq, "op")
     return t1.select("event_id", "ts", "user_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"),
                      "props")
 
@@ -297,7 +297,7 @@ SELECT c_custkey, CAST(COUNT(*) AS BIGINT) AS n_versions,
   CAST(SUM(CASE WHEN nx IS NOT NULL AND __end_at IS NOT NULL AND nx > __end_at THEN 1 ELSE 0 END) AS BIGINT) AS n_gaps,
   CAST(SUM(CASE WHEN (__end_at IS NULL) <> __is_current THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_open,
   (SUM(CASE WHEN __is_current THEN 1 ELSE 0 END) = 1
-   AND SUM(CASE WHEN nx IS NOT NULL AND (__end_at IS NULL OR nx < __end_at) THEN 1 ELSE 0 END) = 0
+   AND SUM(CASE WHEN nx IS NOT NULL AND (__end_at IS NULL OR nx <> __end_at) THEN 1 ELSE 0 END) = 0
    AND SUM(CASE WHEN (__end_at IS NULL) <> __is_current THEN 1 ELSE 0 END) = 0) AS ok
 FROM n GROUP BY c_custkey""")
 def history_validate(spark, sf):
@@ -313,21 +313,18 @@ def version_no(spark, sf):
 
 # ---------------------------------------------------------------- SCD2 with event time
 
-def _with_last_order(t, snap, year: int):
-    o = t.orders.where((F.col("o_orderdate") >= F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")) &
-                       (F.col("o_orderdate") < F.lit(f"{year + 1}-01-01 00:00:00").cast("timestamp_ntz")))
-    last = o.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order_ts"))
+def _with_last_order(t, snap, day: int):
+    last = D.day_orders(t.orders, day).groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order_ts"))
     return snap.join(last, snap.c_custkey == last.o_custkey).drop("o_custkey")
 
 
-def _last_sql(name: str, year: int) -> str:
-    return f"""{name} AS (SELECT d.*, l.last_order_ts FROM d{name[-1]} d JOIN (SELECT o_custkey, MAX(o_orderdate) AS last_order_ts
-  FROM orders WHERE o_orderdate >= TIMESTAMP '{year}-01-01 00:00:00' AND o_orderdate < TIMESTAMP '{year + 1}-01-01 00:00:00'
-  GROUP BY o_custkey) l ON d.c_custkey = l.o_custkey)"""
+def _last_sql(name: str, day: int) -> str:
+    return f"""{name} AS (SELECT d.*, l.last_order_ts FROM d{day} d JOIN (SELECT o_custkey, MAX(o_orderdate) AS last_order_ts
+  FROM orders WHERE {D.day_filter_sql(day)} GROUP BY o_custkey) l ON d.c_custkey = l.o_custkey)"""
 
 
 @register("scd2_event_time", ops=("L12", "L8"), sql=f"""WITH {D.DAYS_SQL},
-{_last_sql("e1", D.DAY1_YEAR)}, {_last_sql("e2", D.DAY2_YEAR)},
+{_last_sql("e1", 1)}, {_last_sql("e2", 2)},
 h1 AS (SELECT *, {D.SNAP_HASH_SQL} AS __row_hash FROM e1),
 b AS (SELECT *, {D.SNAP_HASH_SQL} AS __row_hash FROM e2),
 dec AS (SELECT COALESCE(b.c_custkey, h1.c_custkey) AS c_custkey, b.last_order_ts AS b_eff,
@@ -343,8 +340,50 @@ SELECT {SNAP}, last_order_ts, last_order_ts, CAST(NULL AS TIMESTAMP), TRUE, __ro
 FROM b JOIN dec USING (c_custkey) WHERE act IN ('new', 'changed')""")
 def scd2_event_time(spark, sf):
     t = Tables(spark, sf)
-    e1 = _with_last_order(t, D.day1(t), D.DAY1_YEAR)
-    e2 = _with_last_order(t, D.day2(t), D.DAY2_YEAR)
-    h1, _ = H.scd2_merge(None, e1, K, D.T1, tracked=D.SNAP_TRACKED, event_ts_col="last_order_ts")
-    h2, _ = H.scd2_merge(h1, e2, K, D.T2, tracked=D.SNAP_TRACKED, event_ts_col="last_order_ts")
+    e1 = _with_last_order(t, D.day1(t), 1)
+    e2 = _with_last_order(t, D.day2(t), 2)
+    h1, _, _ = H.scd2_merge(None, e1, K, D.T1, tracked=D.SNAP_TRACKED, event_ts_col="last_order_ts")
+    h2, _, _ = H.scd2_merge(h1, e2, K, D.T2, tracked=D.SNAP_TRACKED, event_ts_col="last_order_ts")
     return h2
+
+
+# ---------------------------------------------------------------- what a merge leaves out
+
+REJECT_UNTIL = "2000-07-01 00:00:00"
+
+
+@register("scd2_rejects", ops=("L8", "L12", "L23", "P7"), sql=f"""WITH r AS (
+  SELECT c.c_custkey, o_orderpriority AS v, o_orderdate AS ts, o_orderkey FROM orders o
+  LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) c ON o.o_custkey = c.c_custkey),
+cur AS (SELECT c_custkey, MAX(ts) AS since FROM r WHERE ts >= TIMESTAMP '{D.CUT}' AND c_custkey IS NOT NULL GROUP BY c_custkey),
+b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY ts DESC, v DESC, o_orderkey DESC) AS rn
+  FROM r WHERE ts < TIMESTAMP '{REJECT_UNTIL}')
+SELECT b.c_custkey, v, ts, o_orderkey, CASE WHEN b.c_custkey IS NULL THEN 'MISSING_KEY' WHEN rn > 1 THEN 'DUP_KEY'
+  ELSE 'LATE_DATA' END AS reject_reason
+FROM b LEFT JOIN cur ON b.c_custkey = cur.c_custkey WHERE b.c_custkey IS NULL OR rn > 1 OR ts < since""")
+def scd2_rejects(spark, sf):
+    r = D.silver_orders(Tables(spark, sf)).select("c_custkey", F.col("o_orderpriority").alias("v"),
+                                                  F.col("o_orderdate").alias("ts"), "o_orderkey")
+    h, _, _ = H.scd2_merge(None, r.where(F.col("ts") >= F.lit(D.CUT).cast("timestamp_ntz")), ["c_custkey"], D.T2,
+                           tracked=["v"], event_ts_col="ts")
+    late = r.where(F.col("ts") < F.lit(REJECT_UNTIL).cast("timestamp_ntz"))
+    return H.scd2_merge(h, late, ["c_custkey"], D.T2, tracked=["v"], event_ts_col="ts").rejects
+
+
+CDC_THIRDS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+
+
+@register("apply_changes_replayed", ops=("L20", "L21"), sql=f"""SELECT event_id, ts, user_id, event_type,
+  CAST(value AS DECIMAL(18,2)) AS value, props FROM (
+  SELECT *, {CDC_OP} AS op, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn FROM events)
+WHERE rn = 1 AND op <> 'D'""")
+def apply_changes_replayed(spark, sf):
+    """All batches, out of order and some twice: the tombstones make the result that of the whole feed."""
+    ch = _changes(Tables(spark, sf))
+    a, b = (F.lit(x).cast("timestamp_ntz") for x in CDC_THIRDS)
+    parts = [ch.where(F.col("ts") < a), ch.where((F.col("ts") >= a) & (F.col("ts") < b)), ch.where(F.col("ts") >= b)]
+    state = None
+    for i in (2, 0, 1, 0, 2):
+        state = M.apply_changes(state, parts[i], ["user_id"], ["ts", "event_id"], "op", tombstones=True)
+    return M.live_rows(state).select("event_id", "ts", "user_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"),
+                                     "props")
