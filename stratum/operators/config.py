@@ -17,13 +17,25 @@ from pyspark.sql import types as T
 
 # Fixed enum domains and rules of the configuration model.
 LAYERS = ("BRONZE", "SILVER", "GOLD")
-SOURCE_TYPES = ("FILE", "JDBC", "TABLE", "STREAM", "CDC", "API")
-LOAD_TYPES = ("FULL", "INCREMENTAL", "STREAMING", "CDC")
-LOAD_PATTERNS = ("APPEND", "OVERWRITE", "MERGE", "UPSERT", "SCD1", "SCD2")
-ENGINES = ("BATCH", "STRUCTURED_STREAMING", "DECLARATIVE")
+SOURCE_TYPES = ("FILE", "TABLE", "STREAM", "API", "CDC")
+LOAD_TYPES = ("BATCH", "STREAMING", "INCREMENTAL")
+LOAD_PATTERNS = ("APPEND", "MERGE", "UPSERT", "OVERWRITE", "SCD2")
+ENGINES = ("AUTOLOADER", "DECLARATIVE", "STRUCTURED_STREAMING", "SPARK_SQL")
 ON_FAILURE = ("WARN", "FAIL", "QUARANTINE")
 CLASSIFICATIONS = ("PUBLIC", "INTERNAL", "CONFIDENTIAL", "RESTRICTED")
-RETENTION_MIN_DAYS = {"PUBLIC": 30, "INTERNAL": 90, "CONFIDENTIAL": 365, "RESTRICTED": 2555}
+RETENTION_MIN_DAYS = {"PUBLIC": 30, "INTERNAL": 90, "RESTRICTED": 365, "CONFIDENTIAL": 2555}
+# Which sources an engine reads, and which table types a layer holds.
+ENGINE_SOURCES = {
+    "AUTOLOADER": ("FILE",),
+    "DECLARATIVE": ("FILE", "TABLE", "STREAM", "CDC"),
+    "STRUCTURED_STREAMING": ("FILE", "TABLE", "STREAM", "CDC"),
+    "SPARK_SQL": ("TABLE",),
+}
+LAYER_TABLE_TYPES = {
+    "BRONZE": ("DELTA_MANAGED", "DELTA_EXTERNAL", "STREAMING_TABLE"),
+    "SILVER": ("DELTA_MANAGED", "STREAMING_TABLE", "MATERIALIZED_VIEW"),
+    "GOLD": ("DELTA_MANAGED", "MATERIALIZED_VIEW"),
+}
 IDENTIFIER_RE = r"^[a-zA-Z][a-zA-Z0-9_]{2,99}$"
 FQN_RE = r"^[a-zA-Z][a-zA-Z0-9_]*\.[a-zA-Z][a-zA-Z0-9_]*\.[a-zA-Z][a-zA-Z0-9_]*$"
 TRUE_TEXT = ("true", "1", "yes", "y", "t")
@@ -84,9 +96,8 @@ def to_param_rows(df: DataFrame, key: str, zone: str, columns: Sequence[str] | N
                   eff_ts=None) -> DataFrame:
     """Wide rows -> EAV rows (A24): one row per non-NULL value.
 
-    Values become text; arrays and maps are JSON, numbers keep their decimal
-    text (doubles via DECIMAL(38,6) trimmed of trailing zeros is avoided: they
-    are cast to DECIMAL(18,2), the money type of the model).
+    Values become text; arrays and maps are JSON, and a double is its shortest
+    exact text, so reading it back gives the same double.
     """
     cols = [c for c in (columns or df.columns) if c != key]
 
@@ -94,8 +105,6 @@ def to_param_rows(df: DataFrame, key: str, zone: str, columns: Sequence[str] | N
         dt = df.schema[c].dataType
         if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
             return F.to_json(F.col(c))
-        if isinstance(dt, (T.DoubleType, T.FloatType)):
-            return F.col(c).cast("decimal(18,2)").cast("string")
         return F.col(c).cast("string")
 
     pairs = F.array(*[F.struct(F.lit(c).alias("PARAM_NM"), as_text(c).alias("PARAM_VAL")) for c in cols])

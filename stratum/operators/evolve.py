@@ -21,13 +21,16 @@ MODES = ("addNewColumns", "rescue", "failOnNewColumns", "none")
 @dataclass
 class EvolutionContext:
     layer: str = "BRONZE"
-    engine: str = "BATCH"
+    engine: str = "BATCH"                     # BATCH (non-declarative) | DECLARATIVE
     scd_type: str | None = None
-    governance_tier: str | None = None      # "REGULATED" needs review
+    source_system_type: str = "stable"       # stable | regulated | volatile
+    governance_tier: str = "standard"        # standard | high
+    review_required: bool = True             # what "regulated" sources need
     zero_downtime: bool = False
     paranoid: bool = False
     renames_expected: bool = False
-    type_changes: str | None = None          # "widen" allows widening
+    type_changes: str = "none"                # none | widening | strict
+    dimensional: bool = False
 
 
 @dataclass
@@ -36,50 +39,70 @@ class EvolutionConfig:
     evolve_and_rescue: bool = False
     enable_type_widening: bool = False
     enable_column_mapping: bool = False
+    column_mapping_mode: str = "none"         # none | name
     require_approval: bool = False
-    max_rescued_columns: int = 200
+    engine: str = "BATCH"
+    merge_schema: bool = False
+    overwrite_schema: bool = False
+    enable_rescued_data: bool = False          # declarative engines only
+    capture_drift_to_quarantine: bool = False  # batch engines only
+    quarantine_override_mode: str | None = None
     reasons: list[str] = field(default_factory=list)
 
 
+def _scd(ctx_type: str | None) -> str:
+    return str(ctx_type or "").upper().removeprefix("SCD")
+
+
 def resolve_schema_evolution(ctx: EvolutionContext) -> EvolutionConfig:
-    """Policy by precedence (E1): SCD0 > regulated review > zero downtime >
-    paranoid > layer default."""
-    layer = ctx.layer.upper()
-    widen = (ctx.type_changes or "").lower() == "widen"
-    if (ctx.scd_type or "") in ("0", "SCD0"):
-        return EvolutionConfig("failOnNewColumns", reasons=["SCD0: schema is frozen"])
-    if (ctx.governance_tier or "").upper() == "REGULATED":
-        return EvolutionConfig("rescue", require_approval=True, enable_type_widening=widen,
-                               reasons=["regulated: changes need approval"])
+    """Policy by precedence (E1): frozen SCD0 > regulated with review > zero downtime > paranoid > layer and source defaults."""
+    layer, scd, batch = ctx.layer.upper(), _scd(ctx.scd_type), ctx.engine.upper() != "DECLARATIVE"
+
+    def config(mode: str, why: str, **more) -> EvolutionConfig:
+        more.setdefault("enable_type_widening", ctx.type_changes.lower() == "widening")
+        more.setdefault("enable_column_mapping", ctx.renames_expected)
+        more.setdefault("require_approval", layer == "SILVER" and ctx.governance_tier.lower() == "high")
+        rescues = mode == "rescue" or more.get("evolve_and_rescue", False)
+        return EvolutionConfig(
+            mode, column_mapping_mode="name" if more["enable_column_mapping"] else "none", engine="BATCH" if batch else "DECLARATIVE",
+            merge_schema=batch and mode == "addNewColumns", enable_rescued_data=rescues and not batch,
+            capture_drift_to_quarantine=rescues and batch, reasons=[why], **more)
+
+    if scd == "0":
+        return config("none", "SCD0: the schema is frozen", enable_type_widening=False, enable_column_mapping=False,
+                      require_approval=True)
+    if ctx.source_system_type.lower() == "regulated" and ctx.review_required:
+        return config("failOnNewColumns", "regulated source under review", require_approval=True)
     if ctx.zero_downtime:
-        return EvolutionConfig("rescue", evolve_and_rescue=True, enable_type_widening=widen,
-                               enable_column_mapping=ctx.renames_expected, reasons=["zero downtime"])
+        return config("rescue", "zero downtime")
     if ctx.paranoid:
-        return EvolutionConfig("addNewColumns", evolve_and_rescue=True, enable_type_widening=widen,
-                               enable_column_mapping=ctx.renames_expected, reasons=["paranoid: evolve and rescue"])
+        return config("addNewColumns", "paranoid: evolve and rescue", evolve_and_rescue=True)
     if layer == "BRONZE":
-        return EvolutionConfig("addNewColumns", enable_type_widening=True,
-                               enable_column_mapping=ctx.renames_expected, reasons=["bronze default"])
+        if ctx.source_system_type.lower() == "volatile":
+            return config("rescue", "volatile source")
+        return config("addNewColumns", "bronze default", enable_type_widening=ctx.type_changes.lower() != "strict")
     if layer == "SILVER":
-        return EvolutionConfig("rescue", enable_type_widening=widen, enable_column_mapping=ctx.renames_expected,
-                               reasons=["silver default"])
-    return EvolutionConfig("failOnNewColumns", reasons=["gold default"])
+        return config("addNewColumns", "silver default")
+    if ctx.dimensional and scd == "1":
+        return config("addNewColumns", "gold SCD1: additions only", enable_column_mapping=False)
+    if ctx.dimensional and scd == "2":
+        return config("addNewColumns", "gold SCD2: additions and renames", enable_column_mapping=True)
+    return config("addNewColumns", "gold default: no renames or type changes unless explicit")
 
 
-def validate_config(cfg: EvolutionConfig, ctx: EvolutionContext | None = None) -> list[str]:
+def validate_config(cfg: EvolutionConfig) -> list[str]:
     """Conflicting settings (E2); empty list = valid."""
-    errs = []
-    if cfg.mode not in MODES:
-        errs.append(f"unknown mode {cfg.mode}")
-    if cfg.evolve_and_rescue and cfg.mode == "failOnNewColumns":
-        errs.append("evolve_and_rescue cannot be combined with failOnNewColumns")
-    if cfg.max_rescued_columns < 1:
-        errs.append("max_rescued_columns must be positive")
-    if ctx is not None and (ctx.scd_type or "") in ("0", "SCD0") and cfg.mode != "failOnNewColumns":
-        errs.append("SCD0 targets must fail on new columns")
-    if cfg.require_approval and cfg.mode == "addNewColumns" and not cfg.evolve_and_rescue:
-        errs.append("approval-gated targets cannot add columns without review")
-    return errs
+    checks = (
+        (cfg.mode not in MODES, f"unknown mode {cfg.mode}"),
+        (cfg.engine.upper() != "DECLARATIVE" and cfg.enable_rescued_data, "enable_rescued_data is for declarative engines only"),
+        (cfg.engine.upper() == "DECLARATIVE" and cfg.capture_drift_to_quarantine,
+         "capture_drift_to_quarantine is for batch engines only"),
+        (cfg.merge_schema and cfg.overwrite_schema, "merge_schema and overwrite_schema exclude each other"),
+        (cfg.column_mapping_mode == "name" and not cfg.enable_column_mapping, "column mapping by name must be enabled"),
+        (cfg.quarantine_override_mode == "failOnNewColumns", "the quarantine must never fail"),
+        (cfg.evolve_and_rescue and cfg.mode == "failOnNewColumns", "evolve_and_rescue cannot refuse new columns"),
+    )
+    return [text for broken, text in checks if broken]
 
 
 # ---------------------------------------------------------------- compatibility
@@ -139,7 +162,7 @@ def validate_schema_compatibility(incoming: T.StructType, target: T.StructType,
     renames = [(r, a) for r in removed for a in added if ttg[r] == tin[a] and pos_tg[r] == pos_in[a]]
     reasons = []
     allowed, rebuild = True, False
-    if (scd_type or "") in ("0", "SCD0") and (added or removed or widened or narrowed):
+    if _scd(scd_type) == "0" and (added or removed or widened or narrowed):
         allowed, reasons = False, ["SCD0 target: no schema change allowed"]
     else:
         if narrowed:

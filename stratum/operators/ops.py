@@ -55,45 +55,48 @@ def last_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, ran
     return ranked.where(F.col(rank_col) <= n)
 
 
-def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, k: int) -> DataFrame:
-    """Sum, sum of squares and count of ``value`` over the previous ``k`` rows of the key.
+def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, k: int, scale: int = 6) -> DataFrame:
+    """Sum, sum of squares and count of the non-NULL ``value`` over the previous ``k`` rows of the key.
 
-    Built from exact running sums (DECIMAL) of the skew-safe ordered scan: the
+    Built from exact running sums (DECIMAL, ``scale`` digits) of the skew-safe ordered scan: the
     window sum is ``cum[i-1] - cum[i-k-1]``, where ``cum[i-k-1]`` comes from a
     1:1 equi-join on (key, position). No key group is ever held in one task.
     """
     keys = list(keys)
-    v = F.col(value).cast("decimal(18,2)")
-    base = df.withColumn("__v", v).withColumn("__v2", (v * v).cast("decimal(38,4)"))
-    s = ordered_scan(base, keys, list(order), running=["__v", "__v2"], index_col="__pos")
+    v = F.col(value).cast(f"decimal(18,{scale})")
+    zero = F.lit(0).cast("decimal(38,12)")
+    base = (df.withColumn("__v", F.coalesce(v.cast("decimal(38,12)"), zero))
+            .withColumn("__v2", F.coalesce((v * v).cast("decimal(38,12)"), zero)).withColumn("__has", F.when(v.isNull(), 0).otherwise(1)))
+    parts = ("__v", "__v2", "__has")
+    s = ordered_scan(base, keys, list(order), running=parts, index_col="__pos")
     back = s.select(*[F.col(c).alias(f"__b_{c}") for c in keys], (F.col("__pos") + (k + 1)).alias("__b_pos"),
-                    F.col("cum___v").alias("__b_cum"), F.col("cum___v2").alias("__b_cum2"))
-    cond = [s[c] == back[f"__b_{c}"] for c in keys] + [s["__pos"] == back["__b_pos"]]
+                    *[F.col(f"cum_{c}").alias(f"__b_{c}") for c in parts])
+    cond = [s[c].eqNullSafe(back[f"__b_{c}"]) for c in keys] + [s["__pos"] == back["__b_pos"]]
     j = s.join(back, cond, "left")
-    zero2 = F.lit(0).cast("decimal(18,2)")
-    sum_prev = (F.col("cum___v") - F.col("__v")) - F.coalesce(F.col("__b_cum"), zero2)
-    sum2_prev = (F.col("cum___v2") - F.col("__v2")) - F.coalesce(F.col("__b_cum2"), F.lit(0).cast("decimal(38,4)"))
-    n_prev = F.least(F.col("__pos") - 1, F.lit(k)).cast("bigint")
-    return j.select(*df.columns, "__pos", sum_prev.alias("sum_prev"), sum2_prev.alias("sum2_prev"),
-                    n_prev.alias("n_prev"))
+
+    def window(c: str) -> Column:
+        return F.col(f"cum_{c}") - F.col(c) - F.coalesce(F.col(f"__b_{c}"), F.lit(0))
+
+    return j.select(*df.columns, "__pos", window("__v").cast("decimal(38,12)").alias("sum_prev"),
+                    window("__v2").cast("decimal(38,12)").alias("sum2_prev"), window("__has").cast("bigint").alias("n_prev"))
 
 
 def anomalies(runs: DataFrame, keys: Sequence[str], order: Sequence[str], metric: str, k: int = 5,
-              z: float = 3.0, min_prior: int = 3) -> DataFrame:
-    """z-score of ``metric`` against the previous ``k`` runs of the key.
+              z: float = 3.0, min_prior: int = 3, scale: int = 6) -> DataFrame:
+    """z-score of ``metric`` against the previous ``k`` runs of the key (W5), runs without a value left out.
 
     Output adds: value, mean_prev, std_prev, zscore, is_anomaly. Fewer than
     ``min_prior`` previous runs (or zero spread) -> NULL z, not anomalous.
     """
-    r = rolling_previous(runs, keys, order, metric, k)
+    r = rolling_previous(runs, keys, order, metric, k, scale)
     n = F.col("n_prev")
     s = F.col("sum_prev")
-    # n*sum2 - sum^2 is exact in DECIMAL; the rest is plain double arithmetic.
-    num = (n.cast("decimal(38,0)") * F.col("sum2_prev") - s * s).cast("double")
+    # the sums are exact in DECIMAL; the rest is plain double arithmetic
+    num = n.cast("double") * F.col("sum2_prev").cast("double") - s.cast("double") * s.cast("double")
     var = F.when(n >= 2, num / (n * (n - 1)).cast("double"))
     mean = F.when(n >= 1, s.cast("double") / n.cast("double"))
     std = F.sqrt(var)
-    val = F.col(metric).cast("decimal(18,2)")
+    val = F.col(metric).cast(f"decimal(18,{scale})")
     zs = F.when((n >= min_prior) & (std > 0), (val.cast("double") - mean) / std)
     return r.select(*runs.columns, val.alias("value"), F.round(mean, 4).cast("decimal(18,4)").alias("mean_prev"),
                     F.round(std, 4).cast("decimal(18,4)").alias("std_prev"),

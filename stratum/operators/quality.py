@@ -70,7 +70,7 @@ def rule_from_row(row: Mapping) -> Rule:
     """Build a rule from a config row (``dq_rule`` table layout)."""
     expr = row.get("rule_expression")
     kw = dict(rule_id=row["dq_rule_id"], rule_type=row["rule_type"], column_name=row.get("column_name"),
-              rule_expression=expr, threshold=float(row.get("threshold_percent", 1.0) or 0.0),
+              rule_expression=expr, threshold=1.0 if row.get("threshold_percent") is None else float(row["threshold_percent"]),
               action=row.get("on_failure", "WARN"), rule_name=row.get("rule_name"), target=row.get("target_id"))
     rt = _ALIAS.get(str(row["rule_type"]).upper(), str(row["rule_type"]).upper())
     if rt == "ACCEPTED_VALUES" and expr:

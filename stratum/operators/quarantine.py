@@ -12,7 +12,6 @@ from __future__ import annotations
 import enum
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +20,6 @@ from ..functions.hashing import stable_id
 
 META_COLUMNS = ["quarantine_id", "run_id", "reason_category", "reason_detail",
                 "quarantine_timestamp", "quarantine_date"]
-DETAIL_MAX = 4000
-MAX_RESCUED_COLUMNS = 200
 
 
 class QuarantineReason(str, enum.Enum):
@@ -56,7 +53,7 @@ def stamp(df: DataFrame, reason: QuarantineReason | str, run_id: str, detail: st
         stable_id("q_", [F.lit(run_id), F.lit(reason), *payload]).alias("quarantine_id"),
         F.lit(run_id).alias("run_id"),
         F.lit(reason).alias("reason_category"),
-        F.lit((detail or "")[:DETAIL_MAX]).alias("reason_detail"),
+        F.lit(detail or "").alias("reason_detail"),
         t.alias("quarantine_timestamp"),
         F.to_date(t).alias("quarantine_date"))
 
@@ -76,14 +73,16 @@ def split_missing_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, D
 def split_corrupt(df: DataFrame, column: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
     """(clean, bad) of a PERMISSIVE read (P5); clean drops the corrupt column.
 
-    The parsed read is persisted once (memory, spilling to disk): both sides
-    read it, and Spark refuses a raw-file query that touches only the corrupt
-    column.
+    Spark refuses a raw-file query that touches only the corrupt column, so both
+    sides keep the other columns in play. A caller that consumes both sides may
+    ``persist`` the read, and release it.
     """
     if column not in df.columns:
         return df, df.limit(0)
-    parsed = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return parsed.where(F.col(column).isNull()).drop(column), parsed.where(F.col(column).isNotNull())
+    others = [c for c in df.columns if c != column]
+    # always true, but the optimizer can't tell, so the other columns stay in the scan
+    parsed = F.xxhash64(*others) >= F.lit(-(1 << 63)) if others else F.lit(True)
+    return df.where(F.col(column).isNull() & parsed).drop(column), df.where(F.col(column).isNotNull() & parsed)
 
 
 def safe_cast(df: DataFrame, types: Mapping[str, str | T.DataType]) -> tuple[DataFrame, DataFrame]:
@@ -101,31 +100,21 @@ def safe_cast(df: DataFrame, types: Mapping[str, str | T.DataType]) -> tuple[Dat
     return clean, bad
 
 
-def capture_drift(df: DataFrame, expected_columns: Sequence[str], max_rescued_columns: int = MAX_RESCUED_COLUMNS,
-                  only_populated: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Split schema drift (P8, E7): columns beyond ``expected_columns``.
+def capture_drift(df: DataFrame, expected_columns: Sequence[str], only_populated: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Split schema drift (P8, E7) into ``(clean, quarantine)``.
 
-    ``clean`` keeps the expected columns of every row. ``quarantine`` holds
-    the rows with the extra columns packed as JSON in ``_rescued_data`` (at most
-    ``max_rescued_columns`` of them; ``_rescued_truncated`` flags overflow). By
-    default every row goes to both sides when extras exist; with
-    ``only_populated`` only rows with a non-NULL extra value are quarantined.
-    NULL extras are written as JSON nulls so the key set is stable.
+    ``clean`` has every row with the expected columns alone. ``quarantine`` has the rows once more, with all
+    unexpected columns as one JSON object in ``_rescued_data`` (NULLs included, so all rows have the same keys);
+    with ``only_populated``, only the rows where one of them has a value. However many columns arrive, none is left out.
     """
-    expected = [c for c in df.columns if c in set(expected_columns)]
-    extra = [c for c in df.columns if c not in set(expected_columns)]
-    clean = df.select(*expected)
-    if not extra:
-        return clean, df.limit(0).withColumn("_rescued_data", F.lit(None).cast("string")) \
-                               .withColumn("_rescued_truncated", F.lit(False))
-    capped = extra[:max_rescued_columns]
-    rescued = F.to_json(F.struct(*[F.col(c) for c in capped]), {"ignoreNullFields": "false"})
-    q = df.select(*expected, rescued.alias("_rescued_data"),
-                  F.lit(len(extra) > len(capped)).alias("_rescued_truncated"),
-                  *([_any_not_null(extra).alias("__any")] if only_populated else []))
-    if only_populated:
-        q = q.where(F.col("__any")).drop("__any")
-    return clean, q
+    wanted = set(expected_columns)
+    known, strange = [c for c in df.columns if c in wanted], [c for c in df.columns if c not in wanted]
+    clean = df.select(*known)
+    if not strange:
+        return clean, clean.where(F.lit(False)).withColumn("_rescued_data", F.lit(None).cast("string"))
+    drifted = df.where(_any_not_null(strange)) if only_populated else df
+    as_json = F.to_json(F.struct(*strange), {"ignoreNullFields": "false"})
+    return clean, drifted.select(*known, as_json.alias("_rescued_data"))
 
 
 def _any_not_null(cols):
@@ -153,7 +142,7 @@ def replay(quarantine: DataFrame, reason: QuarantineReason | str | None = None,
         fields = rescued_schema.fieldNames() if isinstance(rescued_schema, T.StructType) else \
             T._parse_datatype_string(rescued_schema).fieldNames()
         q = q.select("*", parsed.alias("__r")).select(
-            *[c for c in q.columns if c not in ("_rescued_data", "_rescued_truncated")],
+            *[c for c in q.columns if c != "_rescued_data"],
             *[F.col(f"__r.{f}").alias(f) for f in fields])
     return q
 

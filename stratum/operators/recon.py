@@ -1,10 +1,11 @@
 """Reconciliation: counts, control totals, hash totals, key-level diffs
 (A1-A5, J8, G18) and the balance rule (A4).
 
-Measures are summed as exact decimals (each value cast to DECIMAL(18,2) before
-the sum) so totals do not depend on row order or partitioning. Both sides are
+Measures are summed as exact decimals, so totals do not depend on row order or
+partitioning: integers and decimals in their own scale, floating point values with
+``FLOAT_SCALE`` digits after the point. Both sides are
 aggregated before they meet (map-side partial sums), so the join is between
-two small per-group tables, never between raw rows.
+two small per-group tables.
 
 Balance rule (one reading of the reference's two versions):
 ``variance = source - target``; ``variance_percent = 100 * variance / |source|``;
@@ -15,30 +16,39 @@ Tolerances are stored as fractions on rules and shown in percent points.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import hash_bigint
 
-RECON_TYPES = ("ROW_COUNT", "CONTROL_TOTAL", "HASH_TOTAL")
+RECON_TYPES = ("ROW_COUNT", "CONTROL_TOTAL", "HASH_TOTAL", "CROSS_LAYER", "SOURCE_OF_RECORD")
 ON_BREAK = ("WARN", "FAIL")
 
 
-def money(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
+FLOAT_SCALE = 6
 
 
-def balance_columns(src: Column, tgt: Column, tolerance_percent: float) -> list[Column]:
+def exact(df: DataFrame, c: str | Column, scale: int | None = None) -> Column:
+    """The measure as a decimal, of the column's own scale unless ``scale`` is given."""
+    col = F.col(c) if isinstance(c, str) else c
+    dtype = df.select(col.alias("m")).schema["m"].dataType
+    if scale is None:
+        scale = dtype.scale if isinstance(dtype, T.DecimalType) else 0 if isinstance(dtype, T.IntegralType) else FLOAT_SCALE
+    return col.cast(f"decimal(38,{scale})")
+
+
+def balance_columns(src: Column, tgt: Column, tolerance_percent: float, scale: int = 2) -> list[Column]:
     """variance, variance_percent, tolerance_percent, balanced for two totals."""
     variance = (src - tgt)
     pct = F.when(src == 0, F.lit(None)).otherwise(
         F.round(F.lit(100.0) * variance.cast("double") / F.abs(src).cast("double"), 4))
     tol = F.lit(float(tolerance_percent))
     balanced = F.when(src == 0, tgt == 0).otherwise(F.abs(pct) <= tol)
-    return [variance.cast("decimal(38,2)").alias("variance"),
+    return [variance.cast(f"decimal(38,{scale})").alias("variance"),
             pct.cast("decimal(18,4)").alias("variance_percent"),
             tol.cast("decimal(18,4)").alias("tolerance_percent"),
             F.coalesce(balanced, F.lit(False)).alias("balanced")]
@@ -62,6 +72,7 @@ class ReconRule:
     hash_columns: Sequence[str] = ()
     tolerance: float = 0.0            # fraction, 0.01 = 1 %
     on_break: str = "WARN"
+    scale: int | None = None          # digits after the point that totals keep; None: the measure's own
 
     def __post_init__(self):
         self.recon_type = self.recon_type.upper()
@@ -73,16 +84,34 @@ class ReconRule:
             raise ValueError("tolerance is a fraction in [0, 1]")
 
 
+class ReconBreak(Exception):
+    """A rule with ``on_break`` FAIL doesn't balance."""
+
+
+def recon_rule_from_row(row: Mapping, resolve: Callable[[str], DataFrame]) -> ReconRule:
+    """A rule from a ``cfg_recon_rule`` row; ``resolve`` turns its references into DataFrames."""
+    measure = row.get("measure_column")
+    return ReconRule(row["recon_rule_id"], row["recon_type"], resolve(row["source_ref"]), resolve(row["target_ref"]),
+                     measure, measure, hash_columns=[measure] if measure else (),
+                     tolerance=float(row.get("tolerance_percent") or 0.0), on_break=row.get("on_break") or "WARN")
+
+
+def _kind(rule: ReconRule) -> str:
+    """Layers and sources of record are compared by their totals where a measure is named, else by their rows."""
+    if rule.recon_type in ("CROSS_LAYER", "SOURCE_OF_RECORD"):
+        return "CONTROL_TOTAL" if rule.source_measure is not None else "ROW_COUNT"
+    return rule.recon_type
+
+
 def _side_total(df: DataFrame, rule: ReconRule, measure, name: str) -> DataFrame:
-    g = [F.col(c) for c in rule.group_by]
-    if rule.recon_type == "ROW_COUNT":
-        agg = F.count(F.lit(1)).cast("decimal(38,2)")
-    elif rule.recon_type == "CONTROL_TOTAL":
-        agg = F.coalesce(F.sum(money(measure)), F.lit(0)).cast("decimal(38,2)")
+    kind = _kind(rule)
+    if kind == "ROW_COUNT":
+        total = F.count(F.lit(1))
+    elif kind == "CONTROL_TOTAL":
+        total = F.coalesce(F.sum(exact(df, measure, rule.scale)), F.lit(0))
     else:
-        agg = F.coalesce(F.sum(hash_bigint(list(rule.hash_columns)).cast("decimal(38,0)")), F.lit(0)) \
-               .cast("decimal(38,2)")
-    return df.groupBy(*g).agg(agg.alias(name))
+        total = F.coalesce(F.sum(hash_bigint(list(rule.hash_columns)).cast("decimal(38,0)")), F.lit(0))
+    return df.groupBy(*[F.col(c) for c in rule.group_by]).agg(total.alias(name))
 
 
 def reconcile(rule: ReconRule) -> DataFrame:
@@ -100,16 +129,23 @@ def reconcile(rule: ReconRule) -> DataFrame:
         # Two one-row aggregates: read the target total as a scalar subquery.
         j = s.withColumn("target_value", t.select("target_value").scalar())
         gk = F.lit("*")
-    sv = F.coalesce(F.col("source_value"), F.lit(0).cast("decimal(38,2)"))
-    tv = F.coalesce(F.col("target_value"), F.lit(0).cast("decimal(38,2)"))
-    j = j.select(gk.alias("group_key"), sv.cast("decimal(38,2)").alias("source_value"),
-                 tv.cast("decimal(38,2)").alias("target_value"))
+    digits = [d.scale for d in (j.schema["source_value"].dataType, j.schema["target_value"].dataType) if isinstance(d, T.DecimalType)]
+    digits = max([2 if rule.scale is None else rule.scale, *digits])
+    both = [F.coalesce(F.col(c), F.lit(0)).cast(f"decimal(38,{digits})").alias(c) for c in ("source_value", "target_value")]
+    j = j.select(gk.alias("group_key"), *both)
     return j.select(F.lit(rule.recon_rule_id).alias("recon_rule_id"), F.lit(rule.recon_type).alias("recon_type"),
                     "group_key", "source_value", "target_value",
-                    *balance_columns(F.col("source_value"), F.col("target_value"), rule.tolerance * 100.0),
+                    *balance_columns(F.col("source_value"), F.col("target_value"), rule.tolerance * 100.0, digits),
                     F.lit(rule.on_break.upper()).alias("on_break"))
 
 
+def enforce_recon(results: DataFrame) -> None:
+    """Raise if a rule that must hold is broken. Reads the broken rules' ids only."""
+    broken = results.where((F.col("on_break") == "FAIL") & ~F.col("balanced")).select("recon_rule_id").distinct().collect()
+    if broken:
+        raise ReconBreak(f"reconciliation broken: {', '.join(sorted(r[0] for r in broken))}")
+
+
 def reconcile_all(rules: Sequence[ReconRule]) -> DataFrame:
     """Many rules in one result table (A5)."""
     out = None
@@ -120,7 +156,7 @@ def reconcile_all(rules: Sequence[ReconRule]) -> DataFrame:
 
 
 def recon_keys(source: DataFrame, target: DataFrame, keys: Sequence[str],
-               measures: Sequence[str] = ()) -> DataFrame:
+               measures: Sequence[str] = (), scale: int | None = None) -> DataFrame:
     """Key-level comparison across layers.
 
     One row per key present on either side with ``status`` in
@@ -128,8 +164,8 @@ def recon_keys(source: DataFrame, target: DataFrame, keys: Sequence[str],
     ``src_<m>``, ``tgt_<m>`` and ``diff_<m>``.
     """
     keys = list(keys)
-    s = source.select(*keys, *[money(m).alias(f"src_{m}") for m in measures], F.lit(True).alias("__s"))
-    t = target.select(*keys, *[money(m).alias(f"tgt_{m}") for m in measures], F.lit(True).alias("__t"))
+    s = source.select(*keys, *[exact(source, m, scale).alias(f"src_{m}") for m in measures], F.lit(True).alias("__s"))
+    t = target.select(*keys, *[exact(target, m, scale).alias(f"tgt_{m}") for m in measures], F.lit(True).alias("__t"))
     j = s.join(t, keys, "full_outer")
     same = F.lit(True)
     for m in measures:
@@ -139,7 +175,7 @@ def recon_keys(source: DataFrame, target: DataFrame, keys: Sequence[str],
     out = [F.col(k) for k in keys] + [status.alias("status")]
     for m in measures:
         out += [F.col(f"src_{m}"), F.col(f"tgt_{m}"),
-                (F.col(f"src_{m}") - F.col(f"tgt_{m}")).cast("decimal(38,2)").alias(f"diff_{m}")]
+                (F.col(f"src_{m}") - F.col(f"tgt_{m}")).alias(f"diff_{m}")]
     return j.select(*out)
 
 

@@ -107,8 +107,9 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, *,
         out.append(F.when((F.col(_RN) == F.col(_CNT)) & ends_early, F.col(f"__next_first.{c}"))
                    .otherwise(F.col(f"__lead_{c}")).alias(f"next_{c}"))
     for c in running:
-        out.append((F.col(f"__run_{c}") + F.when(continues, F.col(f"__prev_cum_{c}")).otherwise(F.lit(0)))
-                   .alias(f"cum_{c}"))
+        # a sum over NULLs alone is NULL, as in a plain window, whichever side of the cut they lie on
+        run, carry_in = F.col(f"__run_{c}"), F.when(continues, F.col(f"__prev_cum_{c}"))
+        out.append(F.when(run.isNull(), carry_in).when(carry_in.isNull(), run).otherwise(run + carry_in).alias(f"cum_{c}"))
     if index_col:
         out.append((F.col(_RN) + F.when(continues, F.col("__prev_cum_cnt")).otherwise(F.lit(0)))
                    .cast("bigint").alias(index_col))

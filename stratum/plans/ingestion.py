@@ -1,14 +1,17 @@
-"""Ingestion and harmonisation runs (X1-X5): read -> evolve -> split -> load
--> balance -> ledger, composed from the operators.
+"""Ingestion and harmonisation runs (X1-X5): read -> decide on the schema ->
+split -> load -> balance -> ledger, composed from the operators.
 
 The driver only makes decisions from schemas and one-row metrics; the data
-path is one lazy plan per step, persisted once where two consumers read it
-(the clean / quarantine split).
+path is one lazy plan per step, persisted once where several consumers read it
+(the clean / quarantine split) and released however the run ends.
+
+What a run guarantees: every row read is written, equal to what is stored, or in
+the quarantine. Nothing is committed before all decisions are made.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -20,29 +23,35 @@ from ..operators import history as H
 from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import quarantine as QR
-from ..sinks.ledger import RunLedger
+from ..sinks.ledger import RunHandle, RunLedger
 from ..sinks.store import TableStore
 
+LOAD_PATTERNS = ("APPEND", "OVERWRITE", "PARTITION_OVERWRITE", "SCD1", "MERGE", "UPSERT", "SCD2", "CDC")
+
 
 @dataclass
 class IngestionConfig:
     entity: str
     target_table: str
-    load_pattern: str = "APPEND"          # APPEND | OVERWRITE | PARTITION_OVERWRITE | SCD1 | SCD2 | CDC
+    load_pattern: str = "APPEND"
     keys: Sequence[str] = ()
     sequence: Sequence[str] = ()
     partition_by: Sequence[str] = ()
     rules: Sequence[Q.Rule] = ()
-    expected_columns: Sequence[str] | None = None
     evolution: E.EvolutionContext = field(default_factory=E.EvolutionContext)
+    renames: Mapping[str, str] = field(default_factory=dict)
     batch_ts: str | None = None
     tracked: Sequence[str] | None = None
     delete_detection: str | None = None
+    event_ts_col: str | None = None
+    op_col: str | None = None             # CDC: operation column
+    delete_ops: Sequence[str] = ("D",)
+    watermark: str | None = None          # incremental: only rows above the stored mark are read
 
 
 @dataclass
 class RunResult:
-    status: str
+    status: str                           # SUCCESS | DEFERRED | REJECTED | FAILED
     rows_read: int
     rows_written: int
     rows_rejected: int
@@ -50,77 +59,198 @@ class RunResult:
     messages: list = field(default_factory=list)
 
 
+def _decide(cfg: IngestionConfig, evo: E.EvolutionConfig, compat: E.CompatibilityResult | None) -> str:
+    """apply, rescue, defer or reject the batch as a whole (E7-E9), from schemas alone."""
+    if compat is None:
+        return "apply"
+    changed = compat.added or compat.widened or compat.narrowed or compat.suspected_renames
+    if compat.narrowed or (compat.widened and not evo.enable_type_widening):
+        return "reject"
+    if compat.suspected_renames and not evo.enable_column_mapping and evo.mode != "rescue":
+        return "reject"
+    if changed and evo.require_approval:
+        return "defer"
+    if compat.added and evo.mode == "failOnNewColumns":
+        return "defer"
+    if compat.added and evo.mode in ("rescue", "none"):
+        return "rescue"
+    return "apply"
+
+
+def _whole_as_json(df: DataFrame) -> DataFrame:
+    """A batch whose types may not fit the quarantine's columns: each row as one JSON text."""
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("_rescued_data"))
+
+
+class _Run:
+    """One run: collects what goes to quarantine and counts it."""
+
+    def __init__(self, store: TableStore, ledger: RunLedger, cfg: IngestionConfig, h: RunHandle):
+        self.store, self.ledger, self.cfg, self.h = store, ledger, cfg, h
+        self.parts: list[DataFrame] = []
+
+    def aside(self, df: DataFrame, reason: str, detail: str = "") -> None:
+        self.parts.append(QR.stamp(df, reason, self.h.run_id, detail))
+
+    def write_quarantine(self) -> int:
+        n = 0
+        for part in self.parts:
+            n += self.store.append(f"{self.cfg.target_table}_quarantine", part, ("quarantine_date",)).num_output_rows
+        self.parts = []
+        return n
+
+
 def run_ingestion(spark: SparkSession, store: TableStore, ledger: RunLedger, cfg: IngestionConfig,
-                  read: Callable[[], DataFrame], run_type: str = "BATCH") -> RunResult:
-    """One batch run (X1, X2, X4). Balance: read = written + quarantined."""
+                  read: Callable[[], DataFrame], run_type: str = "BATCH", parents: Mapping[str, DataFrame] | None = None,
+                  as_of=None) -> RunResult:
+    """One batch run (X1, X2, X4). Balance: read = written or unchanged + quarantined."""
+    if cfg.load_pattern.upper() not in LOAD_PATTERNS:
+        raise ValueError(f"unknown load pattern {cfg.load_pattern}")
     h = ledger.start_run("ingestion", cfg.entity, run_type)
-    msgs: list[str] = []
+    run = _Run(store, ledger, cfg, h)
+    held: DataFrame | None = None
     try:
-        src = read().persist(StorageLevel.MEMORY_AND_DISK)
+        src = read()
+        if cfg.watermark:
+            src = _above_mark(store, cfg, src)
+        src = held = src.persist(StorageLevel.MEMORY_AND_DISK)
+        n_read = src.count()
         target = store.read(cfg.target_table)
         evo = E.resolve_schema_evolution(cfg.evolution)
-        rejected_parts: list[DataFrame] = []
-        clean = src
-        if target is not None and cfg.load_pattern not in ("OVERWRITE",):
-            expected = [c for c in target.columns if c not in H.META]
-            compat = E.validate_schema_compatibility(
-                clean.select(*[c for c in clean.columns]).schema,
-                target.select(*expected).schema, evo)
-            msgs += compat.reasons
-            if compat.added and evo.mode in ("rescue", "failOnNewColumns"):
-                if evo.mode == "failOnNewColumns" or evo.require_approval:   # E8: whole batch deferred
-                    rejected_parts.append(QR.stamp(src, "SCHEMA_DRIFT", h.run_id, "; ".join(compat.reasons)))
-                    clean = src.limit(0)
-                else:                                                          # E7: rescue extras
-                    clean, q = QR.capture_drift(src, expected, evo.max_rescued_columns)
-                    rejected_parts.append(QR.stamp(q, "SCHEMA_DRIFT", h.run_id, "rescued columns"))
-                    clean = src.select(*expected)
+        clean, compat, decision = src, None, "apply"
+        for a, b in (cfg.renames if evo.enable_column_mapping else {}).items():
+            clean = clean.withColumnRenamed(a, b) if a in clean.columns else clean
+        if target is not None and cfg.load_pattern.upper() != "OVERWRITE":
+            hidden = {*H.META, M.TOMBSTONE}
+            known = target.select(*[c for c in target.columns if c not in hidden])
+            payload = clean.drop(cfg.op_col) if cfg.op_col else clean
+            compat = E.validate_schema_compatibility(payload.schema, known.schema, evo, cfg.evolution.scd_type)
+            decision = _decide(cfg, evo, compat)
+            ledger.log_decision(h, E.schema_change_record(h.run_id, h.trace_id, cfg.entity, evo, compat, 0, "PENDING"))
+        if decision in ("reject", "defer"):
+            reasons = "; ".join(compat.reasons) or "schema change needs approval"
+            run.aside(_whole_as_json(src), "SCHEMA_DRIFT", reasons)
+            return _finish(run, n_read, 0, run.write_quarantine(), "REJECTED" if decision == "reject" else "DEFERRED",
+                           compat.reasons, evo, compat)
+        rescued = None
+        if compat is not None and compat.added and (decision == "rescue" or evo.evolve_and_rescue):
+            expected = [c for c in clean.columns if c not in compat.added]
+            without, rescued = QR.capture_drift(clean, expected, only_populated=True)
+            clean = without if decision == "rescue" else clean
         if cfg.keys:
             clean, bad_keys = QR.split_missing_keys(clean, cfg.keys)
-            rejected_parts.append(QR.stamp(bad_keys, "MISSING_KEY", h.run_id))
+            run.aside(bad_keys, "MISSING_KEY")
         if cfg.rules:
-            clean, bad, results = Q.apply_rules(clean, list(cfg.rules))
+            clean, bad, results = Q.apply_rules(clean, list(cfg.rules), parents, as_of or cfg.batch_ts)
             clean = clean.drop("_dq_warnings")
-            rejected_parts.append(QR.stamp(bad.withColumn("_dq_failed_rules", F.concat_ws(",", "_dq_failed_rules")),
-                                           "DQ_FAILURE", h.run_id))
+            run.aside(bad.withColumn("_dq_failed_rules", F.concat_ws(",", "_dq_failed_rules")), "DQ_FAILURE")
             ledger.log_dq(h, results)
-        rejected = 0
-        for part in rejected_parts:
-            rejected += store.append(f"{cfg.target_table}_quarantine", part, merge_schema=True).num_output_rows
-        written = _load(store, cfg, clean)
-        read_n = int(src.agg(F.count(F.lit(1))).first()[0])
-        delta = read_n - written - rejected
-        if cfg.load_pattern in ("SCD2",):
-            delta = 0  # versions written != rows read; balance on keys is done by recon
-        status = "SUCCESS" if delta == 0 else "FAILED"
-        ledger.log_audit(h, {"rows_read": read_n, "rows_written": written, "rows_rejected": rejected})
-        ledger.end_run(h, status)
-        src.unpersist()
-        return RunResult(status, read_n, written, rejected, delta, msgs)
+            Q.enforce(results)  # a FAIL rule ends the run before anything is written
+        p = cfg.load_pattern.upper()
+        if p in ("SCD1", "MERGE", "UPSERT"):
+            clean, losers = M.dedupe_split(clean, cfg.keys, cfg.sequence)
+            run.aside(losers, "DUP_KEY")
+        if compat is not None and (compat.widened or compat.removed or compat.added) and decision != "rescue":
+            clean = E.align_to(clean, known.schema) if not cfg.op_col else clean
+            if compat.widened:  # stored files take the wider types first
+                wide = clean.schema
+                store.replace(cfg.target_table, store.read(cfg.target_table).select(*[
+                    F.col(c).cast(wide[c].dataType).alias(c) if c in compat.widened else F.col(c) for c in target.columns]),
+                    cfg.partition_by, _layout_keys(cfg))
+        elif compat is not None and compat.removed:
+            clean = E.align_to(clean, known.schema)
+        try:
+            written, extra = _load(store, cfg, clean)
+        except Exception as e:
+            run.aside(_whole_as_json(src), "WRITE_FAILURE", f"{type(e).__name__}: {e}")
+            run.write_quarantine()
+            raise
+        if extra is not None:
+            for reason in ("MISSING_KEY", "DUP_KEY", "LATE_DATA"):
+                run.aside(extra.where(F.col("reject_reason") == reason).drop("reject_reason"), reason)
+        rejected = run.write_quarantine()
+        if rescued is not None:  # copies of rows that were written, so they don't count as rejected
+            store.append(f"{cfg.target_table}_rescued", QR.stamp(rescued, "SCHEMA_DRIFT", h.run_id, "columns not in the target"))
+        if cfg.watermark:
+            _store_mark(store, cfg, src)
+        return _finish(run, n_read, written, rejected, None, compat.reasons if compat else [], evo, compat)
     except Exception as e:
         ledger.log_exception(h, e, "ingestion")
         ledger.end_run(h, "FAILED")
         raise
+    finally:
+        if held is not None:
+            held.unpersist()
 
 
-def _load(store: TableStore, cfg: IngestionConfig, clean: DataFrame) -> int:
+def _finish(run: _Run, n_read: int, written: int, rejected: int, status: str | None, messages: Sequence[str],
+            evo: E.EvolutionConfig, compat: E.CompatibilityResult | None) -> RunResult:
+    delta = n_read - written - rejected
+    status = status or ("SUCCESS" if delta == 0 else "FAILED")
+    if compat is not None:
+        run.ledger.log_decision(run.h, E.schema_change_record(run.h.run_id, run.h.trace_id, run.cfg.entity, evo, compat, rejected,
+                                                              status))
+    run.ledger.log_audit(run.h, {"rows_read": n_read, "rows_written": written, "rows_rejected": rejected})
+    run.ledger.log_balance(run.h, run.store.spark.createDataFrame(
+        [(n_read, written, rejected, delta, delta == 0)],
+        "rows_read long, rows_written long, rows_rejected long, balance_delta long, balanced boolean"))
+    run.ledger.end_run(run.h, "SUCCESS" if status == "SUCCESS" else "FAILED", attributes={"outcome": status})
+    return RunResult(status, n_read, written, rejected, delta, list(messages))
+
+
+def _layout_keys(cfg: IngestionConfig) -> Sequence[str]:
+    return cfg.keys if cfg.load_pattern.upper() in ("SCD1", "MERGE", "UPSERT", "SCD2", "CDC") else ()
+
+
+def _load(store: TableStore, cfg: IngestionConfig, clean: DataFrame) -> tuple[int, DataFrame | None]:
+    """(rows accounted for, rows the load itself rejects)."""
     p = cfg.load_pattern.upper()
     if p == "APPEND":
-        return store.append(cfg.target_table, clean, cfg.partition_by).num_output_rows
+        return store.append(cfg.target_table, clean, cfg.partition_by).num_output_rows, None
     if p == "OVERWRITE":
-        return store.replace(cfg.target_table, clean, cfg.partition_by).num_output_rows
+        return store.replace(cfg.target_table, clean, cfg.partition_by).num_output_rows, None
     if p == "PARTITION_OVERWRITE":
-        return store.overwrite_partitions(cfg.target_table, clean, cfg.partition_by).num_output_rows
-    batch = M.dedupe_latest(clean, cfg.keys, cfg.sequence) if cfg.sequence else clean
+        return store.overwrite_partitions(cfg.target_table, clean, cfg.partition_by).num_output_rows, None
     if p in ("SCD1", "MERGE", "UPSERT"):
-        r = store.merge(cfg.target_table, lambda cur: M.scd1_merge(cur, batch, cfg.keys))
-        return int(r.get("rows_written", r.num_output_rows))
-    if p == "SCD2":
-        ts = cfg.batch_ts or "1970-01-01 00:00:00"
-        r = store.merge(cfg.target_table, lambda cur: H.scd2_merge(cur, batch, cfg.keys, ts, cfg.tracked,
-                                                                   cfg.delete_detection))
-        return int(r.get("num_output_rows", 0))
-    raise ValueError(f"unknown load pattern {cfg.load_pattern}")
+        r = store.merge(cfg.target_table, lambda cur: (
+            clean.withColumn("__action", F.lit("insert")) if cur is None else M.scd1_actions(cur, clean, cfg.keys),
+            M.scd1_metrics()), cfg.keys, clean)
+        return int(r["rows_written"]), None
+    if p == "CDC":
+        if not cfg.op_col or not cfg.sequence:
+            raise ValueError("CDC needs op_col and sequence")
+        # older changes of a key are superseded, not lost: every change was weighed
+        n = clean.count()
+        store.merge(cfg.target_table, lambda cur: M.apply_changes(cur, clean, cfg.keys, cfg.sequence, cfg.op_col, cfg.delete_ops,
+                                                                  tombstones=True), cfg.keys, clean)
+        return n, None
+    ts = cfg.batch_ts or "1970-01-01 00:00:00"
+    done: list[H.Scd2Result] = []
+
+    def plan(cur):
+        done.append(H.scd2_merge(cur, clean, cfg.keys, ts, cfg.tracked, cfg.delete_detection, cfg.event_ts_col))
+        return done[-1]
+
+    # the rejects compare with the history as it was: settle them before it changes
+    before = store.read(cfg.target_table)
+    rejects = H.scd2_merge(before, clean, cfg.keys, ts, cfg.tracked, cfg.delete_detection, cfg.event_ts_col).rejects
+    rejects = rejects.persist(StorageLevel.MEMORY_AND_DISK)
+    rejects.count()
+    scoped = None if cfg.delete_detection == "snapshot" else clean
+    r = store.merge(cfg.target_table, plan, cfg.keys, scoped)
+    return int(r["rows_inserted"] + r["rows_unchanged"]), rejects
+
+
+def _above_mark(store: TableStore, cfg: IngestionConfig, src: DataFrame) -> DataFrame:
+    marks = store.read(f"{cfg.target_table}_marks")
+    top = None if marks is None else marks.agg(F.max("mark")).first()[0]
+    return src if top is None else src.where(F.col(cfg.watermark) > F.lit(top).cast(src.schema[cfg.watermark].dataType))
+
+
+def _store_mark(store: TableStore, cfg: IngestionConfig, src: DataFrame) -> None:
+    """The highest value read, as text of the column's type; kept only when the load is through."""
+    top = src.agg(F.max(cfg.watermark).cast("string").alias("mark")).where("mark is not null")
+    store.append(f"{cfg.target_table}_marks", top)
 
 
 def run_harmonization(silver_sql: str, spark: SparkSession, inputs: dict, keys: Sequence[str],

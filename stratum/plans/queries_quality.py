@@ -227,7 +227,7 @@ def _drifted(t):
 
 @register("drift_capture", ops=("P8", "E7", "F2"), sql=f"""SELECT c_custkey, c_name, c_nationkey,
   CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment,
-  to_json(struct_pack(n_name := n_name, n_regionkey := n_regionkey)) AS _rescued_data, FALSE AS _rescued_truncated
+  to_json(struct_pack(n_name := n_name, n_regionkey := n_regionkey)) AS _rescued_data
 FROM ({DRIFT_SQL})""")
 def drift_capture(spark, sf):
     t = Tables(spark, sf)
@@ -267,10 +267,11 @@ def _count_rule(t):
 
 def _total_rule(t):
     o = t.orders.withColumn("o_year", F.year("o_orderdate"))
-    li = t.lineitem.join(o.select("o_orderkey", "o_year"), t.lineitem.l_orderkey == o.o_orderkey) \
-                   .withColumn("line_total", line_total())
+    # lines are summed per order before they meet the orders
+    per_order = t.lineitem.groupBy("l_orderkey").agg(F.sum(line_total()).alias("line_total"))
+    li = per_order.join(o.select("o_orderkey", "o_year"), per_order.l_orderkey == o.o_orderkey)
     return R.ReconRule("rc_order_total", "CONTROL_TOTAL", o, li, "o_totalprice", "line_total",
-                       group_by=["o_year"], tolerance=0.01, on_break="FAIL")
+                       group_by=["o_year"], tolerance=0.01, on_break="FAIL", scale=2)
 
 
 def _hash_rule(t):

@@ -103,13 +103,13 @@ class RunLedger:
         self._append([ev])
         return h
 
-    def end_run(self, h: RunHandle, status: str, metrics: dict | None = None) -> None:
+    def end_run(self, h: RunHandle, status: str, metrics: dict | None = None, attributes: dict | None = None) -> None:
         """Terminal status with duration and metrics."""
         if status not in END_STATUSES:
             raise ValueError(f"status must be one of {END_STATUSES}")
         m = dict(metrics or {})
         m["duration_s"] = (self.clock() - h.started).total_seconds()
-        self._append([self._event(h, "END", status, m, {"abc_degraded": self.degraded})])
+        self._append([self._event(h, "END", status, m, {"ledger_degraded": self.degraded, **(attributes or {})})])
 
     def log_audit(self, h: RunHandle, metrics: dict) -> None:
         """Whitelisted audit metrics (unknown names are refused)."""
@@ -138,16 +138,27 @@ class RunLedger:
                        F.lit(None).cast("string").alias("run_type"), F.lit(event_type).alias("event_type"),
                        F.lit(None).cast("string").alias("status"),
                        F.lit(self.clock().isoformat(sep=" ")).cast("timestamp_ntz").alias("event_ts"),
-                       metrics.alias("metrics"), attrs.alias("attributes"))
+                       metrics.cast("map<string,double>").alias("metrics"), attrs.cast("map<string,string>").alias("attributes"))
         try:
             self.store.append(self.table, ev)
-        except Exception:  # noqa: BLE001
+        except Exception:  # noqa: BLE001 - the ledger never fails the data run
             self.degraded = True
+            # result frames have a row per rule or check, so they fit the driver
+            self._fallback([r.asDict(recursive=True) for r in ev.collect()])
+
+    def log_decision(self, h: RunHandle, record: dict) -> None:
+        """A schema decision, pending before the load and with its outcome after it."""
+        self._append([self._event(h, "SCHEMA_DECISION", None, None, record)])
 
     def log_exception(self, h: RunHandle, error: BaseException, stage: str = "") -> None:
         """Exception type, message and stage."""
         self._append([self._event(h, "EXCEPTION", None, None,
-                                  {"type": type(error).__name__, "message": str(error)[:4000], "stage": stage})])
+                                  {"type": type(error).__name__, "message": str(error), "stage": stage})])
+
+    def log_progress(self, h: RunHandle, row: dict) -> None:
+        """ST13: one micro-batch of a stream."""
+        nums = {k: v for k, v in row.items() if isinstance(v, (int, float))}
+        self._append([self._event(h, "PROGRESS", None, nums, {k: v for k, v in row.items() if k not in nums})])
 
     def log_cost(self, h: RunHandle, consumption: dict) -> None:
         """Cost record (dbu_seconds, dbu_count, cost_usd, cluster id ...)."""

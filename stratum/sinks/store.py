@@ -1,21 +1,23 @@
 """Writing results (L1-L4, L24, L25, L27-L32) to parquet directories.
 
-Parquet has no row-level MERGE, so a table that is rewritten (upsert, history,
-full refresh) is a directory of versions ``v=<n>``; a version is valid once
-Spark's job commit wrote its ``_SUCCESS`` marker, and readers take the highest
-valid version. A new version is written next to the current one, never over
-the path being read. Append-only tables (quarantine, ledger, streams) append
-in place. Paths may be local, HDFS or an object store; file listing uses the
-Hadoop FileSystem of the session.
+One layout per table: a directory of parquet files that Spark's own job commit
+publishes, so everything that was committed is read, whichever way it was
+written. A table that is merged by keys is partitioned by a hash bucket of the keys;
+a merge reads and replaces only the buckets its batch touches, by dynamic
+partition overwrite. What replaces data that it was computed from is first written
+to the shared checkpoint folder. Paths may be local, HDFS or an object store;
+file listing uses the Hadoop FileSystem of the session.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 class WriteResult(dict):
     """num_output_rows, operation, plus metrics (the load contract)."""
@@ -39,109 +41,119 @@ def observed_write(df: DataFrame, write) -> int:
     return int(obs.get.get("rows", 0) or 0)
 
 
+#: Partition column of tables merged by keys.
+BUCKET = "key_bucket__"
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """Bucket of a row; keys count as text, so that a widened key type keeps its bucket."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 32):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
-    # -------------------------------------------------------------- layout
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _versions(self, table: str) -> list[int]:
-        fs, p = _fs(self.spark, self.path(table))
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                    out.append(int(name[2:]))
-        return sorted(out)
-
-    def current_path(self, table: str) -> str | None:
-        v = self._versions(table)
-        return f"{self.path(table)}/v={v[-1]:08d}" if v else None
-
     def exists(self, table: str) -> bool:
-        return self.current_path(table) is not None or self._append_exists(table)
-
-    def _append_exists(self, table: str) -> bool:
-        fs, p = _fs(self.spark, self.path(table) + "/data")
-        return fs.exists(p)
+        fs, p = _fs(self.spark, self.path(table))
+        return fs.exists(p) and any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
     # -------------------------------------------------------------- reads
+    def _stored(self, table: str) -> DataFrame | None:
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path(table)) if self.exists(table) else None
+
     def read(self, table: str) -> DataFrame | None:
-        cur = self.current_path(table)
-        if cur is not None:
-            return self.spark.read.parquet(cur)
-        if self._append_exists(table):
-            return self.spark.read.option("mergeSchema", "true").parquet(self.path(table) + "/data")
-        return None
+        df = self._stored(table)
+        return None if df is None else df.drop(BUCKET)
 
     # -------------------------------------------------------------- writes
-    def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = (),
-               merge_schema: bool = False) -> WriteResult:
-        """Append (L1, L24): created on first write; read back with mergeSchema
-        so later batches may carry extra columns."""
+    def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), keys: Sequence[str] = ()) -> WriteResult:
+        """Append (L1, L24): created on first write; later batches may carry extra columns.
+
+        A table laid out by keys needs them here too.
+        """
+        stored = self._stored(table)
+        if stored is not None and BUCKET in stored.columns:
+            if not keys:
+                raise ValueError(f"{table} is laid out by its merge keys; name them to append")
+            df, partition_by = df.withColumn(BUCKET, bucket_of(keys, self.buckets)), (BUCKET,)
+
         def w(d):
-            wr = d.write.mode("append")
-            if partition_by:
-                wr = wr.partitionBy(*partition_by)
-            wr.parquet(self.path(table) + "/data")
-        n = observed_write(df, w)
-        return WriteResult(num_output_rows=n, operation="APPEND")
-
-    def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = (),
-                batch_id: int | None = None) -> WriteResult:
-        """Write a new version and make it current (L3 full refresh, and the
-        commit step of every merge plan). ``batch_id`` is recorded for replay
-        detection in streaming sinks."""
-        nxt = (self._versions(table) or [0])[-1] + 1
-        out = f"{self.path(table)}/v={nxt:08d}"
+            d.write.mode("append").partitionBy(*partition_by).parquet(self.path(table))
+        return WriteResult(num_output_rows=observed_write(df, w), operation="APPEND")
+
+    def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), keys: Sequence[str] = ()) -> WriteResult:
+        """Full refresh (L3): the table holds exactly ``df`` afterwards.
+
+        ``df`` may read the table itself: it is written to the shared checkpoint folder first, where it also stays
+        if the overwrite is interrupted.
+        """
+        if keys:
+            df, partition_by = df.withColumn(BUCKET, bucket_of(keys, self.buckets)), (BUCKET,)
+        if self.exists(table):
+            df = cut_lineage(df)
 
         def w(d):
-            wr = d.write.mode("errorifexists")
-            if partition_by:
-                wr = wr.partitionBy(*partition_by)
-            wr.parquet(out)
-        n = observed_write(df, w)
-        if batch_id is not None:
-            self._mark_commit(table, batch_id)
-        return WriteResult(num_output_rows=n, operation="OVERWRITE", version=nxt)
+            d.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(self.path(table))
+        return WriteResult(num_output_rows=observed_write(df, w), operation="OVERWRITE")
 
     def overwrite_partitions(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> WriteResult:
         """Dynamic partition overwrite (L4): exactly the partition values in the
-        batch are replaced, in place; an empty batch replaces nothing."""
+        batch are replaced; an empty batch replaces nothing."""
         def w(d):
             (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*partition_by).parquet(self.path(table) + "/data"))
-        n = observed_write(df, w)
-        return WriteResult(num_output_rows=n, operation="PARTITION_OVERWRITE")
-
-    def merge(self, table: str, plan, *args, **kwargs) -> WriteResult:
-        """Read the current version, compute ``plan(current, *args)`` and write
-        it as the next version. ``plan`` returns a DataFrame or (DataFrame, metrics)."""
-        cur = self.read(table)
-        res = plan(cur, *args, **kwargs)
-        new, metrics = res if isinstance(res, tuple) else (res, None)
-        r = self.replace(table, new)
-        if metrics is not None:
-            r.update(metrics.first().asDict())
+             .partitionBy(*partition_by).parquet(self.path(table)))
+        return WriteResult(num_output_rows=observed_write(df, w), operation="PARTITION_OVERWRITE")
+
+    def merge(self, table: str, plan, keys: Sequence[str] = (), batch: DataFrame | None = None) -> WriteResult:
+        """Replace the table by ``plan(current)``; the result may be a DataFrame, or a tuple that begins with it and one
+        row of metrics (a DataFrame, or a list of aggregates over the result's ``__action``, observed on the way).
+
+        With ``keys`` and ``batch`` only the buckets of the batch's keys are read and rewritten, so the plan
+        must leave all other keys alone (a snapshot delete does not).
+        """
+        stored = self._stored(table)
+        scoped = bool(keys) and batch is not None and stored is not None and BUCKET in stored.columns
+        touched: list[int] = []
+        cur = None if stored is None else stored.drop(BUCKET)
+        if scoped:
+            touched = [r[0] for r in batch.select(bucket_of(keys, self.buckets)).distinct().collect()]  # at most ``buckets``
+            cur = stored.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        res = plan(cur)
+        new, metrics = (res[0], res[1]) if isinstance(res, tuple) else (res, None)
+        got: dict = {}
+        if isinstance(metrics, list):
+            obs = Observation("merge")
+            new = cut_lineage(new.observe(obs, *metrics))
+            got = dict(obs.get)
+            new = new.drop("__action")
+        elif metrics is not None:
+            got = metrics.first().asDict()
+        if not scoped:
+            r = self.replace(table, new, keys=keys)
+        else:
+            out = cut_lineage(new.withColumn(BUCKET, bucket_of(keys, self.buckets)))
+            left = {x[0] for x in out.select(BUCKET).distinct().collect()}
+            r = self.overwrite_partitions(table, out, (BUCKET,))
+            for b in set(touched) - left:  # a bucket that lost its last row
+                fs, p = _fs(self.spark, f"{self.path(table)}/{BUCKET}={b}")
+                fs.delete(p, True)
+        r.update({k: v for k, v in got.items() if k != "num_output_rows" or v is not None})
         return r
 
     # -------------------------------------------------------------- replay guard
-    def _commit_path(self, table: str, batch_id: int) -> str:
-        return f"{self.path(table)}/_commits/{int(batch_id):012d}"
-
-    def _mark_commit(self, table: str, batch_id: int) -> None:
-        fs, p = _fs(self.spark, self._commit_path(table, batch_id))
-        fs.create(p, True).close()
+    def mark_commit(self, table: str, batch_id: int) -> None:
+        """Remember a micro-batch as done, as a row of ``<table>_commits``."""
+        self.append(f"{table}_commits", self.spark.range(batch_id, batch_id + 1).withColumnRenamed("id", "batch_id").coalesce(1))
 
     def has_commit(self, table: str, batch_id: int) -> bool:
-        fs, p = _fs(self.spark, self._commit_path(table, batch_id))
-        return fs.exists(p)
+        done = self.read(f"{table}_commits")
+        return done is not None and not done.where(F.col("batch_id") == batch_id).isEmpty()
 
 
 def retention_filter(df: DataFrame, date_col: str, as_of, retention_days: int) -> DataFrame:
@@ -159,7 +171,8 @@ def layout(df: DataFrame, partition_columns: Sequence[str] = (), cluster_columns
     if partition_columns and cluster_columns:
         raise ValueError("partition and clustering columns are mutually exclusive")
     if partition_columns:
-        return df.repartition(*[F.col(c) for c in partition_columns])
+        # a rebalance groups by value and lets AQE split the values that hold most rows
+        return df.hint("rebalance", *partition_columns)
     if cluster_columns:
         r = df.repartitionByRange(num_partitions, *cluster_columns) if num_partitions else \
             df.repartitionByRange(*cluster_columns)
@@ -167,9 +180,11 @@ def layout(df: DataFrame, partition_columns: Sequence[str] = (), cluster_columns
     return df
 
 
-def create_table_ddl(fqn: str, df: DataFrame, partition_columns: Sequence[str] = (), using: str = "parquet") -> str:
-    """CREATE TABLE text from a DataFrame schema."""
-    cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in df.schema.fields)
+def create_table_ddl(fqn: str, df: DataFrame, partition_columns: Sequence[str] = (), using: str = "parquet",
+                     not_null: Sequence[str] = ()) -> str:
+    """CREATE TABLE text from a DataFrame schema (L30); non-nullable fields, and those named, are NOT NULL."""
+    cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString().upper()}"
+                        + (" NOT NULL" if not f.nullable or f.name in not_null else "") for f in df.schema.fields)
     part = f"\nPARTITIONED BY ({', '.join(partition_columns)})" if partition_columns else ""
     return f"CREATE TABLE IF NOT EXISTS {fqn} (\n  {cols}\n) USING {using}{part}"
 

@@ -9,6 +9,7 @@ a replayed id.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from ..operators import history as H
 from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import quarantine as QR
@@ -112,48 +114,78 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, trigger: str | None
 
 def upsert_batch_fn(store, table: str, keys: Sequence[str], seq: Sequence[str], op_col: str | None = None,
                     rules: Sequence[Q.Rule] = (), quarantine_table: str | None = None,
-                    run_id: str = "stream") -> Callable[[DataFrame, int], None]:
+                    run_id: str = "stream", parents=None, as_of=None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function for streaming upsert / CDC by sequence (ST8, ST12).
 
-    Per micro-batch: split QUARANTINE-rule failures to the quarantine table,
-    keep the latest change per key, ignore changes not newer than the stored
-    sequence, merge, then record the batch id. A batch id already recorded
-    (a replay after a failure) is skipped, which makes the sink idempotent.
+    Per micro-batch: split QUARANTINE-rule failures to the quarantine table
+    (one partition per batch id, so a replay replaces what it wrote), let
+    stored rows and changes compete by the full sequence, merge only the key buckets
+    that the batch touches, then record the batch id. A batch id already
+    recorded is skipped; a batch replayed in part changes nothing, because deleted
+    keys stay as tombstones (:func:`stratum.operators.merge.live_rows` hides them).
     """
     def fn(batch: DataFrame, batch_id: int) -> None:
         if store.has_commit(table, batch_id):
             return
         good = batch
         if rules:
-            good, bad, _ = Q.apply_rules(batch, rules)
+            good, bad, _ = Q.apply_rules(batch, rules, parents, as_of)
             if quarantine_table:
-                store.append(quarantine_table, QR.stamp(bad.drop("_dq_failed_rules"), "DQ_FAILURE", run_id,
-                                                        f"batch {batch_id}"), merge_schema=True)
+                bad = bad.withColumn("_dq_failed_rules", F.concat_ws(",", "_dq_failed_rules"))
+                store.overwrite_partitions(quarantine_table, QR.stamp(bad, "DQ_FAILURE", run_id, f"batch {batch_id}")
+                                           .withColumn("batch_id", F.lit(batch_id)), ("batch_id",))
             good = good.drop("_dq_warnings")
-        target = store.read(table)
         op = op_col or "__op"
         changes = good if op_col else good.withColumn(op, F.lit("U"))
-        new = M.apply_changes(target, changes, keys, seq, op, target_seq=seq[0] if target is not None else None)
-        store.replace(table, new, batch_id=batch_id)
+        store.merge(table, lambda cur: M.apply_changes(cur, changes, keys, seq, op, tombstones=op_col is not None), keys, changes)
+        store.mark_commit(table, batch_id)
+    return fn
+
+
+def history_batch_fn(store, table: str, keys: Sequence[str], ts_col: str, tracked: Sequence[str] | None = None,
+                     late_table: str | None = None, run_id: str = "stream") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for a streaming type 2 history (ST8): versions start at the event time; rows that come
+    too late, or lose to a newer one of their key in the batch, go to ``late_table`` (ST11)."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        if store.has_commit(table, batch_id):
+            return
+        before = store.read(table)
+        ts = F.localtimestamp()
+        if late_table:
+            left = H.scd2_merge(before, batch, keys, ts, tracked, event_ts_col=ts_col).rejects
+            store.overwrite_partitions(late_table, QR.stamp(left, "LATE_DATA", run_id, f"batch {batch_id}")
+                                       .withColumn("batch_id", F.lit(batch_id)), ("batch_id",))
+        store.merge(table, lambda cur: H.scd2_merge(cur, batch, keys, ts, tracked, event_ts_col=ts_col).history, keys, batch)
+        store.mark_commit(table, batch_id)
     return fn
 
 
 class ProgressRecorder(StreamingQueryListener):
-    """Per-micro-batch progress rows for the ledger (ST13): no extra count()
-    per batch; the numbers come from the query's own progress events."""
+    """Per-micro-batch progress rows (ST13): no extra count() per batch; the
+    numbers come from the query's own progress events. With a ``sink`` (such as
+    :meth:`ledger_sink`) each row goes there; the last ``keep`` stay at hand."""
+
+    def __init__(self, sink: Callable[[dict], None] | None = None, keep: int = 100):
+        self.sink = sink
+        self.rows: deque[dict] = deque(maxlen=keep)
 
-    def __init__(self):
-        self.rows: list[dict] = []
+    @staticmethod
+    def ledger_sink(ledger, handle) -> Callable[[dict], None]:
+        def put(row: dict) -> None:
+            ledger.log_progress(handle, row)
+        return put
 
     def onQueryStarted(self, event):  # noqa: N802
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
         p = event.progress
-        self.rows.append({"query_id": str(p.id), "batch_id": p.batchId, "num_input_rows": p.numInputRows,
-                          "input_rows_per_second": p.inputRowsPerSecond,
-                          "processed_rows_per_second": p.processedRowsPerSecond,
-                          "duration_ms": dict(p.durationMs or {}).get("triggerExecution"), "timestamp": p.timestamp})
+        row = {"query_id": str(p.id), "batch_id": p.batchId, "num_input_rows": p.numInputRows,
+               "input_rows_per_second": p.inputRowsPerSecond, "processed_rows_per_second": p.processedRowsPerSecond,
+               "duration_ms": dict(p.durationMs or {}).get("triggerExecution"), "timestamp": p.timestamp}
+        self.rows.append(row)
+        if self.sink:
+            self.sink(row)
 
     def onQueryIdle(self, event):  # noqa: N802
         pass

@@ -164,7 +164,7 @@ def test_schema_compatibility():
                                                       T.StructField("b2", T.StringType())]), tgt, cfg)
     assert r.suspected_renames == [("b", "b2")] and not r.allowed
     gold = E.resolve_schema_evolution(E.EvolutionContext(layer="GOLD", scd_type="0"))
-    assert gold.mode == "failOnNewColumns" and E.validate_config(gold) == []
+    assert gold.mode == "none" and gold.require_approval and E.validate_config(gold) == []
 
 
 def test_ops_helpers(spark):

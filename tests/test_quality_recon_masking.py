@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,14 +79,16 @@ def test_quarantine_helpers(spark):
     assert clean.count() == 3 and bad.count() == 1
     st1 = QR.stamp(bad, "MISSING_KEY", "run1", "x" * 5000, ts="2024-01-01 00:00:00").first()
     st2 = QR.stamp(bad, "MISSING_KEY", "run1", "", ts="2024-01-01 00:00:00").first()
-    assert st1.quarantine_id == st2.quarantine_id and len(st1.reason_detail) == 4000
+    assert st1.quarantine_id == st2.quarantine_id and len(st1.reason_detail) == 5000
     assert str(st1.quarantine_date) == "2024-01-01"
     ok, bad = QR.safe_cast(spark.createDataFrame([("1",), ("x",), (None,)], "v string"), {"v": "int"})
     assert ok.count() == 2 and bad.count() == 1
     wide = df.withColumn("extra1", F.lit(None).cast("string")).withColumn("extra2", F.lit("e"))
-    clean, q = QR.capture_drift(wide, df.columns, max_rescued_columns=1)
+    clean, q = QR.capture_drift(wide, df.columns)
     assert clean.columns == df.columns and q.count() == 4
-    assert q.first()._rescued_data == '{"extra1":null}' and q.first()._rescued_truncated
+    assert q.first()._rescued_data == '{"extra1":null,"extra2":"e"}'
+    many = df.select("*", *[F.lit(i).alias(f"x{i}") for i in range(205)])
+    assert len(json.loads(QR.capture_drift(many, df.columns)[1].first()._rescued_data)) == 205
     _, q2 = QR.capture_drift(wide.drop("extra2"), df.columns, only_populated=True)
     assert q2.count() == 0
     back = QR.replay(QR.stamp(q, "SCHEMA_DRIFT", "r"), "SCHEMA_DRIFT", rescued_schema="extra1 string")
