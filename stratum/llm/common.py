@@ -6,6 +6,7 @@ caller, whatever their names, never clash with the operator's own.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -61,14 +62,29 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def release_memory() -> None:
+    """Give what a task has freed back to the system: a worker outlives its tasks, and its operator."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str) -> DataFrame:
     """``mapInArrow`` with record batches kept small enough for long texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            release_memory()
+
     spark = df.sparkSession
     ship_package(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 2000:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(run, schema)
 
 
 def chunked(texts: Iterable[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
