@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, broadcast_value, ship_package
+from .common import bounded_sample, broadcast_value, reliable, ship_package
 
 #: Vectors that centroids and the number of probes are learned from (bounded sample; every vector is indexed).
 SAMPLE = 12_000
@@ -93,34 +93,59 @@ def fit(x: np.ndarray, top: float, lists: int, k: int, seed: int = 5, rounds: in
     return Quantizer(rotation, top, c, min(lists, probes))
 
 
-def scan_block(ids: np.ndarray, x: np.ndarray, z: np.ndarray, qid, q: np.ndarray, zq: np.ndarray, k: int) -> list[tuple]:
-    """The ``k`` best (id, score) of a block for one query, abandoning candidates early; ``z``, ``zq``: rotated."""
-    dim = z.shape[1]
-    best: list[tuple[float, int]] = []  # (-score, id)
-    limit = np.inf  # distance of the k-th best
-    for a in range(0, len(ids), CHUNK):
-        alive = np.arange(a, min(len(ids), a + CHUNK))
-        far = np.zeros(len(alive))
-        for d in range(0, dim, COLUMNS):
-            e = min(dim, d + COLUMNS)
-            diff = z[alive, d:e] - zq[d:e]
-            far += np.einsum("ij,ij->i", diff, diff)
-            if np.isfinite(limit) and e < dim:
-                keep = far * (dim / e) <= limit * (1 + SLACK / np.sqrt(e)) ** 2
-                alive, far = alive[keep], far[keep]
-                if not len(alive):
-                    break
-        if np.isfinite(limit):
-            alive = alive[far <= limit * (1 + 1e-9) + 1e-12]
-        alive = alive[ids[alive] != qid]
-        if not len(alive):
-            continue
-        score = np.einsum("ij,j->i", x[alive], q)
-        best = sorted([*best, *zip((-score).tolist(), ids[alive].tolist())])[:k]
-        if len(best) == k:
-            # the k-th best's own distance, from its inner product
-            limit = max(0.0, 2 * (zq @ zq) + 2 * best[-1][0] * np.sqrt(zq @ zq) / np.sqrt(q @ q))
-    return best
+def scan_block(ids: np.ndarray, x: np.ndarray, z: np.ndarray, qids: np.ndarray, q: np.ndarray, zq: np.ndarray,
+               k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query's number, id, score) of the ``k`` best of a block for each query, abandoning candidates early.
+
+    ``z`` and ``zq`` are rotated. Candidates come in chunks; within a chunk, distances grow one column block at a time for
+    all pairs still alive, densely while most are, then pair by pair.
+    """
+    dim, n = z.shape[1], len(qids)
+    norms = np.stack([np.einsum("ij,ij->i", z[:, d:d + COLUMNS], z[:, d:d + COLUMNS]) for d in range(0, dim, COLUMNS)], axis=1)
+    q_norms = np.stack([np.einsum("ij,ij->i", zq[:, d:d + COLUMNS], zq[:, d:d + COLUMNS]) for d in range(0, dim, COLUMNS)], axis=1)
+    limit = np.full(n, np.inf)  # each query's distance to its k-th best so far
+    near = np.full((n, k), np.inf)
+    who, got, score = [], [], []
+    first = min(len(ids), max(8 * k, 128))
+    for a, e in zip([0, *range(first, len(ids), CHUNK)], [first, *range(first + CHUNK, len(ids) + CHUNK, CHUNK)]):
+        chunk = np.arange(a, min(e, len(ids)))
+        far = np.zeros((n, len(chunk)))
+        far[qids[:, None] == ids[chunk][None, :]] = np.inf
+        rows = cols = None
+        for c, d in enumerate(range(0, dim, COLUMNS)):
+            f = min(dim, d + COLUMNS)
+            if rows is None:
+                far += q_norms[:, c:c + 1] + norms[chunk, c] - 2 * (zq[:, d:f] @ z[chunk, d:f].T)
+                alive = far * (dim / f) <= (limit * (1 + SLACK / np.sqrt(f)) ** 2)[:, None] if f < dim else far <= limit[:, None] * (1 + 1e-9) + 1e-9
+                alive &= np.isfinite(far)
+                if alive.mean() < 0.2 or f == dim:
+                    rows, cols = np.nonzero(alive)
+                    far = far[rows, cols]
+            else:
+                diff = z[chunk[cols], d:f] - zq[rows, d:f]
+                far = far + np.einsum("ij,ij->i", diff, diff)
+                top = limit[rows]
+                keep = far * (dim / f) <= top * (1 + SLACK / np.sqrt(f)) ** 2 if f < dim else far <= top * (1 + 1e-9) + 1e-9
+                rows, cols, far = rows[keep], cols[keep], far[keep]
+        who.append(rows)
+        got.append(chunk[cols])
+        # the k best distances of each query, with this chunk's
+        counts = np.bincount(rows, minlength=n)
+        wide = np.full((n, k + int(counts.max(initial=0))), np.inf)
+        wide[:, :k] = near
+        wide[rows, k + np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)] = far
+        near = np.partition(wide, k - 1, axis=1)[:, :k]
+        limit = near[:, k - 1]
+    who, got = np.concatenate(who), np.concatenate(got)
+    if not len(who):
+        return who, ids[got], np.zeros(0)
+    score = np.concatenate([np.einsum("ij,ij->i", x[got[i:i + 65536]], q[who[i:i + 65536]]) for i in range(0, len(who), 65536)])
+    order = np.lexsort((ids[got], -score, who))
+    who, got, score = who[order], got[order], score[order]
+    begin = np.concatenate([[0], np.flatnonzero(np.diff(who)) + 1])
+    place = np.arange(len(who)) - np.repeat(begin, np.diff(np.append(begin, len(who))))
+    best = place < k
+    return who[best], ids[got[best]], score[best]
 
 
 def _packed(col: Column) -> Column:
@@ -142,6 +167,10 @@ def _matrix(col: pd.Series) -> np.ndarray:
     return np.array(col.tolist(), dtype=np.float64)
 
 
+def _unpacked(col: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(col.tolist()), np.float64).reshape(len(col), -1)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
            probes: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id and score: the ``k`` best found of every query, its own row left out.
@@ -157,28 +186,28 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
         return spark.createDataFrame([], out_schema)
     sample = bounded_sample(rows, "vec_id", SAMPLE).collect()
     fitted = fit(_matrix(pd.Series([r["v"] for r in sorted(sample)])), facts["top"] * (1 + 1e-9),
-                 min(MAX_LISTS, max(1, int(np.sqrt(facts["n"])))), k)
+                 min(MAX_LISTS, max(1, int(np.sqrt(facts["n"]) / 2))), k)
     if probes:
         fitted = Quantizer(fitted.rotation, fitted.top, fitted.centroids, min(probes, len(fitted.centroids)))
     shared = broadcast_value(spark, fitted)
 
-    def assign(frames):
-        for f in frames:
-            if len(f):
-                f["list"] = shared.value.nearest(shared.value.base(_matrix(f["v"]))).astype(np.int32)
-                yield f[["vec_id", "v", "list"]]
-
-    def probe(frames):
-        for f in frames:
-            if len(f):
-                to = shared.value.order(shared.value.queries(_matrix(f["v"])))[:, :shared.value.probes]
-                g = f.loc[f.index.repeat(to.shape[1])].copy()
-                g["list"] = to.ravel().astype(np.int32)
-                yield g[["vec_id", "v", "list"]]
-
-    schema = "vec_id long, v array<double>, list int"
-    listed = rows.mapInPandas(assign, schema)
-    asked = rows.where(is_query).mapInPandas(probe, schema)
+    def listing(frames, probed: bool):
+        for frame in frames:
+            for i in range(0, len(frame), 1000):  # bounds what one query's lists multiply
+                f = frame.iloc[i:i + 1000]
+                x = _matrix(f["v"])
+                if probed:
+                    to = shared.value.order(shared.value.queries(x))[:, :shared.value.probes]
+                else:
+                    to = shared.value.nearest(shared.value.base(x))[:, None]
+                row = np.repeat(np.arange(len(f)), to.shape[1])
+                packed = np.array([v.tobytes() for v in x], dtype=object)
+                yield pd.DataFrame({"vec_id": f["vec_id"].to_numpy()[row], "v": packed[row], "list": to.ravel().astype(np.int32)})
+
+    # vectors travel as bytes from here on
+    schema = "vec_id long, v binary, list int"
+    listed = reliable(rows.mapInPandas(lambda frames: listing(frames, False), schema))
+    asked = reliable(rows.where(is_query).mapInPandas(lambda frames: listing(frames, True), schema))
     # one row per list on each side: at most MAX_LISTS rows
     filled = listed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
     wanted = asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("parts"))
@@ -191,14 +220,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("list", "block", "part", "vec_id", "v"))
 
     def scan(base: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        got: list[tuple] = []
-        if len(base) and len(queries):
-            base = base.sort_values("vec_id")
-            ids, x, q = base["vec_id"].to_numpy(), _matrix(base["v"]), _matrix(queries["v"])
-            z, zq = shared.value.base(x), shared.value.queries(q)
-            for qid, v, r in zip(queries["vec_id"].tolist(), q, zq):
-                got += [(qid, i, -s) for s, i in scan_block(ids, x, z, qid, v, r, k)]
-        return pd.DataFrame(got, columns=["query_id", "vec_id", "score"])
+        if not len(base) or not len(queries):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        base = base.sort_values("vec_id")
+        ids, x = base["vec_id"].to_numpy(), _unpacked(base["v"])
+        z = shared.value.base(x)
+        parts = []
+        for i in range(0, len(queries), 128):
+            qid, q = queries["vec_id"].to_numpy()[i:i + 128], _unpacked(queries["v"].iloc[i:i + 128])
+            who, got, score = scan_block(ids, x, z, qid, q, shared.value.queries(q), k)
+            parts.append(pd.DataFrame({"query_id": qid[who], "vec_id": got, "score": score}))
+        return pd.concat(parts)
 
     key = ["list", "block", "part"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(scan, "query_id long, vec_id long, score double")
