@@ -25,46 +25,46 @@ def _edges(edges: DataFrame, child: str, parent: str) -> DataFrame:
 
 
 def transitive_closure(edges: DataFrame, child: str = "node", parent: str = "parent",
-                       keep_cycles: bool = False) -> DataFrame:
+                       keep_cycles: bool = False, start: Sequence[str] | None = None) -> DataFrame:
     """All (node, ancestor) pairs reachable through ``child -> parent`` edges.
 
-    Output: node, ancestor, depth (shortest), path (``a>b>c``, one shortest
-    path: the smallest extension of the previous round's chosen path). With ``keep_cycles`` a path may end on its own
-    start node, so cycles show up as rows with ``node = ancestor``.
+    Output: node, ancestor, depth (shortest), path (array of the nodes of one shortest path: the smallest extension
+    of the previous round's chosen path). With ``keep_cycles`` a path may end on its own start node, so cycles show
+    up as rows with ``node = ancestor``. With ``start`` only paths from those nodes are walked.
 
     Semi-naive evaluation: each round extends only the pairs found in the
     previous round, keeps one (shortest, then smallest) path per pair, and
     drops pairs found in earlier rounds. Every pair is produced exactly once,
     so graphs with many alternative paths (diamonds) cannot blow the frontier
-    up, and the loop ends when a round finds nothing new.
+    up, and the loop ends when a round finds nothing new. Pairs are spread by node
+    and ancestor, so that an ancestor most nodes share is no hot key; only the join
+    with the edges meets on it, where AQE splits the frontier.
     """
     e = cut_lineage(_edges(edges, child, parent))
     step = e.select(F.col("node").alias("__via"), F.col("ancestor").alias("__next"))
     first = e if keep_cycles else e.where(F.col("node") != F.col("ancestor"))
-    frontier = cut_lineage(first.select("node", "ancestor", F.lit(1).alias("depth"),
-                                        F.concat_ws(">", "node", "ancestor").alias("path")))
-    parts = [frontier]
-    found = frontier.select("node", "ancestor")
+    if start is not None:
+        first = first.where(F.col("node").isin(list(start)))
+    frontier = first.select("node", "ancestor", F.lit(1).alias("depth"), F.array("node", "ancestor").alias("path"))
+    found = frontier
+    rounds = 0
     while True:
-        nxt = frontier.where(F.col("node") != F.col("ancestor")) \
-            .join(step, F.col("ancestor") == F.col("__via"))
+        nxt = frontier.where(F.col("node") != F.col("ancestor")).join(step, F.col("ancestor") == F.col("__via"))
         if not keep_cycles:
             nxt = nxt.where(F.col("__next") != F.col("node"))
         nxt = (nxt.groupBy("node", F.col("__next").alias("ancestor"))
-               .agg(F.min(F.struct((F.col("depth") + 1).alias("d"),
-                                   F.concat_ws(">", "path", "__next").alias("p"))).alias("b"))
-               .join(found, ["node", "ancestor"], "left_anti")
+               .agg(F.min(F.struct((F.col("depth") + 1).alias("d"), F.concat("path", F.array("__next")).alias("p"))).alias("b"))
+               .join(found.select("node", "ancestor"), ["node", "ancestor"], "left_anti")
                .select("node", "ancestor", F.col("b.d").alias("depth"), F.col("b.p").alias("path")))
         nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
-        parts.append(nxt)
-        found = found.unionByName(nxt.select("node", "ancestor"))
+        found = found.unionByName(nxt)
         frontier = nxt
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("node", "ancestor", F.col("depth").cast("int").alias("depth"), "path")
+        rounds += 1
+        if rounds % 16 == 0:  # deep graphs: keep the plan short
+            found = cut_lineage(found)
+    return found.select("node", "ancestor", F.col("depth").cast("int").alias("depth"), "path")
 
 
 def upstream(closure: DataFrame, node: str) -> DataFrame:
@@ -77,41 +77,48 @@ def downstream(closure: DataFrame, node: str) -> DataFrame:
     return closure.where(F.col("ancestor") == node)
 
 
+def cyclic_core(edges: DataFrame, child: str = "node", parent: str = "parent") -> DataFrame:
+    """The edges that are left when nodes that nothing depends on, and nodes that depend on nothing, are peeled off
+    until none is left: those on cycles, and between them."""
+    e = cut_lineage(_edges(edges, child, parent))
+    while True:
+        n = e.count()
+        e = cut_lineage(e.join(e.select(F.col("ancestor").alias("node")).distinct(), "node", "left_semi")
+                        .join(e.select(F.col("node").alias("ancestor")).distinct(), "ancestor", "left_semi")
+                        .select("node", "ancestor"))
+        if e.count() == n:
+            return e
+
+
 def find_cycles(edges: DataFrame, child: str = "node", parent: str = "parent") -> DataFrame:
-    """Nodes on a dependency cycle, with one cycle path each."""
-    c = transitive_closure(edges, child, parent, keep_cycles=True)
+    """Nodes on a dependency cycle, with one cycle path each (G14). Only the cyclic core is closed over."""
+    c = transitive_closure(cyclic_core(edges, child, parent), "node", "ancestor", keep_cycles=True)
     return c.where(F.col("node") == F.col("ancestor"))
 
 
 def build_levels(edges: DataFrame, child: str = "node", parent: str = "parent") -> DataFrame:
     """Topological level per node (G15): 0 for nodes without dependencies,
-    else 1 + the longest chain below. Lower levels run first.
+    else 1 + the longest chain below; lower levels run first. Nodes on a cycle, or above one, have no level: they
+    come with NULL, and ``blocked_by_cycle`` is true for them.
 
-    Levels are computed by peeling: each round assigns the next level to nodes
-    whose dependencies all have a level (iterative anti joins, no closure).
+    Levels are computed by peeling: a node is ready when as many of its dependencies have a level as it has in all.
+    Each round only joins the newest nodes with the edges.
     """
     e = cut_lineage(_edges(edges, child, parent))
     nodes = e.select(F.col("node").alias("n")).union(e.select(F.col("ancestor").alias("n"))).distinct()
-    done = cut_lineage(nodes.join(e.select(F.col("node").alias("n")).distinct(), "n", "left_anti")
-                       .select("n", F.lit(0).alias("level")))
-    level = 0
-    parts = [done]
-    assigned = done.select("n")
-    while True:
+    needs = cut_lineage(e.groupBy("node").agg(F.count(F.lit(1)).alias("left")))
+    newest = cut_lineage(nodes.join(needs.select(F.col("node").alias("n")), "n", "left_anti").select("n", F.lit(0).alias("level")))
+    done, level = newest, 0
+    while not newest.isEmpty():
         level += 1
-        pending_edges = e.join(assigned.withColumnRenamed("n", "node"), "node", "left_anti")
-        blocked = pending_edges.join(assigned.withColumnRenamed("n", "ancestor"), "ancestor", "left_anti") \
-                               .select(F.col("node").alias("n")).distinct()
-        ready = pending_edges.select(F.col("node").alias("n")).distinct().join(blocked, "n", "left_anti")
-        ready = cut_lineage(ready.select("n", F.lit(level).alias("level")))
-        if ready.isEmpty():
-            break
-        parts.append(ready)
-        assigned = cut_lineage(assigned.unionByName(ready.select("n")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.col("n").alias("node"), "level")
+        met = e.join(newest.select(F.col("n").alias("ancestor")), "ancestor", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("met"))
+        needs = cut_lineage(needs.join(met, "node", "left").select("node", (F.col("left") - F.coalesce("met", F.lit(0))).alias("left"),
+                                                                   F.col("met").isNotNull().alias("moved")))
+        newest = needs.where((F.col("left") == 0) & F.col("moved")).select(F.col("node").alias("n"), F.lit(level).alias("level"))
+        needs = needs.where("left > 0").select("node", "left")
+        done = done.unionByName(newest)
+    out = nodes.join(done, "n", "left")
+    return out.select(F.col("n").alias("node"), "level", F.col("level").isNull().alias("blocked_by_cycle"))
 
 
 def column_lineage(mappings: DataFrame, target_col: str = "target_column",

@@ -18,6 +18,8 @@ TECHNIQUES = ("HASH", "TOKENIZE", "REDACT", "PARTIAL", "UC_COLUMN_MASK", "ROW_FI
 # Fixed detector patterns (written for both Java regex and RE2, without \b,
 # whose meaning differs between the two on non-ASCII letters).
 DETECTORS = {
+    "EIN": r"\b[0-9]{2}-[0-9]{7}\b",
+    "DOB": r"(?i)\b(?:dob|born|date of birth)\W{1,3}[0-9]{4}-[0-9]{2}-[0-9]{2}\b",
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
     "SECRET": r"(?i)(api[_-]?key|secret|token|password)\s*[:=]\s*\"?[A-Za-z0-9_\-]{8,}\"?",
     "CARD": r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
@@ -45,8 +47,11 @@ def _guard(detector: str, c: Column) -> Column:
 
 # Redaction order: longer, more specific spans first.
 REDACT_ORDER = ["EMAIL", "SECRET", "CARD", "SSN", "PHONE", "IPV4"]
+#: What text columns are searched for by default; EIN and DOB are for structured columns.
+TEXT_DETECTORS = ("EMAIL", "SECRET", "CARD", "SSN", "PHONE", "IPV4")
 DETECTOR_CLASS = {"EMAIL": "CONFIDENTIAL", "PHONE": "CONFIDENTIAL", "IPV4": "CONFIDENTIAL",
-                  "CARD": "RESTRICTED", "SSN": "RESTRICTED", "SECRET": "RESTRICTED"}
+                  "CARD": "RESTRICTED", "SSN": "RESTRICTED", "SECRET": "RESTRICTED",
+                  "EIN": "RESTRICTED", "DOB": "CONFIDENTIAL"}
 # Fixed column-name hints for structured columns.
 NAME_HINTS = {
     "ssn": "RESTRICTED", "tax_id": "RESTRICTED", "ein": "RESTRICTED", "card": "RESTRICTED",
@@ -84,10 +89,10 @@ def redact(c, dtype: T.DataType | None = None) -> Column:
 
 
 def partial(c, keep: int = 4, mask_char: str = "*") -> Column:
-    """Keep the last ``keep`` characters (M5)."""
+    """Keep the last ``keep`` characters (M5); a value that is no longer than that is masked whole."""
     v = _c(c).cast("string")
-    tail = F.when(F.length(v) > keep, F.substring(v, -keep, keep)).otherwise(v)
-    return F.concat(F.repeat(F.lit(mask_char), F.greatest(F.length(v) - keep, F.lit(0))), tail)
+    hidden = F.when(F.length(v) > keep, F.length(v) - keep).otherwise(F.length(v))
+    return F.concat(F.repeat(F.lit(mask_char), hidden), F.when(F.length(v) > keep, F.substring(v, -keep, keep)).otherwise(F.lit("")))
 
 
 def mask_column(df: DataFrame, column: str, technique: str, **params) -> Column:
@@ -175,7 +180,7 @@ def redact_text(c, detectors: Sequence[str] = tuple(REDACT_ORDER)) -> Column:
     return out
 
 
-def detect_counts(df: DataFrame, column: str, detectors: Sequence[str] = tuple(DETECTORS)) -> DataFrame:
+def detect_counts(df: DataFrame, column: str, detectors: Sequence[str] = TEXT_DETECTORS) -> DataFrame:
     """Per detector: rows with a hit and total matches over a text column (one scan)."""
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for d in detectors:
@@ -190,28 +195,75 @@ def detect_counts(df: DataFrame, column: str, detectors: Sequence[str] = tuple(D
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def classify_pii(df: DataFrame, columns: Sequence[str] | None = None, min_hit_rate: float = 0.0) -> DataFrame:
-    """Column classification from data and names (M8).
+def luhn(c) -> Column:
+    """Whether the digits of a text pass the card checksum: from the right, every second digit doubled, nines cast out."""
+    digits = F.reverse(F.filter(F.split(F.regexp_replace(_c(c).cast("string"), "[^0-9]", ""), ""), lambda x: x != ""))
+    def weighed(x, i):
+        d = x.cast("int")
+        twice = d * 2
+        return F.when(i % 2 == 0, d).otherwise(F.when(twice > 9, twice - 9).otherwise(twice))
+    total = F.aggregate(F.transform(digits, weighed), F.lit(0), lambda s, x: s + x)
+    return (F.size(digits) >= 12) & (total % 10 == 0)
 
-    Output per (column, detector) with any hit plus one row per name hint:
-    column_name, detector, rows_with_hit, match_count, hit_rate,
-    classification (CONFIDENTIAL / RESTRICTED).
+
+def valid_cards(c) -> Column:
+    """Card-like numbers of a text that pass the checksum, as an array."""
+    found = F.regexp_extract_all(_c(c), F.lit("(" + DETECTORS["CARD"] + ")"), F.lit(1))
+    return F.filter(found, lambda x: luhn(x))
+
+
+def classify_pii(df: DataFrame, columns: Sequence[str] | None = None, min_hit_rate: float = 0.0,
+                 detectors: Sequence[str] = TEXT_DETECTORS, name_hints: bool = False) -> DataFrame:
+    """Column classification from data, and from names (M8).
+
+    One row per (column, detector) with any hit: column_name, detector, rows_with_hit, match_count, hit_rate,
+    classification (CONFIDENTIAL / RESTRICTED). With ``name_hints`` also one row, with detector ``NAME:<hint>`` and
+    no counts, for each column whose name carries a hint.
     """
     cols = list(columns) if columns else [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     parts = []
     for c in cols:
-        d = detect_counts(df, c)
+        d = detect_counts(df, c, detectors)
         rate = F.when(F.col("row_count") == 0, F.lit(0.0)).otherwise(F.col("rows_with_hit") / F.col("row_count"))
         cls = F.create_map(*[x for k, v in DETECTOR_CLASS.items() for x in (F.lit(k), F.lit(v))])[F.col("detector")]
         parts.append(d.where((F.col("rows_with_hit") > 0) & (rate >= F.lit(min_hit_rate)))
                      .select("column_name", "detector", "rows_with_hit", "match_count",
                              F.round(rate, 6).cast("decimal(10,6)").alias("hit_rate"), cls.alias("classification")))
+    hints = classify_by_name(df.columns) if name_hints else []
+    if hints:
+        parts.append(df.sparkSession.createDataFrame(
+            [(c, f"NAME:{h}", None, None, None, k) for c, h, k in hints],
+            "column_name string, detector string, rows_with_hit long, match_count long, hit_rate decimal(10,6), classification string"))
+    if not parts:
+        raise ValueError("no column to classify")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def mask_by_classification(df: DataFrame, classification: Mapping[str, str], techniques: Mapping[str, str] | None = None,
+                           **params) -> DataFrame:
+    """Mask every column by its class (P11): RESTRICTED hashed, CONFIDENTIAL partly shown, unless told otherwise."""
+    how = {**SUGGESTED_TECHNIQUE, **(techniques or {})}
+    rules = [{"column": c, "technique": how[k.upper()], **params} for c, k in classification.items()
+             if c in df.columns and k.upper() in how]
+    return apply_masks(df, rules)
+
+
+def search_catalog(catalog: DataFrame, term: str | None = None, classification: str | None = None) -> DataFrame:
+    """Entries of a personal-data catalog (rows of :func:`classify_pii`, with or without a table name) by a part of the
+    column's, table's or detector's name, or by class (G20)."""
+    out = catalog
+    if term:
+        hit = F.lit(False)
+        for c in ("table_name", "column_name", "detector"):
+            if c in catalog.columns:
+                hit = hit | F.lower(F.col(c)).contains(term.lower())
+        out = out.where(hit)
+    return out.where(F.upper("classification") == classification.upper()) if classification else out
+
+
 def classify_by_name(columns: Iterable[str]) -> list[tuple[str, str, str]]:
     """(column, hint, classification) for columns whose name carries a hint."""
     out = []

@@ -14,45 +14,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The canonical entities as (column, type), in the order of their table definitions; "!" marks NOT NULL.
 M = "decimal(18,2)"
-# Canonical entities (column, type); money is DECIMAL(18,2).
 CANONICAL = {
-    "party": [("party_id", "string"), ("party_type", "string"), ("name", "string"), ("first_name", "string"),
-              ("middle_name", "string"), ("last_name", "string"), ("gender", "string"), ("tax_id", "string"),
-              ("email", "string"), ("phone", "string"), ("address_line1", "string"), ("address_line2", "string"),
-              ("city", "string"), ("state", "string"), ("postal_code", "string"), ("country", "string"),
-              ("preferred_language", "string"), ("party_role", "array<string>"), ("date_of_birth", "date"),
-              ("credit_score", "int"), ("created_date", "date"), ("updated_date", "date"),
-              ("source_system", "string"), ("source_party_id", "string")],
-    "policy": [("policy_id", "string"), ("policy_number", "string"), ("party_id", "string"),
-               ("product_type", "string"), ("status", "string"), ("currency", "string"),
-               ("payment_frequency", "string"), ("agent_id", "string"), ("underwriter_id", "string"),
-               ("effective_date", "date"), ("expiration_date", "date"), ("issue_date", "date"),
-               ("premium_amount", M), ("deductible_amount", M), ("policy_limit", M), ("created_date", "date"),
-               ("updated_date", "date"), ("source_system", "string"), ("source_policy_id", "string")],
-    "coverage": [("coverage_id", "string"), ("policy_id", "string"), ("coverage_type", "string"),
-                 ("currency", "string"), ("coverage_limit", M), ("deductible", M), ("premium", M),
-                 ("effective_date", "date"), ("expiration_date", "date"), ("created_date", "date"),
-                 ("updated_date", "date"), ("source_system", "string"), ("source_coverage_id", "string")],
-    "claim": [("claim_id", "string"), ("claim_number", "string"), ("policy_id", "string"), ("coverage_id", "string"),
-              ("claimant_id", "string"), ("claim_type", "string"), ("status", "string"), ("loss_location", "string"),
-              ("loss_description", "string"), ("currency", "string"), ("adjuster_id", "string"),
-              ("loss_date", "date"), ("report_date", "date"), ("close_date", "date"), ("claim_amount", M),
-              ("paid_amount", M), ("reserved_amount", M), ("created_date", "date"), ("updated_date", "date"),
-              ("source_system", "string"), ("source_claim_id", "string")],
-    "payment": [("payment_id", "string"), ("payment_type", "string"), ("policy_id", "string"), ("claim_id", "string"),
-                ("party_id", "string"), ("currency", "string"), ("payment_method", "string"), ("status", "string"),
-                ("reference_number", "string"), ("amount", M), ("payment_date", "date"), ("created_date", "date"),
-                ("updated_date", "date"), ("source_system", "string"), ("source_payment_id", "string")],
-    "loss": [("loss_id", "string"), ("claim_id", "string"), ("loss_type", "string"), ("currency", "string"),
-             ("description", "string"), ("category", "string"), ("loss_date", "date"), ("loss_amount", M),
-             ("created_date", "date"), ("updated_date", "date"), ("source_system", "string"),
-             ("source_loss_id", "string")],
+    "party": [("party_id!", "string"), ("party_type!", "string"), ("party_role", "array<string>"),
+              ("name!", "string"), ("first_name", "string"), ("middle_name", "string"), ("last_name", "string"),
+              ("date_of_birth", "date"), ("gender", "string"), ("tax_id", "string"), ("email", "string"),
+              ("phone", "string"), ("address_line1", "string"), ("address_line2", "string"), ("city", "string"),
+              ("state", "string"), ("postal_code", "string"), ("country!", "string"), ("credit_score", "int"),
+              ("preferred_language!", "string"), ("created_date!", "date"), ("updated_date!", "date"),
+              ("source_system!", "string"), ("source_party_id!", "string")],
+    "policy": [("policy_id!", "string"), ("policy_number!", "string"), ("party_id!", "string"),
+               ("product_type!", "string"), ("status!", "string"), ("effective_date!", "date"),
+               ("expiration_date!", "date"), ("issue_date", "date"), ("premium_amount!", M), ("currency!", "string"),
+               ("payment_frequency", "string"), ("deductible_amount", M), ("policy_limit", M),
+               ("agent_id", "string"), ("underwriter_id", "string"), ("created_date!", "date"),
+               ("updated_date!", "date"), ("source_system!", "string"), ("source_policy_id!", "string")],
+    "coverage": [("coverage_id!", "string"), ("policy_id!", "string"), ("coverage_type!", "string"),
+                 ("coverage_limit!", M), ("deductible", M), ("premium!", M), ("currency!", "string"),
+                 ("effective_date!", "date"), ("expiration_date!", "date"), ("created_date!", "date"),
+                 ("updated_date!", "date"), ("source_system!", "string"), ("source_coverage_id!", "string")],
+    "claim": [("claim_id!", "string"), ("claim_number!", "string"), ("policy_id!", "string"),
+              ("coverage_id", "string"), ("claimant_id!", "string"), ("claim_type!", "string"),
+              ("status!", "string"), ("loss_date!", "date"), ("report_date!", "date"), ("close_date", "date"),
+              ("loss_location", "string"), ("loss_description!", "string"), ("claim_amount!", M),
+              ("paid_amount!", M), ("reserved_amount!", M), ("currency!", "string"), ("adjuster_id", "string"),
+              ("created_date!", "date"), ("updated_date!", "date"), ("source_system!", "string"),
+              ("source_claim_id!", "string")],
+    "payment": [("payment_id!", "string"), ("payment_type!", "string"), ("policy_id", "string"),
+                ("claim_id", "string"), ("party_id!", "string"), ("amount!", M), ("currency!", "string"),
+                ("payment_date!", "date"), ("payment_method!", "string"), ("status!", "string"),
+                ("reference_number", "string"), ("created_date!", "date"), ("updated_date!", "date"),
+                ("source_system!", "string"), ("source_payment_id!", "string")],
+    "loss": [("loss_id!", "string"), ("claim_id!", "string"), ("loss_type!", "string"), ("loss_date!", "date"),
+             ("loss_amount!", M), ("currency!", "string"), ("description", "string"), ("category", "string"),
+             ("created_date!", "date"), ("updated_date!", "date"), ("source_system!", "string"),
+             ("source_loss_id!", "string")],
 }
+NOT_NULL = {e: tuple(n[:-1] for n, _ in cols if n.endswith("!")) for e, cols in CANONICAL.items()}
+CANONICAL = {e: [(n.rstrip("!"), t) for n, t in cols] for e, cols in CANONICAL.items()}
 
 
 def canonical_schema(entity: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T._parse_datatype_string(t), True) for n, t in CANONICAL[entity]])
+    return T.StructType([T.StructField(n, T._parse_datatype_string(t), n not in NOT_NULL[entity]) for n, t in CANONICAL[entity]])
 
 
 def map_to_canonical(df: DataFrame, mapping: Mapping[str, str], entity: str,
@@ -125,10 +129,14 @@ def gold_summary(facts: DataFrame, dims: Sequence[str], premium: str, loss: str,
         clm = F.sum(F.when(F.col(claim_flag), 1).otherwise(0))
     else:
         pol, clm = F.sum(n_policies), F.sum(n_claims)
-    g = facts.rollup(*dims).agg(
+    # the finest level first: only its few rows are expanded into subtotals
+    fine = facts.groupBy(*dims).agg(
         F.sum(F.col(premium).cast("decimal(38,2)")).cast("decimal(38,2)").alias("premium"),
         F.sum(F.col(loss).cast("decimal(38,2)")).cast("decimal(38,2)").alias("losses"),
         pol.cast("bigint").alias("n_policies"), clm.cast("bigint").alias("n_policies_with_claims"))
+    g = fine.rollup(*dims).agg(F.sum("premium").cast("decimal(38,2)").alias("premium"),
+                               F.sum("losses").cast("decimal(38,2)").alias("losses"), F.sum("n_policies").alias("n_policies"),
+                               F.sum("n_policies_with_claims").alias("n_policies_with_claims"))
     return g.select(
         *[F.coalesce(F.col(d).cast("string"), F.lit("ALL")).alias(d) for d in dims], "premium", "losses",
         F.when(F.col("premium") > 0, F.round(F.col("losses").cast("double") / F.col("premium").cast("double"), 6))

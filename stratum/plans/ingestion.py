@@ -23,6 +23,7 @@ from ..operators import history as H
 from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import quarantine as QR
+from ..sources.readers import with_read_retry
 from ..sinks.ledger import RunHandle, RunLedger
 from ..sinks.store import TableStore
 
@@ -110,7 +111,7 @@ def run_ingestion(spark: SparkSession, store: TableStore, ledger: RunLedger, cfg
     run = _Run(store, ledger, cfg, h)
     held: DataFrame | None = None
     try:
-        src = read()
+        src = with_read_retry(read)
         if cfg.watermark:
             src = _above_mark(store, cfg, src)
         src = held = src.persist(StorageLevel.MEMORY_AND_DISK)

@@ -145,7 +145,7 @@ SELECT job, run_id, start_ts, value, CAST(ROUND(mean, 4) AS DECIMAL(18,4)) AS me
 FROM st""")
 def anomaly_durations(spark, sf):
     r = runs(Tables(spark, sf)).select("job", "run_id", "start_ts", "duration_s")
-    out = O.anomalies(r, ["job"], ["start_ts", "run_id"], "duration_s", k=5, z=3.0)
+    out = O.anomalies(r, ["job"], ["start_ts", "run_id"], "duration_s", k=5, z=3.0, scale=2)
     return out.drop("duration_s")
 
 

@@ -24,7 +24,7 @@ def mask_hash(spark, sf):
 
 
 @register("mask_partial", ops=("M5",), sql="""SELECT c_custkey,
-  repeat('*', greatest(length(c_name) - 4, 0)) || CASE WHEN length(c_name) > 4 THEN right(c_name, 4) ELSE c_name END
+  CASE WHEN length(c_name) > 4 THEN repeat('*', length(c_name) - 4) || right(c_name, 4) ELSE repeat('*', length(c_name)) END
   AS c_name FROM customer""")
 def mask_partial(spark, sf):
     c = Tables(spark, sf).customer.select("c_custkey", "c_name")
@@ -188,3 +188,30 @@ UNION ALL SELECT 'l_quantity', 'RANGE', CAST(CAST(MIN(l_quantity) AS DECIMAL(38,
 def dq_suggest(spark, sf):
     li = Tables(spark, sf).lineitem
     return PR.suggest_rules(PR.profile(li, ["l_orderkey", "l_quantity", "l_returnflag"]))
+
+
+@register("mask_by_class", ops=("P11",), sql=f"""SELECT c_custkey, sha256('{SALT}' || c_name) AS c_name, c_nationkey,
+  CASE WHEN length(c_mktsegment) > 3 THEN repeat('*', length(c_mktsegment) - 3) || right(c_mktsegment, 3)
+       ELSE repeat('*', length(c_mktsegment)) END AS c_mktsegment FROM customer""")
+def mask_by_class(spark, sf):
+    c = Tables(spark, sf).customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return MK.mask_by_classification(MK.mask_by_classification(c, {"c_name": "RESTRICTED"}, salt=SALT),
+                                     {"c_mktsegment": "CONFIDENTIAL", "c_nationkey": "PUBLIC"}, keep=3)
+
+
+@register("card_numbers", ops=("M8",), sql="""WITH n AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}')) AS t FROM documents),
+d AS (SELECT doc_id, regexp_replace(t, '[^0-9]', '', 'g') AS g FROM n),
+w AS (SELECT doc_id, list_sum(list_transform(range(1, 17), i -> CASE WHEN i % 2 = 1
+  THEN CAST(substr(reverse(g), i, 1) AS INT)
+  ELSE CASE WHEN 2 * CAST(substr(reverse(g), i, 1) AS INT) > 9 THEN 2 * CAST(substr(reverse(g), i, 1) AS INT) - 9
+            ELSE 2 * CAST(substr(reverse(g), i, 1) AS INT) END END)) AS s FROM d)
+SELECT doc_id, CAST(COUNT(*) AS BIGINT) AS n_found, CAST(SUM(CASE WHEN s % 10 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_valid
+FROM w GROUP BY doc_id""")
+def card_numbers(spark, sf):
+    """Card-like numbers of every text, and how many of them pass the checksum."""
+    d = Tables(spark, sf).documents
+    found = F.regexp_extract_all("text", F.lit("(" + MK.DETECTORS["CARD"] + ")"), F.lit(1))
+    n = d.select("doc_id", F.size(found).alias("n_found"), F.size(MK.valid_cards("text")).alias("n_valid"))
+    return n.where("n_found > 0").select("doc_id", F.col("n_found").cast("bigint").alias("n_found"),
+                                         F.col("n_valid").cast("bigint").alias("n_valid"))

@@ -44,9 +44,9 @@ EDGES_SQL = """e AS (SELECT DISTINCT node, ancestor FROM (
 
 CLOSURE_SQL = f"""WITH RECURSIVE {EDGES_SQL},
 cl(node, ancestor, depth, path) AS (
-  SELECT node, ancestor, 1, node || '>' || ancestor FROM e
+  SELECT node, ancestor, 1, [node, ancestor] FROM e
   UNION ALL
-  SELECT cl.node, e.ancestor, cl.depth + 1, cl.path || '>' || e.ancestor FROM cl JOIN e ON cl.ancestor = e.node)"""
+  SELECT cl.node, e.ancestor, cl.depth + 1, list_append(cl.path, e.ancestor) FROM cl JOIN e ON cl.ancestor = e.node)"""
 
 
 @register("lineage_closure", ops=("G12", "G22"), sql=CLOSURE_SQL + """
@@ -56,19 +56,73 @@ def lineage_closure(spark, sf):
     return L.transitive_closure(data_edges(Tables(spark, sf)))
 
 
-@register("dependency_cycles", ops=("G14",), sql=CLOSURE_SQL + """
-SELECT node, ancestor, CAST(depth AS INTEGER) AS depth, path FROM cl WHERE node = ancestor""")
+def trade_edges(t):
+    """Each supplying nation depends on the foreign nation it sells most to. Every nation has one edge, so there are cycles."""
+    li = t.lineitem.select("l_orderkey", "l_suppkey", line_total().alias("v"))
+    sold = (li.groupBy("l_orderkey", "l_suppkey").agg(F.sum("v").alias("v"))
+            .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy("o_custkey", "l_suppkey").agg(F.sum("v").alias("v"))
+            .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+            .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .where("c_nationkey <> s_nationkey").groupBy("s_nationkey", "c_nationkey").agg(F.sum("v").alias("v")))
+    best = sold.groupBy("s_nationkey").agg(F.max(F.struct("v", "c_nationkey")).alias("m"))
+    name = lambda c: F.concat(F.lit("N:"), c.cast("string"))
+    return best.select(name(F.col("s_nationkey")).alias("node"), name(F.col("m.c_nationkey")).alias("parent"))
+
+
+TRADE_SQL = f"""sold AS (SELECT s_nationkey AS s, c_nationkey AS c, SUM({LINE_TOTAL_SQL}) AS v
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey WHERE c_nationkey <> s_nationkey GROUP BY 1, 2),
+te AS (SELECT 'N:' || CAST(s AS VARCHAR) AS node, 'N:' || CAST(c AS VARCHAR) AS ancestor FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY s ORDER BY v DESC, c DESC) AS rn FROM sold) WHERE rn = 1)"""
+
+
+@register("dependency_cycles", ops=("G14",), sql=f"""WITH RECURSIVE {TRADE_SQL},
+w(node, ancestor, depth, path) AS (SELECT node, ancestor, 1, [node, ancestor] FROM te
+  UNION ALL SELECT w.node, te.ancestor, w.depth + 1, list_append(w.path, te.ancestor) FROM w JOIN te ON w.ancestor = te.node
+  WHERE w.ancestor <> w.node AND w.depth < 26)
+SELECT node, ancestor, CAST(depth AS INTEGER) AS depth, path FROM w WHERE node = ancestor""")
 def dependency_cycles(spark, sf):
-    return L.find_cycles(data_edges(Tables(spark, sf)))
+    return L.find_cycles(trade_edges(Tables(spark, sf)))
 
 
 @register("build_levels", ops=("G15",), sql=CLOSURE_SQL + """
-SELECT node, CAST(MAX(depth) AS INTEGER) AS level FROM cl GROUP BY node
-UNION ALL SELECT DISTINCT ancestor, 0 FROM e WHERE ancestor NOT IN (SELECT node FROM e)""")
+SELECT node, CAST(MAX(depth) AS INTEGER) AS level, FALSE AS blocked_by_cycle FROM cl GROUP BY node
+UNION ALL SELECT DISTINCT ancestor, 0, FALSE FROM e WHERE ancestor NOT IN (SELECT node FROM e)""")
 def build_levels(spark, sf):
     return L.build_levels(data_edges(Tables(spark, sf)))
 
 
+@register("build_levels_blocked", ops=("G15",), sql=f"""WITH {TRADE_SQL}
+SELECT 'R:' || CAST(r_regionkey AS VARCHAR) AS node, 0 AS level, FALSE AS blocked_by_cycle FROM region
+WHERE r_regionkey IN (SELECT n_regionkey FROM nation)
+UNION ALL SELECT 'N:' || CAST(n_nationkey AS VARCHAR),
+  CASE WHEN t.node IS NULL THEN 1 END, t.node IS NOT NULL
+FROM nation LEFT JOIN te t ON t.node = 'N:' || CAST(n_nationkey AS VARCHAR)""")
+def build_levels_blocked(spark, sf):
+    """Nations that trade are on a cycle or lead to one; regions stay free."""
+    t = Tables(spark, sf)
+    to_region = t.nation.select(F.concat(F.lit("N:"), F.col("n_nationkey").cast("string")).alias("node"),
+                                F.concat(F.lit("R:"), F.col("n_regionkey").cast("string")).alias("parent"))
+    return L.build_levels(trade_edges(t).unionByName(to_region))
+
+
+@register("lineage_of_orders_upstream", ops=("G12",), sql="""SELECT 'C:' || CAST(c_custkey AS VARCHAR) AS node,
+  'N:' || CAST(c_nationkey AS VARCHAR) AS ancestor, 1 AS depth FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT 'C:' || CAST(c_custkey AS VARCHAR), 'R:' || CAST(n_regionkey AS VARCHAR), 2
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING'""")
+def lineage_of_orders_upstream(spark, sf):
+    """What one segment's customers depend on: the walk begins at them, not at every node."""
+    t = Tables(spark, sf)
+    c = t.customer.where("c_mktsegment = 'BUILDING'").select(
+        F.concat(F.lit("C:"), F.col("c_custkey").cast("string")).alias("node"),
+        F.concat(F.lit("N:"), F.col("c_nationkey").cast("string")).alias("parent"))
+    n = t.nation.select(F.concat(F.lit("N:"), F.col("n_nationkey").cast("string")).alias("node"),
+                        F.concat(F.lit("R:"), F.col("n_regionkey").cast("string")).alias("parent"))
+    got = L.transitive_closure(c.unionByName(n))
+    return got.where(F.col("node").startswith("C:")).select("node", "ancestor", "depth")
+
+
 # ---------------------------------------------------------------- config as data (EAV)
 
 EAV_TS = "2024-01-01 00:00:00"
@@ -79,7 +133,7 @@ EAV_TYPES = {"c_name": "string", "c_nationkey": "int", "c_acctbal": "decimal(18,
 def _eav_sql() -> str:
     parts = []
     for c in EAV_COLS:
-        v = f"CAST(CAST({c} AS DECIMAL(18,2)) AS VARCHAR)" if c == "c_acctbal" else f"CAST({c} AS VARCHAR)"
+        v = f"CAST({c} AS VARCHAR)"
         parts.append(f"""SELECT c_custkey AS JOB_SK, 'customer' AS PARAM_ZONE, '{c}' AS PARAM_NM, {v} AS PARAM_VAL,
   TIMESTAMP '{EAV_TS}' AS EFF_STRT_DTS, CAST(NULL AS TIMESTAMP) AS EFF_END_DTS, TRUE AS CURR_FLG, 1 AS REC_VER_NO
 FROM customer WHERE {c} IS NOT NULL""")
@@ -364,10 +418,11 @@ def customers_with_orders(spark, sf):
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey""")
 def order_lineage(spark, sf):
     t = Tables(spark, sf)
-    j = (t.lineitem.select("l_orderkey")
+    # one row per order before the joins, so there is nothing to make distinct after them
+    j = (t.lineitem.select("l_orderkey").distinct()
          .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
          .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")))
-    return j.select("l_orderkey", "o_custkey", "c_nationkey").distinct()
+    return j.select("l_orderkey", "o_custkey", "c_nationkey")
 
 
 @register("cost_attribution", ops=("J11", "A12"), sql="""SELECT s.s_nationkey AS nationkey,
@@ -400,11 +455,14 @@ def drift_audit(spark, sf):
 
 
 @register("dq_policy_rules", ops=("Q12",), sql="""SELECT 'policy_dates' AS rule_id, CAST(COUNT(*) AS BIGINT) AS total_count,
-  CAST(SUM(CASE WHEN COALESCE(CAST(o_orderdate AS DATE) <= CAST(o_orderdate AS DATE) + 365, FALSE) THEN 0 ELSE 1 END) AS BIGINT)
-  AS failed_count FROM orders""")
+  CAST(SUM(CASE WHEN COALESCE(o_orderdate <= x, FALSE) THEN 0 ELSE 1 END) AS BIGINT) AS failed_count
+FROM orders LEFT JOIN (SELECT l_orderkey, MIN(l_shipdate) AS x FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""")
 def dq_policy_rules(spark, sf):
+    """The policy's own date rule, on orders that begin at their date and end with their first shipment."""
     from ..operators import quality as Q
-    pol = TR.map_to_canonical(Tables(spark, sf).orders, POLICY_MAP, "policy", POLICY_DEFAULTS)
+    t = Tables(spark, sf)
+    first = t.lineitem.groupBy("l_orderkey").agg(F.min("l_shipdate").alias("expiration_date"))
+    pol = t.orders.join(first, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn("effective_date", F.col("o_orderdate"))
     rules = [Q.Rule("policy_dates", "CUSTOM_SQL", rule_expression=e) for e in Q.DEFAULT_ENTITY_RULES["policy"]]
     return Q.evaluate(pol, rules).select("rule_id", "total_count", "failed_count")
 

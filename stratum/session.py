@@ -8,7 +8,7 @@ do we point it at a fresh scratch folder.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoints go when nothing refers to them any more, and are compressed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -49,24 +52,17 @@ def build_session(master: str | None = None, app: str = "stratum",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only if unset."""
+    """Return the shared checkpoint folder that the session names; a local session without one gets a scratch folder."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
+    if current := sc.getCheckpointDir():
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        # Local runs and tests only: a cluster always names a shared folder.
-        conf_dir = tempfile.mkdtemp(prefix="stratum-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediates."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.replace("file:", ""), "stratum", name) if base.startswith("file:") or base.startswith("/") \
-        else base.rstrip("/") + "/stratum/" + name
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
+        named = tempfile.mkdtemp(prefix="stratum-ckpt-")
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir() or named
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

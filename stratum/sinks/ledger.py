@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import os
 import uuid
 from dataclasses import dataclass
 
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import TableStore
+from .store import TableStore, _fs
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("trace_id", T.StringType()),
@@ -32,7 +31,7 @@ EVENT_SCHEMA = T.StructType([
 END_STATUSES = ("SUCCESS", "FAILED", "TIMEOUT")
 # Fixed whitelist of audit metric names.
 AUDIT_METRICS = ("rows_read", "rows_written", "rows_rejected", "rows_quarantined", "rows_inserted",
-                 "rows_updated", "bytes_read", "bytes_written", "duration_s")
+                 "rows_updated", "bytes_read", "bytes_written", "duration_s", "duration_seconds", "identity", "spark_job_id")
 
 
 @dataclass
@@ -63,28 +62,33 @@ class RunLedger:
             self._fallback(rows)
 
     def _fallback(self, rows: list[dict]) -> None:
+        """Rows as JSON lines in a file of their own, on whatever file system the folder names."""
         if not self.fallback_dir:
             return
-        os.makedirs(self.fallback_dir, exist_ok=True)
-        name = os.path.join(self.fallback_dir, f"ledger-{uuid.uuid4().hex}.json")
-        with open(name, "w") as fh:
-            for r in rows:
-                fh.write(json.dumps(r, default=str) + "\n")
+        fs, p = _fs(self.spark, f"{self.fallback_dir}/ledger-{uuid.uuid4().hex}.json")
+        fs.setWriteChecksum(False)
+        out = fs.create(p, False)
+        try:
+            out.write(bytearray("".join(json.dumps(r, default=str) + "\n" for r in rows).encode()))
+        finally:
+            out.close()
 
     def reload_fallback(self) -> int:
         """Merge fallback rows back into the ledger (G7); returns rows merged."""
-        if not self.fallback_dir or not os.path.isdir(self.fallback_dir):
+        if not self.fallback_dir:
+            return 0
+        fs, folder = _fs(self.spark, self.fallback_dir)
+        if not fs.exists(folder):
             return 0
-        files = [os.path.join(self.fallback_dir, f) for f in os.listdir(self.fallback_dir) if f.endswith(".json")]
+        files = [st.getPath() for st in fs.listStatus(folder) if st.getPath().getName().endswith(".json")]
         if not files:
             return 0
         text_ts = T.StructType([T.StructField(f.name, T.StringType() if f.name == "event_ts" else f.dataType)
                                 for f in EVENT_SCHEMA.fields])
-        df = self.spark.read.schema(text_ts).json(files)
-        df = df.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
-        res = self.store.append(self.table, df)
+        df = self.spark.read.schema(text_ts).json([f.toString() for f in files])
+        res = self.store.append(self.table, df.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")))
         for f in files:
-            os.rename(f, f + ".loaded")
+            fs.rename(f, f.suffix(".loaded"))
         return res.num_output_rows
 
     def _event(self, h: RunHandle, event_type: str, status: str | None, metrics=None, attributes=None) -> dict:

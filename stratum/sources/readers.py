@@ -8,6 +8,7 @@ reach the scan (Parquet / ORC pushdown, JDBC predicate pushdown).
 from __future__ import annotations
 
 import json
+import contextlib
 import time
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -232,21 +233,21 @@ def union_sources(dfs: Sequence[DataFrame], allow_mismatch: bool = False,
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def retry_delays(attempts: int = 3, first: float = 1.0, longest: float = 60.0, backoff: str = "exponential") -> list[float]:
+    """Seconds to wait after each attempt but the last."""
+    grow = (lambda i: 2.0 ** i) if backoff == "exponential" else (lambda i: i + 1.0)
+    return [min(longest, first * grow(i)) for i in range(attempts - 1)]
+
+
 def with_read_retry(fn, attempts: int = 3, base_delay: float = 1.0, max_delay: float = 60.0,
                     backoff: str = "exponential", transient: tuple[type[BaseException], ...] = (OSError,)):
-    """Retry a read action on typed transient errors only.
+    """Call a read until it succeeds or its waits are used up (X3); other errors than the ``transient`` ones pass at once.
 
     Writes are never retried here (a retried write could duplicate data); task
     retries inside Spark cover executor loss.
     """
-    last = None
-    for i in range(attempts):
-        try:
+    for delay in retry_delays(attempts, base_delay, max_delay, backoff):
+        with contextlib.suppress(*transient):
             return fn()
-        except transient as e:  # noqa: PERF203
-            last = e
-            if i == attempts - 1:
-                break
-            delay = base_delay * (2 ** i) if backoff == "exponential" else base_delay * (i + 1)
-            time.sleep(min(delay, max_delay))
-    raise last
+        time.sleep(delay)
+    return fn()

@@ -107,6 +107,9 @@ def test_lineage_cycles_and_levels(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a")], "node string, parent string")
     cyc = {r.node for r in L.find_cycles(e).collect()}
     assert cyc == {"a", "b", "c"}
+    blocked = {r.node: (r.level, r.blocked_by_cycle) for r in L.build_levels(e.union(spark.createDataFrame([("x", "y")], e.schema))).collect()}
+    assert blocked == {"a": (None, True), "b": (None, True), "c": (None, True), "d": (None, True), "x": (1, False), "y": (0, False)}
+    assert {r.node for r in L.transitive_closure(e, start=["d"]).collect()} == {"d"}
     dag = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("d", "c")], "node string, parent string")
     lv = {r.node: r.level for r in L.build_levels(dag).collect()}
     assert lv == {"c": 0, "b": 1, "d": 1, "a": 2}

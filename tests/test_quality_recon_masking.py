@@ -100,7 +100,7 @@ def test_masks(spark):
     out = MK.apply_masks(df, [{"column": "ssn", "technique": "HASH", "salt": "s"},
                               {"column": "name", "technique": "PARTIAL", "keep": 2}]).collect()
     assert out[0].ssn is not None and len(out[0].ssn) == 64 and out[1].ssn is None
-    assert [r.name for r in out] == ["***ce", "bo"]
+    assert [r.name for r in out] == ["***ce", "**"]
     vault = MK.build_vault(df, "name", "s")
     tok = MK.tokenize(df, "name", "s")
     back = MK.detokenize(tok, vault, "name", out="clear")
@@ -111,3 +111,14 @@ def test_masks(spark):
     assert text.select(MK.redact_text("t")).first()[0] == "mail [EMAIL] or [PHONE], card [CARD]"
     assert MK.classify_by_name(["c_name", "tax_id", "amount"]) == [("c_name", "name", "CONFIDENTIAL"),
                                                                   ("tax_id", "tax_id", "RESTRICTED")]
+
+
+def test_card_checksum_and_name_hints(spark):
+    df = spark.createDataFrame([("4111 1111 1111 1111 and 4111 1111 1111 1112", "12-3456789", "born: 1980-02-03")], "t string, tax_id string, note string")
+    assert df.select(F.size(MK.valid_cards("t"))).first()[0] == 1
+    got = {(r.column_name, r.detector): r.classification
+           for r in MK.classify_pii(df, detectors=tuple(MK.DETECTORS), name_hints=True).collect()}
+    assert got[("tax_id", "EIN")] == "RESTRICTED" and got[("note", "DOB")] == "CONFIDENTIAL"
+    assert got[("tax_id", "NAME:tax_id")] == "RESTRICTED"
+    cat = MK.classify_pii(df, detectors=tuple(MK.DETECTORS))
+    assert MK.search_catalog(cat, "tax").count() == 1 and MK.search_catalog(cat, classification="confidential").count() == 1
