@@ -60,10 +60,11 @@ def blank_to_null(c) -> Column:
 def register_sql_functions(spark: SparkSession) -> None:
     """Make the standardisers callable from SQL transforms (SQL functions,
     evaluated inside codegen like any built-in)."""
+    # the same rule as the Column form: ten digits get the country code, fewer than eleven with it are no number
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION phone_e164(p STRING) RETURNS STRING RETURN
-      CASE WHEN length(regexp_replace(p, '[^0-9]', '')) = 10 THEN
-        concat('+1-', substr(regexp_replace(p, '[^0-9]', ''), 1, 3), '-',
-               substr(regexp_replace(p, '[^0-9]', ''), 4, 3), '-', substr(regexp_replace(p, '[^0-9]', ''), 7, 4))
-      END""")
+      SELECT CASE WHEN length(d) < 11 THEN NULL ELSE concat('+', substr(d, 1, length(d) - 10), '-', substr(d, -10, 3), '-',
+               substr(d, -7, 3), '-', substr(d, -4, 4)) END
+      FROM (SELECT CASE WHEN length(n) = 10 THEN concat('1', n) ELSE n END AS d
+            FROM (SELECT regexp_replace(p, '[^0-9]', '') AS n))""")
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION blank_to_null(s STRING) RETURNS STRING RETURN
       nullif(trim(s), '')""")

@@ -144,23 +144,31 @@ def from_param_rows(eav: DataFrame, types: Mapping[str, str], key: str = "JOB_SK
 def save_version(current: DataFrame, changed: DataFrame, keys: Sequence[str], ts,
                  start_col: str = "EFF_STRT_DTS", end_col: str = "EFF_END_DTS",
                  flag_col: str = "CURR_FLG", ver_col: str = "REC_VER_NO") -> DataFrame:
-    """Close the current version of each changed key and add the new one
-    with ``REC_VER_NO + 1`` (type 2 on the EAV keys)."""
+    """Close the current version of each key whose values change and add the new one (type 2 on the EAV keys).
+
+    A key's versions go on from its highest number, closed or not; a row equal to the current version adds none.
+    """
     keys = list(keys)
     t = F.lit(str(ts)).cast("timestamp_ntz")
-    cur = current.where(F.col(flag_col))
-    prior = cur.select(*keys, F.col(ver_col).alias("__v"))
-    new = (changed.join(prior, keys, "left")
-           .withColumn(ver_col, F.coalesce(F.col("__v"), F.lit(0)) + 1).drop("__v")
-           .withColumn(start_col, t).withColumn(end_col, F.lit(None).cast("timestamp_ntz"))
-           .withColumn(flag_col, F.lit(True)))
-    touched = changed.select(*keys).distinct().withColumn("__hit", F.lit(True))
+    meta = (start_col, end_col, flag_col, ver_col)
+    values = [c for c in changed.columns if c not in keys and c not in meta]
+    state = current.groupBy(*keys).agg(
+        F.max(ver_col).alias("__top"),
+        F.max_by(F.struct(F.lit(True).alias("__on"), *values), F.struct(F.col(flag_col), F.col(ver_col))).alias("__was"),
+        F.max(flag_col).alias("__live"))
+    met = changed.join(state, keys, "left")
+    same = F.coalesce(F.col("__live"), F.lit(False))
+    for c in values:
+        same = same & F.col(c).eqNullSafe(F.col(f"__was.{c}"))
+    fresh = met.where(~same)
+    added = (fresh.withColumn(ver_col, F.coalesce(F.col("__top"), F.lit(0)) + 1).withColumn(start_col, t)
+             .withColumn(end_col, F.lit(None).cast("timestamp_ntz")).withColumn(flag_col, F.lit(True)))
+    touched = fresh.select(*keys).distinct().withColumn("__hit", F.lit(True))
     old = current.join(touched, keys, "left")
-    close = F.col("__hit") & F.col(flag_col)
+    close = F.coalesce(F.col("__hit") & F.col(flag_col), F.lit(False))
     old = old.select(*[F.when(close, t).otherwise(F.col(c)).alias(c) if c == end_col else
-                       F.when(close, F.lit(False)).otherwise(F.col(c)).alias(c) if c == flag_col else F.col(c)
-                       for c in current.columns])
-    return old.unionByName(new.select(*current.columns))
+                       (F.col(c) & ~close).alias(c) if c == flag_col else F.col(c) for c in current.columns])
+    return old.unionByName(added.select(*current.columns))
 
 
 # ---------------------------------------------------------------- validation
@@ -171,6 +179,11 @@ def _violations(df: DataFrame, entity: str, id_col: str, rule: str, bad, message
                                 F.lit(rule).alias("rule"), msg.alias("message"))
 
 
+def _unknown(c: str, domain: Sequence[str]):
+    """A value outside its domain; a missing one is outside too."""
+    return ~F.coalesce(F.upper(F.col(c)).isin(*domain), F.lit(False))
+
+
 def validate_config(sources: DataFrame | None = None, targets: DataFrame | None = None,
                     loads: DataFrame | None = None, transforms: DataFrame | None = None,
                     dq_rules: DataFrame | None = None) -> DataFrame:
@@ -184,7 +197,7 @@ def validate_config(sources: DataFrame | None = None, targets: DataFrame | None
         s = sources
         if has(s, "source_type"):
             parts.append(_violations(s, "source", "source_id", "source_type_domain",
-                                     ~F.upper("source_type").isin(*SOURCE_TYPES), "unknown source_type"))
+                                     _unknown("source_type", SOURCE_TYPES), "unknown source_type"))
             if has(s, "file_format"):
                 parts.append(_violations(s, "source", "source_id", "file_needs_format",
                                          (F.upper("source_type") == "FILE") & F.col("file_format").isNull(),
@@ -204,8 +217,13 @@ def validate_config(sources: DataFrame | None = None, targets: DataFrame | None
     if targets is not None:
         t = targets
         if has(t, "layer"):
-            parts.append(_violations(t, "target", "target_id", "layer_domain", ~F.upper("layer").isin(*LAYERS),
+            parts.append(_violations(t, "target", "target_id", "layer_domain", _unknown("layer", LAYERS),
                                      "unknown layer"))
+            if has(t, "table_type"):
+                bad = F.lit(False)
+                for layer, kinds in LAYER_TABLE_TYPES.items():
+                    bad = bad | ((F.upper("layer") == layer) & _unknown("table_type", kinds))
+                parts.append(_violations(t, "target", "target_id", "layer_table_type", bad, "table_type not allowed in this layer"))
         if has(t, "partition_columns") and has(t, "liquid_clustering_columns"):
             both = (F.size(F.coalesce("partition_columns", F.array())) > 0) & \
                    (F.size(F.coalesce("liquid_clustering_columns", F.array())) > 0)
@@ -237,6 +255,15 @@ def validate_config(sources: DataFrame | None = None, targets: DataFrame | None
                                      (F.upper("engine") == "DECLARATIVE") &
                                      ~F.upper("load_pattern").isin("APPEND", "SCD2"),
                                      "declarative engine supports APPEND and SCD2 only"))
+        for c, domain in (("load_type", LOAD_TYPES), ("load_pattern", LOAD_PATTERNS), ("engine", ENGINES)):
+            if has(ld, c):
+                parts.append(_violations(ld, "load", "load_id", f"{c}_domain", _unknown(c, domain), f"unknown {c}"))
+        if has(ld, "engine") and has(ld, "source_id") and has(sources, "source_type"):
+            both = ld.select("load_id", "source_id", "engine").join(sources.select("source_id", "source_type"), "source_id")
+            bad = F.lit(False)
+            for engine, kinds in ENGINE_SOURCES.items():
+                bad = bad | ((F.upper("engine") == engine) & _unknown("source_type", kinds))
+            parts.append(_violations(both, "load", "load_id", "engine_source", bad, "engine can't read this source type"))
         if sources is not None and has(ld, "source_id"):
             parts.append(ld.join(sources.select("source_id"), "source_id", "left_anti")
                          .select(F.lit("load").alias("entity"), F.col("load_id").cast("string").alias("entity_id"),

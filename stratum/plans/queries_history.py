@@ -79,7 +79,7 @@ def scd1_skip_unchanged(spark, sf):
 
 # ---------------------------------------------------------------- SCD2
 
-@register("scd2_customer", ops=("L8", "L9", "L11", "L12", "L13", "J1", "J2", "U1"),
+@register("scd2_customer", ops=("L8", "L9", "L11", "J1", "J2", "U1"),
           sql=_scd2_sql(False) + f"SELECT {SNAP}, {META} FROM hist")
 def scd2_customer(spark, sf):
     return _history(Tables(spark, sf), snapshot=False)[0]
@@ -213,7 +213,7 @@ ORD_OUT_SQL = ("o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIM
                "o_orderdate, o_orderpriority, o_year")
 
 
-@register("partition_overwrite_orders", ops=("L4", "L3"), sql=f"""WITH t AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders),
+@register("partition_overwrite_orders", ops=("L4",), sql=f"""WITH t AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders),
 b AS (SELECT * FROM t WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2000-01-01 00:00:00')
 SELECT {ORD_OUT_SQL} FROM (
   SELECT * FROM t WHERE o_year NOT IN (SELECT DISTINCT o_year FROM b) UNION ALL SELECT * FROM b)""")
@@ -237,7 +237,7 @@ def _changes(t):
                                .when(F.col("event_type") == "error", "D").otherwise("U"))
 
 
-@register("apply_changes_events", ops=("L21", "L20", "S19"), sql=f"""WITH ch AS (SELECT *, {CDC_OP} AS op FROM events),
+@register("apply_changes_events", ops=("L21", "L20"), sql=f"""WITH ch AS (SELECT *, {CDC_OP} AS op FROM events),
 e AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn
       FROM ch WHERE ts < TIMESTAMP '{CDC_SPLIT}') WHERE rn = 1),
 t0 AS (SELECT event_id, ts, user_id, event_type, value, props FROM e WHERE op <> 'D'),
@@ -387,3 +387,30 @@ def apply_changes_replayed(spark, sf):
         state = M.apply_changes(state, parts[i], ["user_id"], ["ts", "event_id"], "op", tombstones=True)
     return M.live_rows(state).select("event_id", "ts", "user_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"),
                                      "props")
+
+
+# ---------------------------------------------------------------- a key of two columns
+
+def _segments(t, day: int):
+    return D.customer_day(t.customer, t.orders, day).groupBy("c_nationkey", "c_mktsegment").agg(
+        F.sum(F.when(F.col("tier") == "GOLD", 1).otherwise(0)).cast("int").alias("n_gold"))
+
+
+SEG_HASH = row_hash_sql(["n_gold"])
+
+
+@register("scd2_two_keys", ops=("L8", "L13"), sql=f"""WITH {D.DAYS_SQL},
+s1 AS (SELECT c_nationkey, c_mktsegment, CAST(SUM(CASE WHEN tier = 'GOLD' THEN 1 ELSE 0 END) AS INTEGER) AS n_gold FROM d1 GROUP BY 1, 2),
+s2 AS (SELECT c_nationkey, c_mktsegment, CAST(SUM(CASE WHEN tier = 'GOLD' THEN 1 ELSE 0 END) AS INTEGER) AS n_gold FROM d2 GROUP BY 1, 2),
+h AS (SELECT *, {SEG_HASH} AS __row_hash FROM s1), b AS (SELECT *, {SEG_HASH} AS __row_hash FROM s2)
+SELECT h.c_nationkey, h.c_mktsegment, h.n_gold, TIMESTAMP '{D.T1}' AS __start_at,
+  CASE WHEN b.n_gold <> h.n_gold THEN TIMESTAMP '{D.T2}' ELSE CAST(NULL AS TIMESTAMP) END AS __end_at,
+  COALESCE(b.n_gold = h.n_gold, TRUE) AS __is_current, h.__row_hash
+FROM h LEFT JOIN b ON h.c_nationkey = b.c_nationkey AND h.c_mktsegment = b.c_mktsegment
+UNION ALL SELECT b.c_nationkey, b.c_mktsegment, b.n_gold, TIMESTAMP '{D.T2}', CAST(NULL AS TIMESTAMP), TRUE, b.__row_hash
+FROM b LEFT JOIN h ON h.c_nationkey = b.c_nationkey AND h.c_mktsegment = b.c_mktsegment WHERE h.n_gold IS NULL OR h.n_gold <> b.n_gold""")
+def scd2_two_keys(spark, sf):
+    t = Tables(spark, sf)
+    keys = ["c_nationkey", "c_mktsegment"]
+    h, _, _ = H.scd2_merge(None, _segments(t, 1), keys, D.T1)
+    return H.scd2_merge(h, _segments(t, 2), keys, D.T2).history

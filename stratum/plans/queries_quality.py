@@ -118,7 +118,7 @@ def _ord_out(df, *extra):
     return df.select(*ORD_OUT, F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"), *extra)
 
 
-@register("dq_split_good", ops=("Q10", "P11"), sql=FLAGGED_SQL + f"""SELECT {OUT_SQL},
+@register("dq_split_good", ops=("Q10",), sql=FLAGGED_SQL + f"""SELECT {OUT_SQL},
   {_ids_sql([r for r in RULES if r.action == 'WARN'])} AS dq_warnings FROM fl WHERE NOT ({IS_BAD_SQL})""")
 def dq_split_good(spark, sf):
     t = Tables(spark, sf)
@@ -180,7 +180,7 @@ Q_PAYLOAD = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orde
              "c_mktsegment"]
 
 
-@register("quarantine_stamp", ops=("L24", "L25", "F4", "F12"), sql=FLAGGED_SQL + f"""SELECT *,
+@register("quarantine_stamp", ops=("L24", "F4", "F12"), sql=FLAGGED_SQL + f"""SELECT *,
   'q_' || substr({row_hash_sql([f"'{RUN_ID}'", "'DQ_FAILURE'"] + Q_PAYLOAD)}, 1, 32) AS quarantine_id,
   '{RUN_ID}' AS run_id, 'DQ_FAILURE' AS reason_category, 'failed quarantine rules' AS reason_detail,
   TIMESTAMP '{Q_TS}' AS quarantine_timestamp, CAST(TIMESTAMP '{Q_TS}' AS DATE) AS quarantine_date

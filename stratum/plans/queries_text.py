@@ -55,7 +55,7 @@ COLUMN_RULES = [{"column": "c_name", "technique": "PARTIAL", "keep": 4, "exempt_
                 {"column": "c_acctbal", "technique": "REDACT", "exempt_groups": ["pii_reader", "finance"]}]
 
 
-@register("column_mask_view", ops=("M6", "P10"), sql="""SELECT c_custkey,
+@register("column_mask_view", ops=("M6",), sql="""SELECT c_custkey,
   repeat('*', greatest(length(c_name) - 4, 0)) || CASE WHEN length(c_name) > 4 THEN right(c_name, 4) ELSE c_name END
   AS c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment FROM customer""")
 def column_mask_view(spark, sf):
@@ -202,7 +202,7 @@ def mask_by_class(spark, sf):
 @register("card_numbers", ops=("M8",), sql="""WITH n AS (
   SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}')) AS t FROM documents),
 d AS (SELECT doc_id, regexp_replace(t, '[^0-9]', '', 'g') AS g FROM n),
-w AS (SELECT doc_id, list_sum(list_transform(range(1, 17), i -> CASE WHEN i % 2 = 1
+w AS (SELECT doc_id, list_sum(list_transform(range(1, 17), lambda i: CASE WHEN i % 2 = 1
   THEN CAST(substr(reverse(g), i, 1) AS INT)
   ELSE CASE WHEN 2 * CAST(substr(reverse(g), i, 1) AS INT) > 9 THEN 2 * CAST(substr(reverse(g), i, 1) AS INT) - 9
             ELSE 2 * CAST(substr(reverse(g), i, 1) AS INT) END END)) AS s FROM d)

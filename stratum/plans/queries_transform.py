@@ -49,7 +49,7 @@ cl(node, ancestor, depth, path) AS (
   SELECT cl.node, e.ancestor, cl.depth + 1, list_append(cl.path, e.ancestor) FROM cl JOIN e ON cl.ancestor = e.node)"""
 
 
-@register("lineage_closure", ops=("G12", "G22"), sql=CLOSURE_SQL + """
+@register("lineage_closure", ops=("G12",), sql=CLOSURE_SQL + """
 SELECT node, ancestor, CAST(min({'d': depth, 'p': path}).d AS INTEGER) AS depth, min({'d': depth, 'p': path}).p AS path
 FROM cl GROUP BY node, ancestor""")
 def lineage_closure(spark, sf):
@@ -248,7 +248,7 @@ def phone_standardize(spark, sf):
     return p.select("doc_id", "raw", S.phone_e164("raw").alias("phone"))
 
 
-@register("policy_number_parse", ops=("F7", "F6"), sql="""SELECT c_custkey,
+@register("policy_number_parse", ops=("F7",), sql="""SELECT c_custkey,
   nullif(upper(regexp_extract(trim(c_name), '^([A-Za-z]+)[#-]?0*([0-9]+)$', 1)), '') AS prefix,
   CAST(nullif(regexp_extract(trim(c_name), '^([A-Za-z]+)[#-]?0*([0-9]+)$', 2), '') AS BIGINT) AS number,
   CASE WHEN nullif(upper(regexp_extract(trim(c_name), '^([A-Za-z]+)[#-]?0*([0-9]+)$', 1)), '') IS NOT NULL THEN
@@ -323,7 +323,7 @@ def cdc_parse_events(spark, sf):
     return _ev_out(RD.parse_cdc(raw, "value", EVENT_SCHEMA, ["event_id"]), "_op", "_seq")
 
 
-@register("kafka_parse_events", ops=("ST3", "ST2"), sql=f"SELECT {EV_OUT_SQL}, 'events' AS topic, event_id AS offset FROM events")
+@register("kafka_parse_events", ops=("ST3",), sql=f"SELECT {EV_OUT_SQL}, 'events' AS topic, event_id AS offset FROM events")
 def kafka_parse_events(spark, sf):
     e = Tables(spark, sf).events
     records = ST.as_kafka_records(e, key_col="user_id", topic="events", offset_col="event_id")
@@ -414,7 +414,7 @@ def customers_with_orders(spark, sf):
     return t.customer.join(open_orders, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
-@register("order_lineage", ops=("J7", "G13"), sql="""SELECT DISTINCT l.l_orderkey, o.o_custkey, c.c_nationkey
+@register("order_lineage", ops=("J7",), sql="""SELECT DISTINCT l.l_orderkey, o.o_custkey, c.c_nationkey
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey""")
 def order_lineage(spark, sf):
     t = Tables(spark, sf)
@@ -477,3 +477,18 @@ def data_dictionary(spark, sf):
         F.concat_ws(",", F.array_sort(F.collect_list("rule_type"))).alias("suggested_rules"))
     return prof.join(rules, "column_name", "left").select("column_name", "type", "null_count", "distinct_approx",
                                                           "min", "max", "suggested_rules")
+
+
+@register("address_normalize", ops=("F6",), sql="""SELECT c_custkey, upper(regexp_replace(trim(c_name), '\\s+', ' ', 'g')) AS line1,
+  upper(trim(n_name)) AS city, upper(trim(r_name)) AS state, 'N' || CAST(n_nationkey AS VARCHAR) || 'R' || CAST(r_regionkey AS VARCHAR) AS postal_code
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def address_normalize(spark, sf):
+    from ..functions.standardize import normalize_address
+    t = Tables(spark, sf)
+    geo = t.nation.join(t.region, t.nation.n_regionkey == t.region.r_regionkey)
+    j = t.customer.join(geo, t.customer.c_nationkey == geo.n_nationkey)
+    raw = F.struct(F.concat(F.lit("  "), F.lower("c_name"), F.lit("  ")).alias("line1"), F.lit(" ").alias("line2"), F.lower("n_name").alias("city"),
+                   F.lower("r_name").alias("state"), F.concat(F.lit("n"), "n_nationkey", F.lit(" r"), "r_regionkey").alias("postal_code"),
+                   F.lit(None).cast("string").alias("country"))
+    a = normalize_address(raw)
+    return j.select("c_custkey", a["line1"].alias("line1"), a["city"].alias("city"), a["state"].alias("state"), a["postal_code"].alias("postal_code"))

@@ -7,8 +7,8 @@ reach the scan (Parquet / ORC pushdown, JDBC predicate pushdown).
 
 from __future__ import annotations
 
-import json
 import contextlib
+import json
 import time
 from collections.abc import Mapping, Sequence
 from functools import reduce

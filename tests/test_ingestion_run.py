@@ -160,3 +160,70 @@ def test_write_failure_goes_to_quarantine(spark, env):
     with pytest.raises(OSError):
         _run(spark, (broken, ledger), spark.createDataFrame([(1, "a")], "k int, v string"))
     assert _quarantine(st) == {"WRITE_FAILURE": 1}
+
+
+def test_feed_document_runs_to_silver(spark, env, tmp_dir):
+    import json
+
+    from stratum.plans import feeds
+
+    st, ledger = env
+    feed = {"source": {"source_id": "src_p", "source_type": "CDC", "active_flag": True},
+            "target_bronze": {"target_id": "b", "schema_name": "bronze", "table_name": "policy", "layer": "BRONZE",
+                              "primary_key": ["policy_id"], "active_flag": True},
+            "target_silver": {"target_id": "s", "schema_name": "silver", "table_name": "policy", "layer": "SILVER",
+                              "primary_key": ["policy_id"], "active_flag": True},
+            "load": {"load_id": "l", "load_type": "BATCH", "load_pattern": "APPEND", "engine": "SPARK_SQL", "active_flag": True},
+            "transform_silver": {"scd_type": "SCD2", "scd_key_columns": "policy_number", "engine": "SPARK_SQL", "active_flag": True},
+            "dq_rules": [{"dq_rule_id": "pk", "target_id": "s", "rule_type": "NOT_NULL", "column_name": "policy_id",
+                          "on_failure": "FAIL", "threshold_percent": 1.0, "active_flag": True},
+                         {"dq_rule_id": "uq", "target_id": "s", "rule_type": "UNIQUE", "column_name": "policy_id",
+                          "on_failure": "QUARANTINE", "threshold_percent": None, "active_flag": True}]}
+    path = f"{tmp_dir}/feed.json"
+    with open(path, "w") as f:
+        json.dump(feed, f, indent=1)
+    configs = feeds.configs_of_feed(spark, path, "2024-01-01 00:00:00")
+    assert configs["silver"].load_pattern == "SCD2" and list(configs["silver"].keys) == ["policy_number"]
+    assert [r.threshold for r in configs["silver"].rules] == [1.0, 1.0] and not configs["bronze"].rules
+    df = spark.createDataFrame([("1", "P1"), ("2", "P2"), ("2", "P3")], "policy_id string, policy_number string")
+    done = feeds.run_feed(spark, st, ledger, configs, lambda: df)
+    assert {k: v.status for k, v in done.items()} == {"bronze": "SUCCESS", "silver": "SUCCESS"}
+    assert H.current(st.read("silver/policy")).count() == 1 and st.read("silver/policy_quarantine").count() == 2
+
+
+def test_config_rows_and_waves(spark):
+    from stratum.plans import feeds
+
+    loads = spark.createDataFrame([("l1", "t1", "INCREMENTAL", "MERGE", "ts", True)],
+                                  "load_id string, target_id string, load_type string, load_pattern string, watermark_column string, "
+                                  "active_flag boolean").withColumn("merge_keys", F.array(F.lit("k")))
+    targets = spark.createDataFrame([("t1", "silver", "x", "SILVER")], "target_id string, schema_name string, table_name string, layer string")
+    cfg = feeds.config_of_load(loads, targets, "l1")
+    assert (cfg.load_pattern, list(cfg.keys), cfg.watermark, cfg.target_table) == ("SCD1", ["k"], "ts", "silver/x")
+    dep = spark.createDataFrame([("b", "a", True), ("c", "b", True), ("c", "z", True), ("a", "c", False)],
+                                "object_id string, depends_on_id string, active_flag boolean")
+    assert feeds.in_order(dep, ["a", "b", "c", "d"]) == [["a", "d"], ["b"], ["c"]]
+    with pytest.raises(ValueError):
+        feeds.in_order(dep.withColumn("active_flag", F.lit(True)), ["a", "b", "c"])
+
+
+def test_config_versions_and_exact_doubles(spark):
+    from stratum.operators import config as C
+
+    eav = C.to_param_rows(spark.createDataFrame([(1, 0.995, 0.001)], "job long, a double, b double"), "job", "z",
+                          eff_ts="2024-01-01 00:00:00")
+    back = C.from_param_rows(eav, {"a": "double", "b": "double"}).first()
+    assert (back.a, back.b) == (0.995, 0.001)
+    keys = ["JOB_SK", "PARAM_ZONE", "PARAM_NM"]
+    row = eav.where("PARAM_NM = 'a'").drop("REC_VER_NO", "EFF_STRT_DTS", "EFF_END_DTS", "CURR_FLG")
+    assert C.save_version(eav, row, keys, "2024-02-01 00:00:00").count() == 2
+    v2 = C.save_version(eav, row.withColumn("PARAM_VAL", F.lit("2")), keys, "2024-02-01 00:00:00")
+    closed = v2.withColumn("CURR_FLG", F.lit(False))
+    v3 = C.save_version(closed, row, keys, "2024-03-01 00:00:00")
+    assert v3.agg(F.max("REC_VER_NO")).first()[0] == 3
+    bad = C.validate_config(spark.createDataFrame([("src_a", None), ("src_b", "FILE")], "source_id string, source_type string"),
+                            spark.createDataFrame([("t", "GOLD", "DELTA_EXTERNAL")], "target_id string, layer string, table_type string"),
+                            spark.createDataFrame([("l", "src_b", "t", "SPARK_SQL", "FULL")],
+                                                  "load_id string, source_id string, target_id string, engine string, load_type string"))
+    assert {(r.entity_id, r.rule) for r in bad.collect()} == {
+        ("src_a", "source_type_domain"), ("t", "layer_table_type"), ("l", "engine_source"), ("l", "load_type_domain")}
