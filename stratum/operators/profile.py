@@ -73,8 +73,13 @@ def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+#: A column whose estimated distinct values are fewer than this share of the rows is no key: ten standard errors of the
+#: estimate below, so the screen drops no true key. What it keeps is confirmed exactly.
+KEY_SCREEN = 0.5
+
+
 def candidate_keys(df: DataFrame, combos: Sequence[Sequence[str]] | None = None,
-                   screen_ratio: float = 0.8) -> DataFrame:
+                   screen_ratio: float = KEY_SCREEN) -> DataFrame:
     """Column sets that are unique and NULL-free.
 
     A one-row aggregate screens every single column (HyperLogLog estimate,
@@ -128,16 +133,31 @@ def candidate_watermarks(df: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def suggest_rules(prof: DataFrame, keys: DataFrame | None = None, max_enum: int = 10) -> DataFrame:
-    """Rule suggestions from a profile (A17): NOT_NULL for NULL-free columns,
-    RANGE [min, max] for numeric columns, UNIQUE for confirmed keys.
+def accepted_values(df: DataFrame, prof: DataFrame, max_enum: int = 10) -> DataFrame:
+    """(column_name, values) of the text columns with at most ``max_enum`` values: one aggregate over those columns.
+
+    The profile's estimate picks the columns, so a set holds little more than ``max_enum`` values.
+    """
+    few = [r["column_name"] for r in prof.where((F.col("type") == "string") & F.col("distinct_approx").between(1, 2 * max_enum))
+           .select("column_name").collect()]  # a row per column
+    if not few:
+        return df.sparkSession.createDataFrame([], "column_name string, values array<string>")
+    one = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in few])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("values")) for c in few])
+    return one.select(F.explode(rows).alias("r")).select("r.*").where(F.size("values") <= max_enum)
+
+
+def suggest_rules(prof: DataFrame, keys: DataFrame | None = None, values: DataFrame | None = None) -> DataFrame:
+    """Rule suggestions from a profile (A17): NOT_NULL for NULL-free columns, RANGE [min, max] for numeric
+    columns, UNIQUE for confirmed keys, ACCEPTED_VALUES for columns with few values (:func:`accepted_values`).
     Output: column_name, rule_type, rule_expression."""
-    nn = prof.where(F.col("null_count") == 0).select("column_name", F.lit("NOT_NULL").alias("rule_type"),
-                                                      F.lit(None).cast("string").alias("rule_expression"))
-    rng = prof.where(F.col("mean").isNotNull()).select(
-        "column_name", F.lit("RANGE").alias("rule_type"), F.concat_ws(",", "min", "max").alias("rule_expression"))
-    out = nn.unionByName(rng)
+    def of(df: DataFrame, name: str, kind: str, expression) -> DataFrame:
+        return df.select(F.col(name).alias("column_name"), F.lit(kind).alias("rule_type"), expression.cast("string").alias("rule_expression"))
+
+    out = of(prof.where(F.col("null_count") == 0), "column_name", "NOT_NULL", F.lit(None)).unionByName(
+        of(prof.where(F.col("mean").isNotNull()), "column_name", "RANGE", F.concat_ws(",", "min", "max")))
     if keys is not None:
-        out = out.unionByName(keys.select(F.col("column_set").alias("column_name"), F.lit("UNIQUE").alias("rule_type"),
-                                          F.lit(None).cast("string").alias("rule_expression")))
+        out = out.unionByName(of(keys, "column_set", "UNIQUE", F.lit(None)))
+    if values is not None:
+        out = out.unionByName(of(values, "column_name", "ACCEPTED_VALUES", F.array_join("values", ",")))
     return out

@@ -145,29 +145,38 @@ def profile_orders(spark, sf):
     return PR.profile(Tables(spark, sf).orders, ORDER_PROFILE_COLS).drop("distinct_approx", "p50")
 
 
-@register("profile_top_values", ops=("A14", "O3"), sql="""SELECT column_name, value, count FROM (
-  SELECT column_name, value, count, ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY count DESC, value ASC NULLS FIRST) rn
-  FROM (SELECT 'o_orderstatus' AS column_name, CAST(o_orderstatus AS VARCHAR) AS value, CAST(COUNT(*) AS BIGINT) AS count
-        FROM orders GROUP BY 2
-        UNION ALL SELECT 'o_orderpriority', CAST(o_orderpriority AS VARCHAR), CAST(COUNT(*) AS BIGINT) FROM orders GROUP BY 2
-        UNION ALL SELECT 'l_returnflag', CAST(l_returnflag AS VARCHAR), CAST(COUNT(*) AS BIGINT) FROM lineitem GROUP BY 2))
-WHERE rn <= 3""")
+ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+LINE_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+LINE_TEXTS = ("l_returnflag", "l_linestatus")
+
+
+def _top_sql(k: int) -> str:
+    counts = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, CAST(COUNT(*) AS BIGINT) AS count "
+                                "FROM orders GROUP BY 2" for c in ORDER_COLS)
+    return f"""SELECT column_name, value, count FROM (SELECT column_name, value, count,
+  ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY count DESC, value ASC NULLS FIRST) rn FROM ({counts})) WHERE rn <= {k}"""
+
+
+@register("profile_top_values", ops=("A14", "O3"), sql=_top_sql(3))
 def profile_top_values(spark, sf):
-    t = Tables(spark, sf)
-    a = PR.top_values(t.orders, ["o_orderstatus", "o_orderpriority"], k=3)
-    return a.unionByName(PR.top_values(t.lineitem, ["l_returnflag"], k=3))
-
-
-@register("candidate_keys", ops=("A15",), sql="""SELECT column_set, row_count, distinct_count, is_key FROM (
-  SELECT 'o_orderkey' AS column_set, COUNT(*) AS row_count, COUNT(DISTINCT o_orderkey) AS distinct_count,
-    COUNT(DISTINCT o_orderkey) = COUNT(*) AND COUNT(o_orderkey) = COUNT(*) AS is_key FROM orders
-  UNION ALL SELECT 'o_custkey', COUNT(*), COUNT(DISTINCT o_custkey),
-    COUNT(DISTINCT o_custkey) = COUNT(*) AND COUNT(o_custkey) = COUNT(*) FROM orders
-  UNION ALL SELECT 'o_orderkey,o_custkey', COUNT(*), COUNT(DISTINCT (o_orderkey, o_custkey)),
-    COUNT(DISTINCT (o_orderkey, o_custkey)) = COUNT(*) FROM orders) WHERE is_key""")
+    return PR.top_values(Tables(spark, sf).orders, ORDER_COLS, k=3)
+
+
+KEY_SETS = [[c] for c in ORDER_COLS] + [["o_custkey", "o_orderdate"], ["o_orderkey", "o_custkey"]]
+
+
+def _keys_sql() -> str:
+    parts = []
+    for cols in KEY_SETS:
+        value = cols[0] if len(cols) == 1 else f"({', '.join(cols)})"
+        parts.append(f"SELECT '{','.join(cols)}' AS column_set, COUNT(*) AS row_count, COUNT(DISTINCT {value}) AS distinct_count, "
+                     f"COUNT(DISTINCT {value}) = COUNT(*) AS is_key FROM orders")
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE is_key"
+
+
+@register("candidate_keys", ops=("A15",), sql=_keys_sql())
 def candidate_keys(spark, sf):
-    o = Tables(spark, sf).orders
-    return PR.candidate_keys(o, [["o_orderkey"], ["o_custkey"], ["o_orderkey", "o_custkey"]])
+    return PR.candidate_keys(Tables(spark, sf).orders, KEY_SETS)
 
 
 @register("candidate_watermarks", ops=("A16",), sql="""SELECT 'ts' AS column_name, 'timestamp_ntz' AS type,
@@ -177,17 +186,23 @@ def candidate_watermarks(spark, sf):
     return PR.candidate_watermarks(Tables(spark, sf).events)
 
 
-@register("dq_suggest", ops=("A17",), sql="""SELECT column_name, 'NOT_NULL' AS rule_type, CAST(NULL AS VARCHAR) AS rule_expression
-FROM (SELECT 'l_orderkey' AS column_name, COUNT(*) - COUNT(l_orderkey) AS n FROM lineitem
-      UNION ALL SELECT 'l_quantity', COUNT(*) - COUNT(l_quantity) FROM lineitem
-      UNION ALL SELECT 'l_returnflag', COUNT(*) - COUNT(l_returnflag) FROM lineitem) WHERE n = 0
-UNION ALL SELECT 'l_orderkey', 'RANGE', CAST(CAST(MIN(l_orderkey) AS DECIMAL(38,6)) AS VARCHAR) || ','
-  || CAST(CAST(MAX(l_orderkey) AS DECIMAL(38,6)) AS VARCHAR) FROM lineitem
-UNION ALL SELECT 'l_quantity', 'RANGE', CAST(CAST(MIN(l_quantity) AS DECIMAL(38,6)) AS VARCHAR) || ','
-  || CAST(CAST(MAX(l_quantity) AS DECIMAL(38,6)) AS VARCHAR) FROM lineitem""")
+def _suggest_sql() -> str:
+    every = (*LINE_NUMBERS, *LINE_TEXTS, "l_shipdate")
+    nulls = " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS n FROM lineitem" for c in every)
+    dec = "CAST(CAST({f}({c}) AS DECIMAL(38,6)) AS VARCHAR)"
+    ranges = " UNION ALL ".join(f"SELECT '{c}', 'RANGE', {dec.format(f='MIN', c=c)} || ',' || {dec.format(f='MAX', c=c)} FROM lineitem"
+                                for c in LINE_NUMBERS)
+    enums = " UNION ALL ".join(f"SELECT '{c}', 'ACCEPTED_VALUES', string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT {c} AS v FROM lineitem)"
+                               for c in LINE_TEXTS)
+    return f"""SELECT column_name, 'NOT_NULL' AS rule_type, CAST(NULL AS VARCHAR) AS rule_expression FROM ({nulls}) WHERE n = 0
+UNION ALL {ranges} UNION ALL {enums}"""
+
+
+@register("dq_suggest", ops=("A17",), sql=_suggest_sql())
 def dq_suggest(spark, sf):
     li = Tables(spark, sf).lineitem
-    return PR.suggest_rules(PR.profile(li, ["l_orderkey", "l_quantity", "l_returnflag"]))
+    prof = PR.profile(li)
+    return PR.suggest_rules(prof, values=PR.accepted_values(li, prof))
 
 
 @register("mask_by_class", ops=("P11",), sql=f"""SELECT c_custkey, sha256('{SALT}' || c_name) AS c_name, c_nationkey,
