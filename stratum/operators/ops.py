@@ -50,9 +50,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def last_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, rank_col: str = "recency") -> DataFrame:
-    """The ``n`` most recent rows per key (W3); ``recency`` 1 = newest."""
-    ranked = ordered_scan(df, keys, [F.col(c).desc() for c in order], index_col=rank_col)
-    return ranked.where(F.col(rank_col) <= n)
+    """The ``n`` most recent rows per key (W3); ``recency`` 1 = newest.
+
+    Spark limits each key to ``n`` rows in every task before the shuffle (window group limit), so a hot key
+    sends few rows on.
+    """
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    return df.withColumn(rank_col, F.row_number().over(newest).cast("bigint")).where(F.col(rank_col) <= n)
 
 
 def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, k: int, scale: int = 6) -> DataFrame:
