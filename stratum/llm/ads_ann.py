@@ -39,6 +39,8 @@ MAX_LISTS = 1024
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 #: Dimensions of a column block, vectors tested at a time, and the test's slack (larger: fewer wrong abandonments).
 COLUMNS, CHUNK, SLACK = 16, 1024, 2.1
+#: Share of pairs still alive under which they are followed one by one.
+SPARSE = 0.04
 
 
 @dataclass(frozen=True)
@@ -101,41 +103,47 @@ def scan_block(ids: np.ndarray, x: np.ndarray, z: np.ndarray, qids: np.ndarray,
     all pairs still alive, densely while most are, then pair by pair.
     """
     dim, n = z.shape[1], len(qids)
-    norms = np.stack([np.einsum("ij,ij->i", z[:, d:d + COLUMNS], z[:, d:d + COLUMNS]) for d in range(0, dim, COLUMNS)], axis=1)
-    q_norms = np.stack([np.einsum("ij,ij->i", zq[:, d:d + COLUMNS], zq[:, d:d + COLUMNS]) for d in range(0, dim, COLUMNS)], axis=1)
-    limit = np.full(n, np.inf)  # each query's distance to its k-th best so far
-    near = np.full((n, k), np.inf)
-    who, got, score = [], [], []
+    # partial distances of a column block as one product: [-2 q, 1, |q|^2] . [z, |z|^2, 1]; single precision is enough to
+    # test with, scores are computed from the originals
+    blocks = []
+    for d in range(0, dim, COLUMNS):
+        zb, qb = z[:, d:d + COLUMNS], zq[:, d:d + COLUMNS]
+        left = np.hstack([-2 * qb, np.ones((n, 1)), np.einsum("ij,ij->i", qb, qb)[:, None]]).astype(np.float32)
+        right = np.vstack([zb.T, np.einsum("ij,ij->i", zb, zb)[None], np.ones((1, len(z)))]).astype(np.float32)
+        blocks.append((min(dim, d + COLUMNS), left, right))
+    open_end = np.float32(1e30)  # more than any distance, less than that of a query's own row
+    limit = np.full(n, open_end, np.float32)  # each query's distance to its k-th best so far
+    near = np.full((n, k), open_end, np.float32)
+    who, got = [], []
     first = min(len(ids), max(8 * k, 128))
     for a, e in zip([0, *range(first, len(ids), CHUNK)], [first, *range(first + CHUNK, len(ids) + CHUNK, CHUNK)]):
         chunk = np.arange(a, min(e, len(ids)))
-        far = np.zeros((n, len(chunk)))
-        far[qids[:, None] == ids[chunk][None, :]] = np.inf
+        far = np.zeros((n, len(chunk)), np.float32)
+        far[qids[:, None] == ids[chunk][None, :]] = 3e38
         rows = cols = None
-        for c, d in enumerate(range(0, dim, COLUMNS)):
-            f = min(dim, d + COLUMNS)
+        for f, left, right in blocks:
+            top = limit * np.float32(f / dim * (1 + SLACK / np.sqrt(f)) ** 2 if f < dim else 1 + 1e-5) + np.float32(1e-6)
             if rows is None:
-                far += q_norms[:, c:c + 1] + norms[chunk, c] - 2 * (zq[:, d:f] @ z[chunk, d:f].T)
-                alive = far * (dim / f) <= (limit * (1 + SLACK / np.sqrt(f)) ** 2)[:, None] if f < dim else far <= limit[:, None] * (1 + 1e-9) + 1e-9
-                alive &= np.isfinite(far)
-                if alive.mean() < 0.2 or f == dim:
+                far += left @ right[:, chunk[0]:chunk[-1] + 1]
+                if f < dim and limit[0] == open_end:
+                    continue
+                alive = far <= top[:, None]
+                if f == dim or np.count_nonzero(alive) < SPARSE * alive.size:
                     rows, cols = np.nonzero(alive)
                     far = far[rows, cols]
             else:
-                diff = z[chunk[cols], d:f] - zq[rows, d:f]
-                far = far + np.einsum("ij,ij->i", diff, diff)
-                top = limit[rows]
-                keep = far * (dim / f) <= top * (1 + SLACK / np.sqrt(f)) ** 2 if f < dim else far <= top * (1 + 1e-9) + 1e-9
+                far = far + np.einsum("ij,ij->i", left[rows], right.T[chunk[cols]])
+                keep = far <= top[rows]
                 rows, cols, far = rows[keep], cols[keep], far[keep]
         who.append(rows)
         got.append(chunk[cols])
         # the k best distances of each query, with this chunk's
         counts = np.bincount(rows, minlength=n)
-        wide = np.full((n, k + int(counts.max(initial=0))), np.inf)
+        wide = np.full((n, k + int(counts.max(initial=0))), open_end, np.float32)
         wide[:, :k] = near
         wide[rows, k + np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)] = far
         near = np.partition(wide, k - 1, axis=1)[:, :k]
-        limit = near[:, k - 1]
+        limit = np.minimum(near[:, k - 1], open_end)
     who, got = np.concatenate(who), np.concatenate(got)
     if not len(who):
         return who, ids[got], np.zeros(0)

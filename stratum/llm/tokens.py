@@ -9,7 +9,7 @@ from array import array
 import numpy as np
 
 #: Tokens remembered by a worker; a full memory is emptied, results don't depend on it.
-MEMO_LIMIT = 250_000
+MEMO_LIMIT = 350_000
 
 # Split pattern of the word BPE for texts of Latin-1 letters only, where these classes equal \p{L} and \p{N}.
 _LATIN = re.compile(r"[\x21-\x7e\xa1-\xff]+")
@@ -44,13 +44,14 @@ class _Tokens(dict):
 
     def __missing__(self, t: str) -> bytes:
         known, new = self._pieces.get, self._piece
-        if max(t) <= "ÿ" and t.isalpha():
+        plain = t.isascii() or max(t) <= "ÿ"
+        if plain and t.isalpha():
             t_low = t.lower()
             got = known(t_low) or new(t_low)
-        elif t[-1] in ".," and max(t) <= "ÿ" and t[:-1].isalpha():
+        elif plain and t[-1] in ".," and t[:-1].isalpha():
             t_low = t[:-1].lower()
             got = (known(t_low) or new(t_low)) + (known(t[-1]) or new(t[-1]))
-        elif "<|" not in t and _LATIN.fullmatch(t):
+        elif plain and "<|" not in t and _LATIN.fullmatch(t):
             got = b"".join([known(p) or new(p) for p in _PIECES.findall(t.lower())])
         else:
             got = self._whole(t)
