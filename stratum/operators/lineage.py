@@ -36,9 +36,7 @@ def transitive_closure(edges: DataFrame, child: str = "node", parent: str = "par
     previous round, keeps one (shortest, then smallest) path per pair, and
     drops pairs found in earlier rounds. Every pair is produced exactly once,
     so graphs with many alternative paths (diamonds) cannot blow the frontier
-    up, and the loop ends when a round finds nothing new. Pairs are spread by node
-    and ancestor, so that an ancestor most nodes share is no hot key; only the join
-    with the edges meets on it, where AQE splits the frontier.
+    up, and the loop ends when a round finds nothing new.
     """
     e = cut_lineage(_edges(edges, child, parent))
     step = e.select(F.col("node").alias("__via"), F.col("ancestor").alias("__next"))
@@ -49,7 +47,10 @@ def transitive_closure(edges: DataFrame, child: str = "node", parent: str = "par
     found = frontier
     rounds = 0
     while True:
-        nxt = frontier.where(F.col("node") != F.col("ancestor")).join(step, F.col("ancestor") == F.col("__via"))
+        ends = frontier.where(F.col("node") != F.col("ancestor"))
+        # only the edges that go on from here: where many paths meet in few nodes these are few rows, which AQE broadcasts
+        onward = step.join(ends.select(F.col("ancestor").alias("__via")).distinct(), "__via", "left_semi")
+        nxt = ends.join(onward, F.col("ancestor") == F.col("__via"))
         if not keep_cycles:
             nxt = nxt.where(F.col("__next") != F.col("node"))
         nxt = (nxt.groupBy("node", F.col("__next").alias("ancestor"))
