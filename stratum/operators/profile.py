@@ -68,6 +68,16 @@ def top_values(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
     return out
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, n_distinct): exact numbers of non-NULL values, one distinct per column (a partial aggregate first)."""
+    out = None
+    for c in columns:
+        one = df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).cast("bigint").alias("n_distinct"))
+        one = one.select(F.lit(c).alias("column_name"), "n_distinct")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:
     """Global top-k rows (TakeOrderedAndProject: each task keeps k rows)."""
     return df.orderBy(*order).limit(k)

@@ -467,16 +467,26 @@ def dq_policy_rules(spark, sf):
     return Q.evaluate(pol, rules).select("rule_id", "total_count", "failed_count")
 
 
-@register("data_dictionary", ops=("G21",))
+def _dictionary_sql() -> str:
+    from .queries_text import ORDER_COLS, _profile_sql
+    counts = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_distinct FROM orders"
+                                for c in ORDER_COLS)
+    return f"""SELECT p.column_name, type, null_count, n_distinct, min, max, CASE WHEN null_count = 0 AND mean IS NOT NULL
+  THEN 'NOT_NULL,RANGE' WHEN null_count = 0 THEN 'NOT_NULL' WHEN mean IS NOT NULL THEN 'RANGE' END AS suggested_rules
+FROM ({_profile_sql()}) p JOIN ({counts}) d ON p.column_name = d.column_name"""
+
+
+@register("data_dictionary", ops=("G21",), sql=_dictionary_sql())
 def data_dictionary(spark, sf):
-    # Profile (approximate distinct) + suggested rules per column: rows-only check.
+    """Profile, exact distinct counts and suggested rules of every column of orders."""
     from ..operators import profile as PR
+    from .queries_text import ORDER_COLS
     o = Tables(spark, sf).orders
     prof = PR.profile(o)
     rules = PR.suggest_rules(prof).groupBy("column_name").agg(
         F.concat_ws(",", F.array_sort(F.collect_list("rule_type"))).alias("suggested_rules"))
-    return prof.join(rules, "column_name", "left").select("column_name", "type", "null_count", "distinct_approx",
-                                                          "min", "max", "suggested_rules")
+    return (prof.join(PR.distinct_counts(o, ORDER_COLS), "column_name").join(rules, "column_name", "left")
+            .select("column_name", "type", "null_count", "n_distinct", "min", "max", "suggested_rules"))
 
 
 @register("address_normalize", ops=("F6",), sql="""SELECT c_custkey, upper(regexp_replace(trim(c_name), '\\s+', ' ', 'g')) AS line1,
