@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 #: Characters of text handled at once inside a task; bounds a worker's memory, never the text read.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 
 def crc_mod(id_col: Column, modulus: int) -> Column:
@@ -72,9 +73,14 @@ def release_memory() -> None:
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
-    """``mapInArrow`` with record batches kept small enough for long texts."""
+                schema: str, tokenizes: bool = False) -> DataFrame:
+    """``mapInArrow`` with record batches kept small enough for long texts.
+
+    A worker keeps its tokenizers from task to task only while its tasks tokenize.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not tokenizes and (tokens := sys.modules.get(f"{__package__}.tokens")):
+            tokens.forget()
         try:
             yield from fn(batches)
         finally:
@@ -82,8 +88,8 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
 
     spark = df.sparkSession
     ship_package(spark)
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 2000:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return df.mapInArrow(run, schema)
 
 

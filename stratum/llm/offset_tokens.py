@@ -135,7 +135,7 @@ def attribute(docs: DataFrame, tokenizer: str, pattern: str, id_cols: list[str],
         "array<struct<start:long,end:long>>")
     src = docs.select(*[F.col(c) for c in id_cols], F.col(text_col).cast("string").alias("__text"), given.alias("__spans"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-2])
-    return map_batches(src, run, f"{fields}, section long, start long, end long, tokens {kind}, doc_tokens long")
+    return map_batches(src, run, f"{fields}, section long, start long, end long, tokens {kind}, doc_tokens long", tokenizes=True)
 
 
 def attribute_fields(rows: DataFrame, tokenizer: str, pattern: str, id_cols: list[str], fields: list[str],

@@ -9,7 +9,7 @@ from array import array
 import numpy as np
 
 #: Tokens remembered by a worker; a full memory is emptied, results don't depend on it.
-MEMO_LIMIT = 350_000
+MEMO_LIMIT = 250_000
 
 # Split pattern of the word BPE for texts of Latin-1 letters only, where these classes equal \p{L} and \p{N}.
 _LATIN = re.compile(r"[\x21-\x7e\xa1-\xff]+")
@@ -105,6 +105,11 @@ class ByteTokenizer:
 _CACHE: dict[tuple, object] = {}
 
 
+def forget() -> None:
+    """Let this worker's tokenizers go."""
+    _CACHE.clear()
+
+
 def word_tokenizer(path: str) -> WordTokenizer:
     """One per worker process."""
     key = ("word", path)

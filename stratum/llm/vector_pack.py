@@ -205,4 +205,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                       (F.col(loss_col).cast("long") if loss_col else F.lit(None).cast("long")).alias("loss_from"))
     kind = src.schema["doc_id"].dataType.simpleString()
     return map_batches(src, run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
-                                 "loss_tokens long, sequence_id long, offset long").withColumnRenamed("doc_id", id_col)
+                                 "loss_tokens long, sequence_id long, offset long", tokenizes=True).withColumnRenamed("doc_id", id_col)
