@@ -36,6 +36,8 @@ Q = 8
 EDIT_RATE = 0.1
 MIN_CHARS = 40
 WHOLE, WINDOW, STEP = 256, 200, 100
+#: Stands for places outside a document; equals no code point.
+OUTSIDE = 0xFFFFFFFF
 #: Characters of benchmark text in one broadcast.
 BLOCK_CHARS = 4_000_000
 
@@ -161,7 +163,7 @@ def align(passages: list[np.ndarray], windows: list[np.ndarray], width: int) ->
     size = np.array([len(p) for p in passages])
     longest = int(size.max())
     p = np.full((n, longest), 0xFFFFFFFE, np.uint32)
-    t = np.full((n, longest + width), 0xFFFFFFFF, np.uint32)
+    t = np.full((n, longest + width), OUTSIDE, np.uint32)
     for i, (a, b) in enumerate(zip(passages, windows)):
         p[i, :len(a)] = a
         b = b[:longest + width]
@@ -187,30 +189,37 @@ def matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, in
     norm, at = normal_form(cp)
     bounds = np.searchsorted(at, starts)
     doc, passage, diagonal = candidate_bands(index, norm, bounds)
+    # blanks at either end of a document, or after it, are no part of it
+    blank = np.append(norm == 32, False)
+    opens = bounds[:-1] + (blank[bounds[:-1]] & (bounds[:-1] < bounds[1:]))
+    closes = np.maximum(opens, bounds[1:] - blank[bounds[1:] - 1])
     size = np.array([len(p) for p in index.passages], dtype=np.int64)
     # a band that runs off its document leaves too few places for the passage
-    left = np.maximum(diagonal - index.budget[passage] - 1, bounds[doc])
-    right = np.minimum(diagonal + 3 * (index.budget[passage] + 1) + size[passage], bounds[doc + 1])
+    left = np.maximum(diagonal - index.budget[passage] - 1, opens[doc])
+    right = np.minimum(diagonal + 3 * (index.budget[passage] + 1) + size[passage], closes[doc])
     room = right - left >= size[passage] - index.budget[passage]
     doc, passage, diagonal = doc[room], passage[room], diagonal[room]
     out: dict[tuple[int, int], tuple[int, int, int]] = {}
     for i in range(0, len(doc), 256):
         d, p, g = doc[i:i + 256], passage[i:i + 256], diagonal[i:i + 256]
         k = index.budget[p]
-        low = np.maximum(g - k - 1, bounds[d])
-        high = np.minimum(g + 3 * (k + 1) + size[p], bounds[d + 1])
-        wide = int((g + 3 * (k + 1) - low).max()) + 2
-        windows = [norm[a:max(a, b)] for a, b in zip(low, high)]
+        low, begin = g - k - 1, opens[d]
+        high = np.minimum(g + 3 * (k + 1) + size[p], closes[d])
+        wide = int((4 * (k + 1)).max()) + 2
+        # what lies before the document is filled, so that the passage's place j still meets the window's place j
+        windows = [np.concatenate([np.full(max(0, c - a), OUTSIDE, np.uint32), norm[max(a, c):max(a, b, c)]])
+                   for a, b, c in zip(low, high, begin)]
         edits, end = align([index.passages[x] for x in p], windows, wide)
         ok = np.flatnonzero(edits <= k)
         if not len(ok):
             continue
         # the same from the end backwards gives where the best part begins
-        back = [windows[x][:end[x]][::-1] for x in ok]
-        _, first = align([index.passages[p[x]][::-1] for x in ok], back, int(k[ok].max()) + 2)
+        pad = int(k[ok].max()) + 1
+        back = [np.concatenate([np.full(pad, OUTSIDE, np.uint32), windows[x][:end[x]][::-1]]) for x in ok]
+        _, first = align([index.passages[p[x]][::-1] for x in ok], back, 2 * pad + 1)
         for x, f in zip(ok, first):
             b = int(low[x] + min(end[x], len(windows[x])))
-            a = max(int(low[x]), b - int(f))
+            a = max(int(low[x]), int(begin[x]), b - int(f) + pad)
             key = (int(d[x]), int(p[x]))
             found = (int(edits[x]), int(at[a] - starts[d[x]]), int(at[b - 1] + 1 - starts[d[x]]))
             if key not in out or found < out[key]:

@@ -140,6 +140,25 @@ def test_decontamination_equals_brute_force():
     assert got == want and any(want.values())
 
 
+def test_decontamination_at_the_edges_of_documents():
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))
+    items = [(i, " ".join(word() for _ in range(rng.randint(10, 30)))) for i in range(12)]
+    docs, more = [], lambda: " ".join(word() for _ in range(12))
+    for _, t in items:
+        cut = t.split()
+        less = " ".join(cut[:4] + cut[5:])
+        for part in (t[4:], t[:-4], t[:20] + t[24:], t[:-24] + t[-20:], less, "zz" + t, t):
+            docs += [" ".join(x.split()) for x in (part, f"{part} {more()}", f"{more()} {part}")]
+    index = qgram_decontam.build_index(items)
+    got = {(d, index.items[p]): (a, b, e) for d, p, a, b, e in qgram_decontam.matches(index, docs)}
+    want = {(d, i): e for d, text in enumerate(docs) for k, (i, item) in enumerate(items)
+            for e in [_distance(item, text)] if e <= index.budget[k]}
+    assert {k: e for k, (_, _, e) in got.items()} == want and len(want) > 200
+    for (d, i), (a, b, e) in got.items():  # the place that is named holds the passage
+        assert _distance(items[i][1], docs[d][a:b]) == e
+
+
 def test_decontamination_query(spark, texts):
     norm = lambda s: " ".join(re.findall(r"[^\W_]+", s.lower()))
     bench = {r["item_id"]: norm(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
