@@ -159,6 +159,32 @@ def test_decontamination_at_the_edges_of_documents():
         assert _distance(items[i][1], docs[d][a:b]) == e
 
 
+def test_decontamination_of_quoted_parts(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate((20, 40, 70, 200))]
+    items += [(10, "Two plus two?"), (11, "x"), (12, "".join(chr(0x4E00 + rng.randrange(20000)) for _ in range(300))), (13, " ?! ")]
+    more, docs = lambda: " ".join(word() for _ in range(15)), []
+    for i, t in items[:4]:
+        cut = t.split()
+        for a in range(len(cut) - 12):  # every run of 13 words, wherever it begins
+            docs.append((i, f"{more()} {' '.join(cut[a:a + 13]).upper()} {more()}"))
+    docs += [(10, f"{more()}, two plus TWO!"), (10, "two plus two"), (11, f"{more()} X {more()}"), (None, "one two plus twofold two plus"),
+             (None, "two plus"), (12, items[6][1][77:77 + 112]), (None, more()), (None, "")]
+    index = qgram_decontam.build_index(items, parts=True)
+    got = {}
+    for d, item, a, b, e, n in qgram_decontam.places(index, [t for _, t in docs]):
+        assert d not in got and 0 <= a < b <= len(docs[d][1])
+        got[d] = item
+    assert got == {d: i for d, (i, _) in enumerate(docs) if i is not None}
+    table = spark.createDataFrame([(d, t) for d, (_, t) in enumerate(docs)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = qgram_decontam.find(table, bench, ["doc_id"]).collect()
+    assert {r["doc_id"]: r["item_id"] for r in rows} == got and len(rows) == len(got)
+    clean = qgram_decontam.drop_contaminated(table, bench)
+    assert {r["doc_id"] for r in clean.collect()} == {d for d, (i, _) in enumerate(docs) if i is None}
+
+
 def test_decontamination_query(spark, texts):
     norm = lambda s: " ".join(re.findall(r"[^\W_]+", s.lower()))
     bench = {r["item_id"]: norm(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
