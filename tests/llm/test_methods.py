@@ -445,6 +445,18 @@ def test_isotonic_and_boosting():
     assert abs(fitted.mean() - t.mean()) < 1e-9
 
 
+def test_secret_candidates_without_digits():
+    key = "AKIA" + "ABCDEFGHIJKLMNOP"
+    for text, value, kind in ((f"then {key} here", key, "aws_access_key"), (f"aws_access_key_id = {key}", key, "aws_access_key"),
+                              ("see ghp_" + "aBcDeFgHiJkL" * 3 + ".", "ghp_" + "aBcDeFgHiJkL" * 3, "github_token"),
+                              ("postgres://admin:hunterhunter@db.host/x", "hunterhunter", "url_password"),
+                              ("redis://:p@ssword@db.host", "p@ssword", "url_password"),
+                              ("password_value: openSesame", "openSesame", "named_value"),
+                              ("aws_access_key_id = openSesame", "openSesame", "named_value")):
+        assert (value, kind) in [(text[a:b], k) for a, b, k in forest_secrets.candidates(text)], text
+    assert not forest_secrets.candidates("see https://host.org/a:b and mail me@host.org")
+
+
 def test_forest_removes_false_positives(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = forest_secrets.train(docs)
