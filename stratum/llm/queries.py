@@ -1,4 +1,4 @@
-"""The ten operators applied to their whole tables, with production parameters."""
+"""The operators applied to their whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ads_ann, boosted_toxicity, forest_secrets, icws_dedup, label_prop_shard, line_crf, offset_tokens, qgram_decontam, vector_pack,
-               zstd_langid)
+from . import (ads_ann, boosted_toxicity, forest_secrets, icws_dedup, label_prop_shard, line_crf, offset_tokens, qgram_decontam,
+               spelling_variants, trie_phrases, vector_pack, zstd_langid)
 from .common import crc_mod, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,39 @@ def op10_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = boosted_toxicity.classify(docs, boosted_toxicity.train(docs, labels), ["doc_id"])
     return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.count_words(documents(spark, sf_dir), damage=31)
+    return spelling_variants.group_variants(words, ratio=10)
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_phrases.collocations(documents(spark, sf_dir), least=30, top=2000)
+
+
+ORACLE_SQL["op12_phrase_collocations"] = r"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang,
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
+          FROM lists, (VALUES (1), (2), (3), (4)) AS s(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(g, ' ') AS phrase, g, count(*) AS a FROM grams GROUP BY lang, k, g),
+totals AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE k > 1 AND a >= 30),
+cuts AS (SELECT c.lang, c.k, c.phrase, c.g, c.a, s.k AS cut, array_to_string(c.g[1:s.k], ' ') AS lp, array_to_string(c.g[s.k + 1:], ' ') AS rp
+         FROM cand c, (VALUES (1), (2), (3)) AS s(k) WHERE s.k < c.k),
+scored AS (SELECT c.lang, c.k, c.phrase, c.g, c.a, c.cut, l.a AS l, r.a AS r, (2000000::HUGEINT * c.a) // (l.a + r.a) AS score
+           FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.lp JOIN f r ON r.lang = c.lang AND r.phrase = c.rp),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM cand o WHERE o.lang = b.lang AND o.k > b.k AND 100 * o.a >= 80 * b.a
+      AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       t.n::BIGINT AS n, score::BIGINT AS score
+FROM kept k JOIN totals t ON t.lang = k.lang
+QUALIFY row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
