@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ads_ann, boosted_toxicity, forest_secrets, icws_dedup, label_prop_shard, line_crf, offset_tokens, qgram_decontam,
+from . import (ads_ann, bootstrap_pii, boosted_toxicity, forest_secrets, icws_dedup, label_prop_shard, line_crf, offset_tokens, qgram_decontam,
                spelling_variants, trie_phrases, vector_pack, zstd_langid)
 from .common import crc_mod, documents
 
@@ -133,3 +133,14 @@ SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DES
 FROM kept k JOIN totals t ON t.lang = k.lang
 QUALIFY row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) <= 2000
 """
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bootstrap_pii.extract(documents(spark, sf_dir), ["doc_id"])
+    kinds = F.transform("strict", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(bootstrap_pii.KINDS)]
+    return found.select("row.doc_id", *counts, F.sha2(bootstrap_pii.spelled(F.col("strict")), 256).alias("base_sha256"),
+                        bootstrap_pii.spelled(F.sort_array(F.concat("strict", "found"))).alias("spans"),
+                        F.size("found").cast("long").alias("n_found"))
