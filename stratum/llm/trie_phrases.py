@@ -12,7 +12,7 @@
    block becomes a double-array trie, is broadcast, and counted in one pass: numpy moves
    the states of all positions of a chunk a digit of a word on at a time, and
    drops those that leave the trie; ``bincount`` counts the states that accept. Spark adds
-   up the tasks' counts. These counts are exact whatever the counters let through.
+   up the tasks' counts in shards of ``_PART`` phrases. These counts are exact whatever the counters let through.
 4. Scores, containment and ranks are joins and aggregates over the frequent phrases.
 
 Defined cases: a null text is empty, a null language is ``und``; repeated rows count
@@ -23,6 +23,7 @@ caller other than text and language are not looked at.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -45,7 +46,7 @@ HELD = 400_000
 POSITIONS = 1 << 21
 #: Bits of a digit of a word's number, the alphabet of a trie.
 BITS = 7
-_PART = 1 << 16  # counters of a row
+_PART = 1 << 16  # counters or counts of a row
 _MARKS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz .........")
 
 
@@ -216,36 +217,73 @@ _W = [f"w{i}" for i in range(1, MAX_WORDS + 1)]
 _IDS = ", ".join(f"{w} int" for w in _W)
 
 
-def candidates(encoded: DataFrame, least: int) -> DataFrame:
-    """Distinct (w1, ..., w4), -1 past the end: phrases all of whose parts may reach ``least`` by the counters."""
+def candidates(encoded: DataFrame, least: int, parts: int = 64) -> DataFrame:
+    """Distinct (w1, ..., w4), -1 past the end: phrases all of whose parts may reach ``least`` by the counters.
+
+    Tasks send theirs as sorted arrays, one for each of ``parts`` (by the first two words) that it meets.
+    """
     packed = {k: np.packbits(x) for k, x in _sketch(encoded, min(least, 255)).items()}
     passed = broadcast_value(encoded.sparkSession, packed)
 
+    def safe(ids: np.ndarray) -> Iterator[np.ndarray]:
+        good = ids >= 0  # begins a phrase of k - 1 words that may be frequent
+        rank = ids  # of the phrase of k - 1 words that begins here
+        for k, at, h in _hashes(ids):
+            ok = (passed.value[k][h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 > 0
+            at = at[ok]
+            at = at[good[at] & good[at + 1]]  # both parts are safe
+            good = np.zeros(len(ids), bool)
+            good[at] = True
+            _, once, of = np.unique(rank[at].astype(np.int64) << 32 | ids[at + k - 1], return_index=True, return_inverse=True)
+            rank = np.zeros(len(ids), np.int32)
+            rank[at] = of
+            rows = np.full((len(once), MAX_WORDS), -1, np.int32)
+            for i in range(k):
+                rows[:, i] = ids[at[once] + i]
+            yield rows
+
+    def send(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(held)
+        part = (tk.mix(rows[:, 0].astype(np.uint64) << np.uint64(32) | rows[:, 1].astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        for those in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            table = zlib.compress(_distinct(rows[those]).T.tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([part[those[0]]], pa.int32()), pa.array([table], pa.binary())], ["part", "rows"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for ids in _chunks(batches):
-            good = ids >= 0  # begins a phrase of k - 1 words that may be frequent
-            rank = ids  # of the phrase of k - 1 words that begins here
-            for k, at, h in _hashes(ids):
-                ok = (passed.value[k][h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 > 0
-                at = at[ok]
-                at = at[good[at] & good[at + 1]]  # both parts are safe
-                good = np.zeros(len(ids), bool)
-                good[at] = True
-                _, once, of = np.unique(rank[at].astype(np.int64) << 32 | ids[at + k - 1], return_index=True, return_inverse=True)
-                rank = np.zeros(len(ids), np.int32)
-                rank[at] = of
-                rows = np.full((len(once), MAX_WORDS), -1, np.int32)
-                for i in range(k):
-                    rows[:, i] = ids[at[once] + i]
-                yield _rows(rows)
-
-    return map_batches(encoded, run, _IDS).distinct()
+            held.extend(safe(ids))
+            size = sum(map(len, held))
+            if size > 8 * HELD:
+                yield from send(held)
+                held, size = [], 0
+        if size:
+            yield from send(held)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for part, table in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != now and held:
+                    yield _rows(_distinct(np.concatenate(held)))
+                    held = []
+                now = part
+                held.append(np.frombuffer(zlib.decompress(table), np.int32).reshape(MAX_WORDS, -1).T)
+                if len(held) > 16:
+                    held = [_distinct(np.concatenate(held))]
+        if held:
+            yield _rows(_distinct(np.concatenate(held)))
+
+    sent = map_batches(encoded, run, "part int, rows binary").repartition("part").sortWithinPartitions("part")
+    return map_batches(sent, merge, _IDS)
 
 
 def _distinct(rows: np.ndarray) -> np.ndarray:
     if not len(rows):
         return rows
-    order = np.lexsort(rows.T[::-1])
+    two = rows.astype(np.int64)
+    order = np.lexsort((two[:, 2] << 32 | two[:, 3] & 0xFFFFFFFF, two[:, 0] << 32 | two[:, 1]))
     rows = rows[order]
     return rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])]
 
@@ -360,14 +398,35 @@ def count_phrases(encoded: DataFrame, found: DataFrame, least: int) -> DataFrame
         trie = broadcast_value(spark, Trie(np.column_stack([table.column(w).to_numpy() for w in _W])))
 
         def run(batches: Iterator[pa.RecordBatch], trie=trie) -> Iterator[pa.RecordBatch]:
-            total = 0
+            total = None
             for ids in _chunks(batches):
-                total = total + trie.value.count(ids)
-            if not isinstance(total, int):
-                met = np.flatnonzero(total)
-                yield _rows(trie.value.phrases[met], pa.array(total[met]))
-
-        one = map_batches(encoded, run, f"{_IDS}, f long").groupBy(*_W).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+                now = trie.value.count(ids)
+                total = now if total is None else total + now
+            for at in range(0, 0 if total is None else len(total), _PART):
+                shard = total[at:at + _PART]
+                if shard.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([at // _PART], pa.int32()), pa.array([zlib.compress(shard.tobytes(), 1)], pa.binary())],
+                                                     ["shard", "counts"])
+
+        def add(batches: Iterator[pa.RecordBatch], trie=trie) -> Iterator[pa.RecordBatch]:
+            now, total = None, None
+
+            def told() -> pa.RecordBatch:
+                met = np.flatnonzero(total >= least)
+                return _rows(trie.value.phrases[now * _PART + met], pa.array(total[met]))
+
+            for batch in batches:
+                for shard, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                    if shard != now:
+                        if now is not None:
+                            yield told()
+                        now, total = shard, 0
+                    total = total + np.frombuffer(zlib.decompress(counts), np.int64)
+            if now is not None:
+                yield told()
+
+        shards = map_batches(encoded, run, "shard int, counts binary").repartition("shard").sortWithinPartitions("shard")
+        one = map_batches(shards, add, f"{_IDS}, f long")
         counts = one if counts is None else counts.unionAll(one)
     return counts if counts is not None else spark.createDataFrame([], f"{_IDS}, f long")
 
@@ -388,10 +447,11 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text_or_empty(F.col(text_col)).alias("text"))
     counted = reliable(count_words(texts))
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
+    parts = max(64, (counted.agg(F.sum("n")).first()[0] or 0) >> 21)
     vocabulary, size = _numbered(counted.where(F.col("n") >= least))
     vocabulary = reliable(vocabulary)
     encoded = reliable(encode(texts, vocabulary, size))
-    phrases = reliable(count_phrases(encoded, reliable(candidates(encoded, least)), least))
+    phrases = reliable(count_phrases(encoded, reliable(candidates(encoded, least, parts)), least))
     length = sum(F.when(F.col(w) >= 0, 1).otherwise(0) for w in _W)
     words = vocabulary.select(F.col("id").alias("w1"), *[F.lit(-1).alias(w) for w in _W[1:]], F.col("n").alias("f"))
     f = words.unionByName(phrases)
