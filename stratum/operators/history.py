@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import row_hash
 from .merge import dedupe_split
-from .sequence import ordered_scan
+from .sequence import carry_forward, ordered_scan
 
 META = ["__start_at", "__end_at", "__is_current", "__row_hash"]
 
@@ -151,22 +151,37 @@ def current(history: DataFrame) -> DataFrame:
 
 def join_asof_history(facts: DataFrame, history: DataFrame, keys: Sequence[str] | dict, ts_col: str,
                       how: str = "left", prefix: str = "") -> DataFrame:
-    """Attach to each fact the history version valid at the fact's time.
+    """Attach to each fact the history version valid at the fact's time.
 
-    ``keys`` is a list of shared key names or a ``{fact_col: history_col}``
-    mapping. The equality on keys keeps this a hash / sort-merge join; the
-    interval test is a residual filter on matching keys only.
+    ``keys`` is a list of shared key names or a ``{fact_col: history_col}`` mapping; ``how`` is left or inner. Facts and versions go
+    through one ordered stream a key, in which the last version is carried forward to the facts, across the borders of
+    chunks too (:func:`stratum.operators.sequence.carry_forward`): facts are never compared with versions, and a key
+    with many of both is spread over tasks. Versions of a key mustn't overlap, as the merges here leave them; of
+    several with one start the one that ends last counts. NULL keys and NULL times meet nothing.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"as-of joins are left or inner, not {how}")
     kmap = dict(keys) if isinstance(keys, dict) else {k: k for k in keys}
+    ks = [f"__k{i}" for i in range(len(kmap))]
     h_cols = [c for c in history.columns if c not in kmap.values()]
-    h = history.select(*[F.col(v).alias(f"__hk_{i}") for i, v in enumerate(kmap.values())],
-                       *[F.col(c).alias(prefix + c) for c in h_cols])
-    cond = [facts[f] == h[f"__hk_{i}"] for i, f in enumerate(kmap.keys())]
-    ts = facts[ts_col]
-    cond.append(ts >= h[prefix + "__start_at"])
-    cond.append(h[prefix + "__end_at"].isNull() | (ts < h[prefix + "__end_at"]))
-    out = facts.join(h, cond, how)
-    return out.drop(*[f"__hk_{i}" for i in range(len(kmap))])
+    known = F.lit(True)
+    for c in kmap.values():
+        known = known & F.col(c).isNotNull()
+    far = F.lit("9999-12-31").cast("timestamp_ntz")
+    versions = history.where(known & F.col("__start_at").isNotNull()).select(
+        F.col("__start_at").cast("timestamp_ntz").alias("__at"), F.lit(0).alias("__kind"), F.coalesce(F.col("__end_at").cast("timestamp_ntz"), far).alias("__to"),
+        *[F.col(v).cast(facts.schema[f].dataType).alias(k) for k, (f, v) in zip(ks, kmap.items())],
+        F.lit(None).cast(facts.select(F.struct("*").alias("f")).schema["f"].dataType).alias("__f"), F.struct(*[F.col(c) for c in h_cols]).alias("__h"))
+    rows = facts.select(F.col(ts_col).cast("timestamp_ntz").alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast("timestamp_ntz").alias("__to"),
+                        *[F.col(f).alias(k) for k, f in zip(ks, kmap)], F.struct("*").alias("__f"),
+                        F.lit(None).cast(versions.schema["__h"].dataType).alias("__h"))
+    # facts at one time are alike to the versions before them, so they need no tie-breaker
+    version = F.when(F.col("__kind") == 0, F.struct("__h", "__to"))
+    seen = carry_forward(versions.unionByName(rows), ks, ["__at", "__kind", "__to"], version, "__v").where(F.col("__kind") == 1)
+    valid = F.coalesce(F.col("__at") < F.col("__v.__to"), F.lit(False))
+    if how == "inner":
+        seen = seen.where(valid)
+    return seen.select("__f.*", *[F.when(valid, F.col(f"__v.__h.{c}")).alias(prefix + c) for c in h_cols])
 
 
 # ---------------------------------------------------------------- rebuild from a log

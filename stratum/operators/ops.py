@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .merge import dedupe_latest
-from .sequence import ordered_scan
+from .recon import exact
+from .sequence import ordered_scan, rolling_before
 
 STATUSES = ("RUNNING", "SUCCESS", "FAILED", "TIMEOUT")
 
@@ -59,53 +60,31 @@ def last_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, ran
     return df.withColumn(rank_col, F.row_number().over(newest).cast("bigint")).where(F.col(rank_col) <= n)
 
 
-def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, k: int, scale: int = 6) -> DataFrame:
-    """Sum, sum of squares and count of the non-NULL ``value`` over the previous ``k`` rows of the key.
-
-    Built from exact running sums (DECIMAL, ``scale`` digits) of the skew-safe ordered scan: the
-    window sum is ``cum[i-1] - cum[i-k-1]``, where ``cum[i-k-1]`` comes from a
-    1:1 equi-join on (key, position). No key group is ever held in one task.
-    """
-    keys = list(keys)
-    v = F.col(value).cast(f"decimal(18,{scale})")
-    zero = F.lit(0).cast("decimal(38,12)")
-    base = (df.withColumn("__v", F.coalesce(v.cast("decimal(38,12)"), zero))
-            .withColumn("__v2", F.coalesce((v * v).cast("decimal(38,12)"), zero)).withColumn("__has", F.when(v.isNull(), 0).otherwise(1)))
-    parts = ("__v", "__v2", "__has")
-    s = ordered_scan(base, keys, list(order), running=parts, index_col="__pos")
-    back = s.select(*[F.col(c).alias(f"__b_{c}") for c in keys], (F.col("__pos") + (k + 1)).alias("__b_pos"),
-                    *[F.col(f"cum_{c}").alias(f"__b_{c}") for c in parts])
-    cond = [s[c].eqNullSafe(back[f"__b_{c}"]) for c in keys] + [s["__pos"] == back["__b_pos"]]
-    j = s.join(back, cond, "left")
-
-    def window(c: str) -> Column:
-        return F.col(f"cum_{c}") - F.col(c) - F.coalesce(F.col(f"__b_{c}"), F.lit(0))
-
-    return j.select(*df.columns, "__pos", window("__v").cast("decimal(38,12)").alias("sum_prev"),
-                    window("__v2").cast("decimal(38,12)").alias("sum2_prev"), window("__has").cast("bigint").alias("n_prev"))
-
-
 def anomalies(runs: DataFrame, keys: Sequence[str], order: Sequence[str], metric: str, k: int = 5,
               z: float = 3.0, min_prior: int = 3, scale: int = 6) -> DataFrame:
     """z-score of ``metric`` against the previous ``k`` runs of the key (W5), runs without a value left out.
 
     Output adds: value, mean_prev, std_prev, zscore, is_anomaly. Fewer than
-    ``min_prior`` previous runs (or zero spread) -> NULL z, not anomalous.
+    ``min_prior`` previous runs (or zero spread) -> NULL z, not anomalous. One ordered pass: the
+    previous values come as a rolling frame. They are compared as exact decimals (``scale`` digits after the
+    point, up to 38 in all) with the first of them taken off, so neither size nor equal values upset the spread.
     """
-    r = rolling_previous(runs, keys, order, metric, k, scale)
-    n = F.col("n_prev")
-    s = F.col("sum_prev")
-    # the sums are exact in DECIMAL; the rest is plain double arithmetic
-    num = n.cast("double") * F.col("sum2_prev").cast("double") - s.cast("double") * s.cast("double")
-    var = F.when(n >= 2, num / (n * (n - 1)).cast("double"))
-    mean = F.when(n >= 1, s.cast("double") / n.cast("double"))
-    std = F.sqrt(var)
-    val = F.col(metric).cast(f"decimal(18,{scale})")
-    zs = F.when((n >= min_prior) & (std > 0), (val.cast("double") - mean) / std)
-    return r.select(*runs.columns, val.alias("value"), F.round(mean, 4).cast("decimal(18,4)").alias("mean_prev"),
-                    F.round(std, 4).cast("decimal(18,4)").alias("std_prev"),
-                    F.round(zs, 4).cast("decimal(18,4)").alias("zscore"),
-                    F.coalesce(F.abs(zs) > z, F.lit(False)).alias("is_anomaly"))
+    val = F.col(metric).cast(f"decimal(38,{scale})")
+    r = rolling_before(runs, keys, order, val, k, "__frame").withColumn("__p", F.filter("__frame", lambda x: x.isNotNull()))
+    n, ref = F.size("__p"), F.get("__p", F.lit(0))
+    r = r.withColumn("__d", F.transform("__p", lambda x: (x - ref).cast("double")))
+    zero = F.lit(0.0)
+    s = F.aggregate("__d", zero, lambda a, x: a + x)
+    s2 = F.aggregate("__d", zero, lambda a, x: a + x * x)
+    shift = F.when(n >= 1, s / n)
+    std = F.when(n >= 2, F.sqrt(F.greatest(zero, (n * s2 - s * s) / (n * (n - 1)))))
+    zs = F.when((n >= min_prior) & (std > 0), ((val - ref).cast("double") - shift) / std)
+
+    def shown(c: Column) -> Column:
+        return F.round(c, 4).cast("decimal(38,4)")
+
+    return r.select(*runs.columns, val.alias("value"), shown(ref.cast("double") + shift).alias("mean_prev"), shown(std).alias("std_prev"),
+                    shown(zs).alias("zscore"), F.coalesce(F.abs(zs) > z, F.lit(False)).alias("is_anomaly"))
 
 
 def success_rate(runs: DataFrame, key: str, status_col: str = "status", duration_col: str = "duration_s",
@@ -115,7 +94,7 @@ def success_rate(runs: DataFrame, key: str, status_col: str = "status", duration
     return runs.groupBy(key).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_runs"), F.sum(ok).cast("bigint").alias("n_success"),
         F.round(F.avg(ok.cast("double")), 6).cast("decimal(10,6)").alias("success_rate"),
-        F.avg(F.col(duration_col).cast("decimal(18,2)")).cast("decimal(18,4)").alias("avg_duration_s"))
+        F.round(F.sum(exact(runs, duration_col)) / F.count(duration_col), 4).cast("decimal(18,4)").alias("avg_duration_s"))
 
 
 def daily_trend(runs: DataFrame, ts_col: str, dims: Sequence[str] = (), status_col: str = "status",
@@ -148,9 +127,9 @@ def triage(df: DataFrame, message_col: str, table: Sequence[tuple[str, str, str]
 
 def cost_rollup(costs: DataFrame, dims: Sequence[str], cost_col: str = "cost") -> DataFrame:
     """Cost totals with subtotals and a grand total (A12); ``grouping_level``
-    counts rolled-up dimensions."""
+    counts rolled-up dimensions. Items are summed exactly, and the total is rounded to cents."""
     return costs.rollup(*dims).agg(
-        F.sum(F.col(cost_col).cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_cost"),
+        F.round(F.sum(exact(costs, cost_col)), 2).cast("decimal(38,2)").alias("total_cost"),
         F.count(F.lit(1)).cast("bigint").alias("n_items"),
         F.grouping_id().cast("int").alias("grouping_level"))
 
@@ -173,11 +152,11 @@ def budget_breaches(daily_costs: DataFrame, key: str, day_col: str, cost_col: st
     """
     w = (Window.partitionBy(key, F.trunc(day_col, "month")).orderBy(day_col)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    c = F.col(cost_col).cast("decimal(18,2)")
-    out = daily_costs.select(key, day_col, c.alias("day_cost"),
-                             F.sum(c).over(w).cast("decimal(38,2)").alias("mtd_cost"))
-    return out.withColumn("budget", F.lit(budget).cast("decimal(18,2)")) \
-              .withColumn("breached", F.col("mtd_cost") > F.col("budget"))
+    c = exact(daily_costs, cost_col)
+    limit = F.lit(str(budget)).cast("decimal(18,2)")
+    out = daily_costs.select(key, day_col, c.alias("__c"), F.sum(c).over(w).alias("__m"))
+    return out.select(key, day_col, F.round("__c", 2).cast("decimal(18,2)").alias("day_cost"),
+                      F.round("__m", 2).cast("decimal(38,2)").alias("mtd_cost"), limit.alias("budget"), (F.col("__m") > limit).alias("breached"))
 
 
 def sla_breaches(runs: DataFrame, key: str, end_col: str, as_of, sla_hours: float) -> DataFrame:
@@ -208,11 +187,10 @@ def throughput(runs: DataFrame, key: str, rows_col: str, duration_col: str) -> D
     """Rows per second per key (A20) and run totals."""
     return runs.groupBy(key).agg(
         F.sum(rows_col).cast("bigint").alias("total_rows"),
-        F.sum(F.col(duration_col).cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_duration_s")) \
-        .withColumn("rows_per_s", F.when(F.col("total_duration_s") > 0,
-                                         F.round(F.col("total_rows").cast("double") /
-                                                 F.col("total_duration_s").cast("double"), 4))
-                    .cast("decimal(18,4)"))
+        F.sum(exact(runs, duration_col)).alias("__s")) \
+        .select(key, "total_rows", F.round("__s", 2).cast("decimal(38,2)").alias("total_duration_s"),
+                F.when(F.col("__s") > 0, F.round(F.col("total_rows").cast("double") / F.col("__s").cast("double"), 4))
+                .cast("decimal(18,4)").alias("rows_per_s"))
 
 
 def schema_drift(runs: DataFrame, keys: Sequence[str], order: Sequence[str], columns_col: str) -> DataFrame:

@@ -10,14 +10,16 @@ two small per-group tables.
 Balance rule (one reading of the reference's two versions):
 ``variance = source - target``; ``variance_percent = 100 * variance / |source|``;
 at ``source = 0`` the percent is NULL and the check balances only when
-``target = 0``; otherwise it balances when ``|variance_percent| <= tolerance_percent``.
-Tolerances are stored as fractions on rules and shown in percent points.
+``target = 0``; otherwise it balances when ``100 * |variance| <= tolerance_percent * |source|``,
+in exact decimals: the percent is rounded for show only. At tolerance 0 both totals must be
+equal, and hash totals must be equal at any tolerance. Tolerances are stored as fractions on rules and shown in percent points.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,13 +43,22 @@ def exact(df: DataFrame, c: str | Column, scale: int | None = None) -> Column:
     return col.cast(f"decimal(38,{scale})")
 
 
-def balance_columns(src: Column, tgt: Column, tolerance_percent: float, scale: int = 2) -> list[Column]:
-    """variance, variance_percent, tolerance_percent, balanced for two totals."""
+def balance_columns(src: Column, tgt: Column, tolerance_percent: float, scale: int = 2, equal: bool = False) -> list[Column]:
+    """variance, variance_percent, tolerance_percent, balanced for two totals; with ``equal`` the tolerance doesn't count."""
     variance = (src - tgt)
     pct = F.when(src == 0, F.lit(None)).otherwise(
         F.round(F.lit(100.0) * variance.cast("double") / F.abs(src).cast("double"), 4))
     tol = F.lit(float(tolerance_percent))
-    balanced = F.when(src == 0, tgt == 0).otherwise(F.abs(pct) <= tol)
+    if equal or tolerance_percent == 0:
+        balanced = src == tgt
+    else:
+        # the share as a fraction of whole numbers, so nothing is divided; what passes 38 digits doesn't balance
+        share = (Decimal(str(round(float(tolerance_percent), 10))) / 100).normalize()
+        below = 10 ** max(0, -share.as_tuple().exponent)
+        wide = f"decimal(38,{max(scale, 6)})"
+        lost = F.try_multiply(F.abs(variance).cast(wide), F.lit(Decimal(below)))
+        allowed = F.try_multiply(F.abs(src).cast(wide), F.lit(Decimal(int(share * below))))
+        balanced = F.when(src == 0, tgt == 0).otherwise(lost <= allowed)
     return [variance.cast(f"decimal(38,{scale})").alias("variance"),
             pct.cast("decimal(18,4)").alias("variance_percent"),
             tol.cast("decimal(18,4)").alias("tolerance_percent"),
@@ -135,7 +146,7 @@ def reconcile(rule: ReconRule) -> DataFrame:
     j = j.select(gk.alias("group_key"), *both)
     return j.select(F.lit(rule.recon_rule_id).alias("recon_rule_id"), F.lit(rule.recon_type).alias("recon_type"),
                     "group_key", "source_value", "target_value",
-                    *balance_columns(F.col("source_value"), F.col("target_value"), rule.tolerance * 100.0, digits),
+                    *balance_columns(F.col("source_value"), F.col("target_value"), rule.tolerance * 100.0, digits, _kind(rule) == "HASH_TOTAL"),
                     F.lit(rule.on_break.upper()).alias("on_break"))
 
 

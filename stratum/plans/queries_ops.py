@@ -138,9 +138,9 @@ w AS (SELECT job, run_id, start_ts, duration_s AS value,
 st AS (SELECT *, CASE WHEN n >= 1 THEN CAST(s AS DOUBLE) / CAST(n AS DOUBLE) END AS mean,
   SQRT(CASE WHEN n >= 2 THEN CAST(CAST(n AS DECIMAL(38,0)) * s2 - s * s AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE) END) AS sd
   FROM w)
-SELECT job, run_id, start_ts, value, CAST(ROUND(mean, 4) AS DECIMAL(18,4)) AS mean_prev,
-  CAST(ROUND(sd, 4) AS DECIMAL(18,4)) AS std_prev,
-  CAST(ROUND(CASE WHEN n >= 3 AND sd > 0 THEN (CAST(value AS DOUBLE) - mean) / sd END, 4) AS DECIMAL(18,4)) AS zscore,
+SELECT job, run_id, start_ts, CAST(value AS DECIMAL(38,2)) AS value, CAST(ROUND(mean, 4) AS DECIMAL(38,4)) AS mean_prev,
+  CAST(ROUND(sd, 4) AS DECIMAL(38,4)) AS std_prev,
+  CAST(ROUND(CASE WHEN n >= 3 AND sd > 0 THEN (CAST(value AS DOUBLE) - mean) / sd END, 4) AS DECIMAL(38,4)) AS zscore,
   COALESCE(ABS(CASE WHEN n >= 3 AND sd > 0 THEN (CAST(value AS DOUBLE) - mean) / sd END) > 3.0, FALSE) AS is_anomaly
 FROM st""")
 def anomaly_durations(spark, sf):

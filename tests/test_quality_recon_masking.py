@@ -1,4 +1,5 @@
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,3 +123,28 @@ def test_card_checksum_and_name_hints(spark):
     assert got[("tax_id", "NAME:tax_id")] == "RESTRICTED"
     cat = MK.classify_pii(df, detectors=tuple(MK.DETECTORS))
     assert MK.search_catalog(cat, "tax").count() == 1 and MK.search_catalog(cat, classification="confidential").count() == 1
+
+
+def test_a_lost_row_never_balances(spark):
+    big = spark.range(3_000_000)
+    rule = R.ReconRule("r", "ROW_COUNT", big, spark.range(2_999_999), on_break="FAIL")
+    out = R.reconcile(rule)
+    assert not out.first().balanced
+    with pytest.raises(R.ReconBreak):
+        R.enforce_recon(out)
+    at = lambda s, t, tol: R.balance(spark.createDataFrame([(Decimal(s), Decimal(t))], "source_value decimal(38,2), target_value decimal(38,2)"),
+                                      tolerance_percent=tol).first().balanced
+    assert at("100.00", "99.00", 1.0) and not at("100.00", "98.99", 1.0) and not at("0", "0.01", 5.0) and at("0", "0", 0.0)
+    assert at("-100", "-101", 1.0) and not at("1000000000000000000000000000000", "999999999999999999999999999999.99", 0.0)
+    assert at("3000000", "2999999", 7 * 0.01)  # a share that binary fractions don't hold
+    # hash totals are equal or not, at any tolerance
+    a, b = spark.createDataFrame([("x",)], "h string"), spark.createDataFrame([("y",)], "h string")
+    assert not R.reconcile(R.ReconRule("h", "HASH_TOTAL", a, b, hash_columns=["h"], tolerance=1.0)).first().balanced
+
+
+def test_money_is_summed_before_it_is_rounded(spark):
+    from stratum.operators import ops as O
+    c = spark.range(1000).select(F.lit("d").alias("day"), F.lit(0.004).alias("cost"))
+    assert {str(r.total_cost) for r in O.cost_rollup(c, ["day"]).collect()} == {"4.00"}
+    days = spark.createDataFrame([("j", "2024-01-0%d" % i, 0.004) for i in range(1, 6)], "j string, d string, c double").withColumn("d", F.col("d").cast("date"))
+    assert [r.breached for r in O.budget_breaches(days, "j", "d", "c", 0.01).orderBy("d").collect()] == [False, False, True, True, True]

@@ -47,3 +47,75 @@ def test_descending_order_and_multi_keys(spark):
     got = ordered_scan(df, ["x", "y"], [F.col("t").desc()], index_col="ix", lag_cols=["t"], num_partitions=3)
     assert rows(got, "x", "y", "t", "ix", "prev_t") == sorted(
         [(1, "a", 3, 1, None), (1, "a", 2, 2, 3), (1, "a", 1, 3, 2), (1, "b", 2, 1, None), (2, "a", 5, 1, None)])
+
+
+def _events(spark):
+    """One hot key over many hours, cold keys, NULL keys and NULL times; ties broken by id."""
+    return spark.range(4000).select(
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 31 == 0, None).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        F.when(F.col("id") % 211 == 0, None).otherwise(F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,(id * 37) % 9001)")).alias("t"),
+        F.col("id"), F.when(F.col("id") % 5 > 0, F.col("id") % 17).cast("decimal(38,6)").alias("v"))
+
+
+def test_rolling_frames_equal_a_plain_window(spark):
+    from stratum.operators.sequence import rolling_before
+    df = _events(spark)
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(-4, -1)
+    ref = df.select("id", F.transform(F.collect_list(F.struct("v")).over(w), lambda x: x["v"]).alias("f"))
+    for chunk in (None, F.lit(0), F.col("t").cast("date"), F.date_trunc("second", F.col("t"))):
+        got = rolling_before(df, ["k"], ["t", "id"], F.col("v"), 4, "f", chunk)
+        assert {r.id: r.f for r in got.collect()} == {r.id: r.f for r in ref.collect()}
+
+
+def test_carried_values_equal_a_plain_window(spark):
+    from stratum.operators.sequence import carry_forward
+    df = _events(spark)
+    value = F.when(F.col("id") % 97 == 0, F.col("id"))
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    ref = {r.id: r.f for r in df.select("id", F.last(value, ignorenulls=True).over(w).alias("f")).collect()}
+    assert {r.id: r.f for r in carry_forward(df, ["k"], ["t", "id"], value, "f").collect()} == ref
+
+
+def test_chunked_scan_equals_windows_with_nulls(spark):
+    df = _events(spark)
+    got = ordered_scan(df, ["k"], ["t", "id"], lag_cols=["v"], lead_cols=["t"], running=["v"], index_col="ix")
+    w = Window.partitionBy("k").orderBy("t", "id")
+    ref = df.select("id", F.lag("v").over(w).alias("p"), F.lead("t").over(w).alias("n"), F.row_number().over(w).alias("ix"),
+                    F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("c"))
+    assert {r.id: (r.prev_v, r.next_t, r.ix, r.cum_v) for r in got.collect()} == {r.id: (r.p, r.n, r.ix, r.c) for r in ref.collect()}
+
+
+def test_chunked_scans_need_no_checkpoint_and_one_shuffle_of_the_rows(spark):
+    from stratum.operators.sequence import rolling_before
+    df = _events(spark)
+    plan = rolling_before(df, ["k"], ["t", "id"], F.col("v"), 4, "f")._jdf.queryExecution().executedPlan().toString()
+    assert "RDDScan" not in plan and "rangepartitioning" not in plan and plan.count("hashpartitioning(__kc") <= 3
+
+
+def test_anomalies_of_large_and_equal_values(spark):
+    from stratum.operators.ops import anomalies
+    base = 10 ** 30
+    data = [("j", i, str(base + d)) for i, d in enumerate([1, 2, 3, 2, 900])] + [("e", i, "0.1") for i in range(5)]
+    df = spark.createDataFrame(data, "j string, t int, m string").withColumn("m", F.col("m").cast("decimal(38,1)"))
+    got = {(r.j, r.t): r for r in anomalies(df, ["j"], ["t"], "m", k=4).collect()}
+    assert got["j", 4].is_anomaly and abs(float(got["j", 4].std_prev) - 0.8165) < 1e-4 and int(got["j", 4].value) == base + 900
+    assert got["e", 4].zscore is None and not got["e", 4].is_anomaly and float(got["e", 4].std_prev) == 0
+
+
+def test_as_of_join_equals_an_interval_join(spark):
+    from stratum.operators import history as H
+    versions = spark.range(294).select((F.col("id") % 7).cast("int").alias("k"), (F.col("id") / 7).cast("int").alias("n"))
+    versions = versions.where("k < 6").selectExpr(
+        "if(k = 5, null, k) k", "n", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,n * 5) __start_at",
+        "if(n = 41 and k <> 2, null, timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,n * 5 + if(k = 3, 2, 5))) __end_at",
+        "n = 41 __is_current", "'h' __row_hash")
+    facts = spark.range(900).selectExpr("id", "if(id % 8 = 7, null, cast(id % 8 as int)) fk",
+                                        "if(id % 50 = 0, null, date'2023-12-31' + cast(id % 13 as int)) d", "'x' n2")
+    h = versions.withColumnRenamed("k", "hk")
+    want = facts.join(h, (F.col("fk") == F.col("hk")) & (F.col("d") >= F.col("__start_at")) &
+                      (F.col("__end_at").isNull() | (F.col("d") < F.col("__end_at"))), "left").drop("hk")
+    for how in ("left", "inner"):
+        got = H.join_asof_history(facts, h, {"fk": "hk"}, "d", how)
+        ref = want if how == "left" else want.where("__start_at is not null")
+        assert got.columns == ref.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, ref.collect()))
