@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_hash
-from .merge import dedupe_split
+from .merge import apply_changes, dedupe_split
 from .sequence import carry_forward, ordered_scan
 
 META = ["__start_at", "__end_at", "__is_current", "__row_hash"]
@@ -211,6 +211,79 @@ def scd2_from_log(changes: DataFrame, keys: Sequence[str], ts_col: str,
         "__row_hash")
 
 
+# ---------------------------------------------------------------- history in any order (ST8, L20)
+
+#: Hash of a row that ends its key's versions.
+DELETED = "deleted"
+
+
+class Spliced(NamedTuple):
+    """A history that takes rows in any order. Rows without a key or a time are in ``rejects`` (``reject_reason`` MISSING_KEY)."""
+
+    history: DataFrame
+    rejects: DataFrame
+
+
+def splice(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], ts_col: str, tracked: Sequence[str] | None = None,
+           tie_break: Sequence[str] = (), op_col: str | None = None, delete_ops: Sequence[str] = ("D",)) -> Spliced:
+    """Take the rows of ``batch`` into a type 2 history, whatever their order and however often they come.
+
+    A row splits the version it falls into, or begins one, at its own time; one that is equal to the version to its
+    left begins none. Such rows, and deletes, stay in the history as empty intervals (start = end), because a row that comes
+    later still may fall between them and make them count: so any cutting of one log into batches gives the same
+    history, that of :func:`scd2_from_log`. :func:`versions` hides them. Rows of one key and time are ordered by
+    ``tie_break``, then by content; the same row twice counts once.
+    """
+    keys = list(keys)
+    payload = [c for c in batch.columns if c not in META and c != op_col]
+    trk = tracked_columns(batch.select(*payload).drop(ts_col, *tie_break), keys, tracked)
+    unplaced = F.col(ts_col).isNull()
+    for k in keys:
+        unplaced = unplaced | F.col(k).isNull()
+    h = row_hash(trk)
+    if op_col:
+        h = F.when(F.col(op_col).isin(list(delete_ops)), DELETED).otherwise(h)
+    staged = batch.select("*", h.alias("__row_hash"))
+    rejects = staged.where(unplaced).select(*batch.columns, F.lit("MISSING_KEY").alias("reject_reason"))
+    log = staged.where(~unplaced).select(*payload, "__row_hash")
+    if target is not None:
+        log = target.drop("__start_at", "__end_at", "__is_current").unionByName(log, allowMissingColumns=True)
+    order = [ts_col, *tie_break, "__row_hash"]
+    log = log.dropDuplicates([*keys, *order])
+    cols = [c for c in log.columns if c != "__row_hash"]
+    scanned = ordered_scan(log, keys, order, lag_cols=["__row_hash"])
+    begins = ~F.col("__row_hash").eqNullSafe(F.col("prev___row_hash")) & ~(F.col("prev___row_hash").isNull() & (F.col("__row_hash") == DELETED))
+    flagged = scanned.withColumn("__begins", begins).drop("prev___row_hash")
+    opened = ordered_scan(flagged.where("__begins"), keys, order, lead_cols=[ts_col])
+    start, end = F.col(ts_col).cast("timestamp_ntz"), F.col(f"next_{ts_col}").cast("timestamp_ntz")
+    alive = F.col("__row_hash") != DELETED
+    shown = opened.select(*cols, start.alias("__start_at"), F.when(alive, end).otherwise(start).alias("__end_at"),
+                          (alive & end.isNull()).alias("__is_current"), "__row_hash")
+    hidden = flagged.where(~F.col("__begins")).select(*cols, start.alias("__start_at"), start.alias("__end_at"),
+                                                      F.lit(False).alias("__is_current"), "__row_hash")
+    return Spliced(shown.unionByName(hidden), rejects)
+
+
+def versions(history: DataFrame) -> DataFrame:
+    """A history without the empty intervals that :func:`splice` keeps."""
+    return history.where(F.col("__end_at").isNull() | (F.col("__start_at") < F.col("__end_at")))
+
+
+def apply_feed(target: DataFrame | None, changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], scd_type: int = 1,
+               op_col: str | None = None, delete_ops: Sequence[str] = ("D",), tracked: Sequence[str] | None = None) -> DataFrame:
+    """``KEYS ... SEQUENCE BY ... STORED AS SCD TYPE 1 | 2`` over a feed of changes in any order.
+
+    ``sequence_by`` begins with the event time for type 2; its further columns break ties. The result is the state to
+    store: :func:`stratum.operators.merge.live_rows` or :func:`versions` show it.
+    """
+    if scd_type == 2:
+        return splice(target, changes, keys, sequence_by[0], tracked, sequence_by[1:], op_col, delete_ops).history
+    if scd_type != 1:
+        raise ValueError(f"unknown SCD type {scd_type}")
+    op = op_col or "__op"
+    return apply_changes(target, changes if op_col else changes.withColumn(op, F.lit("U")), keys, sequence_by, op, delete_ops, tombstones=True)
+
+
 # ---------------------------------------------------------------- history checks
 
 def version_no(history: DataFrame, keys: Sequence[str], start_col: str = "__start_at",
@@ -226,7 +299,7 @@ def validate_history(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     and every closed version ends exactly where the next one starts.
     """
     keys = list(keys)
-    s = ordered_scan(history, keys, ["__start_at", "__row_hash"], lead_cols=["__start_at"])
+    s = ordered_scan(versions(history), keys, ["__start_at", "__row_hash"], lead_cols=["__start_at"])
     overlap = F.col("next___start_at").isNotNull() & (F.col("__end_at").isNull() |
                                                       (F.col("next___start_at") < F.col("__end_at")))
     gap = F.col("next___start_at").isNotNull() & F.col("__end_at").isNotNull() & \

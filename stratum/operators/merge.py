@@ -262,37 +262,17 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
 
 # ---------------------------------------------------------------- dynamic partition overwrite (L4)
 
-#: Touched partition values up to this number are filtered by value, more by a join.
-LISTED_PARTITIONS = 10_000
-
-
 def partition_overwrite(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Result of a dynamic partition overwrite, as a plan.
 
     Exactly the partition *values* present in the batch are replaced; other
-    partitions are kept. An empty batch replaces nothing. The layout bounds the
-    number of values: they are listed and filtered by value, which neither
-    shuffles the target nor lands it on a few keys and lets a partitioned scan prune.
+    partitions are kept. An empty batch replaces nothing. One NULL-safe anti join with the distinct
+    values, at plan time and at any number of columns and values; Spark broadcasts them, and
+    prunes a partitioned scan by them, where they are few.
     """
     pcols = list(partition_cols)
     if not pcols:
         return batch
-    touched = batch.select(*pcols).distinct()
-    some = touched.limit(LISTED_PARTITIONS + 1).collect()
-    if len(some) <= LISTED_PARTITIONS:
-        hit = F.lit(False)
-        if len(pcols) == 1:
-            known = [r[0] for r in some if r[0] is not None]
-            hit = F.coalesce(F.col(pcols[0]).isin(known), F.lit(False)) if known else hit
-            if any(r[0] is None for r in some):
-                hit = hit | F.col(pcols[0]).isNull()
-        else:
-            for r in some:
-                same = F.lit(True)
-                for c, v in zip(pcols, r):
-                    same = same & F.col(c).eqNullSafe(F.lit(v))
-                hit = hit | same
-        kept = target.where(~hit)
-    else:
-        kept = target.join(touched, [target[c].eqNullSafe(touched[c]) for c in pcols], "left_anti")
+    touched = batch.select(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(pcols)]).distinct()
+    kept = target.join(touched, [F.col(c).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(pcols)], "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)

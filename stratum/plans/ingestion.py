@@ -111,14 +111,26 @@ def run_ingestion(spark: SparkSession, store: TableStore, ledger: RunLedger, cfg
     run = _Run(store, ledger, cfg, h)
     held: DataFrame | None = None
     try:
-        src = with_read_retry(read)
-        if cfg.watermark:
-            src = _above_mark(store, cfg, src)
-        src = held = src.persist(StorageLevel.MEMORY_AND_DISK)
-        n_read = src.count()
         target = store.read(cfg.target_table)
+
+        def taken() -> tuple[DataFrame, int]:
+            df = read()
+            df = (_not_loaded(store, cfg, df, target) if cfg.watermark else df).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                return df, df.count()  # the read happens here, so here it can be tried again
+            except Exception:
+                df.unpersist()
+                raise
+
+        src, n_read = with_read_retry(taken)
+        held = src
         evo = E.resolve_schema_evolution(cfg.evolution)
         clean, compat, decision = src, None, "apply"
+        if cfg.watermark:
+            clean = src.where(F.col(_PLACE).isin("above", "tied")).drop(_PLACE)
+            run.aside(src.where(F.col(_PLACE) == "none").drop(_PLACE), "MISSING_KEY", f"no value in {cfg.watermark}")
+            run.aside(src.where(F.col(_PLACE) == "under").drop(_PLACE), "LATE_DATA", f"{cfg.watermark} under the stored mark")
+            src = src.drop(_PLACE)
         for a, b in (cfg.renames if evo.enable_column_mapping else {}).items():
             clean = clean.withColumnRenamed(a, b) if a in clean.columns else clean
         if target is not None and cfg.load_pattern.upper() != "OVERWRITE":
@@ -130,6 +142,7 @@ def run_ingestion(spark: SparkSession, store: TableStore, ledger: RunLedger, cfg
             ledger.log_decision(h, E.schema_change_record(h.run_id, h.trace_id, cfg.entity, evo, compat, 0, "PENDING"))
         if decision in ("reject", "defer"):
             reasons = "; ".join(compat.reasons) or "schema change needs approval"
+            run.parts = []
             run.aside(_whole_as_json(src), "SCHEMA_DRIFT", reasons)
             return _finish(run, n_read, 0, run.write_quarantine(), "REJECTED" if decision == "reject" else "DEFERRED",
                            compat.reasons, evo, compat)
@@ -163,6 +176,7 @@ def run_ingestion(spark: SparkSession, store: TableStore, ledger: RunLedger, cfg
         try:
             written, extra = _load(store, cfg, clean)
         except Exception as e:
+            run.parts = []  # the whole batch goes aside, once
             run.aside(_whole_as_json(src), "WRITE_FAILURE", f"{type(e).__name__}: {e}")
             run.write_quarantine()
             raise
@@ -173,7 +187,7 @@ def run_ingestion(spark: SparkSession, store: TableStore, ledger: RunLedger, cfg
         if rescued is not None:  # copies of rows that were written, so they don't count as rejected
             store.append(f"{cfg.target_table}_rescued", QR.stamp(rescued, "SCHEMA_DRIFT", h.run_id, "columns not in the target"))
         if cfg.watermark:
-            _store_mark(store, cfg, src)
+            _store_mark(store, cfg, clean)
         return _finish(run, n_read, written, rejected, None, compat.reasons if compat else [], evo, compat)
     except Exception as e:
         ledger.log_exception(h, e, "ingestion")
@@ -242,16 +256,47 @@ def _load(store: TableStore, cfg: IngestionConfig, clean: DataFrame) -> tuple[in
     return int(r["rows_inserted"] + r["rows_unchanged"]), rejects
 
 
-def _above_mark(store: TableStore, cfg: IngestionConfig, src: DataFrame) -> DataFrame:
-    marks = store.read(f"{cfg.target_table}_marks")
-    top = None if marks is None else marks.agg(F.max("mark")).first()[0]
-    return src if top is None else src.where(F.col(cfg.watermark) > F.lit(top).cast(src.schema[cfg.watermark].dataType))
+#: Where a row stands to the stored mark: above, tied, under, or none (no value).
+_PLACE = "__place"
+
+
+def _not_loaded(store: TableStore, cfg: IngestionConfig, src: DataFrame, target: DataFrame | None) -> DataFrame:
+    """The rows of an incremental read, with their place to the stored mark; rows that earlier runs loaded are left out.
+
+    At the mark, that is rows equal to a stored one; under it too, or, where the load has keys, rows whose key is stored.
+    What is left under the mark came late.
+    """
+    c = F.col(cfg.watermark)
+    top = _mark(store, cfg, src)
+    place = F.when(c.isNull(), "none")
+    if top is None or target is None:
+        return src.withColumn(_PLACE, place.otherwise("above"))
+    limit = F.lit(top)
+    placed = src.withColumn(_PLACE, place.when(c > limit, "above").when(c == limit, "tied").otherwise("under"))
+    same = [x for x in src.columns if x in target.columns]
+    keys = [k for k in cfg.keys if k in target.columns] or same
+
+    def unseen(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        known = target.select(*[F.col(x).alias(f"__t_{i}") for i, x in enumerate(by)])
+        return rows.join(known, [F.col(x).eqNullSafe(F.col(f"__t_{i}")) for i, x in enumerate(by)], "left_anti")
+
+    return (placed.where(F.col(_PLACE).isin("above", "none"))
+            .unionByName(unseen(placed.where(F.col(_PLACE) == "tied"), same))
+            .unionByName(unseen(placed.where(F.col(_PLACE) == "under"), keys)))
+
+
+def _mark(store: TableStore, cfg: IngestionConfig, src: DataFrame):
+    """The highest mark stored, as a value of the watermark column's type (marks of older tables were text)."""
+    dtype = src.schema[cfg.watermark].dataType
+    tops = [m.agg(F.max(F.col("mark").cast(dtype))).first()[0] for m in (
+        store.read(f"{cfg.target_table}_{name}") for name in ("watermarks", "marks")) if m is not None]
+    return max((t for t in tops if t is not None), default=None)
 
 
-def _store_mark(store: TableStore, cfg: IngestionConfig, src: DataFrame) -> None:
-    """The highest value read, as text of the column's type; kept only when the load is through."""
-    top = src.agg(F.max(cfg.watermark).cast("string").alias("mark")).where("mark is not null")
-    store.append(f"{cfg.target_table}_marks", top)
+def _store_mark(store: TableStore, cfg: IngestionConfig, loaded: DataFrame) -> None:
+    """The highest value loaded, in its own type; kept only when the load is through."""
+    top = loaded.agg(F.max(cfg.watermark).alias("mark")).where("mark is not null")
+    store.append(f"{cfg.target_table}_watermarks", top)
 
 
 def run_harmonization(silver_sql: str, spark: SparkSession, inputs: dict, keys: Sequence[str],

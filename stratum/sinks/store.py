@@ -11,10 +11,13 @@ file listing uses the Hadoop FileSystem of the session.
 
 from __future__ import annotations
 
+import contextlib
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
@@ -50,6 +53,27 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
 
 
+#: The table's schema, beside its data (hidden from Spark's listing). Empty text can't be the value of a directory: it is
+#: written as this mark, and text that begins with the mark gets it once more.
+SCHEMA_FILE = "_stratum_schema.json"
+_MARK = "__empty__"
+
+
+def _text_partitions(df: DataFrame, partition_by: Sequence[str]) -> list[str]:
+    return [c for c in partition_by if isinstance(df.schema[c].dataType, T.StringType)]
+
+
+def _marked(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    text = _text_partitions(df, partition_by)
+    return df.select(*[(F.when((F.col(c) == "") | F.col(c).startswith(_MARK), F.concat(F.lit(_MARK), F.col(c))).otherwise(F.col(c)).alias(c)
+                        if c in text else F.col(c)) for c in df.columns]) if text else df
+
+
+def _unmarked(df: DataFrame, text: Sequence[str]) -> DataFrame:
+    return df.select(*[(F.when(F.col(c).startswith(_MARK), F.substr(F.col(c), F.lit(len(_MARK) + 1))).otherwise(F.col(c)).alias(c)
+                        if c in text else F.col(c)) for c in df.columns]) if text else df
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 32):
         self.spark = spark
@@ -65,7 +89,37 @@ class TableStore:
 
     # -------------------------------------------------------------- reads
     def _stored(self, table: str) -> DataFrame | None:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(table)) if self.exists(table) else None
+        if not self.exists(table):
+            return None
+        known, parts = self._schema(table)
+        if known is None:  # written by other means
+            return self.spark.read.option("mergeSchema", "true").parquet(self.path(table))
+        # with the schema given, no footers are merged and no partition value is guessed to be a number
+        return _unmarked(self.spark.read.schema(known).parquet(self.path(table)), parts)
+
+    def _schema(self, table: str) -> tuple[T.StructType | None, list[str]]:
+        """The schema kept beside the data, and the text columns that partition it."""
+        fs, p = _fs(self.spark, f"{self.path(table)}/{SCHEMA_FILE}")
+        if not fs.exists(p):
+            return None, []
+        with contextlib.closing(fs.open(p)) as f:
+            kept = json.loads(bytes(f.readAllBytes()).decode())
+        return T.StructType.fromJson(kept["schema"]), kept["text_partitions"]
+
+    def _keep_schema(self, table: str, df: DataFrame, partition_by: Sequence[str], grow: bool = True) -> None:
+        """Columns and types of the table from now on: ``df``'s, after those that are there already if it grows."""
+        old, parts = self._schema(table) if grow else (None, [])
+        if grow and old is None and self.exists(table):
+            return  # a table written by other means stays as it is
+        fields = list(old.fields) if old else []
+        fields += [T.StructField(f.name, f.dataType) for f in df.schema.fields if f.name not in {x.name for x in fields}]
+        fields = [f for f in fields if f.name not in partition_by] + [f for f in fields if f.name in partition_by]
+        if old is not None and fields == list(old.fields):
+            return
+        text = sorted({*parts, *_text_partitions(df, partition_by)})
+        fs, p = _fs(self.spark, f"{self.path(table)}/{SCHEMA_FILE}")
+        with contextlib.closing(fs.create(p, True)) as f:
+            f.write(bytearray(json.dumps({"schema": T.StructType(fields).jsonValue(), "text_partitions": text}).encode()))
 
     def read(self, table: str) -> DataFrame | None:
         df = self._stored(table)
@@ -82,6 +136,8 @@ class TableStore:
             if not keys:
                 raise ValueError(f"{table} is laid out by its merge keys; name them to append")
             df, partition_by = df.withColumn(BUCKET, bucket_of(keys, self.buckets)), (BUCKET,)
+        self._keep_schema(table, df, partition_by)  # a column too many is harmless if the write fails
+        df = _marked(df, partition_by)
 
         def w(d):
             d.write.mode("append").partitionBy(*partition_by).parquet(self.path(table))
@@ -100,11 +156,16 @@ class TableStore:
 
         def w(d):
             d.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(self.path(table))
-        return WriteResult(num_output_rows=observed_write(df, w), operation="OVERWRITE")
+        n = observed_write(_marked(df, partition_by), w)
+        self._keep_schema(table, df, partition_by, grow=False)
+        return WriteResult(num_output_rows=n, operation="OVERWRITE")
 
     def overwrite_partitions(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> WriteResult:
         """Dynamic partition overwrite (L4): exactly the partition values in the
         batch are replaced; an empty batch replaces nothing."""
+        self._keep_schema(table, df, partition_by)
+        df = _marked(df, partition_by)
+
         def w(d):
             (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*partition_by).parquet(self.path(table)))

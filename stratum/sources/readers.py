@@ -7,7 +7,6 @@ reach the scan (Parquet / ORC pushdown, JDBC predicate pushdown).
 
 from __future__ import annotations
 
-import contextlib
 import json
 import time
 from collections.abc import Mapping, Sequence
@@ -239,15 +238,37 @@ def retry_delays(attempts: int = 3, first: float = 1.0, longest: float = 60.0, b
     return [min(longest, first * grow(i)) for i in range(attempts - 1)]
 
 
+#: Java errors that another attempt may cure, and those among them that it can't.
+_PASSING = ("java.io.IOException", "java.io.InterruptedIOException", "java.net.", "java.sql.SQLTransient", "java.sql.SQLRecoverable",
+            "java.util.concurrent.TimeoutException")
+_LASTING = ("java.io.FileNotFoundException", "java.net.MalformedURLException", "java.net.URISyntaxException")
+
+
+def is_transient(error: BaseException) -> bool:
+    """Whether a failed read may work when tried again: I/O and network errors, Python's or those that Spark passes on."""
+    if isinstance(error, (FileNotFoundError, PermissionError)):
+        return False
+    if isinstance(error, OSError):
+        return True
+    text = f"{error} {getattr(error, 'java_exception', '')}"
+    return any(x in text for x in _PASSING) and not any(x in text for x in _LASTING)
+
+
 def with_read_retry(fn, attempts: int = 3, base_delay: float = 1.0, max_delay: float = 60.0,
-                    backoff: str = "exponential", transient: tuple[type[BaseException], ...] = (OSError,)):
-    """Call a read until it succeeds or its waits are used up (X3); other errors than the ``transient`` ones pass at once.
+                    backoff: str = "exponential", transient=None):
+    """Call a read until it succeeds or its waits are used up (X3); errors that are not ``transient`` pass at once.
+
+    ``fn`` must run the read, not only plan it: Spark reads when an action does. ``transient`` is a predicate of the
+    error, or the types to try again (:func:`is_transient` unless given).
 
     Writes are never retried here (a retried write could duplicate data); task
     retries inside Spark cover executor loss.
     """
     for delay in retry_delays(attempts, base_delay, max_delay, backoff):
-        with contextlib.suppress(*transient):
+        try:
             return fn()
+        except Exception as e:
+            if not (isinstance(e, transient) if isinstance(transient, tuple) else (transient or is_transient)(e)):
+                raise
         time.sleep(delay)
     return fn()

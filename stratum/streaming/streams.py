@@ -9,9 +9,11 @@ a replayed id.
 
 from __future__ import annotations
 
+import json
 from collections import deque
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,23 +145,120 @@ def upsert_batch_fn(store, table: str, keys: Sequence[str], seq: Sequence[str],
 
 
 def history_batch_fn(store, table: str, keys: Sequence[str], ts_col: str, tracked: Sequence[str] | None = None,
-                     late_table: str | None = None, run_id: str = "stream") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function for a streaming type 2 history (ST8): versions start at the event time; rows that come
-    too late, or lose to a newer one of their key in the batch, go to ``late_table`` (ST11)."""
+                     late_table: str | None = None, run_id: str = "stream", tie_break: Sequence[str] = (),
+                     op_col: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for a streaming type 2 history (ST8): each row begins a version at its event time, and
+    late and intermediate ones are spliced into the stored intervals, so the history doesn't depend on where the stream
+    is cut (:func:`stratum.operators.history.splice`; :func:`stratum.operators.history.versions` shows it).
+
+    With ``late_table`` rows older than the key's current version are put aside there instead (ST11). Rows without a
+    key or a time go to ``<table>_quarantine``. Both hold one partition a batch, which a replay replaces.
+    """
+    def put(name: str, df: DataFrame, reason: str, batch_id: int) -> None:
+        store.overwrite_partitions(name, QR.stamp(df, reason, run_id, f"batch {batch_id}").withColumn("batch_id", F.lit(batch_id)), ("batch_id",))
+
     def fn(batch: DataFrame, batch_id: int) -> None:
         if store.has_commit(table, batch_id):
             return
+        good = batch
         before = store.read(table)
-        ts = F.localtimestamp()
-        if late_table:
-            left = H.scd2_merge(before, batch, keys, ts, tracked, event_ts_col=ts_col).rejects
-            store.overwrite_partitions(late_table, QR.stamp(left, "LATE_DATA", run_id, f"batch {batch_id}")
-                                       .withColumn("batch_id", F.lit(batch_id)), ("batch_id",))
-        store.merge(table, lambda cur: H.scd2_merge(cur, batch, keys, ts, tracked, event_ts_col=ts_col).history, keys, batch)
+        if late_table and before is not None:
+            newest = H.current(before).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__start_at").alias("__from"))
+            met = batch.join(newest, [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)], "left")
+            late = F.coalesce(F.col(ts_col).cast("timestamp_ntz") < F.col("__from"), F.lit(False))
+            put(late_table, met.where(late).select(*batch.columns), "LATE_DATA", batch_id)
+            good = met.where(~late).select(*batch.columns)
+        unplaced = H.splice(None, good, keys, ts_col, tracked, tie_break, op_col).rejects.drop("reject_reason")
+        if not unplaced.isEmpty():
+            put(f"{table}_quarantine", unplaced, "MISSING_KEY", batch_id)
+        store.merge(table, lambda cur: H.splice(cur, good, keys, ts_col, tracked, tie_break, op_col).history, keys, good)
         store.mark_commit(table, batch_id)
     return fn
 
 
+# ---------------------------------------------------------------- schema evolution of a stream (ST5)
+
+class SchemaChanged(Exception):
+    """A micro-batch holds columns that the stream's stored schema does not."""
+
+
+class StreamSchema:
+    """The schema of a stream of JSON files, kept as numbered rows in a table of the store."""
+
+    def __init__(self, store, name: str):
+        self.store, self.name = store, name
+
+    def read(self) -> T.StructType | None:
+        rows = self.store.read(self.name)
+        last = None if rows is None else rows.agg(F.max(F.struct("version", "schema"))).first()[0]
+        return None if last is None else T.StructType.fromJson(json.loads(last["schema"]))
+
+    def write(self, schema: T.StructType) -> None:
+        spark, rows = self.store.spark, self.store.read(self.name)
+        version = 0 if rows is None else rows.agg(F.max("version")).first()[0] + 1
+        self.store.append(self.name, spark.createDataFrame([(version, json.dumps(schema.jsonValue()))], "version int, schema string").coalesce(1))
+
+
+EVOLUTION_MODES = ("addNewColumns", "rescue", "failOnNewColumns")
+
+
+def evolving_batch_fn(store, table: str, schema: StreamSchema, mode: str = "addNewColumns") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that appends JSON lines (column ``value``) under the stored schema.
+
+    The columns of each batch's files are compared with it first. New ones end the run with :class:`SchemaChanged`:
+    in mode addNewColumns after the stored schema has grown by them, in mode failOnNewColumns with the schema as it was. In mode rescue
+    the schema never grows: what it doesn't know is kept as JSON in ``_rescued_data``. Lines that are no JSON
+    object are kept there whole. A batch is one partition, which a replay replaces.
+    """
+    if mode not in EVOLUTION_MODES:
+        raise ValueError(f"unknown mode {mode}")
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        known = schema.read() or T.StructType()
+        names = batch.select(F.explode(F.json_object_keys("value")).alias("name")).distinct()
+        unknown = names.where(~F.col("name").isin(known.fieldNames())) if known.fieldNames() else names
+        new = sorted(r["name"] for r in unknown.collect())  # names of columns
+        if new and (mode == "addNewColumns" or not known.fieldNames()):
+            lines = batch.sparkSession.read.json(batch.select("value").rdd.map(lambda r: r[0]))
+            schema.write(T.StructType([*known.fields, *[lines.schema[n] for n in new if n in lines.columns]]))
+            raise SchemaChanged(f"new columns: {', '.join(new)}")
+        if new and mode == "failOnNewColumns":
+            raise SchemaChanged(f"unexpected columns: {', '.join(new)}")
+        typed = F.from_json("value", known, JSON_OPTIONS)
+        texts = F.from_json("value", "map<string,string>")
+        rest = F.map_filter(texts, lambda k, v: ~k.isin(known.fieldNames()))
+        rescued = F.when(F.json_object_keys("value").isNull(), F.col("value")).when(F.size(rest) > 0, F.to_json(rest))
+        store.overwrite_partitions(table, batch.select(typed.alias("r"), rescued.alias("_rescued_data"))
+                                   .select("r.*", "_rescued_data", F.lit(batch_id).alias("batch_id")), ("batch_id",))
+    return fn
+
+
+def run_evolving_stream(spark: SparkSession, path: str, store, table: str, checkpoint: str, mode: str = "addNewColumns",
+                        max_files_per_trigger: int | None = None) -> int:
+    """Take all JSON files under ``path`` that are new into ``table`` (ST5); the number of restarts.
+
+    The query stops at a file set with new columns; the stored schema has grown by then, and the query is
+    started again from its checkpoint, where it repeats that batch. Every restart grows the schema, so their
+    number is bounded by the columns.
+    """
+    schema = StreamSchema(store, f"{table}_schema")
+    fn = evolving_batch_fn(store, table, schema, mode)
+    restarts = 0
+    while True:
+        before = schema.read()
+        lines = file_stream(spark, path, "text", "value string", max_files_per_trigger)
+        q = lines.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        try:
+            q.awaitTermination()
+            return restarts
+        except StreamingQueryException as e:
+            if "SchemaChanged" not in str(e):
+                raise
+            if schema.read() == before:  # it didn't grow: the mode forbids it
+                raise SchemaChanged(str(e)) from e
+            restarts += 1
+
+
 class ProgressRecorder(StreamingQueryListener):
     """Per-micro-batch progress rows (ST13): no extra count() per batch; the
     numbers come from the query's own progress events. With a ``sink`` (such as

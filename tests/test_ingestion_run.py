@@ -227,3 +227,70 @@ def test_config_versions_and_exact_doubles(spark):
                                                   "load_id string, source_id string, target_id string, engine string, load_type string"))
     assert {(r.entity_id, r.rule) for r in bad.collect()} == {
         ("src_a", "source_type_domain"), ("t", "layer_table_type"), ("l", "engine_source"), ("l", "load_type_domain")}
+
+
+def test_incremental_run_keeps_every_row_once(spark, env):
+    st, _ = env
+    schema = "id int, m int"
+    cfg = {"target_table": "t", "watermark": "m"}
+    def run(*r):
+        return _run(spark, env, spark.createDataFrame(list(r), schema), **cfg)
+    assert run((1, 5), (2, 9)).rows_written == 2
+    # 100 is above 9 as a number, not as text; what is stored is read again, and left out
+    assert run((1, 5), (2, 9), (3, 100)).rows_written == 1
+    r = run((1, 5), (2, 9), (3, 100), (4, 101), (5, 100), (6, None), (7, 50))  # new, tied with the mark, without one, late
+    assert (r.status, r.rows_read, r.rows_written, r.rows_rejected) == ("SUCCESS", 4, 2, 2)
+    assert rows(st.read("t"), "id") == [(1,), (2,), (3,), (4,), (5,)]
+    q = st.read("t_quarantine")
+    assert rows(q, "id", "reason_category") == [(6, "MISSING_KEY"), (7, "LATE_DATA")]
+
+
+def test_text_partitions_come_back_as_text(spark, env):
+    st, _ = env
+    df = spark.createDataFrame([(1, "007"), (2, "010"), (3, ""), (4, None), (5, "1e3"), (6, "__empty__x")], "id int, code string")
+    for n in (1, 2):
+        assert _run(spark, env, df, target_table="p", partition_by=["code"]).status == "SUCCESS"
+        back = st.read("p")
+        assert dict(back.dtypes) == {"id": "int", "code": "string"} and back.count() == 6 * n
+        assert sorted({r.code for r in back.collect()}, key=str) == sorted({r.code for r in df.collect()}, key=str)
+    st.overwrite_partitions("p", df.where("id = 3"), ["code"])  # the partition of empty text alone
+    assert st.read("p").count() == 11 and st.read("p").where("code = ''").count() == 1
+    st.replace("p", df.withColumn("n", F.lit(1)), ["code"])
+    assert st.read("p").where("code = '007' and n = 1").count() == 1 and st.read("p").count() == 6
+
+
+def test_partition_overwrite_of_many_column_pairs(spark):
+    target = spark.range(20_000).selectExpr("id", "cast(id % 5000 as int) a", "if(id % 5000 = 7, null, concat('p', id % 5000)) b")
+    batch = target.where("a < 4000").groupBy("a", "b").agg(F.min("id").alias("id")).select("id", "a", "b")
+    out = M.partition_overwrite(target, batch, ["a", "b"])
+    assert out.count() == 4000 + 4 * 1000
+    assert out.where("a = 7").count() == 1
+
+
+def test_reads_are_tried_again_only_for_passing_errors(spark, env):
+    from stratum.sources.readers import is_transient, with_read_retry
+    tries = []
+
+    def flaky():
+        tries.append(1)
+        if len(tries) < 3:
+            spark.sql("select assert_true(false, 'java.io.IOException: Connection reset')").collect()  # fails when it is run
+        return "read"
+
+    assert with_read_retry(flaky, base_delay=0.01) == "read" and len(tries) == 3
+    assert is_transient(OSError()) and not is_transient(FileNotFoundError()) and not is_transient(ValueError("x"))
+    with pytest.raises(ValueError):
+        with_read_retry(lambda: int("x"), base_delay=10)
+
+
+def test_write_failure_holds_each_row_once(spark, env):
+    st, ledger = env
+
+    class Broken(TableStore):
+        def merge(self, *a, **k):
+            raise OSError("disk full")
+
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k int, v string")
+    with pytest.raises(OSError):
+        _run(spark, (Broken(spark, st.root), ledger), df, load_pattern="SCD1", keys=["k"])
+    assert _quarantine(st) == {"WRITE_FAILURE": 3}

@@ -87,3 +87,84 @@ def test_anomalies_and_running_sums_with_nulls(spark):
     r = spark.createDataFrame([("j", 1, 10.0), ("j", 2, 11.0), ("j", 3, None), ("j", 4, 10.5), ("j", 5, 0.004)], "j string, t int, m double")
     got = {x.t: x for x in anomalies(r, ["j"], ["t"], "m").collect()}
     assert float(got[4].mean_prev) == 10.5 and float(got[5].value) == 0.004
+
+
+def _log(spark):
+    """Changes of a few keys, with repeats, ties, deletes, missing keys and times."""
+    return spark.range(160).selectExpr(
+        "if(id % 53 = 52, null, cast(id % 4 as int)) k", "concat('v', (id * 7) % 3) v",
+        "if(id % 61 = 60, null, timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,(id * 11) % 29)) ts", "cast(id as int) n",
+        "if(id % 17 = 3, 'D', 'U') op")
+
+
+def test_history_does_not_depend_on_where_the_log_is_cut(spark, tmp_dir):
+    log = _log(spark)
+    placed = log.where("k is not null and ts is not null")
+    whole = H.scd2_from_log(placed.drop("op"), ["k"], "ts", ["v"], ["n"])
+    want = rows(H.versions(whole), "k", "v", "__start_at", "__end_at", "__is_current")
+    for cut in ("0", "n % 2", "hash(n) % 3", "-day(ts) div 8"):
+        parts = log.withColumn("p", F.expr(cut).cast("int")).drop("op")
+        h = None
+        for p in sorted({r.p for r in parts.select("p").distinct().collect()}, key=str):
+            h = H.splice(h, parts.where(F.col("p").eqNullSafe(F.lit(p))).drop("p"), ["k"], "ts", ["v"], ["n"]).history
+            h = spark.createDataFrame(h.collect(), h.schema)  # as a table that was written
+        assert rows(H.versions(h), "k", "v", "__start_at", "__end_at", "__is_current") == want, cut
+    assert H.validate_history(h, ["k"]).where("n_overlaps > 0 or n_bad_open > 0").count() == 0
+    assert H.splice(None, log.drop("op"), ["k"], "ts", ["v"], ["n"]).rejects.count() == log.count() - placed.count()
+
+
+def test_streamed_history_equals_the_batch_one(spark, tmp_dir):
+    log = _log(spark).drop("op")
+    src, st = os.path.join(tmp_dir, "src"), TableStore(spark, os.path.join(tmp_dir, "store"), buckets=3)
+    log.repartition(3, "n").write.parquet(src)
+    fn = ST.history_batch_fn(st, "h", ["k"], "ts", ["v"], tie_break=["n"])
+    _drain(spark, src, log.schema, fn, os.path.join(tmp_dir, "ck"))
+    fn(log, 99)  # all of it again, under a new id
+    placed = log.where("k is not null and ts is not null")
+    want = H.versions(H.scd2_from_log(placed, ["k"], "ts", ["v"], ["n"]))
+    cols = ("k", "v", "__start_at", "__end_at", "__is_current")
+    assert rows(H.versions(st.read("h")), *cols) == rows(want, *cols)
+    assert st.read("h_quarantine").where("batch_id <> 99").count() == log.count() - placed.count()
+
+
+def test_feed_of_both_scd_types_with_deletes(spark):
+    day = lambda d: dt.datetime(2024, 1, d)
+    schema = "k int, v string, ts timestamp_ntz, s int, op string"
+    first = spark.createDataFrame([(1, "a", day(1), 1, "U"), (1, None, day(5), 1, "D"), (2, "x", day(2), 1, "U")], schema)
+    second = spark.createDataFrame([(1, "b", day(3), 1, "U"), (1, "c", day(9), 1, "U"), (2, "x", day(4), 1, "U"), (2, "x", day(4), 1, "U")], schema)
+    for batches in ((first, second), (second, first), (first.union(second),)):
+        one = two = None
+        for b in batches:
+            one = H.apply_feed(one, b, ["k"], ["ts", "s"], 1, "op")
+            two = H.apply_feed(two, b, ["k"], ["ts", "s"], 2, "op", tracked=["v"])
+        assert rows(M.live_rows(one), "k", "v") == [(1, "c"), (2, "x")]
+        shown = H.versions(two).selectExpr("k", "v", "day(__start_at) a", "day(__end_at) z", "__is_current c")
+        assert sorted(map(tuple, shown.collect()), key=lambda r: r[:3:2]) == [
+            (1, "a", 1, 3, False), (1, "b", 3, 5, False), (1, "c", 9, None, True), (2, "x", 2, None, True)]
+
+
+def test_stream_schema_evolution_in_all_modes(spark, tmp_dir):
+    import pytest
+
+    def put(name, *lines):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(os.path.join(tmp_dir, name, "src"))
+
+    def run(name, mode):
+        st = TableStore(spark, os.path.join(tmp_dir, name, "store"))
+        return st, ST.run_evolving_stream(spark, os.path.join(tmp_dir, name, "src"), st, "t", os.path.join(tmp_dir, name, "ck"), mode)
+
+    for name in ("add", "rescue", "fail"):
+        put(name, '{"a": 1}', '{"a": 2, "b": "x"}')
+    assert run("add", "addNewColumns")[1] == 1 and run("rescue", "rescue")[1] == 1 and run("fail", "failOnNewColumns")[1] == 1  # the first schema
+    for name in ("add", "rescue", "fail"):
+        put(name, '{"a": 3, "c": {"d": 1.5}}', "no json", '{"b": "y"}')
+    st, n = run("add", "addNewColumns")
+    assert n == 1
+    got = {(r.a, r.b, r.c and r.c.d, r._rescued_data) for r in st.read("t").collect()}
+    assert got == {(1, None, None, None), (2, "x", None, None), (3, None, 1.5, None), (None, "y", None, None), (None, None, None, "no json")}
+    st, n = run("rescue", "rescue")
+    assert n == 0 and {(r.a, r.b, r._rescued_data) for r in st.read("t").collect()} == {
+        (1, None, None), (2, "x", None), (3, None, '{"c":"{\\"d\\":1.5}"}'), (None, "y", None), (None, None, "no json")}
+    with pytest.raises(ST.SchemaChanged):
+        run("fail", "failOnNewColumns")
+    assert TableStore(spark, os.path.join(tmp_dir, "fail", "store")).read("t").count() == 2
