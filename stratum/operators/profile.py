@@ -10,9 +10,12 @@ confirmed by an exact duplicate check.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,21 +128,114 @@ def candidate_keys(df: DataFrame, combos: Sequence[Sequence[str]] | None = None,
     return out
 
 
-def candidate_watermarks(df: DataFrame) -> DataFrame:
+def minimal_keys(df: DataFrame, columns: Sequence[str] | None = None, max_size: int = 2,
+                 screen_ratio: float = KEY_SCREEN) -> DataFrame:
+    """Smallest column sets of up to ``max_size`` columns that are unique and NULL-free (A15): column_set, row_count.
+
+    Sets are searched by size. Supersets of a key are never counted, nor are sets whose distinct values multiplied, by
+    their estimates, can't reach the number of rows. What is left of one size is estimated in one scan (a
+    mergeable sketch a set); only sets that come near the rows are counted exactly.
+    """
+    columns = list(columns or [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))])
+    schema = "column_set string, row_count bigint"
+    one = df.agg(F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)],
+                 *[F.count(c).alias(f"v{i}") for i, c in enumerate(columns)]).first()  # one row of metrics
+    n = one["n"]
+    near = {(c,): one[f"d{i}"] for i, c in enumerate(columns) if one[f"v{i}"] == n}  # estimates of NULL-free sets
+    usable = [c for c in columns if (c,) in near]
+    keys: list[tuple[str, ...]] = []
+    for size in range(1, max_size + 1):
+        sets = [x for x in combinations(usable, size) if not any(set(k) <= set(x) for k in keys)]
+        if size > 1:
+            # twice the product of the estimates, whose error is 5 % each
+            sets = [x for x in sets if 2 * math.prod(near[(c,)] for c in x) >= n]
+            if sets:
+                est = df.agg(*[F.approx_count_distinct(F.struct(*x)).alias(f"d{i}") for i, x in enumerate(sets)]).first()
+                near |= {x: est[f"d{i}"] for i, x in enumerate(sets)}
+        close = [x for x in sets if near[x] >= screen_ratio * n]
+        if close:
+            twice = [df.groupBy(*x).agg(F.count(F.lit(1)).alias("__rows")).agg(F.coalesce(F.max("__rows"), F.lit(1)).alias("most"))
+                     .select(F.lit(i).alias("i"), "most") for i, x in enumerate(close)]
+            found = reduce(DataFrame.unionAll, twice).where("most = 1").collect()  # a row per set
+            keys += [close[r["i"]] for r in found]
+    rows = [(",".join(k), n) for k in sorted(keys, key=lambda k: (len(k), [columns.index(c) for c in k]))]
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+#: Rows of a chunk of the load order, and chunks taken together at each further level.
+FAN = 1024
+
+
+def _descents(df: DataFrame, fields: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row with ``x0``, ``x1``, ...: how often each field falls below the last value before it in the order.
+
+    A chunk of the order is summed up as (first, last, descents), which merge in order: chunks by 1,024, those again by
+    1,024, until one is left, so no task sees more than a chunk, whatever the number of rows.
+    """
+    dtype, c = df.schema[order[0]].dataType, F.col(order[0])
+    if isinstance(dtype, T.DateType):
+        place, width = F.unix_date(c), 1
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        place, width = F.unix_micros(c.cast("timestamp")), 60_000_000
+    elif isinstance(dtype, T.IntegralType):
+        place, width = c.cast("bigint"), FAN
+    else:
+        raise ValueError(f"no load order by {dtype.simpleString()}")
+    placed = df.where(c.isNotNull()).withColumn("__p", place)
+    ends = placed.agg(F.min("__p").alias("low"), F.max("__p").alias("high")).first()  # one row
+    low, high = ends["low"] or 0, ends["high"] or 0
+
+    w = Window.partitionBy("__c").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    at = F.struct(*order)
+    rows = placed.withColumn("__c", F.floor((F.col("__p") - F.lit(low)) / F.lit(width)).cast("bigint"))
+    rows = rows.select("__c", *order, *[F.col(f).alias(f"v{i}") for i, f in enumerate(fields)],
+                       *[F.last(f, ignorenulls=True).over(w).alias(f"b{i}") for i, f in enumerate(fields)])
+    n = range(len(fields))
+
+    def falls(value: Column, before: Column) -> Column:
+        return F.coalesce(F.sum(F.when(value < before, 1).otherwise(0)), F.lit(0))
+
+    out = rows.groupBy("__c").agg(
+        *[F.min_by(f"v{i}", F.when(F.col(f"v{i}").isNotNull(), at)).alias(f"f{i}") for i in n],
+        *[F.max_by(f"v{i}", F.when(F.col(f"v{i}").isNotNull(), at)).alias(f"l{i}") for i in n],
+        *[falls(F.col(f"v{i}"), F.col(f"b{i}")).alias(f"x{i}") for i in n])
+    span = (high - low) // width + 1
+    while span > 1:
+        w = Window.partitionBy("__g").orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+        up = out.withColumn("__g", F.floor(F.col("__c") / F.lit(FAN)).cast("bigint"))
+        up = up.select("*", *[F.last(f"l{i}", ignorenulls=True).over(w).alias(f"b{i}") for i in n])
+        out = up.groupBy(F.col("__g").alias("__c")).agg(
+            *[F.min_by(f"f{i}", F.when(F.col(f"f{i}").isNotNull(), F.col("__c"))).alias(f"f{i}") for i in n],
+            *[F.max_by(f"l{i}", F.when(F.col(f"l{i}").isNotNull(), F.col("__c"))).alias(f"l{i}") for i in n],
+            *[(F.sum(f"x{i}") + falls(F.col(f"f{i}"), F.col(f"b{i}"))).alias(f"x{i}") for i in n])
+        span = (span - 1) // FAN + 1
+    return out.agg(*[F.coalesce(F.sum(f"x{i}"), F.lit(0)).alias(f"x{i}") for i in n])
+
+
+def candidate_watermarks(df: DataFrame, load_order: Sequence[str] | None = None) -> DataFrame:
     """Date / timestamp columns usable as an incremental watermark (A16):
-    column, type, min, max, null_count, is_candidate (no NULLs)."""
+    column_name, type, min, max, null_count, is_candidate (no NULLs).
+
+    With ``load_order`` (columns that give the order of loading, the first an integer, date or timestamp without
+    NULLs) also ``descents``: how often the column falls below its last value; a candidate never falls, as rows
+    under a mark that was passed would be lost to an incremental read.
+    """
     fields = [f for f in df.schema.fields if isinstance(f.dataType, _TIME)]
     if not fields:
         return df.sparkSession.createDataFrame([], "column_name string, type string, min string, max string, "
-                                                   "null_count bigint, is_candidate boolean")
+                                                   "null_count bigint, is_candidate boolean" + (", descents bigint" if load_order else ""))
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, f in enumerate(fields):
         aggs += [F.min(f.name).alias(f"mn{i}"), F.max(f.name).alias(f"mx{i}"), F.count(f.name).alias(f"nn{i}")]
     one = df.agg(*aggs)
+    if load_order:
+        falls = _descents(df, [f.name for f in fields], list(load_order))
+        one = one.select("*", *[falls.select(f"x{i}").scalar().alias(f"x{i}") for i in range(len(fields))])
     rows = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type"),
                      F.col(f"mn{i}").cast("string").alias("min"), F.col(f"mx{i}").cast("string").alias("max"),
                      (F.col("__n") - F.col(f"nn{i}")).cast("bigint").alias("null_count"),
-                     (F.col("__n") == F.col(f"nn{i}")).alias("is_candidate")) for i, f in enumerate(fields)]
+                     ((F.col("__n") == F.col(f"nn{i}")) & ((F.col(f"x{i}") == 0) if load_order else F.lit(True))).alias("is_candidate"),
+                     *([F.col(f"x{i}").cast("bigint").alias("descents")] if load_order else [])) for i, f in enumerate(fields)]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 

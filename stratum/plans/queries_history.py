@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import row_hash_sql
 from ..operators import history as H
 from ..operators import merge as M
+from ..session import cut_lineage
 from . import derived as D
 from .catalog import Tables, register
 
@@ -278,6 +279,17 @@ def customer_tier_history(spark, sf):
     return tier_history(Tables(spark, sf))
 
 
+@register("customer_tier_spliced", ops=("ST8", "L20"), sql=f"WITH {TIER_HIST_SQL} SELECT * FROM th")
+def customer_tier_spliced(spark, sf):
+    """The log in three parts, the latest years first, each spliced into what is there, must give the history of the whole."""
+    log = D.customer_years(Tables(spark, sf).customer, Tables(spark, sf).orders)
+    year = F.year("as_of")
+    state = None
+    for part in (year >= 1997, (year < 1997) & (F.pmod(year, F.lit(2)) == 0), (year < 1997) & (F.pmod(year, F.lit(2)) == 1)):
+        state = cut_lineage(H.apply_feed(state, log.where(part), ["c_custkey"], ["as_of"], 2, tracked=["c_mktsegment", "tier"]))
+    return H.versions(state).select(tier_history(Tables(spark, sf)).columns)
+
+
 @register("asof_orders_customer", ops=("J9",), sql=f"""WITH {TIER_HIST_SQL}
 SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, th.tier AS order_tier, th.c_mktsegment
 FROM orders o LEFT JOIN th ON o.o_custkey = th.c_custkey AND o.o_orderdate >= th.__start_at

@@ -348,3 +348,20 @@ def run_balance_dq(spark, sf):
            .withColumn("rows_written", good.agg(F.count(F.lit(1))).scalar().cast("bigint")) \
            .withColumn("rows_rejected", bad.agg(F.count(F.lit(1))).scalar().cast("bigint"))
     return R.run_balance(m)
+
+
+@register("recon_lost_rows", ops=("A1", "A2", "A3", "A4", "A5"), sql="""WITH m AS (SELECT MAX(l_orderkey) AS k FROM lineitem),
+c AS (SELECT COUNT(*) AS s, COUNT(*) FILTER (l_orderkey <> k) AS t, SUM(CAST(l_quantity AS DECIMAL(18,6))) AS q,
+  SUM(CAST(l_quantity AS DECIMAL(18,6))) FILTER (l_orderkey <> k) AS p FROM lineitem, m)
+SELECT 'rows' AS recon_rule_id, s = t AS balanced FROM c
+UNION ALL SELECT 'rows_1pct', 100 * abs(s - t) <= abs(s) FROM c
+UNION ALL SELECT 'quantity', q = p FROM c
+UNION ALL SELECT 'hash_1pct', FALSE FROM c""")
+def recon_lost_rows(spark, sf):
+    """The lines of one order missing from the target: unbalanced at tolerance 0 at any number of rows, and for hashes at any tolerance."""
+    li = Tables(spark, sf).lineitem
+    kept = li.where(F.col("l_orderkey") != li.agg(F.max("l_orderkey")).scalar())
+    rules = [R.ReconRule("rows", "ROW_COUNT", li, kept), R.ReconRule("rows_1pct", "ROW_COUNT", li, kept, tolerance=0.01),
+             R.ReconRule("quantity", "CONTROL_TOTAL", li, kept, "l_quantity"),
+             R.ReconRule("hash_1pct", "HASH_TOTAL", li, kept, hash_columns=["l_orderkey", "l_linenumber"], tolerance=0.01)]
+    return R.reconcile_all(rules).select("recon_rule_id", "balanced")

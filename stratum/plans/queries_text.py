@@ -179,6 +179,42 @@ def candidate_keys(spark, sf):
     return PR.candidate_keys(Tables(spark, sf).orders, KEY_SETS)
 
 
+TURN_COLUMNS = ["conv_id", "turn", "role"]
+
+
+def _minimal_keys_sql() -> str:
+    """Every set of one and two columns, by a plain count of its distinct values; a pair that holds a key is none."""
+    from itertools import combinations
+
+    def one(cols):
+        return (f"SELECT '{','.join(cols)}' AS column_set, COUNT(*) AS row_count, COUNT(DISTINCT ({', '.join(cols)})) AS d, "
+                f"{len(cols)} AS k FROM conversations")
+    every = " UNION ALL ".join(one(c) for k in (1, 2) for c in combinations(TURN_COLUMNS, k))
+    return (f"WITH s AS ({every}), u AS (SELECT * FROM s WHERE d = row_count) SELECT column_set, row_count FROM u a "
+            "WHERE NOT EXISTS (SELECT 1 FROM u b WHERE b.k < a.k AND list_contains(string_split(a.column_set, ','), b.column_set))")
+
+
+@register("composite_keys", ops=("A15",), sql=_minimal_keys_sql())
+def composite_keys(spark, sf):
+    return PR.minimal_keys(Tables(spark, sf).conversations.select(*TURN_COLUMNS), max_size=2)
+
+
+@register("watermark_descents", ops=("A16",), sql="""WITH e AS (SELECT event_id, ts, CAST(ts AS DATE) - CAST(event_id % 3 AS INTEGER) AS booked,
+  CASE WHEN event_type <> 'error' THEN ts END AS served FROM events),
+p AS (SELECT *, LAG(ts) OVER w AS t0, LAG(booked) OVER w AS b0, LAST_VALUE(served IGNORE NULLS) OVER (
+  ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s0 FROM e WINDOW w AS (ORDER BY event_id))
+SELECT 'ts' AS column_name, CAST(COUNT(*) - COUNT(ts) AS BIGINT) AS null_count, CAST(COUNT(*) FILTER (ts < t0) AS BIGINT) AS descents,
+  COUNT(*) = COUNT(ts) AND COUNT(*) FILTER (ts < t0) = 0 AS is_candidate FROM p
+UNION ALL SELECT 'booked', CAST(COUNT(*) - COUNT(booked) AS BIGINT), CAST(COUNT(*) FILTER (booked < b0) AS BIGINT),
+  COUNT(*) = COUNT(booked) AND COUNT(*) FILTER (booked < b0) = 0 FROM p
+UNION ALL SELECT 'served', CAST(COUNT(*) - COUNT(served) AS BIGINT), CAST(COUNT(*) FILTER (served < s0) AS BIGINT),
+  COUNT(*) = COUNT(served) AND COUNT(*) FILTER (served < s0) = 0 FROM p""")
+def watermark_descents(spark, sf):
+    e = Tables(spark, sf).events.select("event_id", "ts", F.date_sub(F.to_date("ts"), (F.col("event_id") % 3).cast("int")).alias("booked"),
+                                        F.when(F.col("event_type") != "error", F.col("ts")).alias("served"))
+    return PR.candidate_watermarks(e, ["event_id"]).select("column_name", "null_count", "descents", "is_candidate")
+
+
 @register("candidate_watermarks", ops=("A16",), sql="""SELECT 'ts' AS column_name, 'timestamp_ntz' AS type,
   CAST(MIN(ts) AS VARCHAR) AS min, CAST(MAX(ts) AS VARCHAR) AS max, CAST(COUNT(*) - COUNT(ts) AS BIGINT) AS null_count,
   COUNT(*) = COUNT(ts) AS is_candidate FROM events""")

@@ -338,6 +338,14 @@ def arrivals_tumbling(spark, sf):
     return ST.arrivals(Tables(spark, sf).events, "ts", "1 day", ["event_type"])
 
 
+@register("arrival_gaps", ops=("ST15",), sql="""WITH a AS (SELECT DISTINCT event_type, time_bucket(INTERVAL 15 MINUTE, ts) AS w FROM events),
+s AS (SELECT event_type, unnest(generate_series(min(w), max(w), INTERVAL 15 MINUTE)) AS window_start FROM a GROUP BY event_type)
+SELECT s.event_type, s.window_start, s.window_start + INTERVAL 15 MINUTE AS window_end
+FROM s ANTI JOIN a ON a.event_type = s.event_type AND a.w = s.window_start""")
+def arrival_gaps(spark, sf):
+    return ST.arrival_gaps(Tables(spark, sf).events, "ts", "15 minutes", ["event_type"])
+
+
 DAY1_OLD = "c_custkey, c_name, c_nationkey, c_mktsegment, spend"
 
 

@@ -13,11 +13,13 @@ import json
 from collections import deque
 from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import history as H
 from ..operators import merge as M
@@ -96,6 +98,58 @@ def arrivals(df: DataFrame, ts_col: str, window: str, dims: Sequence[str] = ())
              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *dims, "n_events")
 
 
+def arrival_gaps(df: DataFrame, ts_col: str, window: str, dims: Sequence[str] = ()) -> DataFrame:
+    """The tumbling windows in which nothing arrived, per dims, between their own first and last one (ST15).
+
+    A calendar spine is made of each feed's first and last window and anti joined with what arrived; its length is bounded by
+    the calendar, not by the rows. ``window`` is a fixed length such as ``1 hour``. NULL times are left out.
+    """
+    there = arrivals(df.where(F.col(ts_col).isNotNull()), ts_col, window, dims)
+    spine = (there.groupBy(*dims).agg(F.min("window_start").alias("first"), F.max("window_start").alias("last"))
+             .where(F.col("first").isNotNull())
+             .select(*dims, F.explode(F.sequence("first", "last", F.expr(f"interval {window}"))).alias("window_start")))
+    seen = there.select(F.col("window_start").alias("__at"), *[F.col(d).alias(f"__d{i}") for i, d in enumerate(dims)])
+    same = [F.col("window_start") == F.col("__at"), *[F.col(d).eqNullSafe(F.col(f"__d{i}")) for i, d in enumerate(dims)]]
+    return spine.join(seen, same, "left_anti").select(*dims, "window_start", (F.col("window_start") + F.expr(f"interval {window}")).alias("window_end"))
+
+
+def flag_repeats(df: DataFrame, keys: Sequence[str], ts_col: str, delay: str, out: str = "is_repeat") -> DataFrame:
+    """Uniqueness on a stream, across micro-batches and restarts (Q11, ST12): each row comes out, with ``out`` true
+    if a row of its key came before it.
+
+    A key is remembered, as keyed state, until the watermark passes its newest event time by ``delay``; a row that
+    comes later than that is a first one again. Of a micro-batch's rows of one key the earliest is the first (by event time, then
+    by content). Rows with a NULL key are never repeats. State and task hold one key's rows of one micro-batch at a time.
+    """
+    names = df.columns
+    at = F.col(ts_col).cast("timestamp")
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    # rows without a key get one of their own
+    own = F.when(known, F.to_json(F.struct(*keys))).otherwise(F.concat(F.lit("~"), F.expr("uuid()")))
+    staged = df.select(own.alias("__key"), at.alias("__at"), F.to_json(F.struct(*names), JSON_OPTIONS).alias("__row")).withWatermark("__at", delay)
+
+    def tell(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(batches)).sort_values(["__at", "__row"], kind="stable")
+        last = rows["__at"].max()
+        if state.exists:
+            last = max(last, pd.Timestamp(state.get[0], unit="us"))
+        flags = [True] * len(rows)
+        flags[0] = state.exists
+        state.update((int(last.value // 1000),))
+        floor = state.getCurrentWatermarkMs()
+        state.setTimeoutTimestamp(max(int(last.value // 1_000_000), floor + 1))
+        yield pd.DataFrame({"__row": rows["__row"].to_numpy(), "__flag": flags})
+
+    told = staged.groupBy("__key").applyInPandasWithState(tell, "__row string, __flag boolean", "at long", "append",
+                                                           GroupStateTimeout.EventTimeTimeout)
+    return told.select(F.from_json("__row", df.schema, JSON_OPTIONS).alias("r"), F.col("__flag").alias(out)).select("r.*", out)
+
+
 # ---------------------------------------------------------------- sinks (ST6-ST8, ST12, ST14)
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
