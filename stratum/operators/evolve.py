@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,6 +111,9 @@ _INT_RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4}
 _INT_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
 
 
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
+
+
 def is_widening(old: T.DataType, new: T.DataType) -> bool:
     """Lossless widening: byte<short<int<long; byte/short/int -> double;
     integral -> decimal with enough integral digits; float -> double;
@@ -147,8 +150,10 @@ class CompatibilityResult:
 
 
 def validate_schema_compatibility(incoming: T.StructType, target: T.StructType,
-                                  cfg: EvolutionConfig, scd_type: str | None = None) -> CompatibilityResult:
-    """Compare an incoming schema with the target."""
+                                  cfg: EvolutionConfig, scd_type: str | None = None,
+                                  renames: Sequence[tuple[str, str]] | None = None) -> CompatibilityResult:
+    """Compare an incoming schema with the target (E3). Renames are those given (:func:`renames_by_content`), or else
+    suspected where a column of the same type stands in the same place."""
     tin = {f.name: f.dataType for f in incoming.fields}
     ttg = {f.name: f.dataType for f in target.fields}
     added = [c for c in tin if c not in ttg]
@@ -159,7 +164,9 @@ def validate_schema_compatibility(incoming: T.StructType, target: T.StructType,
             (widened if is_widening(ttg[c], tin[c]) else narrowed).append(c)
     pos_in = {f.name: i for i, f in enumerate(incoming.fields)}
     pos_tg = {f.name: i for i, f in enumerate(target.fields)}
-    renames = [(r, a) for r in removed for a in added if ttg[r] == tin[a] and pos_tg[r] == pos_in[a]]
+    if renames is None:
+        renames = [(r, a) for r in removed for a in added if ttg[r] == tin[a] and pos_tg[r] == pos_in[a]]
+    renames = list(renames)
     reasons = []
     allowed, rebuild = True, False
     if _scd(scd_type) == "0" and (added or removed or widened or narrowed):
@@ -180,6 +187,76 @@ def validate_schema_compatibility(incoming: T.StructType, target: T.StructType,
     return CompatibilityResult(allowed, rebuild, added, removed, widened, narrowed, renames, reasons)
 
 
+#: Distinct values of a new column that are looked for in the columns that went, and the share to be found there.
+RENAME_VALUES = 256
+RENAME_SHARE = 0.5
+#: NULL shares of two columns that hold the same thing differ by no more.
+RENAME_NULLS = 0.25
+
+
+def renames_by_content(stored: DataFrame, batch: DataFrame, least: float = RENAME_SHARE,
+                       values: int = RENAME_VALUES) -> list[tuple[str, str, float]]:
+    """(removed, added, share): columns of ``stored`` that ``batch`` has under another name, wherever it stands.
+
+    Of each new column the ``values`` distinct values with the smallest hashes are its fingerprint, a sample that doesn't depend on
+    how large the batch is against the table. One scan of the stored table counts, for each column that went and that the new type
+    fits, which of them it holds. A pair is a rename if its share is at least ``least``, the NULL shares are alike, and each
+    is the other's only best match: two columns that share a domain with a third one are left undecided. Only fingerprints and
+    counts come to the driver.
+    """
+    removed = [f for f in stored.schema.fields if f.name not in batch.columns and not isinstance(f.dataType, _NESTED)]
+    added = [f for f in batch.schema.fields if f.name not in stored.columns and not isinstance(f.dataType, _NESTED)]
+    pairs = [(r, a) for r in removed for a in added if is_widening(r.dataType, a.dataType)]
+    if not pairs:
+        return []
+
+    def value(name: str, dtype: T.DataType) -> Column:
+        return F.xxhash64(F.col(name).cast(dtype).cast("string"))
+
+    prints = {a.name: [r[0] for r in batch.where(F.col(a.name).isNotNull()).select(value(a.name, a.dataType).alias("h")).distinct()
+                       .orderBy("h").limit(values).collect()] for a in added}
+    pairs = [(r, a) for r, a in pairs if prints[a.name]]
+    if not pairs:
+        return []
+    hits = [F.size(F.collect_set(F.when(value(r.name, a.dataType).isin(prints[a.name]), value(r.name, a.dataType)))).alias(f"p{i}")
+            for i, (r, a) in enumerate(pairs)]
+
+    def nulls(df: DataFrame, fields, *more) -> dict:
+        one = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(f.name).alias(f"c{i}") for i, f in enumerate(fields)], *more).first().asDict()
+        return one | {f.name: 1 - one[f"c{i}"] / max(1, one["n"]) for i, f in enumerate(fields)}
+
+    old, new = nulls(stored, removed, *hits), nulls(batch, added)
+    share = {(r.name, a.name): old[f"p{i}"] / len(prints[a.name]) for i, (r, a) in enumerate(pairs)
+             if abs(old[r.name] - new[a.name]) <= RENAME_NULLS}
+    out = []
+    for (r, a), x in share.items():
+        rivals = [y for (r2, a2), y in share.items() if (r2 == r) != (a2 == a)]
+        if x >= least and all(y < x for y in rivals):
+            out.append((r, a, x))
+    return sorted(out)
+
+
+class ContractBreach(ValueError):
+    """A frame has columns that its contract doesn't name, lacks some, or has them in other types."""
+
+
+def project_contract(df: DataFrame, contract: T.StructType, drop_extra: bool = False) -> DataFrame:
+    """Exactly the contract's columns, in its order and types (P10): never ``select *`` into a sink.
+
+    Extra columns are refused, or dropped if that is asked for by name; missing columns, and types that don't widen
+    into the contract's, are refused.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+    extra = [c for c in have if c not in contract.fieldNames()]
+    missing = [f.name for f in contract.fields if f.name not in have]
+    wrong = [f"{f.name} {have[f.name].simpleString()} for {f.dataType.simpleString()}" for f in contract.fields
+             if f.name in have and not is_widening(have[f.name], f.dataType)]
+    faults = [f"{what}: {', '.join(x)}" for what, x in (("extra", [] if drop_extra else extra), ("missing", missing), ("types", wrong)) if x]
+    if faults:
+        raise ContractBreach("; ".join(faults))
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields])
+
+
 # ---------------------------------------------------------------- applying changes
 
 def align_to(batch: DataFrame, target: T.StructType, renames: Mapping[str, str] | None = None,

@@ -47,6 +47,7 @@ class IngestionConfig:
     event_ts_col: str | None = None
     op_col: str | None = None             # CDC: operation column
     delete_ops: Sequence[str] = ("D",)
+    find_renames: bool = False            # look for renamed columns by their values; mapped if the policy maps columns
     watermark: str | None = None          # incremental: only rows above the stored mark are read
 
 
@@ -137,7 +138,11 @@ def run_ingestion(spark: SparkSession, store: TableStore, ledger: RunLedger, cfg
             hidden = {*H.META, M.TOMBSTONE}
             known = target.select(*[c for c in target.columns if c not in hidden])
             payload = clean.drop(cfg.op_col) if cfg.op_col else clean
-            compat = E.validate_schema_compatibility(payload.schema, known.schema, evo, cfg.evolution.scd_type)
+            moved = [(r, a) for r, a, _ in E.renames_by_content(known, payload)] if cfg.find_renames else None
+            if moved and evo.enable_column_mapping:
+                clean, payload = (df.withColumnsRenamed({a: r for r, a in moved}) for df in (clean, payload))
+                moved = []
+            compat = E.validate_schema_compatibility(payload.schema, known.schema, evo, cfg.evolution.scd_type, moved)
             decision = _decide(cfg, evo, compat)
             ledger.log_decision(h, E.schema_change_record(h.run_id, h.trace_id, cfg.entity, evo, compat, 0, "PENDING"))
         if decision in ("reject", "defer"):

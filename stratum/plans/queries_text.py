@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import maps as MP
+from ..operators import evolve as E
 from ..operators import masking as MK
 from ..operators import profile as PR
 from .catalog import Tables, register
@@ -266,3 +268,27 @@ def card_numbers(spark, sf):
     n = d.select("doc_id", F.size(found).alias("n_found"), F.size(MK.valid_cards("text")).alias("n_valid"))
     return n.where("n_found > 0").select("doc_id", F.col("n_found").cast("bigint").alias("n_found"),
                                          F.col("n_valid").cast("bigint").alias("n_valid"))
+
+
+@register("map_access", ops=("F10",), sql="""SELECT event_id, props->>'$.k' AS k, COALESCE(props->>'$.missing', 'none') AS missing,
+  'k=' || (props->>'$.k') || ';kind=' || event_type AS tags FROM events""")
+def map_access(spark, sf):
+    e = Tables(spark, sf).events.select("event_id", "event_type", MP.json_map("props").alias("m"))
+    return e.select("event_id", MP.map_get("m", "k").alias("k"), MP.map_get("m", "missing", "none").alias("missing"),
+                    MP.map_text(MP.map_with("m", {"kind": F.col("event_type")})).alias("tags"))
+
+
+@register("renames_by_content", ops=("E3", "E6"), sql="""WITH n AS (SELECT * FROM customer WHERE c_custkey % 8 <> 0),
+p AS (SELECT 'c_name' AS removed, 'client' AS added, COUNT(DISTINCT c_name) FILTER (c_name IN (SELECT c_name FROM customer)) / COUNT(DISTINCT c_name) AS share FROM n
+UNION ALL SELECT 'c_mktsegment', 'client', COUNT(DISTINCT c_name) FILTER (c_name IN (SELECT c_mktsegment FROM customer)) / COUNT(DISTINCT c_name) FROM n
+UNION ALL SELECT 'c_name', 'segment', COUNT(DISTINCT c_mktsegment) FILTER (c_mktsegment IN (SELECT c_name FROM customer)) / COUNT(DISTINCT c_mktsegment) FROM n
+UNION ALL SELECT 'c_mktsegment', 'segment', COUNT(DISTINCT c_mktsegment) FILTER (c_mktsegment IN (SELECT c_mktsegment FROM customer)) / COUNT(DISTINCT c_mktsegment) FROM n
+UNION ALL SELECT 'c_name', 'note', COUNT(DISTINCT 'x' || c_custkey) FILTER ('x' || c_custkey IN (SELECT c_name FROM customer)) / COUNT(DISTINCT c_custkey) FROM n)
+SELECT removed, added, share FROM p WHERE share >= 0.5""")
+def renames_by_content(spark, sf):
+    """Two columns of customer moved and renamed, beside an unrelated one of their type."""
+    t = Tables(spark, sf).customer
+    new = t.where("c_custkey % 8 <> 0").select("c_custkey", F.concat(F.lit("x"), F.col("c_custkey").cast("string")).alias("note"),
+                                               F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("client"))
+    return spark.createDataFrame(E.renames_by_content(t.select("c_custkey", "c_name", "c_mktsegment"), new),
+                                 "removed string, added string, share double")
