@@ -94,8 +94,7 @@ class Measures:
         hot = [i for i, c in enumerate(codes) if c] if any(codes) else []
         hits = [(i, self.info[codes[i]][0], codes[i]) for i in hot if self.info[codes[i]][0] > 0]
         second = [i for i in hot if self.info[codes[i]][1]]
-        at = np.array(second)
-        near = sum(1 for i, _, _ in hits if len(at) and np.abs(at - i).min() <= NEAR)
+        near = _near([i for i, _, _ in hits], second)
         size = max(1, len(text))
         letters = size - text.count(" ")
         odds = [o for _, o, _ in hits]
@@ -107,6 +106,16 @@ class Measures:
                 sum(1 for _, _, c in hits if self.info[c][3]) / n, math.log1p(len(tokens))]
 
 
+def _near(places: list[int], others: list[int]) -> int:
+    """How many of the sorted places have one of the sorted others within ``NEAR``."""
+    if not places or not others:
+        return 0
+    at, of = np.array(places), np.array(others)
+    right = np.searchsorted(of, at)
+    gap = np.minimum(np.abs(of[np.minimum(right, len(of) - 1)] - at), np.abs(of[np.maximum(right - 1, 0)] - at))
+    return int((gap <= NEAR).sum())
+
+
 @dataclass(frozen=True)
 class Trees:
     """Boosted regression trees of depth ``depth``, as arrays; ``leaf`` holds log-odds."""

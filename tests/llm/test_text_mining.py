@@ -252,3 +252,18 @@ def test_personal_data_edges(spark):
     assert pii.extract(twice).count() == 2 and pii.extract(twice.where("doc_id < 0")).count() == 0
     assert pii.redact(twice).columns == twice.columns and pii.redact(_docs(spark, [None])).first()["text"] is None
     assert pii.extract(twice).select(pii.spelled(F.col("strict")).alias("s")).first()["s"] == "email:0:5"
+
+
+# --- op10 ---------------------------------------------------------------------------------------
+
+def test_nearness_equals_all_pairs_and_stays_linear():
+    import time
+
+    from stratum.llm import boosted_toxicity as bt
+
+    rng = random.Random(6)
+    for _ in range(300):
+        a, b = (sorted(rng.sample(range(200), rng.randint(0, 12))) for _ in range(2))
+        assert bt._near(a, b) == sum(any(abs(x - y) <= bt.NEAR for y in b) for x in a)
+    began = time.time()
+    assert bt._near(list(range(0, 2_000_000, 2)), list(range(1, 2_000_000, 2))) == 1_000_000 and time.time() - began < 5
