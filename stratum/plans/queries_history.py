@@ -296,7 +296,7 @@ FROM orders o LEFT JOIN th ON o.o_custkey = th.c_custkey AND o.o_orderdate >= th
   AND (th.__end_at IS NULL OR o.o_orderdate < th.__end_at)""")
 def asof_orders_customer(spark, sf):
     t = Tables(spark, sf)
-    j = H.join_asof_history(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), tier_history(t),
+    j = H.join_asof_history(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), cut_lineage(tier_history(t)),
                             {"o_custkey": "c_custkey"}, "o_orderdate")
     return j.select("o_orderkey", "o_custkey", "o_orderdate", F.col("tier").alias("order_tier"), "c_mktsegment")
 
