@@ -14,6 +14,7 @@ no labelled rows every other document scores 0.5.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,10 +26,11 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 from .common import bounded_sample, broadcast_value, chunked, map_batches
 
-#: Labelled documents that the model is fitted on (bounded training sample).
+#: Labelled documents, and stretches of their lines, that the model is fitted on (bounded training sample).
 SAMPLE = 2500
-#: Lines of a training document that the fit reads at most; scoring always reads whole texts.
-FIT_LINES = 400
+#: Training documents are cut, whole, into stretches of so many lines, each a chain of its own; the fit takes about
+#: ``SAMPLE`` stretches (all, if fewer), picked by a hash of document and place. Scoring chains whole texts.
+STRETCH = 400
 OWN = 11
 
 
@@ -123,8 +125,12 @@ def marginals(unary: np.ndarray, pair: np.ndarray, per_text: np.ndarray) -> tupl
 
 
 def fit(x: np.ndarray, length: np.ndarray, per_text: np.ndarray, label: np.ndarray, rounds: int = 2,
-        steps: int = 120, penalty: float = 1e-3, rate: float = 0.15) -> Model:
-    """Maximise the penalised likelihood of the line labels by Adam steps on forward-backward gradients."""
+        steps: int = 120, penalty: float = 1e-3, rate: float = 0.15, document: np.ndarray | None = None) -> Model:
+    """Maximise the penalised likelihood of the line labels by Adam steps on forward-backward gradients.
+
+    ``document`` numbers the document of each chain; by default each is one.
+    """
+    document = np.arange(len(per_text)) if document is None else document
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     z = np.clip((x - mean) / scale, -8, 8)
     y = np.repeat(label, per_text).astype(float)
@@ -146,7 +152,7 @@ def fit(x: np.ndarray, length: np.ndarray, per_text: np.ndarray, label: np.ndarr
             weight, bias, pair = weight + step[:-5], bias + step[-5], pair + step[-4:].reshape(2, 2)
         good, _ = marginals(z @ weight + bias, pair, per_text)
         y = np.where(np.repeat(label, per_text) == 1, 1.0, (good > 0.5).astype(float))
-        every = np.repeat(np.bincount(np.repeat(np.arange(len(per_text)), per_text), 1 - y) == 0, per_text)
+        every = np.repeat((np.bincount(np.repeat(document, per_text), 1 - y) == 0)[document], per_text)
         y[every & (np.repeat(label, per_text) == 0)] = 0.0  # a bad document keeps a bad line
     return Model(mean, scale, weight, float(bias), pair)
 
@@ -171,25 +177,32 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .agg(F.avg(F.col(label_col).cast("double")).alias("y")).where("y <> 0.5"))
     few = F.broadcast(bounded_sample(known, "k", sample))  # at most about ``sample`` rows of two numbers
     src = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("string").alias("t")).where("t <> ''").join(
-        few, "k").select((F.col("y") > 0.5).cast("int").alias("y"), "t")
+        few, "k").select(F.col("k").cast("string").alias("k"), (F.col("y") > 0.5).cast("int").alias("y"), "t")
+    lines = F.length("t") - F.length(F.replace(F.col("t"), F.lit("\n"), F.lit(""))) + 1
+    stretches = src.agg(F.sum(F.ceil(lines / F.lit(STRETCH)))).first()[0] or 0
+    share = int(min(1.0, sample / max(1, stretches)) * 2**32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            y, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            keys, y, texts = (c.to_pylist() for c in b.columns)
             for i, j in chunked(texts):
                 x, length, per_text = line_features(texts[i:j])
+                rows = np.hstack([x, length[:, None]]).astype(np.float32)
                 at = np.concatenate([[0], np.cumsum(per_text)])
-                parts = [np.hstack([x[a:e], length[a:e, None]])[:FIT_LINES].astype(np.float32).tobytes()
-                         for a, e in zip(at[:-1], at[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(y[i:j], pa.int32()), pa.array(parts, pa.binary())],
-                                                 names=["y", "x"])
-
-    got = sorted((r["y"], bytes(r["x"])) for r in map_batches(src, run, "y int, x binary").collect())
-    if len({y for y, _ in got}) < 2:
+                got = [(keys[d], y[d], rows[s:min(s + STRETCH, e)].tobytes()) for d, (a, e) in enumerate(zip(at[:-1], at[1:]), i)
+                       for s in range(a, e, STRETCH) if zlib.crc32(f"{keys[d]}:{s - a}".encode()) < share]
+                if got:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), (pa.string(), pa.int32(), pa.binary()))],
+                                                     names=["k", "y", "x"])
+
+    got = sorted((r["k"], r["y"], bytes(r["x"])) for r in map_batches(src, run, "k string, y int, x binary").collect())
+    if len({y for _, y, _ in got}) < 2:
         return None
-    rows = [np.frombuffer(x, np.float32).reshape(-1, 3 * OWN + 1).astype(float) for _, x in got]
+    rows = [np.frombuffer(x, np.float32).reshape(-1, 3 * OWN + 1).astype(float) for *_, x in got]
     x = np.vstack(rows)
-    return fit(x[:, :-1], x[:, -1], np.array([len(r) for r in rows]), np.array([y for y, _ in got]))
+    number = {k: i for i, k in enumerate(dict.fromkeys(k for k, *_ in got))}
+    return fit(x[:, :-1], x[:, -1], np.array([len(r) for r in rows]), np.array([y for _, y, _ in got]),
+               document=np.array([number[k] for k, *_ in got]))
 
 
 def classify(docs: DataFrame, model: Model | None, id_cols: list[str], text_col: str = "text") -> DataFrame:

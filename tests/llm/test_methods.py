@@ -430,6 +430,23 @@ def test_crf_marginals_equal_enumeration():
         at += n
 
 
+def test_crf_learns_from_whole_documents(spark):
+    rng = np.random.default_rng(5)
+    words = ["quiet", "river", "stone", "morning", "letter", "garden", "silver", "window", "bridge", "winter"]
+    good = lambda n: "\n".join(" ".join(rng.choice(words, 9)) for _ in range(n))
+    junk = lambda n: "\n".join(" ".join(rng.choice(["####", "$$", "12", "%%", "!!"], 6)) for _ in range(n))
+    # bad only behind the first lines
+    rows = [(i, good(450) + "\n" + (junk(900) if i % 2 else good(900)), 1 - i % 2) for i in range(30)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    model = line_crf.train(docs, labels)
+    low, high = line_crf.score(model, [junk(300), good(300)])
+    assert low < 0.2 and high > 0.8
+    few = line_crf.train(docs, labels, sample=40)  # fewer than there are stretches
+    low, high = line_crf.score(few, [junk(300), good(300)])
+    assert low < 0.2 and high > 0.8
+
+
 def test_isotonic_and_boosting():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((1500, 5))
