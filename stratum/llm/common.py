@@ -10,6 +10,7 @@ import ctypes
 import os
 import sys
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -112,6 +113,14 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As ``reliable``, as a table in the shared checkpoint folder: its size is known, where a loop's checkpoints keep
+    the estimates of the plans before them, which multiply from round to round."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spilled(df: DataFrame) -> DataFrame:
     """Keep a result that is read several times within one operator; recomputed if an executor is lost."""
     return df.persist(StorageLevel.DISK_ONLY)

@@ -257,6 +257,52 @@ def test_hot_group_is_spread_and_sizes_stay_even(spark):
     assert label_prop_shard.cut_edges(out).first()["linked"] == 1300
 
 
+def test_linked_documents_move_together(spark):
+    rng = np.random.default_rng(7)
+    n, town = 1200, 20  # towns of linked documents with a few links between towns
+    pairs = [(i, int(i // town * town + rng.integers(town))) for i in range(n) for _ in range(4)]
+    pairs += [(int(a), int(b)) for a, b in rng.integers(0, n, (80, 2))] + [(5, 5), (3, 10**9), (None, 4)]
+    pairs += [(b, a) for a, b in pairs[:500]]
+    docs = spark.createDataFrame([(i, f"text number {i} " * 8) for i in range(n)], "doc_id long, text string").repartition(4)
+    links = spark.createDataFrame(pairs, "left long, right long")
+    before = label_prop_shard.shard(docs, 6, links=links, rounds=0)
+    after = label_prop_shard.shard(docs, 6, links=links)
+    got = after.collect()
+    size = Counter()
+    for r in got:
+        size[r["shard"]] += r["size"]
+    assert sorted(r["doc_id"] for r in got) == list(range(n)) and max(size.values()) <= 1.03 * sum(size.values()) / 6
+    one, two = (label_prop_shard.cut_links(x, links).first() for x in (before, after))
+    real = {(min(p), max(p)) for p in pairs if None not in p and p[0] != p[1] and max(p) < n}
+    where = {r["doc_id"]: r["shard"] for r in got}
+    assert one["links"] == two["links"] == len(real) and two["cut"] == sum(where[a] != where[b] for a, b in real)
+    assert one["cut"] > 0.75 * len(real) and two["cut"] < 0.5 * one["cut"], (one, two)
+
+
+def test_wishes_equal_brute_force(spark):
+    rng = np.random.default_rng(2)
+    nodes = [(f"g{g}", c, int(rng.integers(1, 9)), int(rng.integers(1, 5)), int(rng.integers(0, 4))) for g in range(12) for c in range(1 + g % 4)]
+    half = {}
+    for _ in range(40):
+        a, b = (nodes[i][:2] for i in rng.integers(0, len(nodes), 2))
+        if a[0] != b[0]:
+            half[a, b] = half[b, a] = int(rng.integers(1, 4))
+    labels = spark.createDataFrame(nodes, "group string, chunk int, size long, n long, shard int")
+    edges = spark.createDataFrame([(*a, *b, w) for (a, b), w in half.items()], "group string, chunk int, group2 string, chunk2 int, w long")
+    for open_shards in ([0, 1, 2, 3], [1, 3], []):
+        got = {(r["group"], r["chunk"]): r["to"] for r in label_prop_shard._wishes(labels, edges, open_shards).collect()}
+        want = {}
+        for g, c, _, _, s in nodes:
+            held = Counter()
+            for g2, c2, _, k, s2 in nodes:
+                if (g, c) != (g2, c2):
+                    held[s2] += (k if g == g2 else 0) + half.get(((g, c), (g2, c2)), 0)
+            best = max(((held[x], -x) for x in open_shards if x != s), default=(0, 0))
+            if best[0] > held[s]:
+                want[g, c] = -best[1]
+        assert got == want
+
+
 def test_sharding_query(spark, texts):
     got = QUERIES["op6_label_sharding"](spark, SF).collect()
     size = Counter()
