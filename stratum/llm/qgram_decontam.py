@@ -50,6 +50,8 @@ LONG_WORD = 8
 HEAD = 64
 #: Stands for places outside a document; equals no code point.
 OUTSIDE = 0xFFFFFFFF
+#: Shared q-grams (place in the text, place in a passage) that are listed at once; bounds a task's memory.
+HITS = 1_000_000
 #: Characters of benchmark text in one broadcast.
 BLOCK_CHARS = 4_000_000
 
@@ -189,10 +191,12 @@ def build_index(items: list[tuple[object, str]], rate: float = EDIT_RATE, parts:
                  letters, heads)
 
 
-def candidate_bands(index: Index, text: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def candidate_bands(index: Index, text: np.ndarray, bounds: np.ndarray,
+                    limit: int = HITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, passage, first diagonal) of every band that holds enough shared q-grams.
 
     ``bounds`` are the documents' places in ``text``. A diagonal is a place in the document minus the place in the passage.
+    About ``limit`` pairs of a place and a passage's q-gram are held at once, however many items share a passage.
     """
     none = (np.zeros(0, np.int64),) * 3
     h = gram_hashes(text)
@@ -209,19 +213,33 @@ def candidate_bands(index: Index, text: np.ndarray, bounds: np.ndarray) -> tuple
     times = index.first[found + 1] - index.first[found]
     if not len(times) or not times.sum():
         return none
-    which = np.repeat(index.first[found], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    passage, doc = index.passage_of[which], np.repeat(doc, times)
-    diagonal = np.repeat(at, times) - index.offset_of[which]  # in the whole chunk; its document follows from the place
-    width = 2 * (index.budget[passage] + 1)
+    size, span = index.bound + Q - 1 + index.budget * Q, np.int64(4 * len(text) + 4096)
+    # overlapping bands: each diagonal lies in two, a band of budget + 1 diagonals in one of them
+    found_bands = [(none[0], none[0])] * 2
+    ends = np.unique(np.append(np.searchsorted(np.cumsum(times), np.arange(limit, times.sum(), limit)) + 1, len(times)))
+    for a, b in zip(np.append(0, ends[:-1]), ends):
+        t = times[a:b]
+        which = np.repeat(index.first[found[a:b]], t) + np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)
+        passage = index.passage_of[which]
+        pair = np.repeat(doc[a:b], t) * np.int64(len(index.passages)) + passage
+        diagonal = np.repeat(at[a:b], t) - index.offset_of[which]  # in the whole chunk; its document follows from the place
+        width = 2 * (index.budget[passage] + 1)
+        for half in (0, 1):
+            keys, n = np.unique(pair * span + (diagonal + 2048 + half * (width // 2)) // width, return_counts=True)
+            if a:
+                keys, where = np.unique(np.append(found_bands[half][0], keys), return_inverse=True)
+                n = np.bincount(where, np.append(found_bands[half][1], n)).astype(np.int64)
+            # bands with too few q-grams stay only while places to come can lie in them
+            p = (keys // span) % len(index.passages)
+            w = 2 * (index.budget[p] + 1)
+            from_ = (keys % span) * w - half * (w // 2) - 2048
+            keep = n >= index.bound[p]
+            if b < len(times):
+                keep |= from_ + w + size[p] > at[b]
+            found_bands[half] = (keys[keep], n[keep])
     out = []
-    span = np.int64(4 * len(text) + 4096)
-    for half in (0, 1):  # overlapping bands: each diagonal lies in two, a band of budget + 1 diagonals in one of them
-        band = (diagonal + 2048 + half * (width // 2)) // width
-        key = (doc * np.int64(len(index.passages)) + passage) * span + band
-        keys, n = np.unique(key, return_counts=True)
+    for half, (keys, _) in enumerate(found_bands):
         p = (keys // span) % len(index.passages)
-        good = n >= index.bound[p]
-        keys, p = keys[good], p[good]
         w = 2 * (index.budget[p] + 1)
         out.append((keys // span // len(index.passages), p, (keys % span) * w - half * (w // 2) - 2048))
     return tuple(np.concatenate(x) for x in zip(*out))

@@ -140,6 +140,31 @@ def test_decontamination_equals_brute_force():
     assert got == want and any(want.values())
 
 
+def test_bands_do_not_depend_on_the_hits_listed_at_once():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(400)]
+    draw = lambda n: " ".join(rng.choice(words, n))
+    shared = draw(60)
+    items = [(i, f"{draw(20)} {shared} {draw(15)}") for i in range(60)]
+    texts = [draw(200), f"{draw(40)} {items[3][1]} {draw(30)}", " ".join([shared, draw(5)] * 12), "", shared[:90] + draw(30) + shared[90:]]
+    index = qgram_decontam.build_index(items, parts=True)
+    cp, starts = qgram_decontam.tk.code_points(texts)
+    norm, at = qgram_decontam.normal_form(cp)
+    bounds = np.searchsorted(at, starts)
+    peaks, got = [], []
+    for limit in (10**9, 20_000, 997):
+        tracemalloc.start()
+        got.append(qgram_decontam.candidate_bands(index, norm, bounds, limit))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert len(got[0][0]) > 1000
+    for other in got[1:]:
+        assert all(np.array_equal(x, y) for x, y in zip(got[0], other))
+    assert peaks[1] < peaks[0] / 3
+
+
 def test_decontamination_at_the_edges_of_documents():
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))
