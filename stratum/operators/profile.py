@@ -1,5 +1,5 @@
-"""Profiling (A14-A17): one aggregate for all column statistics, a bounded
-top-k per column, key and watermark candidates, and rule suggestions.
+"""Profiling (A14-A17): one aggregate for all column statistics, exact top values
+of all columns in one counting pass, key and watermark candidates, and rule suggestions.
 
 Statistics come from one ``agg`` over the table (each aggregate is partial,
 map-side); distinct counts are HyperLogLog estimates (``distinct_approx``)
@@ -30,9 +30,54 @@ def _as_text(c: Column, dtype: T.DataType) -> Column:
     return c.cast("string")
 
 
-def profile(df: DataFrame, columns: Sequence[str] | None = None, approx_rsd: float = 0.05) -> DataFrame:
+#: Hashed values that the frequent-item sketch of a column tracks, and how many of them are counted exactly at least.
+TRACKED, KEPT = 8192, 64
+#: A value in more than this share of the rows is among the sketch's items, and no estimate is further off: the sketch has
+#: 16,384 places, an error of 3.5 rows a place, and leaves out what may lie within twice the error.
+SKETCH_ERROR = 1 / 1024
+
+
+def _sketch(value: Column, k: int) -> Column:
+    """The most frequent hashes of a text with their estimates; a mergeable sketch whose size no long text changes."""
+    return F.call_function("approx_top_k", F.when(value.isNotNull(), F.xxhash64(value)), F.lit(max(KEPT, 4 * k)), F.lit(TRACKED))
+
+
+def _surely_top(items: Sequence, n: int, k: int) -> list[int] | None:
+    """The hashes among which the k most frequent values surely are, or None where the estimates can't tell.
+
+    They can if the k-th value, at its least, is ahead of every value left out, at its most; or if the items add up to all
+    rows, which takes a sketch that never had to drop any.
+    """
+    off, most = n * SKETCH_ERROR, max(KEPT, 4 * k)
+    counts = sorted((r["count"] for r in items if r["item"] is not None), reverse=True)
+    left_out = max(off, min(r["count"] for r in items)) if len(items) >= most else off
+    complete = len(items) < most and sum(r["count"] for r in items) == n
+    if complete or (len(counts) >= k and counts[k - 1] - off > left_out):
+        return [r["item"] for r in items if r["item"] is not None]
+    return None
+
+
+def _count_top(df: DataFrame, columns: Sequence[str], kept: Sequence[list[int] | None], k: int) -> DataFrame:
+    """Exact top-k values of all columns in one pass: of a column with kept hashes only those (and NULL) are counted."""
+    pairs = []
+    for c, hashes in zip(columns, kept):
+        value = F.col(c).cast("string")
+        pair = F.struct(F.lit(c).alias("column_name"), value.alias("value"))
+        pairs.append(pair if hashes is None else F.when(value.isNull() | F.xxhash64(value).isin(hashes), pair))
+    each = df.select(F.explode(F.filter(F.array(*pairs), lambda p: p.isNotNull())).alias("p")).select("p.*")
+    counts = each.groupBy("column_name", "value").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
+    # the limit on the rank holds in every task before the shuffle, so a column's last task sees k rows a task
+    w = Window.partitionBy("column_name").orderBy(F.col("count").desc(), F.col("value").asc_nulls_first())
+    return counts.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= k)
+
+
+def profile(df: DataFrame, columns: Sequence[str] | None = None, approx_rsd: float = 0.05, top: int = 0) -> DataFrame:
     """One row per column: column, type, row_count, null_count, distinct_approx,
-    min, max, mean, stddev, p50 (numeric only for the last three)."""
+    min, max, mean, stddev, p50 (numeric only for the last three).
+
+    With ``top`` also ``top_values``: the exact ``top`` most frequent values with their counts, as in :func:`top_values`.
+    The sketches ride on the aggregate of the statistics, which then runs at once, so the table is read twice in all.
+    """
     fields = [f for f in df.schema.fields if not columns or f.name in columns]
     fields = [f for f in fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))]
     aggs = [F.count(F.lit(1)).alias("__n")]
@@ -43,6 +88,8 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approx_rsd: flo
         if isinstance(f.dataType, _NUMERIC):
             aggs += [F.avg(c.cast("double")).alias(f"av{i}"), F.stddev_samp(c.cast("double")).alias(f"sd{i}"),
                      F.percentile_approx(c.cast("double"), 0.5, 10000).alias(f"p{i}")]
+        if top:
+            aggs.append(_sketch(c.cast("string"), top).alias(f"t{i}"))
     one = df.agg(*aggs)
     rows = []
     for i, f in enumerate(fields):
@@ -55,30 +102,39 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approx_rsd: flo
             _as_text(F.col(f"mn{i}"), f.dataType).alias("min"), _as_text(F.col(f"mx{i}"), f.dataType).alias("max"),
             (F.round(F.col(f"av{i}"), 4) if num else F.lit(None)).cast("decimal(38,4)").alias("mean"),
             (F.round(F.col(f"sd{i}"), 4) if num else F.lit(None)).cast("decimal(38,4)").alias("stddev"),
-            (F.col(f"p{i}") if num else F.lit(None)).cast("double").alias("p50")))
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+            (F.col(f"p{i}") if num else F.lit(None)).cast("double").alias("p50"),
+            *([F.col(f"t{i}").alias("__top")] if top else [])))
+    prof = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    if not top or not fields:
+        return prof
+    found = prof.collect()  # a row per column
+    kept = [_surely_top(r["__top"], r["row_count"], top) for r in found]
+    counts = _count_top(df, [r["column_name"] for r in found], kept, top)
+    tops = counts.groupBy("column_name").agg(F.array_sort(F.collect_list(F.struct("__rank", "value", "count"))).alias("t"))
+    tops = tops.select("column_name", F.transform("t", lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count"))).alias("top_values"))
+    stats = df.sparkSession.createDataFrame([r[:-1] for r in found], prof.drop("__top").schema)
+    return (stats.join(tops, "column_name", "left")
+            .withColumn("top_values", F.coalesce("top_values", F.array().cast("array<struct<value:string,count:bigint>>"))))
 
 
 def top_values(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
-    """Top-k values per column by count, ties by value (O3). Each column is a
-    partial-aggregated count and a bounded TakeOrdered; results are unioned."""
-    out = None
-    for c in columns:
-        counts = df.groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).cast("bigint").alias("count"))
-        top = counts.orderBy(F.col("count").desc(), F.col("value").asc_nulls_first()).limit(k)
-        top = top.select(F.lit(c).alias("column_name"), "value", "count")
-        out = top if out is None else out.unionByName(top)
-    return out
+    """Top-k values per column by count, ties by value, NULL a value as well (O3): column_name, value, count, all exact.
+
+    Two passes for all columns together. The first takes a frequent-item sketch of each column. Where its bounds prove
+    which values come first, the second counts only those; a column without such values (keys, even spreads) is counted whole.
+    """
+    columns = list(columns)
+    one = df.agg(F.count(F.lit(1)).alias("n"), *[_sketch(F.col(c).cast("string"), k).alias(f"t{i}") for i, c in enumerate(columns)]).first()
+    kept = [_surely_top(one[f"t{i}"], one["n"], k) for i in range(len(columns))]
+    return _count_top(df, columns, kept, k).drop("__rank")
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, n_distinct): exact numbers of non-NULL values, one distinct per column (a partial aggregate first)."""
-    out = None
-    for c in columns:
-        one = df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).cast("bigint").alias("n_distinct"))
-        one = one.select(F.lit(c).alias("column_name"), "n_distinct")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """(column_name, n_distinct): exact numbers of non-NULL values, all columns in one scan (a partial aggregate first)."""
+    columns = list(dict.fromkeys(columns))
+    one = df.agg(*[F.count_distinct(F.col(c)).cast("bigint").alias(f"d{i}") for i, c in enumerate(columns)])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"d{i}").alias("n_distinct")) for i, c in enumerate(columns)])
+    return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:

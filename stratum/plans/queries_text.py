@@ -164,6 +164,25 @@ def profile_top_values(spark, sf):
     return PR.top_values(Tables(spark, sf).orders, ORDER_COLS, k=3)
 
 
+LINE_TOP = ("l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _line_top_sql(k: int) -> str:
+    """Columns of lineitem, and their most frequent values as one text (arrays compare differently between engines)."""
+    parts = [f"""SELECT '{c}' AS column_name, (SELECT CAST(COUNT(*) AS BIGINT) FROM lineitem) AS row_count,
+  (SELECT CAST(COUNT(*) - COUNT({c}) AS BIGINT) FROM lineitem) AS null_count, string_agg(v || '=' || n, ',' ORDER BY n DESC, v) AS top_values
+FROM (SELECT CAST({c} AS VARCHAR) AS v, COUNT(*) AS n FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {k})""" for c in LINE_TOP]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("profile_with_top_values", ops=("A14",), sql=_line_top_sql(4))
+def profile_with_top_values(spark, sf):
+    """Statistics and top values of one profile: columns with few values, with an even spread, and with ties."""
+    prof = PR.profile(Tables(spark, sf).lineitem, LINE_TOP, top=4)
+    pairs = F.transform("top_values", lambda x: F.concat(x["value"], F.lit("="), x["count"].cast("string")))
+    return prof.select("column_name", "row_count", "null_count", F.array_join(pairs, ",").alias("top_values"))
+
+
 KEY_SETS = [[c] for c in ORDER_COLS] + [["o_custkey", "o_orderdate"], ["o_orderkey", "o_custkey"]]
 
 

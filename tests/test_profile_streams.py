@@ -21,6 +21,35 @@ def test_the_only_key_is_two_columns(spark):
     assert {r.column_set for r in PR.minimal_keys(spark.range(9).selectExpr("id", "id % 3 x")).collect()} == {"id"}
 
 
+def test_top_values_are_exact_whatever_the_spread(spark):
+    df = spark.range(60000).selectExpr(
+        "cast(floor(pow(id + 1, 0.5)) as int) slope", "id % 3 few", "id key", "id % 20000 even", "if(id % 3 = 0, null, id % 2) gaps",
+        "if(id % 9 = 0, concat('hot', id % 4), concat('cold', id)) heavy", "repeat(cast(id % 5 as string), 3000) long",
+        "cast(null as string) none", "date'2024-01-01' + cast(id % 70 as int) day")
+    got = {}
+    for r in PR.top_values(df, df.columns, k=4).collect():
+        got.setdefault(r.column_name, []).append((-r["count"], r.value is not None, r.value))
+    for c in df.columns:
+        top = df.groupBy(F.col(c).cast("string").alias("v")).count().orderBy(F.desc("count"), F.col("v").asc_nulls_first()).limit(4)
+        assert sorted(got[c]) == sorted((-r["count"], r.v is not None, r.v) for r in top.collect()), c
+    prof = {r.column_name: r for r in PR.profile(df, top=4).collect()}
+    for c in df.columns:
+        assert [(-x["count"], x.value is not None, x.value) for x in prof[c].top_values] == sorted(got[c]), c
+    assert prof["gaps"].null_count == 20000 and prof["key"].p50 is not None
+    nothing = PR.profile(df.where("id < 0"), top=2).collect()
+    assert [r.top_values for r in nothing] == [[]] * len(df.columns) and PR.top_values(df.where("id < 0"), ["few"], 2).count() == 0
+    assert {r.column_name: r.n_distinct for r in PR.distinct_counts(df, ["few", "even", "gaps", "none"]).collect()} == {
+        "few": 3, "even": 20000, "gaps": 2, "none": 0}
+
+
+def test_sketches_settle_heavy_columns_and_leave_even_ones(spark):
+    df = spark.range(60000).selectExpr("if(id % 3 = 0, 7, id) heavy", "id % 20000 even", "id % 2 few")
+    one = df.agg(*[PR._sketch(F.col(c).cast("string"), 1).alias(c) for c in df.columns]).first()
+    assert PR._surely_top(one["even"], 60000, 1) is None
+    assert len(PR._surely_top(one["few"], 60000, 3)) == 2 and PR._surely_top(one["heavy"], 60000, 1)
+    assert PR._surely_top(one["heavy"], 60000, 2) is None
+
+
 def test_descents_equal_a_plain_window_over_levels_of_chunks(spark):
     df = spark.range(5000).selectExpr(
         "id * 977 o", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,id) up",
