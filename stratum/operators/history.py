@@ -7,7 +7,7 @@ see :mod:`stratum.functions.hashing`). Exactly one current row per key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -44,7 +44,7 @@ class Scd2Result(NamedTuple):
 
 def scd2_merge(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], batch_ts,
                tracked: Sequence[str] | None = None, delete_detection: str | None = None,
-               event_ts_col: str | None = None) -> Scd2Result:
+               event_ts_col: str | None = None, once: Callable[[DataFrame], DataFrame] | None = None) -> Scd2Result:
     """Merge one batch into a type 2 history.
 
     new key -> insert a current version; changed tracked columns -> close the
@@ -60,6 +60,9 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     at most two rows, closed versions pass through. Metrics columns: operation,
     rows_inserted, rows_updated, rows_closed, rows_unchanged, rows_rejected,
     num_output_rows (= inserted + updated).
+
+    History, metrics and late rows all come from that join. ``once`` (such as ``cut_lineage``) is applied to its
+    result, so that whoever uses several of them runs it a single time.
     """
     keys = list(keys or [])
     if not keys:
@@ -95,6 +98,7 @@ def scd2_merge(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     late = F.col("__b.__eff") < F.col("__c.__start_at") if event_ts_col else F.lit(False)
     dec = met.withColumn("__action", F.when(~in_c, "new").when(~in_b, "absent").when(late, "rejected")
                          .when(F.col("__b.__row_hash") != F.col("__c.__row_hash"), "changed").otherwise("unchanged"))
+    dec = once(dec) if once else dec
     snapshot = delete_detection == "snapshot"
     act = F.col("__action")
     closing = (act == "changed") | ((act == "absent") & F.lit(snapshot))

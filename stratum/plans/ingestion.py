@@ -24,6 +24,7 @@ from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import quarantine as QR
 from ..sources.readers import with_read_retry
+from ..session import cut_lineage
 from ..sinks.ledger import RunHandle, RunLedger
 from ..sinks.store import TableStore
 
@@ -248,17 +249,13 @@ def _load(store: TableStore, cfg: IngestionConfig, clean: DataFrame) -> tuple[in
     done: list[H.Scd2Result] = []
 
     def plan(cur):
-        done.append(H.scd2_merge(cur, clean, cfg.keys, ts, cfg.tracked, cfg.delete_detection, cfg.event_ts_col))
+        # the join is written once: metrics, history and late rows read it, whatever becomes of the table
+        done.append(H.scd2_merge(cur, clean, cfg.keys, ts, cfg.tracked, cfg.delete_detection, cfg.event_ts_col, cut_lineage))
         return done[-1]
 
-    # the rejects compare with the history as it was: settle them before it changes
-    before = store.read(cfg.target_table)
-    rejects = H.scd2_merge(before, clean, cfg.keys, ts, cfg.tracked, cfg.delete_detection, cfg.event_ts_col).rejects
-    rejects = rejects.persist(StorageLevel.MEMORY_AND_DISK)
-    rejects.count()
     scoped = None if cfg.delete_detection == "snapshot" else clean
     r = store.merge(cfg.target_table, plan, cfg.keys, scoped)
-    return int(r["rows_inserted"] + r["rows_unchanged"]), rejects
+    return int(r["rows_inserted"] + r["rows_unchanged"]), done[-1].rejects
 
 
 #: Where a row stands to the stored mark: above, tied, under, or none (no value).

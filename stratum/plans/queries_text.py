@@ -183,6 +183,26 @@ def profile_with_top_values(spark, sf):
     return prof.select("column_name", "row_count", "null_count", F.array_join(pairs, ",").alias("top_values"))
 
 
+def _doc_top_sql(k: int) -> str:
+    parts = [f"""SELECT '{c}' AS column_name, (SELECT CAST(COUNT(*) - COUNT({c}) AS BIGINT) FROM documents) AS null_count, r AS rank,
+  sha256(v) AS value_sha256, n AS count FROM (SELECT CAST({c} AS VARCHAR) AS v, CAST(COUNT(*) AS BIGINT) AS n,
+  CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, CAST({c} AS VARCHAR) NULLS FIRST) AS INTEGER) AS r FROM documents GROUP BY 1) WHERE r <= {k}"""
+             for c in DOC_TOP]
+    return "\nUNION ALL\n".join(parts)
+
+
+DOC_TOP = ("text", "lang", "source", "n_chars")
+
+
+@register("profile_documents", ops=("A14",), sql=_doc_top_sql(5))
+def profile_documents(spark, sf):
+    """The most frequent whole texts, languages, sources and lengths, from one profile; values as digests, as texts are long."""
+    prof = PR.profile(Tables(spark, sf).documents, DOC_TOP, top=5)
+    each = prof.select("column_name", "null_count", F.posexplode("top_values").alias("i", "x"))
+    return each.select("column_name", "null_count", (F.col("i") + 1).alias("rank"), F.sha2(F.col("x.value"), 256).alias("value_sha256"),
+                       F.col("x.count").alias("count"))
+
+
 KEY_SETS = [[c] for c in ORDER_COLS] + [["o_custkey", "o_orderdate"], ["o_orderkey", "o_custkey"]]
 
 

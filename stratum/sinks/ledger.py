@@ -170,5 +170,9 @@ class RunLedger:
         txt = {k: v for k, v in consumption.items() if k not in nums}
         self._append([self._event(h, "COST", None, nums, txt)])
 
+    def compact(self) -> int:
+        """All events in few files, in place of one file an event; returns the number of events."""
+        return self.store.compact(self.table).num_output_rows
+
     def events(self) -> DataFrame | None:
         return self.store.read(self.table)

@@ -4,8 +4,9 @@ One layout per table: a directory of parquet files that Spark's own job commit
 publishes, so everything that was committed is read, whichever way it was
 written. A table that is merged by keys is partitioned by a hash bucket of the keys;
 a merge reads and replaces only the buckets its batch touches, by dynamic
-partition overwrite. What replaces data that it was computed from is first written
-to the shared checkpoint folder. Paths may be local, HDFS or an object store;
+partition overwrite. A partition overwrite of data it was computed from is first written
+to the shared checkpoint folder; a whole table is written beside the old one and
+takes its place by two renames. Paths may be local, HDFS or an object store;
 file listing uses the Hadoop FileSystem of the session.
 """
 
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.config import RETENTION_MIN_DAYS
 from ..session import cut_lineage
 
 
@@ -83,7 +85,26 @@ class TableStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def _beside(self, table: str, what: str) -> str:
+        """A hidden folder next to the table's."""
+        folder, _, name = self.path(table).rpartition("/")
+        return f"{folder}/.{name}.{what}"
+
+    def _recover(self, table: str) -> None:
+        """Finish or undo a replacement that was cut off between its renames; nothing to do otherwise."""
+        fs, p = _fs(self.spark, self.path(table))
+        _, prev = _fs(self.spark, self._beside(table, "prev"))
+        if not fs.exists(prev):
+            return
+        if fs.exists(p):  # the new content is in place
+            fs.delete(prev, True)
+            return
+        _, ready = _fs(self.spark, f"{self._beside(table, 'next')}/{SCHEMA_FILE}")
+        fs.rename(ready.getParent() if fs.exists(ready) else prev, p)
+        fs.delete(prev, True)
+
     def exists(self, table: str) -> bool:
+        self._recover(table)
         fs, p = _fs(self.spark, self.path(table))
         return fs.exists(p) and any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
@@ -106,7 +127,7 @@ class TableStore:
             kept = json.loads(bytes(f.readAllBytes()).decode())
         return T.StructType.fromJson(kept["schema"]), kept["text_partitions"]
 
-    def _keep_schema(self, table: str, df: DataFrame, partition_by: Sequence[str], grow: bool = True) -> None:
+    def _keep_schema(self, table: str, df: DataFrame, partition_by: Sequence[str], grow: bool = True, folder: str | None = None) -> None:
         """Columns and types of the table from now on: ``df``'s, after those that are there already if it grows."""
         old, parts = self._schema(table) if grow else (None, [])
         if grow and old is None and self.exists(table):
@@ -117,7 +138,7 @@ class TableStore:
         if old is not None and fields == list(old.fields):
             return
         text = sorted({*parts, *_text_partitions(df, partition_by)})
-        fs, p = _fs(self.spark, f"{self.path(table)}/{SCHEMA_FILE}")
+        fs, p = _fs(self.spark, f"{folder or self.path(table)}/{SCHEMA_FILE}")
         with contextlib.closing(fs.create(p, True)) as f:
             f.write(bytearray(json.dumps({"schema": T.StructType(fields).jsonValue(), "text_partitions": text}).encode()))
 
@@ -144,20 +165,30 @@ class TableStore:
         return WriteResult(num_output_rows=observed_write(df, w), operation="APPEND")
 
     def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), keys: Sequence[str] = ()) -> WriteResult:
-        """Full refresh (L3): the table holds exactly ``df`` afterwards.
+        """Full refresh (L3): the table holds exactly ``df`` afterwards, or what it held before.
 
-        ``df`` may read the table itself: it is written to the shared checkpoint folder first, where it also stays
-        if the overwrite is interrupted.
+        ``df`` may read the table itself: the new content is written beside it, whole with its schema, before it takes the
+        table's place. A run that ends in between leaves the old content or, at the next access, the new.
         """
         if keys:
             df, partition_by = df.withColumn(BUCKET, bucket_of(keys, self.buckets)), (BUCKET,)
-        if self.exists(table):
-            df = cut_lineage(df)
+        self._recover(table)
+        folder, new = self.path(table), self._beside(table, "next")
 
         def w(d):
-            d.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(self.path(table))
+            d.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(new)
+        fs, staged = _fs(self.spark, new)
+        fs.delete(staged, True)  # what an interrupted run left
         n = observed_write(_marked(df, partition_by), w)
-        self._keep_schema(table, df, partition_by, grow=False)
+        self._keep_schema(table, df, partition_by, grow=False, folder=new)
+        _, p = _fs(self.spark, folder)
+        _, prev = _fs(self.spark, self._beside(table, "prev"))
+        if fs.exists(p) and not fs.rename(p, prev):
+            raise OSError(f"{folder} can't be set aside")
+        if not fs.rename(staged, p):
+            raise OSError(f"{new} can't take the place of {folder}")
+        fs.delete(prev, True)
+        self.spark.catalog.refreshByPath(folder)
         return WriteResult(num_output_rows=n, operation="OVERWRITE")
 
     def overwrite_partitions(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> WriteResult:
@@ -207,6 +238,67 @@ class TableStore:
         r.update({k: v for k, v in got.items() if k != "num_output_rows" or v is not None})
         return r
 
+    # -------------------------------------------------------------- upkeep
+    def _partitions(self, table: str) -> list[str]:
+        """Partition columns of the table, in the order of its folders (read from one path of them)."""
+        fs, p = _fs(self.spark, self.path(table))
+        out: list[str] = []
+        while True:
+            sub = next((st.getPath() for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()), None)
+            if sub is None:
+                return out
+            out.append(sub.getName().partition("=")[0])
+            p = sub
+
+    def compact(self, table: str) -> WriteResult:
+        """The same rows in few files (a ledger or a commit log gets one file an event); partitions stay.
+
+        Rows are grouped by partition and split by size, as AQE's rebalance does.
+        """
+        stored = self._stored(table)
+        if stored is None:
+            return WriteResult(num_output_rows=0, operation="COMPACT")
+        parts = self._partitions(table)
+        r = self.replace(table, stored.hint("rebalance", *parts), parts)
+        r["operation"] = "COMPACT"
+        return r
+
+    def purge(self, table: str, date_col: str, retention_days: int, as_of, classification: str | None = None) -> WriteResult:
+        """Delete rows older than the retention (L27): ``rows_deleted``.
+
+        Rows without a date stay. Fewer days than the classification's minimum raise. One pass over the date and the files'
+        places tells what goes: folders whose rows are all expired are deleted unread (a table partitioned by the date has no
+        others), of the other partitions only those with expired rows are rewritten, and a table without partitions is replaced.
+        """
+        least = RETENTION_MIN_DAYS.get((classification or "").upper(), 0)
+        if int(retention_days) < least:
+            raise ValueError(f"{classification} needs at least {least} retention days, not {retention_days}")
+        result = WriteResult(operation="PURGE", rows_deleted=0)
+        stored = self._stored(table)
+        if stored is None:
+            return result
+        cutoff = F.date_sub(F.lit(str(as_of)).cast("date"), int(retention_days))
+        expired = F.coalesce(F.col(date_col).try_cast("date") < cutoff, F.lit(False))
+        folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
+        touched = stored.groupBy(folder.alias("folder")).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(expired).alias("gone")).where("gone > 0").collect()  # a row a folder
+        result["rows_deleted"] = sum(r["gone"] for r in touched)
+        parts = self._partitions(table)
+        if not parts and touched:
+            self.replace(table, stored.where(~expired))
+        elif touched:
+            if any(r["gone"] < r["rows"] for r in touched):
+                by = [F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in parts]
+                places = stored.where(expired).select(*[F.col(c).alias(f"__p_{c}") for c in parts]).distinct()
+                self.overwrite_partitions(table, cut_lineage(stored.where(~expired).join(places, by, "left_semi")), parts)
+            jvm = self.spark.sparkContext._jvm
+            fs, _ = _fs(self.spark, self.path(table))
+            for r in touched:
+                if r["gone"] == r["rows"]:
+                    fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(r["folder"])), True)
+        self.spark.catalog.refreshByPath(self.path(table))
+        return result
+
     # -------------------------------------------------------------- replay guard
     def mark_commit(self, table: str, batch_id: int) -> None:
         """Remember a micro-batch as done, as a row of ``<table>_commits``."""
