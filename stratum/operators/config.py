@@ -11,10 +11,12 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .lineage import transitive_closure
+
 # Fixed enum domains and rules of the configuration model.
 LAYERS = ("BRONZE", "SILVER", "GOLD")
 SOURCE_TYPES = ("FILE", "TABLE", "STREAM", "API", "CDC")
@@ -92,9 +94,14 @@ def feed_rules(feeds: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- EAV
 
+#: When and by whom an EAV row was written; no part of its value.
+LOAD_COLS = ("LOAD_DTS", "LOAD_USER")
+
+
 def to_param_rows(df: DataFrame, key: str, zone: str, columns: Sequence[str] | None = None,
-                  eff_ts=None) -> DataFrame:
-    """Wide rows -> EAV rows (A24): one row per non-NULL value.
+                  eff_ts=None, load_ts=None, load_user: str | None = None) -> DataFrame:
+    """Wide rows -> EAV rows (A24): one row per non-NULL value, stamped with the time and user of the load (now, and the
+    session's user, unless given).
 
     Values become text; arrays and maps are JSON, and a double is its shortest
     exact text, so reading it back gives the same double.
@@ -109,11 +116,13 @@ def to_param_rows(df: DataFrame, key: str, zone: str, columns: Sequence[str] | N
 
     pairs = F.array(*[F.struct(F.lit(c).alias("PARAM_NM"), as_text(c).alias("PARAM_VAL")) for c in cols])
     ts = F.lit(str(eff_ts)).cast("timestamp_ntz") if eff_ts else F.lit(None).cast("timestamp_ntz")
+    at = F.lit(str(load_ts)).cast("timestamp_ntz") if load_ts else F.localtimestamp()
     return (df.select(F.col(key).cast("bigint").alias("JOB_SK"), F.explode(pairs).alias("p"))
             .where(F.col("p.PARAM_VAL").isNotNull())
             .select("JOB_SK", F.lit(zone).alias("PARAM_ZONE"), "p.PARAM_NM", "p.PARAM_VAL",
                     ts.alias("EFF_STRT_DTS"), F.lit(None).cast("timestamp_ntz").alias("EFF_END_DTS"),
-                    F.lit(True).alias("CURR_FLG"), F.lit(1).alias("REC_VER_NO")))
+                    F.lit(True).alias("CURR_FLG"), F.lit(1).alias("REC_VER_NO"),
+                    at.alias("LOAD_DTS"), (F.lit(load_user) if load_user else F.current_user()).alias("LOAD_USER")))
 
 
 def from_param_rows(eav: DataFrame, types: Mapping[str, str], key: str = "JOB_SK",
@@ -146,12 +155,16 @@ def save_version(current: DataFrame, changed: DataFrame, keys: Sequence[str], ts
                  flag_col: str = "CURR_FLG", ver_col: str = "REC_VER_NO") -> DataFrame:
     """Close the current version of each key whose values change and add the new one (type 2 on the EAV keys).
 
-    A key's versions go on from its highest number, closed or not; a row equal to the current version adds none.
+    A key's versions go on from its highest number, closed or not; a row equal to the current version adds none. The
+    load's time and user don't count as values; a new version gets ``ts`` and the session's user where ``changed`` has none.
     """
     keys = list(keys)
     t = F.lit(str(ts)).cast("timestamp_ntz")
     meta = (start_col, end_col, flag_col, ver_col)
-    values = [c for c in changed.columns if c not in keys and c not in meta]
+    values = [c for c in changed.columns if c not in keys and c not in meta and c not in LOAD_COLS]
+    for c, v in zip(LOAD_COLS, (t, F.current_user())):
+        if c in current.columns and c not in changed.columns:
+            changed = changed.withColumn(c, v)
     state = current.groupBy(*keys).agg(
         F.max(ver_col).alias("__top"),
         F.max_by(F.struct(F.lit(True).alias("__on"), *values), F.struct(F.col(flag_col), F.col(ver_col))).alias("__was"),
@@ -325,6 +338,58 @@ def workflow_graph(loads: DataFrame, sources: DataFrame, targets: DataFrame, loa
                   "left"))
 
 
+def workflow_edges(loads: DataFrame, transforms: DataFrame | None = None, dependencies: DataFrame | None = None,
+                   load_id: str | None = None) -> DataFrame:
+    """The workflow as edges between nodes ``KIND:id`` (G13): from_node, to_node, edge.
+
+    A load READS its source and WRITES its target, a transform READS one target and WRITES another; DEPENDS leads from what must
+    run first (``dependencies`` rows, and the list that a transform carries) to what waits. Inactive rows are left
+    out. With ``load_id`` only what that load needs or feeds, at any distance.
+    """
+    def on(df: DataFrame) -> DataFrame:
+        return df.where(F.coalesce("active_flag", F.lit(True))) if "active_flag" in df.columns else df
+
+    def node(kind: str, c: str) -> Column:
+        return F.concat(F.lit(f"{kind}:"), F.col(c))
+
+    def edges(df: DataFrame, a: Column, b: Column, edge: str) -> DataFrame:
+        return df.select(a.alias("from_node"), b.alias("to_node"), F.lit(edge).alias("edge")).where("from_node is not null and to_node is not null")
+
+    ld = on(loads)
+    parts = [edges(ld, node("SOURCE", "source_id"), node("LOAD", "load_id"), "READS"),
+             edges(ld, node("LOAD", "load_id"), node("TARGET", "target_id"), "WRITES")]
+    known = ld.select(F.col("load_id").alias("id"), F.lit("LOAD").alias("kind"))
+    waits = []
+    if transforms is not None:
+        tr = on(transforms)
+        parts += [edges(tr, node("TARGET", "source_target_id"), node("TRANSFORM", "transform_id"), "READS"),
+                  edges(tr, node("TRANSFORM", "transform_id"), node("TARGET", "destination_target_id"), "WRITES")]
+        known = known.unionByName(tr.select(F.col("transform_id").alias("id"), F.lit("TRANSFORM").alias("kind")))
+        if "dependencies" in tr.columns:
+            waits.append(tr.select(F.col("transform_id").alias("id"), F.explode("dependencies").alias("first")))
+    if dependencies is not None:
+        waits.append(on(dependencies).select(F.col("object_id").alias("id"), F.col("depends_on_id").alias("first")))
+    for w in waits:
+        later = w.join(known, "id").withColumnRenamed("kind", "__later")
+        both = later.join(known.select(F.col("id").alias("first"), F.col("kind").alias("__first")), "first")
+        parts.append(edges(both, F.concat_ws(":", "__first", "first"), F.concat_ws(":", "__later", "id"), "DEPENDS"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    out = out.distinct()
+    if load_id is None:
+        return out
+    start = f"LOAD:{load_id}"
+    feeds = transitive_closure(out, "from_node", "to_node", start=[start]).select(F.col("ancestor").alias("n"))
+    needs = transitive_closure(out, "to_node", "from_node", start=[start]).select(F.col("ancestor").alias("n"))
+    me = loads.sparkSession.createDataFrame([(start,)], "n string")
+    # an edge belongs to it if both ends are on the same side
+    down, up = (side.unionByName(me).distinct() for side in (feeds, needs))
+    sides = [out.join(s.withColumnRenamed("n", "from_node"), "from_node", "left_semi").join(s.withColumnRenamed("n", "to_node"), "to_node", "left_semi")
+             for s in (down, up)]
+    return sides[0].unionByName(sides[1]).distinct().select("from_node", "to_node", "edge")
+
+
 def parse_json_value(text: str):
     """EAV complex values: JSON text or plain text (F8)."""
     try:

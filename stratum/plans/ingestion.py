@@ -301,6 +301,23 @@ def _store_mark(store: TableStore, cfg: IngestionConfig, loaded: DataFrame) -> N
     store.append(f"{cfg.target_table}_watermarks", top)
 
 
+def run_harmonization_load(spark: SparkSession, store: TableStore, ledger: RunLedger, cfg: IngestionConfig, silver_sql: str,
+                           inputs: Mapping[str, str | DataFrame], transform: Callable[[DataFrame], DataFrame] | None = None,
+                           parents: Mapping[str, DataFrame] | None = None, as_of=None) -> RunResult:
+    """Harmonisation with its load (X5): SQL over named inputs (frames, or names of stored tables), an optional Python
+    transform, then rules (``parents`` for references, ``as_of`` for freshness), history or upsert, balance and
+    ledger, as any run. A stored input that isn't there raises.
+    """
+    def read() -> DataFrame:
+        frames = {n: store.read(i) if isinstance(i, str) else i for n, i in inputs.items()}
+        if missing := sorted(n for n, f in frames.items() if f is None):
+            raise ValueError(f"no such input: {missing}")
+        df = spark.sql(silver_sql, **frames)
+        return transform(df) if transform else df
+
+    return run_ingestion(spark, store, ledger, cfg, read, "HARMONIZATION", parents, as_of)
+
+
 def run_harmonization(silver_sql: str, spark: SparkSession, inputs: dict, keys: Sequence[str],
                       rules: Sequence[Q.Rule] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Harmonisation step (X5): SQL transform, then rules; returns

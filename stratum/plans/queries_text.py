@@ -105,6 +105,25 @@ def pii_classify(spark, sf):
     return MK.classify_pii(Tables(spark, sf).documents, ["text"])
 
 
+@register("pii_classify_structured", ops=("M8",), sql=r"""WITH p AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN
+    lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') END AS tax_id,
+  'Born ' || CASE WHEN c_custkey % 4 = 0 THEN strftime(born, '%Y/%m/%d') ELSE strftime(born, '%Y-%m-%d') END AS note
+  FROM (SELECT *, DATE '1950-01-01' + CAST(c_custkey % 20000 AS INTEGER) AS born FROM customer)),
+h AS (SELECT 'tax_id' AS column_name, 'EIN' AS detector, 'RESTRICTED' AS classification, COALESCE(regexp_matches(tax_id, '\b[0-9]{2}-[0-9]{7}\b'), FALSE) AS hit FROM p
+  UNION ALL SELECT 'note', 'DOB', 'CONFIDENTIAL', regexp_matches(note, '(dob|born|date of birth)\W{1,3}[0-9]{4}-[0-9]{2}-[0-9]{2}\b', 'i') FROM p)
+SELECT column_name, detector, CAST(SUM(CAST(hit AS INTEGER)) AS BIGINT) AS rows_with_hit, CAST(SUM(CAST(hit AS INTEGER)) AS BIGINT) AS match_count,
+  CAST(ROUND(AVG(CAST(hit AS DOUBLE)), 6) AS DECIMAL(10,6)) AS hit_rate, classification FROM h GROUP BY column_name, detector, classification
+UNION ALL SELECT 'tax_id', 'NAME:tax_id', NULL, NULL, NULL, 'RESTRICTED'""")
+def pii_classify_structured(spark, sf):
+    """All detectors and the hints of names over structured text: tax numbers, and birth dates in two notations of which one counts."""
+    born = F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 20000).cast("int"))
+    people = Tables(spark, sf).customer.select(
+        F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit("-"),
+                                                    F.lpad(F.col("c_custkey").cast("string"), 7, "0"))).alias("tax_id"),
+        F.concat(F.lit("Born "), F.when(F.col("c_custkey") % 4 == 0, F.date_format(born, "yyyy/MM/dd")).otherwise(F.date_format(born, "yyyy-MM-dd"))).alias("note"))
+    return MK.classify_pii(people, detectors=tuple(MK.DETECTORS), name_hints=True)
+
+
 @register("masking_suggest", ops=("M9",), sql=f"""SELECT column_name,
   CASE WHEN max(classification = 'RESTRICTED') THEN 'RESTRICTED' ELSE 'CONFIDENTIAL' END AS classification,
   CASE WHEN max(classification = 'RESTRICTED') THEN 'HASH' ELSE 'PARTIAL' END AS technique

@@ -126,6 +126,7 @@ def lineage_of_orders_upstream(spark, sf):
 # ---------------------------------------------------------------- config as data (EAV)
 
 EAV_TS = "2024-01-01 00:00:00"
+EAV_LOADED = "2024-01-02 03:04:05"
 EAV_COLS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 EAV_TYPES = {"c_name": "string", "c_nationkey": "int", "c_acctbal": "decimal(18,2)", "c_mktsegment": "string"}
 
@@ -135,14 +136,15 @@ def _eav_sql() -> str:
     for c in EAV_COLS:
         v = f"CAST({c} AS VARCHAR)"
         parts.append(f"""SELECT c_custkey AS JOB_SK, 'customer' AS PARAM_ZONE, '{c}' AS PARAM_NM, {v} AS PARAM_VAL,
-  TIMESTAMP '{EAV_TS}' AS EFF_STRT_DTS, CAST(NULL AS TIMESTAMP) AS EFF_END_DTS, TRUE AS CURR_FLG, 1 AS REC_VER_NO
+  TIMESTAMP '{EAV_TS}' AS EFF_STRT_DTS, CAST(NULL AS TIMESTAMP) AS EFF_END_DTS, TRUE AS CURR_FLG, 1 AS REC_VER_NO,
+  TIMESTAMP '{EAV_LOADED}' AS LOAD_DTS, 'loader' AS LOAD_USER
 FROM customer WHERE {c} IS NOT NULL""")
     return "\nUNION ALL\n".join(parts)
 
 
 @register("eav_unpivot", ops=("A24", "F8"), sql=_eav_sql())
 def eav_unpivot(spark, sf):
-    return C.to_param_rows(Tables(spark, sf).customer, "c_custkey", "customer", EAV_COLS, eff_ts=EAV_TS)
+    return C.to_param_rows(Tables(spark, sf).customer, "c_custkey", "customer", EAV_COLS, eff_ts=EAV_TS, load_ts=EAV_LOADED, load_user="loader")
 
 
 @register("eav_pivot", ops=("A23",), sql="""SELECT c_custkey AS JOB_SK, c_name, c_nationkey,
@@ -475,6 +477,23 @@ def dq_policy_rules(spark, sf):
     return Q.evaluate(pol, rules).select("rule_id", "total_count", "failed_count")
 
 
+@register("dq_claim_rules", ops=("Q12",), sql="""WITH c AS (SELECT o_orderdate AS loss_date,
+  l_shipdate - INTERVAL 20 DAY AS report_date, CASE WHEN l_linestatus = 'F' THEN l_shipdate + to_days(CAST(l_quantity AS INTEGER) - 40) END AS close_date
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R')
+SELECT 'claim_1' AS rule_id, CAST(COUNT(*) AS BIGINT) AS total_count,
+  CAST(SUM(CASE WHEN COALESCE(close_date IS NULL OR close_date >= loss_date, FALSE) THEN 0 ELSE 1 END) AS BIGINT) AS failed_count FROM c
+UNION ALL SELECT 'claim_2', CAST(COUNT(*) AS BIGINT), CAST(SUM(CASE WHEN COALESCE(report_date >= loss_date, FALSE) THEN 0 ELSE 1 END) AS BIGINT) FROM c""")
+def dq_claim_rules(spark, sf):
+    """The claim's date rules, on returned lines as claims: lost when ordered, reported before the shipment's date, closed around it if at all."""
+    from ..operators import quality as Q
+    t = Tables(spark, sf)
+    j = t.lineitem.where("l_returnflag = 'R'").join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    claims = j.selectExpr("o_orderdate AS loss_date", "l_shipdate - INTERVAL 20 DAYS AS report_date",
+                          "if(l_linestatus = 'F', l_shipdate + make_dt_interval(cast(l_quantity as int) - 40), null) AS close_date")
+    rules = [Q.Rule(f"claim_{i}", "CUSTOM_SQL", rule_expression=e) for i, e in enumerate(Q.DEFAULT_ENTITY_RULES["claim"], 1)]
+    return Q.evaluate(claims, rules).select("rule_id", "total_count", "failed_count")
+
+
 def _dictionary_sql() -> str:
     from .queries_text import ORDER_COLS, _profile_sql
     counts = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_distinct FROM orders"
