@@ -1,20 +1,19 @@
 """Balanced label propagation: linked documents share shards whose sizes stay nearly equal.
 
 Documents are linked by a group key (by default: equal texts) and, where the caller gives
-some, by pairs of ids.
+some, by pairs of ids. Links, not merging beforehand, bring equal texts together.
 
-1. Linked documents are pre-aggregated into nodes: a group is one, or several of at most
-   ``CHUNK_SHARE`` of a shard if it is larger, so a group with a third of all rows
-   can be spread over as few shards as possible. Nodes start on a line by a hash of (group, chunk),
-   cut into shards of equal sizes.
+1. Every linked document is a node of its own, that starts on a line by a hash of the row, cut into shards of
+   equal sizes: equal texts start scattered. Only a group larger than ``CHUNK_SHARE`` of a shard, in bytes or rows, is dealt into
+   chunks of about that size, each a node, so a group with a third of all rows can be spread over as few shards as possible.
 2. Rounds: an edge table (node, neighbour, links) joined with the labels gives what each node's
-   neighbours carry. Chunks of one group are neighbours of each other, through one row for (group, shard)
+   neighbours carry. Nodes of one group are neighbours of each other, through one row for (group, shard)
    instead of all pairs. In each round half of the nodes, by a hash, may ask for the shard
    that holds most of their neighbours, if it holds more than their own. For each pair of shards the
    wishes are granted in a random order up to the capacity (bounded tables of shard by hash bucket
    decide, no sort in one task); what leaves a shard makes room in it.
-3. Groups that are a single node without neighbours, then documents without links, fill the shards up to
-   equal sizes: they are laid along a line by a hash, in proportion to each shard's room.
+3. Documents without links fill the shards up to equal sizes: those over ``LONG_SHARE`` of a shard (a bounded number)
+   go to the emptiest shard each, the others are laid along a line by a hash, in proportion to each shard's room.
 4. Rows get slots: counts of (shard, bucket) give each bucket its first slot, and
    rows are numbered within buckets of bounded size.
 
@@ -29,6 +28,8 @@ smaller shard; an empty table gives no rows; with fewer documents than shards so
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +38,10 @@ from .common import reliable, text_or_empty, written
 SHARDS = 16
 #: Rounds of propagation at most; it ends before when no wish is left, or none was granted three times.
 ROUNDS = 16
-#: A chunk of linked documents is at most about this share of an even shard.
+#: Groups larger than this share of an even shard move in chunks of at most about that size; documents of smaller ones move alone.
 CHUNK_SHARE = 1 / 64
+#: Unlinked documents over this share of an even shard are placed one by one (a bounded number), before the others.
+LONG_SHARE = 1 / 256
 #: Linked documents may fill a shard up to this share of an even one; the rest levels the sizes.
 FILL = 0.97
 #: Where nearly all documents are linked, so much above an even share is let be.
@@ -126,8 +129,8 @@ def propagate(nodes: DataFrame, shards: int, capacity: float, edges: DataFrame |
                 break
             continue
         idle = 0
-        limit = F.coalesce(*[F.when((F.col("shard") == a) & (F.col("to") == b), F.lit(t)) for (a, b), t in sorted(granted.items())],
-                           F.lit(0))
+        table = F.array(*[F.lit(granted.get((a, b), 0)) for a in range(shards) for b in range(shards)])
+        limit = F.element_at(table, (F.col("shard") * shards + F.col("to") + 1).cast("int"))
         labels = want.select(*NODE, "size", "n", F.when(asks & (F.col("bucket") < limit), F.col("to")).otherwise(
             F.col("shard")).alias("shard"))
     return labels
@@ -160,33 +163,57 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     even = max(1.0, total / shards)
     groups = rows.groupBy("group").agg(F.sum("size").alias("size"), F.count("*").alias("n")).where("n > 1")
-    chunks = F.least(F.col("n"), F.ceil(F.col("size") / F.lit(even * CHUNK_SHARE))).cast("int")
-    # fewer than 2 x shards / CHUNK_SHARE groups are larger than a chunk, so their table is broadcast
-    large = groups.where(F.col("size") > F.lit(even * CHUNK_SHARE)).select("group", chunks.alias("chunks"))
-    rows = rows.join(F.broadcast(large), "group", "left").withColumn("chunk", F.coalesce(F.pmod("place", F.col("chunks")), F.lit(0)).cast("int"))
+    chunk_size, chunk_rows = even * CHUNK_SHARE, max(1.0, count / shards) * CHUNK_SHARE
+    chunks = F.least(F.col("n"), F.greatest(F.ceil(F.col("size") / F.lit(chunk_size)), F.ceil(F.col("n") / F.lit(chunk_rows)))).cast("int")
+    # fewer than 2 x shards / CHUNK_SHARE groups are larger than a chunk in bytes or rows, so their table is broadcast
+    large = groups.where((F.col("size") > F.lit(chunk_size)) | (F.col("n") > F.lit(chunk_rows))).select("group", chunks.alias("chunks"))
+    # a group's rows are dealt by (group, part), so no task gets a large group whole
+    rows = rows.join(F.broadcast(large), "group", "left").withColumn("part", F.coalesce(F.pmod("place", F.col("chunks")), F.lit(0)).cast("int"))
+    small = groups.join(F.broadcast(large), "group", "left_anti").select("group", F.lit(0).alias("part"), F.lit(True).alias("several"))
+    chunk = F.when(F.col("chunks").isNotNull(), F.col("part")).otherwise(F.col("place"))
+    rows = reliable(rows.join(small, ["group", "part"], "left").withColumn("chunk", chunk.cast("long"))
+                    .withColumn("near", F.col("chunks").isNotNull() | F.col("several").isNotNull())
+                    .select("id", "size", "crc", "group", "place", "chunk", "near"))
     edges = _edges(rows, links) if links is not None else None
-    nodes = rows.groupBy(*NODE).agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.max("chunks").alias("chunks"))
+    nodes = rows.groupBy(*NODE).agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.max("near").alias("near"))
     if edges is not None:
-        nodes = nodes.join(edges.select(*NODE).distinct().withColumn("linked", F.lit(True)), NODE, "left")
-    else:
-        nodes = nodes.withColumn("linked", F.lit(None).cast("boolean"))
-    near = F.col("linked").isNotNull() | F.col("chunks").isNotNull()
-    nodes = written(nodes.where((F.col("n") > 1) | near).select(*NODE, "size", "n", near.alias("near")))
-    bound = nodes.where("near").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] / shards
-    labels = propagate(nodes.where("near").drop("near"), shards, max(even * FILL, bound * SLACK), edges, rounds)
+        nodes = nodes.join(edges.select(*NODE).distinct().withColumn("linked", F.lit(True)), NODE, "left").withColumn(
+            "near", F.col("near") | F.col("linked").isNotNull())
+    nodes = written(nodes.where("near").select(*NODE, "size", "n"))
+    bound = nodes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] / shards
+    labels = propagate(nodes, shards, max(even * FILL, bound * SLACK), edges, rounds)
     load = _totals(labels, "shard", "size", shards)
-    lone = _on_line(nodes.where("not near"), F.xxhash64("group", "chunk", F.lit(2)), [max(0.0, even - x) for x in load])
-    lone = written(lone.select(*NODE, "size", "shard"))
-    load = [x + y for x, y in zip(load, _totals(lone, "shard", "size", shards))]
-    known = labels.select(*NODE, "shard").unionAll(lone.select(*NODE, "shard"))
+    known = labels.select(*NODE, "shard")
     placed = reliable(rows.join(known, NODE, "left").select("id", "size", "crc", "group", "place", "shard"))
-    alone = _on_line(placed.where("shard is null").drop("shard"), F.col("place"), [max(0.0, even - x) for x in load])
-    both = placed.where("shard is not null").unionByName(alone)
-    out = _slots(both, shards, count)
+    free = placed.where("shard is null").drop("shard")
+    # fewer than shards / LONG_SHARE of them are long; these go one by one to the emptiest shard
+    long = {r["place"]: r["s"] for r in free.where(F.col("size") > F.lit(even * LONG_SHARE)).groupBy("place").agg(F.sum("size").alias("s")).collect()}
+    first = _by_room(long, load)
+    if first:
+        table = F.broadcast(docs.sparkSession.createDataFrame(sorted(first.items()), "place long, shard int"))
+        free = free.join(table, "place", "left")
+        sizes = _totals(free.where("shard is not null"), "shard", "size", shards)
+        placed = placed.where("shard is not null").unionByName(free.where("shard is not null").select(*placed.columns))
+        free, load = free.where("shard is null").drop("shard"), [x + y for x, y in zip(load, sizes)]
+    else:
+        placed = placed.where("shard is not null")
+    alone = _on_line(free, F.col("place"), [max(0.0, even - x) for x in load])
+    out = _slots(placed.unionByName(alone), shards, count)
     return out.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
                       "slot", F.lit(None).cast("int").alias("grown_shard"), "group")
 
 
+def _by_room(sizes: dict[int, int], load: list[int]) -> dict[int, int]:
+    """The shard of each place, largest first, each time the one with the least load."""
+    heap, out = [(x, i) for i, x in enumerate(load)], {}
+    heapq.heapify(heap)
+    for place, size in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        x, i = heap[0]
+        heapq.heapreplace(heap, (x + size, i))
+        out[place] = i
+    return out
+
+
 def _cuts(alone: DataFrame, room: list[float], cells: int = 4096) -> list[int]:
     """Ends of the shards' stretches on the line of 2 ** 20 places, from the sizes of ``cells`` cells of it."""
     width = (1 << 20) // cells

@@ -282,6 +282,17 @@ def test_hot_group_is_spread_and_sizes_stay_even(spark):
     assert label_prop_shard.cut_edges(out).first()["linked"] == 1300
 
 
+def test_equal_texts_start_scattered_and_are_brought_together(spark):
+    rows = [(i, f"text {i % 700 if i < 2100 else i} " * 6) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    before, after = (label_prop_shard.shard(docs, 8, rounds=r) for r in (0, label_prop_shard.ROUNDS))
+    one, two = (label_prop_shard.cut_edges(x).first() for x in (before, after))
+    assert one["linked"] == two["linked"] == 2100
+    assert one["away"] > 1000 and two["away"] < 0.01 * one["away"], (one, two)
+    size = [r["s"] for r in after.groupBy("shard").agg(F.sum("size").alias("s")).collect()]
+    assert len(size) == 8 and max(size) < 1.03 * sum(size) / 8
+
+
 def test_linked_documents_move_together(spark):
     rng = np.random.default_rng(7)
     n, town = 1200, 20  # towns of linked documents with a few links between towns
