@@ -612,6 +612,47 @@ def test_forest_knows_everyday_passwords(spark):
     assert found.count() == 0
 
 
+def test_forest_learns_from_all_documents(spark):
+    # more documents than the 6,000 that a training sample used to hold
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat(F.lit("pass along "), F.translate(F.col("id").cast("string"),
+                                    "0123456789", "abcdefghij"), F.lit("words")).alias("text"))
+    corpus = forest_secrets.learn_corpus(docs)
+    pairs, grams = np.ones((128, 128)), Counter()
+    for i in range(9000):
+        words = ["pass", "along", str(i).translate(str.maketrans("0123456789", "abcdefghij")) + "words"]
+        for a, b in zip(" ".join(words), " ".join(words)[1:]):
+            pairs[ord(a), ord(b)] += 1
+        grams.update(w[k:k + 4] for w in words for k in range(len(w) - 3))
+    assert np.allclose(corpus.pairs, np.log(pairs / pairs.sum(axis=1, keepdims=True)))
+    assert corpus.grams == {g for g, _ in sorted(grams.items(), key=lambda x: (-x[1], x[0]))[:forest_secrets.GRAMS]}
+    model = forest_secrets.train(docs)
+    assert np.allclose(model.corpus.pairs, corpus.pairs) and model.forest is not None
+
+
+def test_forest_is_the_same_at_any_layout_and_splits_as_brute_force(spark):
+    rng = np.random.default_rng(4)
+    x = np.minimum(rng.integers(0, 128, (900, len(forest_secrets.CUTS))), [len(c) for c in forest_secrets.CUTS]).astype(np.uint8)
+    y = (x[:, 3].astype(int) + rng.integers(0, 40, 900) > 80).astype(np.uint8)
+    marks = rng.integers(0, 2**63, 900).astype(np.uint64)
+    rows = [(y[i:i + 90].tobytes(), x[i:i + 90].tobytes(), marks[i:i + 90].tobytes()) for i in range(0, 900, 90)]
+    rows = [tuple(map(bytearray, r)) for r in rows]
+    one, two = (spark.createDataFrame(rows, "ones binary, x binary, marks binary").repartition(n) for n in (1, 5))
+    f, g = (forest_secrets.grow_forest(b, trees=3, depth=3) for b in (one, two))
+    assert all(np.array_equal(a, b) for t, u in zip(f.trees, g.trees) for a, b in zip(t, u))
+    grown = [forest_secrets._Growing()]
+    grown[0].tried = [np.array([1, 3, 8])]
+    got = forest_secrets._best_splits(two, grown, 2)[0]
+    w, best = forest_secrets._drawn(marks, 0), (0.0, 0, 0)
+    impure = lambda m: 0.0 if not w[m].sum() else (w * y)[m].sum() * (w * (1 - y))[m].sum() / w[m].sum()
+    for j in (1, 3, 8):
+        for c in range(127):
+            left = x[:, j] <= c
+            gain = (impure(np.full(900, True)) - impure(left) - impure(~left)) / w.sum()
+            best = max(best, (round(gain, 12), -j, -c))
+    assert (got["n"], got["ones"]) == (w.sum(), (w * y).sum()) and abs(w.mean() - 1) < 0.15
+    assert got["s"]["feature"] == best[1] == -3 and abs(got["s"]["gain"] - best[0]) < 1e-9
+
+
 def test_forest_learns_given_findings(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(f"k{i:02d}9f8e7d6c5b4a", "id: ", " ok", "tests/a.py" if i % 2 else "src/a.py", i % 2 ^ 1) for i in range(60)]
