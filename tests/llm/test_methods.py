@@ -672,6 +672,19 @@ def test_secret_query_and_redaction(spark, texts):
         assert zlib.crc32(texts[r["doc_id"]][r["start"]:r["end"]].encode()) == r["value_crc32"]
 
 
+def test_pipeline_learns_secrets_from_every_document(spark, monkeypatch):
+    import corpus_pipeline
+
+    seen, learn, label = [], forest_secrets.learn_corpus, forest_secrets.corpus_findings
+    monkeypatch.setattr(forest_secrets, "learn_corpus", lambda docs, *a: seen.append(docs.count()) or learn(docs, *a))
+    monkeypatch.setattr(forest_secrets, "corpus_findings", lambda docs, *a: seen.append(docs.count()) or label(docs, *a))
+    text = F.concat(F.lit("plain words stand here in row "), F.col("id").cast("string"))
+    docs = spark.range(8000).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("src").alias("source"),
+                                    F.length(text).cast("long").alias("n_chars"))
+    clean = corpus_pipeline.redact_secrets(spark, docs, "")
+    assert seen == [8000, 8000] and clean.count() == 8000 and clean.where("text like '%[SECRET%'").count() == 0
+
+
 def test_pipeline_stages(spark, texts):
     import corpus_pipeline
 
