@@ -52,6 +52,8 @@ HEAD = 64
 OUTSIDE = 0xFFFFFFFF
 #: Shared q-grams (place in the text, place in a passage) that are listed at once; bounds a task's memory.
 HITS = 1_000_000
+#: Counters (as a power of two) of the shared q-grams of passages by stretch of the text, and their step from one stretch to the next.
+_COUNTERS, _SPREAD = 19, 40503
 #: Characters of benchmark text in one broadcast.
 BLOCK_CHARS = 4_000_000
 
@@ -213,38 +215,59 @@ def candidate_bands(index: Index, text: np.ndarray, bounds: np.ndarray,
     times = index.first[found + 1] - index.first[found]
     if not len(times) or not times.sum():
         return none
-    size, span = index.bound + Q - 1 + index.budget * Q, np.int64(4 * len(text) + 4096)
+    size = index.bound + Q - 1 + index.budget * Q
+    half_width = index.budget + 1
+    span = np.int64(4 * len(text) + 4096)
+    shift = max(9, int((size + 2 * half_width).max()).bit_length())  # the places of a band lie in two neighbouring stretches at most
     # overlapping bands: each diagonal lies in two, a band of budget + 1 diagonals in one of them
     found_bands = [(none[0], none[0])] * 2
     ends = np.unique(np.append(np.searchsorted(np.cumsum(times), np.arange(limit, times.sum(), limit)) + 1, len(times)))
     for a, b in zip(np.append(0, ends[:-1]), ends):
         t = times[a:b]
-        which = np.repeat(index.first[found[a:b]], t) + np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)
-        passage = index.passage_of[which]
-        pair = np.repeat(doc[a:b], t) * np.int64(len(index.passages)) + passage
-        diagonal = np.repeat(at[a:b], t) - index.offset_of[which]  # in the whole chunk; its document follows from the place
-        width = 2 * (index.budget[passage] + 1)
+        which = np.repeat(index.first[found[a:b]] - np.cumsum(t) + t, t) + np.arange(t.sum())
+        passage, place = index.passage_of[which], np.repeat(at[a:b], t)
+        some = _crowded(passage, np.repeat(at[a:b] >> shift, t), index.bound)
+        if a:  # bands that reach into the parts before or after can't be told yet
+            some |= place < at[a] + (2 << shift)
+        if b < len(times):
+            some |= place > at[b - 1] - (2 << shift)
+        some = np.flatnonzero(some)
+        which, passage, place = which[some], passage[some].astype(np.int64), place[some]
+        pair = np.repeat(doc[a:b], t)[some] * np.int64(len(index.passages)) + passage
+        diagonal = place - index.offset_of[which]  # in the whole chunk; its document follows from the place
+        strip = (diagonal + 2048) // half_width[passage]  # a band is two of these
         for half in (0, 1):
-            keys, n = np.unique(pair * span + (diagonal + 2048 + half * (width // 2)) // width, return_counts=True)
+            keys, n = np.unique(pair * span + ((strip + half) >> 1), return_counts=True)
             if a:
                 keys, where = np.unique(np.append(found_bands[half][0], keys), return_inverse=True)
                 n = np.bincount(where, np.append(found_bands[half][1], n)).astype(np.int64)
             # bands with too few q-grams stay only while places to come can lie in them
             p = (keys // span) % len(index.passages)
-            w = 2 * (index.budget[p] + 1)
-            from_ = (keys % span) * w - half * (w // 2) - 2048
             keep = n >= index.bound[p]
             if b < len(times):
-                keep |= from_ + w + size[p] > at[b]
+                w = 2 * half_width[p]
+                keep |= (keys % span) * w - half * half_width[p] - 2048 + w + size[p] > at[b]
             found_bands[half] = (keys[keep], n[keep])
     out = []
     for half, (keys, _) in enumerate(found_bands):
         p = (keys // span) % len(index.passages)
-        w = 2 * (index.budget[p] + 1)
-        out.append((keys // span // len(index.passages), p, (keys % span) * w - half * (w // 2) - 2048))
+        w = 2 * half_width[p]
+        out.append((keys // span // len(index.passages), p, (keys % span) * w - half * half_width[p] - 2048))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _crowded(passage: np.ndarray, stretch: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Whether a passage's shared q-grams in a stretch of the text and one of its neighbours may reach the bound.
+
+    Counted in a table of bounded size; what shares a counter only raises it, so no pair that can reach the bound is lost.
+    """
+    size = 1 << min(_COUNTERS, len(passage).bit_length())
+    cell = (stretch * _SPREAD + passage) & (size - 1)
+    n = np.bincount(cell, minlength=size)
+    n += np.maximum(np.roll(n, _SPREAD), np.roll(n, -_SPREAD))
+    return n[cell] >= bound[passage]
+
+
 def align(passages: list[np.ndarray], windows: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Fewest edits that turn each passage into a part of its window, and where that part ends in the window.
 

@@ -165,6 +165,45 @@ def test_bands_do_not_depend_on_the_hits_listed_at_once():
     assert peaks[1] < peaks[0] / 3
 
 
+@pytest.mark.parametrize("limit", [10**9, 5000])
+def test_only_crowded_places_are_sorted_into_bands(monkeypatch, limit):
+    """Most shared q-grams lie where no passage has enough of them; bands equal those of counting each one."""
+    rng = np.random.default_rng(11)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(3, 9))) for _ in range(300)]
+    draw = lambda n: " ".join(rng.choice(words, n))
+    items = [(i, draw(int(n))) for i, n in enumerate(rng.integers(8, 60, 120))]
+    texts = [draw(4000), f"{draw(300)} {items[3][1]} {draw(90)}", " ".join(t for _, t in items[5:9]), "", items[9][1], draw(2000)]
+    index = qgram_decontam.build_index(items, parts=True)
+    norm, at = qgram_decontam.normal_form((cp := qgram_decontam.tk.code_points(texts))[0])
+    bounds = np.searchsorted(at, cp[1])
+    listed, kept = [], []
+    crowded = qgram_decontam._crowded
+
+    def watched(*args):
+        out = crowded(*args)
+        listed.append(len(out))
+        kept.append(int(out.sum()))
+        return out
+
+    monkeypatch.setattr(qgram_decontam, "_crowded", watched)
+    got = qgram_decontam.candidate_bands(index, norm, bounds, limit)
+    assert sum(kept) < sum(listed) / 2
+    n = Counter()
+    places = {}
+    for p, passage in enumerate(index.passages):
+        for o, h in enumerate(qgram_decontam.gram_hashes(passage).tolist()):
+            places.setdefault(h, []).append((p, o))
+    for x, h in enumerate(qgram_decontam.gram_hashes(norm).tolist()):
+        d = int(np.searchsorted(bounds, x, side="right")) - 1
+        if x + qgram_decontam.Q <= bounds[d + 1]:
+            for p, o in places.get(h, ()):
+                half = int(index.budget[p]) + 1
+                for k in (0, 1):
+                    n[k, d, p, (x - o + 2048 + k * half) // (2 * half) * 2 * half - k * half - 2048] += 1
+    want = [key for key, times in n.items() if times >= index.bound[key[2]]]
+    assert sorted(tuple(map(int, r)) for r in zip(*got)) == sorted(key[1:] for key in want) and want
+
+
 def test_decontamination_at_the_edges_of_documents():
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))
