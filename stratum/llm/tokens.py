@@ -8,8 +8,8 @@ from array import array
 
 import numpy as np
 
-#: Tokens remembered by a worker; a full memory is emptied, results don't depend on it.
-MEMO_LIMIT = 400_000
+#: Tokens remembered by a worker before a new generation begins (two are held); results don't depend on it.
+MEMO_LIMIT = 150_000
 
 # Split pattern of the word BPE for texts of Latin-1 letters only, where these classes equal \p{L} and \p{N}.
 _LATIN = re.compile(r"[\x21-\x7e\xa1-\xff]+")
@@ -24,26 +24,35 @@ _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PR
 
 
 class _Tokens(dict):
-    """Ids of each white-space token; a token not seen yet is encoded."""
+    """Ids of each white-space token, and of pieces of tokens; what is not known yet is encoded.
 
-    def __init__(self, whole, model):
+    A piece is a token too, with the same ids. Two generations: what the one before knows is taken over when it is met again.
+    """
+
+    def __init__(self, whole, model, before: dict | None = None):
         super().__init__()
-        self._whole, self._model, self._pieces = whole, model, {}
+        self._whole, self._model, self._before = whole, model, before or {}
 
-    def forget(self) -> None:
-        if len(self) > MEMO_LIMIT:
-            self.clear()
-        if len(self._pieces) > MEMO_LIMIT:
-            self._pieces.clear()
+    def next(self) -> _Tokens:
+        """The generation after this one; the one before goes."""
+        self._before = {}
+        return _Tokens(self._whole, self._model, self)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one lower-case Latin-1 piece: the byte-level form of it goes straight to the merges."""
-        form = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
-        got = self._pieces[piece] = array("I", [x.id for x in self._model.tokenize(form)]).tobytes()
+        got = self._before.get(piece)
+        if got is None:
+            form = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
+            got = array("I", [x.id for x in self._model.tokenize(form)]).tobytes()
+        self[piece] = got
         return got
 
     def __missing__(self, t: str) -> bytes:
-        known, new = self._pieces.get, self._piece
+        got = self._before.get(t)
+        if got is not None:
+            self[t] = got
+            return got
+        known, new = self.get, self._piece
         plain = t.isascii() or max(t) <= "ÿ"
         if plain and t.isalpha():
             t_low = t.lower()
@@ -79,7 +88,8 @@ class WordTokenizer:
         """Little-endian unsigned 32-bit ids of the whole text, as bytes."""
         if any(map(text.__contains__, _ODD_SPACE)):
             return self._whole(text)
-        self._tokens.forget()
+        if len(self._tokens) > MEMO_LIMIT:
+            self._tokens = self._tokens.next()
         return b"".join(map(self._tokens.__getitem__, text.split()))
 
 

@@ -59,6 +59,26 @@ def test_word_tokenizer_equals_the_library(texts):
         assert ours.encode(text) == np.array(e.ids, dtype="<u4").tobytes(), text
 
 
+def test_tokens_remembered_are_bounded_and_held_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from stratum.llm import tokens
+
+    monkeypatch.setattr(tokens, "MEMO_LIMIT", 500)
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    cases = [" ".join(rng.choice(["{}", "{}.", "{}'s", "{}-{}"]).format(*rng.sample([w, w.title()], 2)) for w in rng.choices(words, k=50))
+             for _ in range(300)]
+    ours, theirs = WordTokenizer(WORD), Tokenizer.from_file(WORD)
+    for text, e in zip(cases, theirs.encode_batch(cases, add_special_tokens=False)):
+        assert ours.encode(text) == np.array(e.ids, dtype="<u4").tobytes(), text
+        now = ours._tokens
+        assert len(now) + len(now._before) <= 2 * (500 + 50 * 5) and now._before.get("x", b"") is not None
+        held = [v for v in vars(now).values() if isinstance(v, dict)]
+        assert all(h is now._before for h in held)  # no memory beside the two generations
+    assert now._before and not now._before._before
+
+
 def test_packing_round_trip(spark, texts):
     from tokenizers import Tokenizer
 
