@@ -1,18 +1,18 @@
-"""Phrase collocations: Apriori levels counted by double-array tries over all text positions at once.
+"""Phrase collocations: Apriori candidates counted by double-array tries over all text positions at once.
 
 1. Words and their numbers are counted per language. Words below the least count
    can't be in a phrase; the others get numbers, the most frequent first, in blocks
-   of ``WORDS`` that tasks look up one after another. Texts become arrays of these
+   of ``WORDS`` that are looked up one after another. Texts become arrays of these
    numbers, -1 standing for rarer words and the ends of pieces.
-2. Phrases of two words and more are hashed into ``1 << SKETCH_BITS`` counters a
-   length, which stop at 255, and added up by Spark. A phrase whose counter stays below
+2. Phrases of two words and more are hashed into counters, ``1 << SKETCH_BITS`` a length
+   and more of them in larger corpora; they stop at 255 and are added up by Spark. A phrase whose counter stays below
    the least count can't be frequent, nor can one that holds such a phrase: what is
    left are the candidates, safe by Apriori (a superset of the frequent phrases).
-3. Candidates are dealt by their first two words into blocks of about ``PHRASES``. Each
-   block becomes a double-array trie, is broadcast, and counted in one pass: numpy moves
-   the states of all positions of a chunk a digit of a word on at a time, and
-   drops those that leave the trie; ``bincount`` counts the states that accept. Spark adds
-   up the tasks' counts in shards of ``_PART`` phrases. These counts are exact whatever the counters let through.
+3. At each position the longest candidate that begins there makes a window; its
+   beginnings are the other candidates there. Windows are dealt by their first two words into parts, equal ones as one
+   with a count. Of a part's candidates double-array tries are made (of ``PHRASES`` each), and numpy moves the states of
+   all its windows a digit of a word on at a time; ``bincount`` adds up the windows of the states that accept. These counts are exact
+   whatever the counters let through, and each position is gone through once, however many candidates there are.
 4. Scores, containment and ranks are joins and aggregates over the frequent phrases.
 
 Defined cases: a null text is empty, a null language is ``und``; repeated rows count
@@ -26,10 +26,10 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,16 +37,18 @@ from . import textkit as tk
 from .common import broadcast_value, chunked, map_batches, reliable, text_or_empty
 
 MAX_WORDS = 4
-#: Words whose numbers a task holds at once, and candidates of one trie: what is broadcast never grows beyond them.
+#: Words of one table of numbers, and candidates of one trie.
 WORDS = 1 << 20
 PHRASES = 1 << 19
-SKETCH_BITS = 24
+#: Counters a length: one for some 16 words of the corpus, between these powers of two. Their bitmaps are broadcast: 96 MB at most.
+SKETCH_BITS, MOST_BITS = 24, 28
 #: Distinct words a task counts before they go on to Spark, and positions of a chunk of encoded text.
 HELD = 400_000
 POSITIONS = 1 << 21
 #: Bits of a digit of a word's number, the alphabet of a trie.
 BITS = 7
-_PART = 1 << 16  # counters or counts of a row
+_PART = 1 << 16  # counters of a row
+_ROW = 1 << 18  # word numbers of a row, or as many more as its last piece has
 _MARKS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz .........")
 
 
@@ -103,7 +105,7 @@ def _numbered(frequent: DataFrame) -> tuple[DataFrame, int]:
 def encode(texts: DataFrame, vocabulary: DataFrame, size: int) -> DataFrame:
     """(ids): arrays of the texts' words as numbers (int32), one or more rows a batch, each ended by -1.
 
-    Runs of -1 are one; vocabularies beyond ``WORDS`` are looked up block by block.
+    Runs of -1 are one; vocabularies beyond ``WORDS`` are looked up block by block, the distinct words of some 2 million at once.
     """
     spark = texts.sparkSession
     blocks = []
@@ -112,32 +114,46 @@ def encode(texts: DataFrame, vocabulary: DataFrame, size: int) -> DataFrame:
         blocks.append(broadcast_value(spark, rows.combine_chunks()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # one block is held at a time: with several, the texts of a task are gone through once for each
-        known: dict[str, dict[bytes, int]] = {}
-        if len(blocks) == 1:
-            known = _lookup(blocks[0].value)
+        known: dict[str, list[tuple[pa.Array, np.ndarray]]] = {}
+        held: dict[str, list[pa.Array]] = {}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for lang, those in held.items():
+                if lang not in known:
+                    known[lang] = [w for b in blocks if len((w := _lookup(b.value, lang))[1])]
+                found = pa.concat_arrays(those).dictionary_encode()
+                number = np.full(len(found.dictionary), -1, np.int32)
+                for words, ids in known[lang]:
+                    at = pc.fill_null(pc.index_in(found.dictionary, value_set=words), -1).to_numpy()
+                    number[at >= 0] = ids[at[at >= 0]]
+                ids = number[found.indices.to_numpy()]
+                ids = ids[(ids >= 0) | np.concatenate([[False], ids[:-1] >= 0])]
+                ends = np.flatnonzero(ids < 0) + 1
+                for row in np.split(ids, np.unique(ends[np.searchsorted(ends, np.arange(_ROW, len(ids), _ROW))])):
+                    if len(row):
+                        yield pa.RecordBatch.from_arrays([pa.array([row.tobytes()], pa.binary())], ["ids"])
+            held.clear()
+
+        size = 0
         for batch in batches:
             for lang, those in _by_language(batch):
                 found = words_of(those)
-                ids = None
-                for b in blocks:
-                    of = known if len(blocks) == 1 else _lookup(b.value, lang)
-                    now = np.fromiter(map(of.get(lang, {}).get, found, repeat(-1)), np.int32, len(found))
-                    ids = now if ids is None else np.maximum(ids, now)
-                if ids is not None and len(ids):
-                    ids = np.append(ids, np.int32(-1))
-                    ids = ids[(ids >= 0) | np.concatenate([[False], ids[:-1] >= 0])]
-                    yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary())], ["ids"])
+                found.append(b".")  # is no word
+                held.setdefault(lang, []).append(pa.array(found, pa.binary()))
+                size += len(found)
+                if size >= POSITIONS:
+                    yield from told()
+                    size = 0
+        yield from told()
 
     return map_batches(texts, run, "ids binary")
 
 
-def _lookup(table: pa.Table, only: str | None = None) -> dict[str, dict[bytes, int]]:
-    out: dict[str, dict[bytes, int]] = {}
-    for lang, word, i in zip(*(table.column(c).to_pylist() for c in ("lang", "word", "id"))):
-        if only is None or lang == only:
-            out.setdefault(lang, {})[word.encode()] = i
-    return out
+def _lookup(table: pa.Table, lang: str) -> tuple[pa.Array, np.ndarray]:
+    """Words of a language and their numbers."""
+    rows = table.filter(pc.equal(table.column("lang"), lang)).combine_chunks()
+    words = rows.column("word").cast(pa.binary())
+    return words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words, rows.column("id").to_numpy()
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -154,7 +170,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate([*held, np.full(MAX_WORDS, -1, np.int32)])
 
 
-def _hashes(ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _hashes(ids: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each length from 2 the positions where a phrase of frequent words begins, and its counter."""
     at = np.flatnonzero(ids >= 0)
     h = tk.mix(ids[at].astype(np.uint64) + np.uint64(1))
@@ -163,25 +179,50 @@ def _hashes(ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         at, h = at[on], h[on]
         with np.errstate(over="ignore"):
             h = tk.mix(h * np.uint64(31) + ids[at + k - 1].astype(np.uint64) + np.uint64(k))
-        yield k, at, (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int32)
+        yield k, at, (h >> np.uint64(64 - bits)).astype(np.uint32)
 
 
-def _sketch(encoded: DataFrame, least: int) -> dict[int, np.ndarray]:
-    """For each length a bitmap of the counters that reach ``least`` (at most 255). Counters travel in rows of 64 K."""
+def _sketch(encoded: DataFrame, least: int, bits: int) -> dict[int, np.ndarray]:
+    """For each length a packed bitmap of the counters that reach ``least`` (at most 255). Counters travel in rows of 64 K."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((MAX_WORDS - 1, 1 << SKETCH_BITS), np.uint8)
-        for ids in _chunks(batches):
-            for k, _, h in _hashes(ids):
-                u, n = np.unique(h, return_counts=True)
-                tables[k - 2][u] = np.minimum(255, tables[k - 2][u] + n)
-        for k in range(2, MAX_WORDS + 1):
-            for part, row in enumerate(tables[k - 2].reshape(-1, _PART)):
-                met = np.flatnonzero(row)
-                if len(met):
+        held: dict[int, list[np.ndarray]] = {k: [] for k in range(2, MAX_WORDS + 1)}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for k, those in held.items():
+                if not those:
+                    continue
+                h = np.sort(np.concatenate(those))
+                those.clear()
+                first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+                n = np.minimum(255, np.diff(np.append(first, len(h)))).astype(np.uint8)
+                h = h[first]
+                ends = [0, *(np.flatnonzero(np.diff(h // _PART)) + 1).tolist(), len(h)]
+                parts, rows, size = [], [], 0
+                for a, b in zip(ends, ends[1:]):
                     # dense, or the places and counts of those above 0, if that is shorter
-                    told = row.tobytes() if 3 * len(met) >= _PART else met.astype(np.uint16).tobytes() + row[met].tobytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.int32()),
-                                                      pa.array([told], pa.binary())], ["k", "part", "counters"])
+                    if 3 * (b - a) >= _PART:
+                        row = np.zeros(_PART, np.uint8)
+                        row[h[a:b] % _PART] = n[a:b]
+                        rows.append(row.tobytes())
+                    else:
+                        rows.append((h[a:b] % _PART).astype(np.uint16).tobytes() + n[a:b].tobytes())
+                    parts.append(int(h[a]) // _PART)
+                    size += len(rows[-1])
+                    if size > 1 << 20 or b == len(h):
+                        yield pa.RecordBatch.from_arrays([pa.array([k] * len(rows), pa.int32()), pa.array(parts, pa.int32()),
+                                                          pa.array(rows, pa.binary())], ["k", "part", "counters"])
+                        parts, rows, size = [], [], 0
+
+        size = 0
+        for ids in _chunks(batches):
+            for k, _, h in _hashes(ids, bits):
+                if len(h):
+                    held[k].append(h)
+            size += len(ids)
+            if size > 2 * POSITIONS:
+                yield from told()
+                size = 0
+        yield from told()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come sorted by (k, part); one row of counters is held
@@ -200,92 +241,70 @@ def _sketch(encoded: DataFrame, least: int) -> dict[int, np.ndarray]:
         if now is not None:
             yield _bits(now, total >= least)
 
-    spark = encoded.sparkSession
     rows = map_batches(encoded, run, "k int, part int, counters binary").repartition("k", "part").sortWithinPartitions("k", "part")
-    out = {k: np.zeros(1 << SKETCH_BITS, bool) for k in range(2, MAX_WORDS + 1)}
-    for r in map_batches(rows, add, "k int, part int, bits binary").toArrow().to_pylist():
-        out[r["k"]][r["part"] * _PART:(r["part"] + 1) * _PART] = np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
+    out = {k: np.zeros((1 << bits) // 8, np.uint8) for k in range(2, MAX_WORDS + 1)}
+    width = _PART // 8
+    for batch in map_batches(rows, add, "k int, part int, bits binary").toArrow().to_batches():
+        for k, part, told in zip(*batch.columns):
+            out[k.as_py()][part.as_py() * width:(part.as_py() + 1) * width] = np.frombuffer(zlib.decompress(told.as_buffer()), np.uint8)
     return out
 
 
 def _bits(place: tuple[int, int], passed: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([place[0]], pa.int32()), pa.array([place[1]], pa.int32()),
-                                       pa.array([np.packbits(passed).tobytes()], pa.binary())], ["k", "part", "bits"])
+                                       pa.array([zlib.compress(np.packbits(passed).tobytes(), 1)], pa.binary())], ["k", "part", "bits"])
 
 
 _W = [f"w{i}" for i in range(1, MAX_WORDS + 1)]
 _IDS = ", ".join(f"{w} int" for w in _W)
 
 
-def candidates(encoded: DataFrame, least: int, parts: int = 64) -> DataFrame:
-    """Distinct (w1, ..., w4), -1 past the end: phrases all of whose parts may reach ``least`` by the counters.
+def _windows(ids: np.ndarray, passed: dict[int, np.ndarray], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct (w1, ..., w4), -1 past the end, and at how many positions each is the longest candidate that begins there.
 
-    Tasks send theirs as sorted arrays, one for each of ``parts`` (by the first two words) that it meets.
+    Candidates are phrases all of whose parts may reach the least count by the counters.
     """
-    packed = {k: np.packbits(x) for k, x in _sketch(encoded, min(least, 255)).items()}
-    passed = broadcast_value(encoded.sparkSession, packed)
-
-    def safe(ids: np.ndarray) -> Iterator[np.ndarray]:
-        good = ids >= 0  # begins a phrase of k - 1 words that may be frequent
-        rank = ids  # of the phrase of k - 1 words that begins here
-        for k, at, h in _hashes(ids):
-            ok = (passed.value[k][h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 > 0
-            at = at[ok]
-            at = at[good[at] & good[at + 1]]  # both parts are safe
-            good = np.zeros(len(ids), bool)
-            good[at] = True
-            _, once, of = np.unique(rank[at].astype(np.int64) << 32 | ids[at + k - 1], return_index=True, return_inverse=True)
-            rank = np.zeros(len(ids), np.int32)
-            rank[at] = of
-            rows = np.full((len(once), MAX_WORDS), -1, np.int32)
-            for i in range(k):
-                rows[:, i] = ids[at[once] + i]
-            yield rows
-
-    def send(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        rows = np.concatenate(held)
-        part = (tk.mix(rows[:, 0].astype(np.uint64) << np.uint64(32) | rows[:, 1].astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
-        for those in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-            table = zlib.compress(_distinct(rows[those]).T.tobytes(), 1)
-            yield pa.RecordBatch.from_arrays([pa.array([part[those[0]]], pa.int32()), pa.array([table], pa.binary())], ["part", "rows"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for ids in _chunks(batches):
-            held.extend(safe(ids))
-            size = sum(map(len, held))
-            if size > 8 * HELD:
-                yield from send(held)
-                held, size = [], 0
-        if size:
-            yield from send(held)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
-        for batch in batches:
-            for part, table in zip(*(c.to_pylist() for c in batch.columns)):
-                if part != now and held:
-                    yield _rows(_distinct(np.concatenate(held)))
-                    held = []
-                now = part
-                held.append(np.frombuffer(zlib.decompress(table), np.int32).reshape(MAX_WORDS, -1).T)
-                if len(held) > 16:
-                    held = [_distinct(np.concatenate(held))]
-        if held:
-            yield _rows(_distinct(np.concatenate(held)))
-
-    sent = map_batches(encoded, run, "part int, rows binary").repartition("part").sortWithinPartitions("part")
-    return map_batches(sent, merge, _IDS)
+    def told(k: int, at: np.ndarray, once: np.ndarray, of: np.ndarray, longer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        times = np.bincount(of[~longer[at]], minlength=len(once))
+        met = np.flatnonzero(times)
+        rows = np.full((len(met), MAX_WORDS), -1, np.int32)
+        for i in range(k):
+            rows[:, i] = ids[at[once[met]] + i]
+        return rows, times[met]
+
+    good = ids >= 0  # begins a phrase of k - 1 words that may be frequent
+    rank = ids  # of the phrase of k - 1 words that begins here
+    last = None
+    for k, at, h in _hashes(ids, bits):
+        ok = (passed[k][h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 > 0
+        at = at[ok]
+        at = at[good[at] & good[at + 1]]  # both parts are safe
+        good = np.zeros(len(ids), bool)
+        good[at] = True
+        if last is not None:
+            yield told(*last, good)
+        _, once, of = np.unique(rank[at].astype(np.int64) << 32 | ids[at + k - 1], return_index=True, return_inverse=True)
+        rank = np.zeros(len(ids), np.int32)
+        rank[at] = of
+        last = k, at, once, of
+    yield told(*last, np.zeros(len(ids), bool))
+
+
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows, those that begin alike side by side, and the sums of their counts."""
+    rows, times = (np.concatenate(x) for x in zip(*held))
+    if not len(rows):
+        return rows, times
+    a = rows[:, 0].astype(np.int64) << 32 | rows[:, 1]
+    b = rows[:, 2].astype(np.int64) << 32 | rows[:, 3].astype(np.int64) & 0xFFFFFFFF
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return rows[order[first]], np.add.reduceat(times[order], first)
 
 
 def _distinct(rows: np.ndarray) -> np.ndarray:
-    if not len(rows):
-        return rows
-    two = rows.astype(np.int64)
-    order = np.lexsort((two[:, 2] << 32 | two[:, 3] & 0xFFFFFFFF, two[:, 0] << 32 | two[:, 1]))
-    rows = rows[order]
-    return rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])]
+    return _summed([(rows, np.ones(len(rows), np.int64))])[0]
 
 
 def _rows(rows: np.ndarray, *more: pa.Array) -> pa.RecordBatch:
@@ -366,69 +385,99 @@ class Trie:
         self.check[at] = place[parent]
         return place
 
-    def count(self, ids: np.ndarray) -> np.ndarray:
-        """How often each phrase begins at a position of ``ids``."""
-        state = self.first[np.minimum(ids, len(self.first) - 1)]  # the last one, -1 too, is no head
-        at = np.flatnonzero(state >= 0)
-        state = state[at]
+    def count(self, ids: np.ndarray, at: np.ndarray | None = None, times: np.ndarray | None = None) -> np.ndarray:
+        """How often each phrase begins at a position of ``ids``, or at those of ``at``, which count ``times`` each."""
+        at = np.arange(len(ids)) if at is None else at
+        state = self.first[np.minimum(ids[at], len(self.first) - 1)]  # the last one, -1 too, is no head
+        on = state >= 0
         total = np.zeros(len(self.phrases), np.int64)
+        times = np.ones(len(at), np.int64) if times is None else times
+        at, state, times = at[on], state[on], times[on]
         for k in range(1, MAX_WORDS):
             word = ids[at + k]
             on = word >= 0
-            at, state, word = at[on], state[on], word[on]
+            at, state, word, times = at[on], state[on], word[on], times[on]
             for shift in range(BITS * (self.digits - 1), -1, -BITS):
                 to = self.base[state] + ((word >> shift) & ((1 << BITS) - 1))
                 on = (to >= 0) & (self.check[to] == state)
-                at, state, word = at[on], to[on], word[on]
+                at, state, word, times = at[on], to[on], word[on], times[on]
             phrase = self.accepts[state]
-            total += np.bincount(phrase[phrase >= 0], minlength=len(total))
+            on = phrase >= 0
+            total += np.bincount(phrase[on], times[on], len(total)).astype(np.int64)  # exact up to 2 ** 53
         return total
 
 
-def count_phrases(encoded: DataFrame, found: DataFrame, least: int) -> DataFrame:
-    """(w1, ..., w4, f): exact counts of those of the candidates ``found`` that occur ``least`` times or more."""
-    spark = encoded.sparkSession
-    blocks = max(1, -(-found.count() // PHRASES))
-    dealt = found.withColumn("block", F.pmod(F.xxhash64("w1", "w2"), F.lit(blocks)))
-    counts = None
-    for b in range(blocks):
-        table = dealt.where(F.col("block") == b).select(*_W).toArrow()
-        if not table.num_rows:
-            continue
-        trie = broadcast_value(spark, Trie(np.column_stack([table.column(w).to_numpy() for w in _W])))
-
-        def run(batches: Iterator[pa.RecordBatch], trie=trie) -> Iterator[pa.RecordBatch]:
-            total = None
-            for ids in _chunks(batches):
-                now = trie.value.count(ids)
-                total = now if total is None else total + now
-            for at in range(0, 0 if total is None else len(total), _PART):
-                shard = total[at:at + _PART]
-                if shard.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([at // _PART], pa.int32()), pa.array([zlib.compress(shard.tobytes(), 1)], pa.binary())],
-                                                     ["shard", "counts"])
-
-        def add(batches: Iterator[pa.RecordBatch], trie=trie) -> Iterator[pa.RecordBatch]:
-            now, total = None, None
-
-            def told() -> pa.RecordBatch:
-                met = np.flatnonzero(total >= least)
-                return _rows(trie.value.phrases[now * _PART + met], pa.array(total[met]))
-
-            for batch in batches:
-                for shard, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                    if shard != now:
-                        if now is not None:
-                            yield told()
-                        now, total = shard, 0
-                    total = total + np.frombuffer(zlib.decompress(counts), np.int64)
-            if now is not None:
-                yield told()
-
-        shards = map_batches(encoded, run, "shard int, counts binary").repartition("shard").sortWithinPartitions("shard")
-        one = map_batches(shards, add, f"{_IDS}, f long")
-        counts = one if counts is None else counts.unionAll(one)
-    return counts if counts is not None else spark.createDataFrame([], f"{_IDS}, f long")
+def _frequent(rows: np.ndarray, times: np.ndarray, least: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Phrases that occur ``least`` times or more, of a part's windows (distinct, those that begin alike side by side).
+
+    A trie takes ``most`` candidates.
+    """
+    found = []
+    for k in range(2, MAX_WORDS + 1):
+        begin = rows[rows[:, k - 1] >= 0].copy()
+        begin[:, k:] = -1
+        found.append(begin[np.concatenate([[True], (begin[1:] != begin[:-1]).any(axis=1)])] if len(begin) else begin)
+    phrases = np.concatenate(found)
+    ids, at = rows.ravel(), MAX_WORDS * np.arange(len(rows))
+    for low in range(0, len(phrases), most):
+        trie = Trie(phrases[low:low + most])
+        total = trie.count(ids, at, times)
+        met = np.flatnonzero(total >= least)
+        for some in np.split(met, range(_PART, len(met), _PART)):
+            yield _rows(trie.phrases[some], pa.array(total[some]))
+
+
+def count_phrases(encoded: DataFrame, least: int, words: int) -> DataFrame:
+    """(w1, ..., w4, f): exact counts of the phrases that occur ``least`` times or more in texts of so many words.
+
+    Tasks send their windows as sorted arrays, one for each part (by the first two words) that they meet.
+    """
+    parts, block = max(64, words >> 21), PHRASES
+    bits = min(MOST_BITS, max(SKETCH_BITS, (words >> 4).bit_length()))
+    passed = broadcast_value(encoded.sparkSession, _sketch(encoded, min(least, 255), bits))
+
+    def send(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        rows, times = _summed(held)
+        part = (tk.mix(rows[:, 0].astype(np.uint64) << np.uint64(32) | rows[:, 1].astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        for those in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
+            table = np.ascontiguousarray(rows[those].T).tobytes() + times[those].astype(np.int64).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([part[those[0]]], pa.int32()), pa.array([zlib.compress(table, 1)], pa.binary())],
+                                             ["part", "windows"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for ids in _chunks(batches):
+            held.extend(_windows(ids, passed.value, bits))
+            size = sum(len(x) for x, _ in held)
+            if size > 4 * HELD:
+                yield from send(held)
+                held, size = [], 0
+        if size:
+            yield from send(held)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows come sorted by part; one part's windows are held, equal ones put together each time they have doubled
+        now, held, size, most = None, [], 0, 0
+        for batch in batches:
+            for part, table in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != now and held:
+                    yield from _frequent(*_summed(held), least, block)
+                    held, size, most = [], 0, 0
+                now = part
+                table = zlib.decompress(table)
+                n = len(table) // (4 * MAX_WORDS + 8)
+                held.append((np.frombuffer(table, np.int32, MAX_WORDS * n).reshape(MAX_WORDS, -1).T,
+                             np.frombuffer(table, np.int64, n, 4 * MAX_WORDS * n)))
+                size += n
+                if size > max(2 * most, _PART):
+                    held = [_summed(held)]
+                    size = most = len(held[0][0])
+        if held:
+            yield from _frequent(*_summed(held), least, block)
+
+    sent = map_batches(encoded, run, "part int, windows binary").repartition("part").sortWithinPartitions("part")
+    return map_batches(sent, count, f"{_IDS}, f long")
 
 
 def _part(low: int, size: int) -> list:
@@ -447,11 +496,11 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text_or_empty(F.col(text_col)).alias("text"))
     counted = reliable(count_words(texts))
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    parts = max(64, (counted.agg(F.sum("n")).first()[0] or 0) >> 21)
+    total = counted.agg(F.sum("n")).first()[0] or 0
     vocabulary, size = _numbered(counted.where(F.col("n") >= least))
     vocabulary = reliable(vocabulary)
     encoded = reliable(encode(texts, vocabulary, size))
-    phrases = reliable(count_phrases(encoded, reliable(candidates(encoded, least, parts)), least))
+    phrases = reliable(count_phrases(encoded, least, total))
     length = sum(F.when(F.col(w) >= 0, 1).otherwise(0) for w in _W)
     words = vocabulary.select(F.col("id").alias("w1"), *[F.lit(-1).alias(w) for w in _W[1:]], F.col("n").alias("f"))
     f = words.unionByName(phrases)

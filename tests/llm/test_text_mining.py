@@ -135,6 +135,33 @@ def test_phrases_equal_brute_force(spark, monkeypatch, words, phrases):
     assert got == _brute_phrases([(r["lang"], r["text"]) for r in docs.collect()], 6, 50) and len(got) > 40
 
 
+@pytest.mark.parametrize("bits", [5, 24])
+def test_phrases_are_counted_in_one_pass_whatever_the_counters_let_through(spark, monkeypatch, bits):
+    """Also with so few counters that all reach the least count; what is broadcast are words and counters, no candidates."""
+    rng = random.Random(4)
+    docs = _docs(spark, [" ".join(rng.choice("abcdefghijkl") + rng.choice(["", "", "."]) for _ in range(rng.randint(0, 80))) for _ in range(120)])
+    sent = []
+    broadcast = trie_phrases.broadcast_value
+    monkeypatch.setattr(trie_phrases, "broadcast_value", lambda spark, value: sent.append(value) or broadcast(spark, value))
+    monkeypatch.setattr(trie_phrases, "PHRASES", 20)
+    monkeypatch.setattr(trie_phrases, "SKETCH_BITS", bits)
+    monkeypatch.setattr(trie_phrases, "MOST_BITS", bits, raising=False)
+    monkeypatch.setattr(trie_phrases, "_PART", 16 if bits == 5 else 1 << 16)
+    got = _phrases(trie_phrases.collocations(docs, least=6, top=100))
+    assert got == _brute_phrases([(r["lang"], r["text"]) for r in docs.collect()], 6, 100) and len(got) > 80
+    assert len(sent) == 2
+
+
+def test_counters_grow_with_the_corpus(spark, monkeypatch):
+    asked = []
+    sketch = trie_phrases._sketch
+    monkeypatch.setattr(trie_phrases, "_sketch", lambda encoded, least, bits: asked.append(bits) or sketch(encoded, least, 24))
+    encoded = spark.createDataFrame([(bytearray(b"\xff" * 4),)], "ids binary")
+    for words in (10 ** 6, 10 ** 9, 10 ** 11):
+        assert trie_phrases.count_phrases(encoded, 30, words).columns == ["w1", "w2", "w3", "w4", "f"]
+    assert asked == [24, 26, 28]
+
+
 def test_trie_counts_all_phrases():
     import numpy as np
 
