@@ -532,6 +532,52 @@ def test_large_bucket_of_near_copies(spark):
     assert all(got[1000 + i] == 1000 + i for i in range(150))
 
 
+@pytest.mark.parametrize("similarity, common", [(0.8, 26), (0.5, 12), (0.5, 0), (0.8, 40)])
+def test_pairs_of_blocks_equal_brute_force(similarity, common):
+    """Classes of two blocks of texts that share a template, joined by ``_linked`` and by all pairs."""
+    rng = np.random.default_rng(common)
+    template, texts = rng.integers(0, 1 << 40, 40), []
+    for i in range(160):
+        h = np.concatenate([rng.choice(template, common, replace=False), rng.integers(0, 1 << 40, rng.integers(1, 45 - common))])
+        if i % 4 and len(texts[-1][0]) > 1:  # much of the text before
+            h = np.concatenate([rng.permutation(texts[-1][0])[rng.integers(0, 5):].astype(np.int64), rng.integers(0, 1 << 40, rng.integers(0, 4))])
+        h = np.unique(h).astype(np.uint64)
+        texts.append((h, np.array([0.77, 0.9, 1.0])[(h % np.uint64(3)).astype(int)] * rng.choice([1, 1, 1, 1, 1, 1, 1, 1, 1, 2], len(h))))
+    texts = [texts[i] for i in rng.permutation(160)]
+    left, right = texts[:70], texts[40:]  # some are in both
+    classes = np.arange(160)
+    classes[[3, 60, 150]] = 3
+
+    def joined(pairs):
+        of = classes.copy()
+        for i, j in pairs:
+            of[of == of[40 + j]] = of[i]
+        return {tuple(np.flatnonzero(of == c)) for c in of}
+
+    every = [(i, j) for i in range(70) for j in range(120) if icws_dedup._similarity(left[i], right[j]) >= similarity]
+    links = icws_dedup._linked(left, right, classes[:70], classes[40:], similarity)
+    assert all(s == icws_dedup._similarity(left[i], right[j]) >= similarity for i, j, s in links)
+    assert joined((i, j) for i, j, _ in links) == joined(every) and len(links) > 5
+
+
+def test_large_buckets_are_compared_as_wholly_as_small_ones(spark, monkeypatch):
+    """Pairs that reach the similarity in a bucket of a template that few of its members reach."""
+    rng = random.Random(12)
+    template, rows = [f"t{i}" for i in range(44)], []
+    for i in range(120):
+        own = [f"p{i // 2}x{k}" for k in range(14)] + [f"o{i}x{k}" for k in range(18)]
+        rows.append((i, " ".join(template + own)))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def classes(small):
+        monkeypatch.setattr(icws_dedup, "SMALL", small)
+        return {r["doc_id"]: r["class_id"] for r in icws_dedup.near_duplicates(docs, similarity=0.5)[0].collect()}
+
+    whole = classes(10 ** 6)
+    assert classes(2) == whole and sum(whole[i] == whole[i + 1] for i in range(0, 120, 2)) > 15
+
+
 def test_components_equal_union_find(spark):
     rng = random.Random(6)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1040)] + [(5, 5)]
