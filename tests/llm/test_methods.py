@@ -575,6 +575,7 @@ def test_large_buckets_are_compared_as_wholly_as_small_ones(spark, monkeypatch):
         return {r["doc_id"]: r["class_id"] for r in icws_dedup.near_duplicates(docs, similarity=0.5)[0].collect()}
 
     whole = classes(10 ** 6)
+    monkeypatch.setattr(icws_dedup, "SHINGLES", 300, raising=False)
     assert classes(2) == whole and sum(whole[i] == whole[i + 1] for i in range(0, 120, 2)) > 15
 
 
